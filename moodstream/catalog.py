@@ -179,3 +179,174 @@ SELECT we_ts AS start, nxt AS "end", round(share, 4) AS peak_share, CAST({float(
        CAST({float(SPIKE.window_seconds)} AS DOUBLE) AS window_seconds
 FROM d WHERE status = 'firing'""",
 }
+
+
+# --- messages: contracts and DLQ ----------------------------------------------
+from moodstream.operators import contracts, joining  # noqa: E402
+from moodstream.sources.messages import raw_messages_from_tables  # noqa: E402
+from moodstream.sources.tables import (predictions_from_lineitem, raw_from_orders,  # noqa: E402
+                                       table)
+
+JOIN_TTL_SECONDS = 365 * 24 * 3600.0
+
+
+def q_parse_raw(spark, sf):
+    p = contracts.parse_raw(raw_messages_from_tables(spark, sf))
+    return p.select("topic", "partition", "offset", "error", "schema_version", "id")
+
+
+def q_parse_keyed(spark, sf):
+    p = contracts.parse_keyed(raw_messages_from_tables(spark, sf))
+    return p.select("topic", "partition", "offset", "error")
+
+
+def q_dlq_rows(spark, sf):
+    _, bad = contracts.split_valid(contracts.parse_raw(raw_messages_from_tables(spark, sf)))
+    d = contracts.to_dlq(bad, with_time=False)
+    return d.select("schema_version", "stage", "error", "original_payload",
+                    F.col("source.topic").alias("source_topic"),
+                    F.col("source.partition").alias("source_partition"),
+                    F.col("source.offset").alias("source_offset"))
+
+
+def q_validate_incoming(spark, sf):
+    docs = table(spark, sf, "documents").select(
+        "doc_id", "text", "source", F.col("doc_id").cast("string").alias("source_id"))
+    return contracts.validate_incoming(docs).select("doc_id", "rejected_reason")
+
+
+def _pairs(spark, sf):
+    return joining.join_reviews(raw_from_orders(spark, sf), predictions_from_lineitem(spark, sf),
+                                JOIN_TTL_SECONDS, tie_cols=("_tie_part", "_tie_supp"))
+
+
+def q_ttl_join(spark, sf):
+    return joining.build_joined(_pairs(spark, sf)).drop("scores")
+
+
+def q_join_expired(spark, sf):
+    d = joining.expired(_pairs(spark, sf), JOIN_TTL_SECONDS, with_time=False)
+    return d.select("schema_version", "stage", "error", "original_payload",
+                    F.col("source.topic").alias("source_topic"),
+                    F.col("source.partition").alias("source_partition"),
+                    F.col("source.offset").alias("source_offset"))
+
+
+def q_join_outcomes(spark, sf):
+    return joining.outcome_counts(_pairs(spark, sf))
+
+
+QUERIES.update({
+    "parse_raw": q_parse_raw,
+    "parse_keyed": q_parse_keyed,
+    "dlq_rows": q_dlq_rows,
+    "validate_incoming": q_validate_incoming,
+    "ttl_join": q_ttl_join,
+    "join_expired": q_join_expired,
+    "join_outcomes": q_join_outcomes,
+})
+
+SQL_MSGS = """msgs AS (
+  SELECT 'documents' AS topic, 0 AS partition, doc_id AS "offset",
+    CAST(to_json({'schema_version': 1, 'id': 'doc-' || doc_id, 'text': text, 'source': source,
+             'source_id': CAST(doc_id AS VARCHAR), 'produced_at': NULL}) AS VARCHAR) AS value FROM documents
+  UNION ALL SELECT 'conversations', 0, conv_id * 1000 + turn,
+    CAST(to_json({'schema_version': turn, 'id': 'conv-' || conv_id || '-' || turn, 'text': text,
+                  'source': role}) AS VARCHAR)
+    FROM conversations
+  UNION ALL SELECT 'labels', 0, doc_id, CAST(to_json({'schema_version': quality, 'id': doc_id}) AS VARCHAR)
+    FROM labels
+  UNION ALL SELECT 'events', 0, event_id, props FROM events
+  UNION ALL SELECT 'pages', 0, page_id, html FROM pages),
+msgj AS (SELECT *, CASE WHEN json_valid(value) THEN value END AS j FROM msgs)"""
+
+SQL_VERSION_REPR = """CASE WHEN json_type(j, '$.schema_version') IS NULL
+    OR json_type(j, '$.schema_version') = 'NULL' THEN 'None'
+  WHEN json_type(j, '$.schema_version') = 'VARCHAR' THEN '''' || json_extract_string(j, '$.schema_version') || ''''
+  WHEN json_type(j, '$.schema_version') = 'BOOLEAN' THEN
+    CASE WHEN json_extract_string(j, '$.schema_version') = 'true' THEN 'True' ELSE 'False' END
+  ELSE CAST(json_extract(j, '$.schema_version') AS VARCHAR) END"""
+SQL_VERSION_OK = ("(json_type(j, '$.schema_version') IN ('UBIGINT', 'BIGINT') "
+                  "AND json_extract_string(j, '$.schema_version') = '1')")
+SQL_ID_OK = ("(json_type(j, '$.id') = 'VARCHAR' AND length(json_extract_string(j, '$.id')) > 0)")
+SQL_TEXT_OK = ("(json_type(j, '$.text') = 'VARCHAR' AND "
+               "regexp_replace(json_extract_string(j, '$.text'), '^\\s+|\\s+$', '', 'g') <> '')")
+SQL_RAW_ERROR = f"""CASE WHEN j IS NULL THEN 'not valid UTF-8 JSON'
+  WHEN json_type(j) <> 'OBJECT' THEN 'payload is not a JSON object'
+  WHEN NOT {SQL_VERSION_OK} THEN 'unsupported schema_version ' || {SQL_VERSION_REPR}
+  WHEN NOT {SQL_ID_OK} THEN 'missing id'
+  WHEN NOT {SQL_TEXT_OK} THEN 'missing text' END"""
+SQL_KEYED_ERROR = f"""CASE WHEN j IS NULL THEN 'not valid UTF-8 JSON'
+  WHEN json_type(j) <> 'OBJECT' OR NOT {SQL_ID_OK} THEN 'payload is not an object with an id'
+  WHEN NOT {SQL_VERSION_OK} THEN 'unsupported schema_version ' || {SQL_VERSION_REPR} END"""
+
+SQL_PAIRS = f"""r0 AS (SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderpriority AS text, 'orders' AS source,
+    CAST(o_custkey AS VARCHAR) AS source_id, o_orderdate AS produced_at, o_orderkey AS "offset" FROM orders),
+p0 AS (SELECT CAST(l_orderkey AS VARCHAR) AS id,
+    CASE l_returnflag WHEN 'R' THEN 'negative' WHEN 'N' THEN 'neutral' WHEN 'A' THEN 'positive' END AS label,
+    round(1 - l_discount, 4) AS confidence, 'm-' || l_linestatus AS model_version,
+    l_shipdate AS predicted_at, CAST(l_linenumber AS BIGINT) AS "offset",
+    l_partkey AS tie_part, l_suppkey AS tie_supp FROM lineitem),
+r1 AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY id) AS n_raw, row_number() OVER (PARTITION BY id
+         ORDER BY produced_at IS NULL, produced_at, "offset") AS rn FROM r0) WHERE rn = 1),
+p1 AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY id) AS n_pred, row_number() OVER (PARTITION BY id
+         ORDER BY predicted_at IS NULL, predicted_at, "offset", tie_part, tie_supp) AS rn FROM p0) WHERE rn = 1),
+pairs AS (SELECT coalesce(r1.id, p1.id) AS id, r1.id IS NOT NULL AS has_raw, p1.id IS NOT NULL AS has_pred,
+    r1.text, r1.source, r1.source_id, r1.produced_at, r1."offset" AS raw_offset,
+    p1.label, p1.confidence, p1.model_version, p1.predicted_at, p1."offset" AS pred_offset,
+    coalesce(n_raw, 0) AS n_raw, coalesce(n_pred, 0) AS n_pred,
+    coalesce(r1.id IS NOT NULL AND p1.id IS NOT NULL
+      AND abs(epoch_us(p1.predicted_at) - epoch_us(r1.produced_at)) < {int(JOIN_TTL_SECONDS * 1_000_000)}, false)
+      AS joined
+  FROM r1 FULL OUTER JOIN p1 ON r1.id = p1.id)"""
+
+ORACLE_SQL.update({
+    "parse_raw": f"""
+WITH {SQL_MSGS}
+SELECT topic, partition, "offset", {SQL_RAW_ERROR} AS error,
+  TRY_CAST(json_extract_string(j, '$.schema_version') AS INTEGER) AS schema_version,
+  json_extract_string(j, '$.id') AS id
+FROM msgj""",
+    "parse_keyed": f"""
+WITH {SQL_MSGS}
+SELECT topic, partition, "offset", {SQL_KEYED_ERROR} AS error FROM msgj""",
+    "dlq_rows": f"""
+WITH {SQL_MSGS}, e AS (SELECT *, {SQL_RAW_ERROR} AS error FROM msgj)
+SELECT 1 AS schema_version, 'consumer_prediction' AS stage, 'ValueError: ' || error AS error,
+  value AS original_payload, topic AS source_topic, partition AS source_partition, "offset" AS source_offset
+FROM e WHERE error IS NOT NULL""",
+    "validate_incoming": """
+SELECT doc_id, CASE WHEN text IS NULL THEN 'text: missing' WHEN length(text) < 1 THEN 'text: too short'
+  WHEN length(text) > 5000 THEN 'text: too long' WHEN length(source) > 64 THEN 'source: too long'
+  WHEN length(CAST(doc_id AS VARCHAR)) > 128 THEN 'source_id: too long' END AS rejected_reason
+FROM documents""",
+    "ttl_join": f"""
+WITH {SQL_PAIRS},
+j AS (SELECT *, make_timestamp(greatest(epoch_us(produced_at), epoch_us(predicted_at))) AS joined_at
+      FROM pairs WHERE joined)
+SELECT 1 AS schema_version, id, text, source, source_id, label, confidence, model_version,
+  produced_at, predicted_at, joined_at,
+  round((epoch_us(joined_at) - epoch_us(produced_at)) / 1000.0, 1) AS end_to_end_ms
+FROM j""",
+    "join_expired": f"""
+WITH {SQL_PAIRS}
+SELECT 1 AS schema_version, 'consumer_join' AS stage,
+  'join_ttl_expired: no prediction for id within {JOIN_TTL_SECONDS!r}s' AS error,
+  to_json({{'id': id, 'text': text, 'source': source, 'source_id': source_id,
+            'produced_at': {sql_iso('produced_at')}, 'offset': raw_offset}}) AS original_payload,
+  'reviews.raw' AS source_topic, 0 AS source_partition, raw_offset AS source_offset
+FROM pairs WHERE NOT joined AND has_raw
+UNION ALL
+SELECT 1, 'consumer_join', 'join_ttl_expired: no raw for id within {JOIN_TTL_SECONDS!r}s',
+  to_json({{'id': id, 'label': label, 'confidence': confidence, 'model_version': model_version,
+            'predicted_at': {sql_iso('predicted_at')}, 'offset': pred_offset}}),
+  'reviews.predictions', 0, pred_offset
+FROM pairs WHERE NOT joined AND has_pred""",
+    "join_outcomes": f"""
+WITH {SQL_PAIRS}, a AS (SELECT count(*) FILTER (WHERE joined) AS j,
+    sum(greatest(n_raw - 1, 0) + greatest(n_pred - 1, 0)) AS d,
+    sum(CASE WHEN NOT joined THEN CAST(has_raw AS INT) + CAST(has_pred AS INT) ELSE 0 END) AS e FROM pairs)
+SELECT 'joined' AS outcome, CAST(j AS BIGINT) AS n FROM a
+UNION ALL SELECT 'duplicates', CAST(coalesce(d, 0) AS BIGINT) FROM a
+UNION ALL SELECT 'expired', CAST(coalesce(e, 0) AS BIGINT) FROM a""",
+})

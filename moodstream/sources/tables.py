@@ -65,3 +65,33 @@ def gold_from_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("toxic") == 1, F.lit("negative")) \
         .when(F.col("quality") == 1, F.lit("positive")).otherwise(F.lit("neutral"))
     return lab.select(F.col("doc_id").cast("string").alias("id"), label.alias("label"))
+
+
+def raw_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw reviews: one per order (``o_orderdate`` is the produce time)."""
+    o = table(spark, sf_dir, "orders")
+    return o.select(
+        F.col("o_orderkey").cast("string").alias("id"),
+        F.col("o_orderpriority").alias("text"),
+        F.lit("orders").alias("source"),
+        F.col("o_custkey").cast("string").alias("source_id"),
+        utc_ts("o_orderdate").alias("produced_at"),
+        F.col("o_orderkey").alias("offset"),
+    )
+
+
+def predictions_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prediction deliveries: every line of an order is a delivery of that
+    order's prediction; the earliest ship date (then line number, part,
+    supplier: line numbers repeat in this table) wins."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.col("l_orderkey").cast("string").alias("id"),
+        _map_col("l_returnflag", RETURNFLAG_LABELS, passthrough=False).alias("label"),
+        F.round(1 - F.col("l_discount"), 4).alias("confidence"),
+        F.concat(F.lit("m-"), F.col("l_linestatus")).alias("model_version"),
+        utc_ts("l_shipdate").alias("predicted_at"),
+        F.col("l_linenumber").cast("long").alias("offset"),
+        F.col("l_partkey").alias("_tie_part"),
+        F.col("l_suppkey").alias("_tie_supp"),
+    )
