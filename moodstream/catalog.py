@@ -350,3 +350,304 @@ SELECT 'joined' AS outcome, CAST(j AS BIGINT) AS n FROM a
 UNION ALL SELECT 'duplicates', CAST(coalesce(d, 0) AS BIGINT) FROM a
 UNION ALL SELECT 'expired', CAST(coalesce(e, 0) AS BIGINT) FROM a""",
 })
+
+
+# --- evaluation ----------------------------------------------------------------
+from moodstream.functions import text as textf  # noqa: E402
+from moodstream.operators import datasets, evaluation  # noqa: E402
+from moodstream.sources.tables import gold_from_labels  # noqa: E402
+
+# Stand-in scorer for the evaluation queries (deterministic, so the oracle
+# can recompute it): document length bands → label.
+SQL_RULE = ("CASE WHEN n_chars < 1000 THEN 'negative' WHEN n_chars < 3000 THEN 'neutral' "
+            "ELSE 'positive' END")
+
+
+def doc_predictions(spark, sf):
+    d = table(spark, sf, "documents")
+    label = F.when(F.col("n_chars") < 1000, "negative").when(F.col("n_chars") < 3000, "neutral") \
+        .otherwise("positive")
+    return d.select(F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("id"),
+                    F.col("source"), F.col("doc_id").cast("string").alias("source_id"),
+                    label.alias("label"), F.lit("rule-1").alias("model_version"))
+
+
+def _matched(spark, sf):
+    return evaluation.match_gold(doc_predictions(spark, sf), gold_from_labels(spark, sf))
+
+
+def q_eval_confusion(spark, sf):
+    return evaluation.confusion_matrix(_matched(spark, sf))
+
+
+def q_eval_class_metrics(spark, sf):
+    return evaluation.class_metrics(evaluation.confusion_matrix(_matched(spark, sf)))
+
+
+def q_eval_summary(spark, sf):
+    cm = evaluation.confusion_matrix(_matched(spark, sf))
+    return evaluation.summary(cm, evaluation.class_metrics(cm))
+
+
+def q_eval_coverage(spark, sf):
+    j, g = doc_predictions(spark, sf), gold_from_labels(spark, sf)
+    return evaluation.coverage(j, g, evaluation.match_gold(j, g))
+
+
+def q_join_performance(spark, sf):
+    return evaluation.performance(joining.build_joined(_pairs(spark, sf)))
+
+
+def _scored_labels(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", "n_chars")
+    lab = table(spark, sf, "labels").select("doc_id", "quality")
+    return d.join(lab, "doc_id").select("doc_id", F.col("n_chars").cast("double").alias("score"),
+                                         (F.col("n_chars") / (F.col("n_chars") + F.lit(2000.0))).alias("prob"),
+                                         "quality")
+
+
+def q_roc_points(spark, sf):
+    return evaluation.roc_points(_scored_labels(spark, sf), "score", "quality") \
+        .select("threshold", F.round("tpr", 9).alias("tpr"), F.round("fpr", 9).alias("fpr"))
+
+
+def q_roc_auc(spark, sf):
+    return evaluation.roc_auc(_scored_labels(spark, sf), "score", "quality") \
+        .select(F.round("auc", 9).alias("auc"))
+
+
+def q_binary_metrics(spark, sf):
+    return evaluation.binary_metrics(_scored_labels(spark, sf), "prob", "quality")
+
+
+# --- dataset preparation ----------------------------------------------------
+SPLIT_SEED = 42
+REPLAY_RATE = 20.0
+REPLAY_START = "2026-01-01 00:00:00"
+
+
+def source_dataset(spark, sf):
+    """Documents as a four-class source dataset: toxic → 3 (negative),
+    quality → 2 (positive), non-English → 1 (objective), else 0 (neutral)."""
+    d = table(spark, sf, "documents")
+    lab = table(spark, sf, "labels")
+    lid = F.when(F.col("toxic") == 1, 3).when(F.col("quality") == 1, 2) \
+        .when(F.col("lang") != "en", 1).otherwise(0)
+    return d.join(lab, "doc_id", "left").select(F.col("text").alias("tweet"), lid.alias("label"),
+                                               F.col("doc_id").alias("_row"))
+
+
+def dataset(spark, sf):
+    m = datasets.map_labels(source_dataset(spark, sf))
+    return datasets.with_ids(m, "_row")
+
+
+def q_dataset_labels(spark, sf):
+    return datasets.map_labels(source_dataset(spark, sf)).select(F.col("_row").alias("doc_id"), "label")
+
+
+def q_dataset_ids(spark, sf):
+    return dataset(spark, sf).select("id", F.col("_row").alias("doc_id"))
+
+
+def q_dataset_split(spark, sf):
+    return datasets.stratified_split(dataset(spark, sf), seed=SPLIT_SEED).select("id", "label", "split")
+
+
+def q_dataset_sample(spark, sf):
+    return datasets.stratified_sample(dataset(spark, sf), 0.5, seed=SPLIT_SEED).select("id", "label")
+
+
+def q_class_weights(spark, sf):
+    return datasets.class_weights(dataset(spark, sf))
+
+
+def q_replay_schedule(spark, sf):
+    test = datasets.stratified_split(dataset(spark, sf), seed=SPLIT_SEED).where(F.col("split") == "test")
+    return datasets.replay_schedule(test, "_row", REPLAY_RATE, F.lit(REPLAY_START)).select("id", "due_at")
+
+
+def q_negative_slice(spark, sf):
+    test = datasets.stratified_split(dataset(spark, sf), seed=SPLIT_SEED).where(F.col("split") == "test")
+    return datasets.negative_slice(test).select("id", "label")
+
+
+# --- text ---------------------------------------------------------------------
+TOKENS = 120
+
+
+def q_clean_texts(spark, sf):
+    d = table(spark, sf, "documents")
+    return d.select("doc_id", textf.clean_text("text").alias("clean"))
+
+
+def q_token_ids(spark, sf):
+    d = table(spark, sf, "documents")
+    ids = textf.pad_tokens(textf.codepoints("text"), TOKENS)
+    return d.select("doc_id", F.array_join(ids, " ").alias("ids"),
+                    F.aggregate(textf.attention_mask(ids), F.lit(0), lambda a, x: a + x).cast("long")
+                    .alias("mask_sum"))
+
+
+def q_normalized_texts(spark, sf):
+    d = table(spark, sf, "conversations")
+    return d.select("conv_id", "turn", textf.normalize_arabic("text").alias("normalized"))
+
+
+QUERIES.update({
+    "eval_confusion": q_eval_confusion,
+    "eval_class_metrics": q_eval_class_metrics,
+    "eval_summary": q_eval_summary,
+    "eval_coverage": q_eval_coverage,
+    "join_performance": q_join_performance,
+    "roc_points": q_roc_points,
+    "roc_auc": q_roc_auc,
+    "binary_metrics": q_binary_metrics,
+    "dataset_labels": q_dataset_labels,
+    "dataset_ids": q_dataset_ids,
+    "dataset_split": q_dataset_split,
+    "dataset_sample": q_dataset_sample,
+    "class_weights": q_class_weights,
+    "replay_schedule": q_replay_schedule,
+    "negative_slice": q_negative_slice,
+    "clean_texts": q_clean_texts,
+    "token_ids": q_token_ids,
+    "normalized_texts": q_normalized_texts,
+})
+
+SQL_GOLD = """(SELECT CAST(doc_id AS VARCHAR) AS id, CASE WHEN toxic = 1 THEN 'negative'
+  WHEN quality = 1 THEN 'positive' ELSE 'neutral' END AS label FROM labels)"""
+SQL_JOINED_DOCS = f"""(SELECT 'doc-' || doc_id AS id, source, CAST(doc_id AS VARCHAR) AS source_id,
+  {SQL_RULE} AS label, 'rule-1' AS model_version FROM documents)"""
+SQL_MATCHED = f"""m AS (SELECT j.*, g.label AS gold_label FROM {SQL_JOINED_DOCS} j JOIN {SQL_GOLD} g
+  ON j.source_id = g.id)"""
+SQL_CONF = f"""{SQL_MATCHED},
+lbl AS (SELECT unnest(['negative', 'neutral', 'positive']) AS l),
+grid AS (SELECT a.l AS gold, b.l AS pred FROM lbl a, lbl b),
+cnt AS (SELECT gold_label AS gold, label AS pred, count(*) AS n FROM m GROUP BY ALL),
+cm AS (SELECT grid.gold, grid.pred, CAST(coalesce(n, 0) AS BIGINT) AS n FROM grid LEFT JOIN cnt USING (gold, pred))"""
+SQL_CLASS = f"""{SQL_CONF},
+k AS (SELECT l AS label,
+    sum(CASE WHEN gold = l AND pred = l THEN n ELSE 0 END) AS tp,
+    sum(CASE WHEN gold <> l AND pred = l THEN n ELSE 0 END) AS fp,
+    sum(CASE WHEN gold = l AND pred <> l THEN n ELSE 0 END) AS fn FROM cm, lbl GROUP BY l),
+pr AS (SELECT label, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS p,
+    CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS r, CAST(tp + fn AS BIGINT) AS support FROM k),
+cls AS (SELECT label, round(p, 4) AS precision, round(r, 4) AS recall,
+    round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END, 4) AS f1, support FROM pr)"""
+SQL_SCORED = """sc AS (SELECT d.doc_id, CAST(n_chars AS DOUBLE) AS score, n_chars / (n_chars + 2000.0) AS prob,
+  quality FROM documents d JOIN labels l USING (doc_id))"""
+SQL_DATASET = """src AS (SELECT d.doc_id, d.text, CASE WHEN toxic = 1 THEN 3 WHEN quality = 1 THEN 2
+    WHEN lang <> 'en' THEN 1 ELSE 0 END AS label_id FROM documents d LEFT JOIN labels l USING (doc_id)),
+m0 AS (SELECT doc_id, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS text,
+    CASE label_id WHEN 0 THEN 'neutral' WHEN 1 THEN 'neutral' WHEN 2 THEN 'positive' WHEN 3 THEN 'negative' END
+    AS label FROM src),
+m1 AS (SELECT text, arg_min(label, doc_id) AS label, min(doc_id) AS doc_id FROM m0 WHERE text <> '' GROUP BY text),
+ids AS (SELECT 'astd-' || CAST(row_number() OVER (ORDER BY doc_id) - 1 AS VARCHAR) AS id, doc_id, label FROM m1)"""
+
+
+def _sql_lr(src: str, n: str, draws: str, out: str) -> str:
+    """Largest-remainder allocation of ``draws`` over classes (ties by label)."""
+    return f"""(SELECT * EXCLUDE (_cont, _fl, _rem, _need, _rn), _fl + CASE WHEN _rn <= _need THEN 1 ELSE 0 END AS {out}
+  FROM (SELECT *, row_number() OVER (ORDER BY _rem DESC, label) AS _rn, {draws} - sum(_fl) OVER () AS _need
+        FROM (SELECT *, floor(_cont) AS _fl, _cont - floor(_cont) AS _rem
+              FROM (SELECT *, {n} * {draws} / sum({n}) OVER () AS _cont FROM {src}))))"""
+
+
+SQL_SPLIT = f"""{SQL_DATASET},
+c0 AS (SELECT label, count(*) AS n FROM ids GROUP BY label),
+c1 AS (SELECT *, sum(n) OVER () - ceil(CAST(0.3 AS DOUBLE) * sum(n) OVER ()) AS ntrain FROM c0),
+c2 AS {_sql_lr('c1', 'n', 'ntrain', 'train')},
+c3 AS (SELECT *, n - train AS rest FROM c2),
+c4 AS (SELECT *, sum(rest) OVER () - ceil((CAST(2 AS DOUBLE) / 3) * sum(rest) OVER ()) AS nval FROM c3),
+c5 AS {_sql_lr('c4', 'rest', 'nval', 'val')},
+rk AS (SELECT ids.*, row_number() OVER (PARTITION BY label ORDER BY md5(id || '{SPLIT_SEED}'), id) AS r FROM ids),
+split AS (SELECT rk.id, rk.doc_id, rk.label, CASE WHEN r <= train THEN 'train' WHEN r <= train + val THEN 'val'
+    ELSE 'test' END AS split FROM rk JOIN c5 USING (label))"""
+
+SQL_CLEAN = ("trim(regexp_replace(lower(regexp_replace(regexp_replace(replace(replace(replace(replace("
+             "regexp_replace(text, '\\.+([^\\pL\\pN_]|$)', '\\1', 'g'), chr(137) || 'Û_', ' '), '&amp', ' '), "
+             "chr(10), ' '), '#', ''), '@[a-zA-Z0-9_]+', '@', 'g'), 'https?\\S+', 'www', 'g')), '\\s+', ' ', 'g'))")
+
+ORACLE_SQL.update({
+    "eval_confusion": f"WITH {SQL_CONF} SELECT gold, pred, n FROM cm",
+    "eval_class_metrics": f"WITH {SQL_CLASS} SELECT * FROM cls",
+    "eval_summary": f"""WITH {SQL_CLASS},
+a AS (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS n,
+  round(CASE WHEN sum(n) > 0 THEN sum(CASE WHEN gold = pred THEN n ELSE 0 END) / sum(n) ELSE 0.0 END, 4)
+  AS accuracy FROM cm)
+SELECT n, accuracy, (SELECT round(sum(f1) / 3, 4) FROM cls) AS macro_f1 FROM a""",
+    "eval_coverage": f"""WITH {SQL_MATCHED}
+SELECT (SELECT count(DISTINCT id) FROM {SQL_GOLD}) AS expected,
+  (SELECT count(*) FROM {SQL_JOINED_DOCS}) AS joined, (SELECT count(*) FROM m) AS matched,
+  (SELECT count(*) FROM (SELECT DISTINCT id FROM {SQL_GOLD}) g WHERE id NOT IN (SELECT source_id FROM m))
+  AS missing""",
+    "join_performance": f"""WITH {SQL_PAIRS},
+j AS (SELECT *, make_timestamp(greatest(epoch_us(produced_at), epoch_us(predicted_at))) AS joined_at
+      FROM pairs WHERE joined),
+r AS (SELECT *, round((epoch_us(joined_at) - epoch_us(produced_at)) / 1000.0, 1) AS end_to_end_ms,
+      (epoch_us(predicted_at) - epoch_us(produced_at)) / 1000.0 AS predict_ms FROM j)
+SELECT count(*) AS messages,
+  CASE WHEN count(produced_at) > 1 AND max(epoch_us(produced_at)) > min(epoch_us(produced_at))
+    THEN round(count(*) / ((max(epoch_us(produced_at)) - min(epoch_us(produced_at))) / 1e6), 2) END
+    AS offered_rate_per_sec,
+  CASE WHEN max(epoch_us(joined_at)) > min(epoch_us(produced_at))
+    THEN round(count(*) / ((max(epoch_us(joined_at)) - min(epoch_us(produced_at))) / 1e6), 2) END
+    AS throughput_per_sec,
+  round((max(epoch_us(joined_at)) - min(epoch_us(produced_at))) / 1e6, 1) AS wall_seconds,
+  round(quantile_cont(predict_ms, 0.5), 1) AS produce_to_predict_p50,
+  round(quantile_cont(predict_ms, 0.95), 1) AS produce_to_predict_p95,
+  round(quantile_cont(predict_ms, 0.99), 1) AS produce_to_predict_p99,
+  round(max(predict_ms), 1) AS produce_to_predict_max,
+  round(quantile_cont(end_to_end_ms, 0.5), 1) AS produce_to_join_p50,
+  round(quantile_cont(end_to_end_ms, 0.95), 1) AS produce_to_join_p95,
+  round(quantile_cont(end_to_end_ms, 0.99), 1) AS produce_to_join_p99,
+  round(max(end_to_end_ms), 1) AS produce_to_join_max
+FROM r""",
+    "roc_points": f"""WITH {SQL_SCORED},
+g AS (SELECT score AS threshold, count(*) FILTER (WHERE quality = 1) AS pos,
+    count(*) FILTER (WHERE quality <> 1 OR quality IS NULL) AS neg FROM sc GROUP BY score),
+t AS (SELECT sum(pos) AS P, sum(neg) AS N FROM g),
+c AS (SELECT threshold, sum(pos) OVER (ORDER BY threshold DESC) AS tp,
+    sum(neg) OVER (ORDER BY threshold DESC) AS fp FROM g)
+SELECT threshold, round(CASE WHEN P > 0 THEN tp / P ELSE 0.0 END, 9) AS tpr,
+  round(CASE WHEN N > 0 THEN fp / N ELSE 0.0 END, 9) AS fpr FROM c, t
+UNION ALL SELECT CAST('inf' AS DOUBLE), 0.0, 0.0""",
+    "roc_auc": f"""WITH {SQL_SCORED},
+g AS (SELECT score, count(*) FILTER (WHERE quality = 1) AS pos,
+    count(*) FILTER (WHERE quality <> 1 OR quality IS NULL) AS neg FROM sc GROUP BY score),
+c AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+    AS below FROM g)
+SELECT round(CASE WHEN sum(pos) * sum(neg) > 0 THEN sum(pos * (below + 0.5 * neg)) / (sum(pos) * sum(neg))
+  ELSE 0.0 END, 9) AS auc FROM c""",
+    "binary_metrics": f"""WITH {SQL_SCORED},
+p AS (SELECT CASE WHEN prob < 0.5 THEN 0 ELSE 1 END AS pred, quality AS y FROM sc)
+SELECT count(*) AS n, CASE WHEN count(*) > 0 THEN count(*) FILTER (WHERE pred = y) / count(*) ELSE 0.0 END
+  AS accuracy,
+  CASE WHEN 2 * count(*) FILTER (WHERE pred = 1 AND y = 1) + count(*) FILTER (WHERE pred = 1 AND y <> 1)
+    + count(*) FILTER (WHERE pred <> 1 AND y = 1) > 0
+  THEN 2 * count(*) FILTER (WHERE pred = 1 AND y = 1) / (2 * count(*) FILTER (WHERE pred = 1 AND y = 1)
+    + count(*) FILTER (WHERE pred = 1 AND y <> 1) + count(*) FILTER (WHERE pred <> 1 AND y = 1)) ELSE 0.0 END
+  AS f1 FROM p""",
+    "dataset_labels": f"WITH {SQL_DATASET} SELECT doc_id, label FROM m1",
+    "dataset_ids": f"WITH {SQL_DATASET} SELECT id, doc_id FROM ids",
+    "dataset_split": f"WITH {SQL_SPLIT} SELECT id, label, split FROM split",
+    "dataset_sample": f"""WITH {SQL_DATASET},
+rk AS (SELECT ids.*, row_number() OVER (PARTITION BY label ORDER BY md5(id || '{SPLIT_SEED}'), id) AS r,
+  count(*) OVER (PARTITION BY label) AS nc FROM ids)
+SELECT id, label FROM rk WHERE r <= round_even(CAST(0.5 AS DOUBLE) * nc, 0)""",
+    "class_weights": f"""WITH {SQL_DATASET},
+lbl AS (SELECT unnest(['negative', 'neutral', 'positive']) AS label),
+c AS (SELECT label, count(*) AS n FROM ids GROUP BY label)
+SELECT lbl.label, sum(coalesce(n, 0)) OVER () / (3 * greatest(coalesce(n, 0), 1)) AS weight
+FROM lbl LEFT JOIN c USING (label)""",
+    "replay_schedule": f"""WITH {SQL_SPLIT},
+t AS (SELECT id, row_number() OVER (ORDER BY doc_id) - 1 AS i FROM split WHERE split = 'test')
+SELECT id, make_timestamp(epoch_us(TIMESTAMP '{REPLAY_START}') + CAST(round(i * (1e6 / {REPLAY_RATE})) AS BIGINT))
+  AS due_at FROM t""",
+    "negative_slice": f"WITH {SQL_SPLIT} SELECT id, label FROM split WHERE split = 'test' AND label = 'negative'",
+    "clean_texts": f"SELECT doc_id, {SQL_CLEAN} AS clean FROM documents",
+    "token_ids": f"""SELECT doc_id,
+  array_to_string(list_resize(list_transform(string_split(text, ''), lambda c: unicode(c)), {TOKENS}, 0), ' ') AS ids,
+  CAST(least(length(text), {TOKENS}) AS BIGINT) AS mask_sum FROM documents""",
+})
