@@ -651,3 +651,35 @@ SELECT id, make_timestamp(epoch_us(TIMESTAMP '{REPLAY_START}') + CAST(round(i *
   array_to_string(list_resize(list_transform(string_split(text, ''), lambda c: unicode(c)), {TOKENS}, 0), ' ') AS ids,
   CAST(least(length(text), {TOKENS}) AS BIGINT) AS mask_sum FROM documents""",
 })
+
+
+# --- model training and scoring (rows-only checks) ----------------------------
+from moodstream.operators import training  # noqa: E402
+
+_MODELS: dict = {}
+
+
+def _trained(spark, sf):
+    key = (id(spark), sf)
+    if key not in _MODELS:
+        split = datasets.stratified_split(dataset(spark, sf), seed=SPLIT_SEED)
+        train = split.where(F.col("split") == "train").select("id", "text", "label")
+        val = split.where(F.col("split") == "val").select("id", "text", "label")
+        _MODELS[key] = (training.train_classifier(train, val, reg_params=(0.01, 0.1), clean_mode="tweet"), split)
+    return _MODELS[key]
+
+
+def q_train_eval(spark, sf):
+    res, split = _trained(spark, sf)
+    test = split.where(F.col("split") == "test").select("id", "text", "label")
+    cls, _ = training.metrics_for(res.model, test)
+    return cls
+
+
+def q_score_documents(spark, sf):
+    res, _ = _trained(spark, sf)
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return training.predict(res.model, docs).select("doc_id", "label", F.round("confidence", 4).alias("confidence"))
+
+
+QUERIES.update({"train_eval": q_train_eval, "score_documents": q_score_documents})

@@ -156,12 +156,15 @@ def source_struct(topic="topic", partition="partition", offset="offset") -> Colu
 
 
 def to_dlq(rejected: DataFrame, stage: str = STAGE_SCORING, value_col: str = "value",
-           error_col: str = "error", with_time: bool = True) -> DataFrame:
-    """DLQ rows: original bytes decoded with replacement characters; the
-    scoring stage prefixes the error with the exception type."""
+           error_col: str = "error", with_time: bool = True,
+           error_prefix: str | None = None) -> DataFrame:
+    """DLQ rows: original bytes decoded with replacement characters. The
+    scoring stage prefixes contract errors with their exception type
+    (``ValueError: ``); pass ``error_prefix=""`` for errors that carry it."""
     err = F.col(error_col)
-    if stage == STAGE_SCORING:
-        err = F.concat(F.lit("ValueError: "), err)
+    prefix = error_prefix if error_prefix is not None else ("ValueError: " if stage == STAGE_SCORING else "")
+    if prefix:
+        err = F.concat(F.lit(prefix), err)
     cols = [
         F.lit(SCHEMA_VERSION).alias("schema_version"),
         F.lit(stage).alias("stage"),

@@ -17,9 +17,10 @@ from moodstream.schemas import MESSAGE
 from moodstream.sources.tables import table
 
 
-def as_messages(df: DataFrame, value, topic: str, offset, partition=F.lit(0), key=None,
+def as_messages(df: DataFrame, value, topic: str, offset, partition=None, key=None,
                 timestamp=None) -> DataFrame:
-    """Project any frame to the message shape."""
+    """Project any frame to the message shape (partition 0 by default)."""
+    partition = F.lit(0) if partition is None else partition
     val = value.cast("binary") if not isinstance(value, str) else F.col(value).cast("binary")
     return df.select(
         (key.cast("binary") if key is not None else F.lit(None).cast("binary")).alias("key"),
