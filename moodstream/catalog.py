@@ -266,11 +266,11 @@ SQL_VERSION_REPR = """CASE WHEN json_type(j, '$.schema_version') IS NULL
   WHEN json_type(j, '$.schema_version') = 'BOOLEAN' THEN
     CASE WHEN json_extract_string(j, '$.schema_version') = 'true' THEN 'True' ELSE 'False' END
   ELSE CAST(json_extract(j, '$.schema_version') AS VARCHAR) END"""
-SQL_VERSION_OK = ("(json_type(j, '$.schema_version') IN ('UBIGINT', 'BIGINT') "
-                  "AND json_extract_string(j, '$.schema_version') = '1')")
-SQL_ID_OK = ("(json_type(j, '$.id') = 'VARCHAR' AND length(json_extract_string(j, '$.id')) > 0)")
-SQL_TEXT_OK = ("(json_type(j, '$.text') = 'VARCHAR' AND "
-               "regexp_replace(json_extract_string(j, '$.text'), '^\\s+|\\s+$', '', 'g') <> '')")
+SQL_VERSION_OK = ("coalesce(json_type(j, '$.schema_version') IN ('UBIGINT', 'BIGINT') "
+                  "AND json_extract_string(j, '$.schema_version') = '1', false)")
+SQL_ID_OK = ("coalesce(json_type(j, '$.id') = 'VARCHAR' AND length(json_extract_string(j, '$.id')) > 0, false)")
+SQL_TEXT_OK = ("coalesce(json_type(j, '$.text') = 'VARCHAR' AND "
+               "regexp_replace(json_extract_string(j, '$.text'), '^\\s+|\\s+$', '', 'g') <> '', false)")
 SQL_RAW_ERROR = f"""CASE WHEN j IS NULL THEN 'not valid UTF-8 JSON'
   WHEN json_type(j) <> 'OBJECT' THEN 'payload is not a JSON object'
   WHEN NOT {SQL_VERSION_OK} THEN 'unsupported schema_version ' || {SQL_VERSION_REPR}

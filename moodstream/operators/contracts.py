@@ -57,21 +57,25 @@ def _py_repr(v: Column, name: str) -> Column:
         .otherwise(F.to_json(_field(v, name)))
 
 
+# Every check is null-safe: a missing field must fail the check, not
+# turn it into NULL (which a CASE branch would silently skip).
 def _version_ok(v: Column) -> Column:
-    return _type(v, "schema_version").isin(*_INTEGRAL) & \
-        (F.try_variant_get(v, "$.schema_version", "bigint") == F.lit(SCHEMA_VERSION))
+    return F.coalesce(_type(v, "schema_version").isin(*_INTEGRAL) &
+                      (F.try_variant_get(v, "$.schema_version", "bigint") == F.lit(SCHEMA_VERSION)), F.lit(False))
 
 
 def _id_ok(v: Column) -> Column:
-    return (_type(v, "id") == "STRING") & (F.length(F.try_variant_get(v, "$.id", "string")) > 0)
+    return F.coalesce((_type(v, "id") == "STRING") & (F.length(F.try_variant_get(v, "$.id", "string")) > 0),
+                      F.lit(False))
 
 
 def _text_ok(v: Column) -> Column:
-    return (_type(v, "text") == "STRING") & ~is_blank(F.try_variant_get(v, "$.text", "string"))
+    return F.coalesce((_type(v, "text") == "STRING") & ~is_blank(F.try_variant_get(v, "$.text", "string")),
+                      F.lit(False))
 
 
 def _is_object(v: Column) -> Column:
-    return F.schema_of_variant(v).startswith("OBJECT")
+    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
 
 
 def raw_error(value) -> Column:
