@@ -35,8 +35,9 @@ def label_scores(probs, labels: list[str]) -> Column:
     arr = _c(probs)
     names = F.array(*[F.lit(x) for x in labels])
     idx = argmax_index(arr)
+    ok = arr.isNotNull() & (F.size(arr) == F.lit(len(labels)))
     return F.struct(
-        F.element_at(names, idx).alias("label"),
-        F.element_at(arr, idx).alias("confidence"),
-        F.map_from_arrays(names, arr).alias("scores"),
+        F.when(ok, F.element_at(names, idx)).alias("label"),
+        F.when(ok, F.element_at(arr, idx)).alias("confidence"),
+        F.when(ok, F.map_from_arrays(names, arr)).alias("scores"),
     )

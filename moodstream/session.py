@@ -56,3 +56,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def stream_checkpoint(spark: SparkSession, query_name: str) -> str:
     """Per-query checkpoint location under the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), "streams", query_name)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Makes ``moodstream`` importable on the executors' Python workers
+    (``mapInPandas``/``applyInPandasWithState`` functions live in it) by
+    adding a zip of the package with ``addPyFile`` — the programmatic form
+    of ``spark-submit --py-files``. Done once per SparkContext."""
+    import zipfile
+
+    import moodstream
+
+    sc = spark.sparkContext
+    if getattr(sc, "_moodstream_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(moodstream.__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="moodstream-pkg-"), "moodstream.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(out)
+    sc._moodstream_shipped = True

@@ -13,6 +13,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from moodstream.session import get_spark
 
+    here = os.path.dirname(os.path.abspath(__file__))
+    os.environ["PYTHONPATH"] = os.pathsep.join([os.path.dirname(here), here, os.environ.get("PYTHONPATH", "")])
     ckpt = tempfile.mkdtemp(prefix="moodstream-test-ckpt-")
     s = get_spark("local[4]", "moodstream-tests", conf={
         "spark.sql.shuffle.partitions": "4",
