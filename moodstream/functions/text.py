@@ -47,7 +47,9 @@ def py_strip(col) -> Column:
 
 
 def is_blank(col) -> Column:
-    return py_strip(col) == F.lit("")
+    """Empty or only whitespace (anchored match: stops at the first
+    non-space character instead of rewriting the whole text)."""
+    return _c(col).rlike(rf"^{PY_SPACE}*$")
 
 
 def clean_text(col) -> Column:

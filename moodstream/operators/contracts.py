@@ -78,11 +78,14 @@ def _is_object(v: Column) -> Column:
     return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
 
 
-def raw_error(value) -> Column:
-    """First failing check of the raw-review contract, or null:
+def _parsed(value) -> Column:
+    return F.try_parse_json(payload_text(value))
+
+
+def raw_error_of(v: Column) -> Column:
+    """First failing check of the raw-review contract over a parsed VARIANT
+    (null = unparsable), or null when valid:
     UTF-8 → JSON → object → schema_version 1 → non-empty id → non-blank text."""
-    txt = payload_text(value)
-    v = F.try_parse_json(txt)
     return F.when(v.isNull(), F.lit(ERR_NOT_JSON)) \
         .when(~_is_object(v), F.lit(ERR_NOT_OBJECT)) \
         .when(~_version_ok(v), F.concat(F.lit(ERR_VERSION + " "), _py_repr(v, "schema_version"))) \
@@ -90,20 +93,25 @@ def raw_error(value) -> Column:
         .when(~_text_ok(v), F.lit(ERR_NO_TEXT))
 
 
-def keyed_error(value) -> Column:
+def keyed_error_of(v: Column) -> Column:
     """Join-side contract: id is checked before schema_version; text is not
     checked."""
-    txt = payload_text(value)
-    v = F.try_parse_json(txt)
     return F.when(v.isNull(), F.lit(ERR_NOT_JSON)) \
         .when(~_is_object(v) | ~_id_ok(v), F.lit(ERR_KEYED)) \
         .when(~_version_ok(v), F.concat(F.lit(ERR_VERSION + " "), _py_repr(v, "schema_version")))
 
 
-def prediction_error(value) -> Column:
+def raw_error(value) -> Column:
+    return raw_error_of(_parsed(value))
+
+
+def keyed_error(value) -> Column:
+    return keyed_error_of(_parsed(value))
+
+
+def prediction_error_of(v: Column) -> Column:
     """Alert-input contract: parse, version 1, label and a parsable
     ``predicted_at``. Failures are skipped (and counted), never DLQ'd."""
-    v = F.try_parse_json(payload_text(value))
     ts = parse_iso(F.try_variant_get(v, "$.predicted_at", "string"))
     return F.when(v.isNull(), F.lit(ERR_NOT_JSON)) \
         .when(~_is_object(v), F.lit(ERR_NOT_OBJECT)) \
@@ -112,8 +120,11 @@ def prediction_error(value) -> Column:
         .when(ts.isNull(), F.lit("bad predicted_at"))
 
 
-def _parsed_fields(value) -> list[Column]:
-    v = F.try_parse_json(payload_text(value))
+def prediction_error(value) -> Column:
+    return prediction_error_of(_parsed(value))
+
+
+def _fields_of(v: Column) -> list[Column]:
     g = lambda n, t="string": F.try_variant_get(v, f"$.{n}", t)
     return [
         g("schema_version", "int").alias("schema_version"),
@@ -125,23 +136,35 @@ def _parsed_fields(value) -> list[Column]:
     ]
 
 
+def _with_parse(messages: DataFrame, value_col: str) -> DataFrame:
+    # The parse is a column of its own: the checks and field reads below
+    # reference it, so each payload is parsed once (CollapseProject does not
+    # inline a non-trivial expression that is used several times).
+    return messages.select("*", _parsed(value_col).alias("_v"))
+
+
 def parse_raw(messages: DataFrame, value_col: str = "value") -> DataFrame:
     """Message frame → same rows with ``error`` and the typed raw fields
     (``schema_version, id, text, source, source_id, produced_at``)."""
-    return messages.select("*", raw_error(value_col).alias("error"), *_parsed_fields(value_col))
+    m = _with_parse(messages, value_col)
+    v = F.col("_v")
+    return m.select(*messages.columns, raw_error_of(v).alias("error"), *_fields_of(v))
 
 
 def parse_keyed(messages: DataFrame, value_col: str = "value") -> DataFrame:
-    return messages.select("*", keyed_error(value_col).alias("error"), *_parsed_fields(value_col))
+    m = _with_parse(messages, value_col)
+    v = F.col("_v")
+    return m.select(*messages.columns, keyed_error_of(v).alias("error"), *_fields_of(v))
 
 
 def parse_predictions(messages: DataFrame, value_col: str = "value") -> DataFrame:
-    """Alert input: valid rows only (``ts, label, id``); use ``observe`` on
-    the result of ``prediction_error`` to count the skipped ones."""
-    v = F.try_parse_json(payload_text(value_col))
-    ok = messages.where(prediction_error(value_col).isNull())
+    """Alert input: valid rows only (``predicted_at, label, id`` added); use
+    ``observe`` on ``prediction_error`` to count the skipped ones."""
+    m = _with_parse(messages, value_col)
+    v = F.col("_v")
+    ok = m.where(prediction_error_of(v).isNull())
     return ok.select(
-        "*",
+        *messages.columns,
         parse_iso(F.try_variant_get(v, "$.predicted_at", "string")).alias("predicted_at"),
         F.try_variant_get(v, "$.label", "string").alias("label"),
         F.try_variant_get(v, "$.id", "string").alias("id"),

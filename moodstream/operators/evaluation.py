@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from moodstream.functions.numeric import safe_div
 from moodstream.functions.time import epoch_micros
-from moodstream.plans.ordered import ordered_suffix_scan, percentiles_row
+from moodstream.plans.ordered import ordered_suffix_scan, percentiles_of_columns
 from moodstream.schemas import LABELS
 
 
@@ -117,14 +117,13 @@ def performance(rows: DataFrame) -> DataFrame:
         F.when((F.col("_np") > 0) & (F.col("_nj") > 0), F.round(wall, 1)).alias("wall_seconds"))
     lat = rows.select(((epoch_micros("predicted_at") - epoch_micros("produced_at")) / 1000.0).alias("predict_ms"),
                       F.col("end_to_end_ms").alias("join_ms"))
-    out = _one(base)
-    for col, name in (("predict_ms", "produce_to_predict"), ("join_ms", "produce_to_join")):
-        pr = percentiles_row(lat, col, {f"{name}_p50": 0.5, f"{name}_p95": 0.95, f"{name}_p99": 0.99})
-        mx = lat.agg(F.max(col).alias(f"{name}_max"))
-        pr = pr.select(*[F.round(c, 1).alias(c) for c in pr.columns])
-        out = out.join(_one(pr), "_one").join(_one(mx.select(F.round(f"{name}_max", 1).alias(f"{name}_max"))),
-                                               "_one")
-    return out.drop("_one")
+    names = {f"{name}_p{int(q * 100)}": (col, q) for col, name in
+             (("predict_ms", "produce_to_predict"), ("join_ms", "produce_to_join")) for q in (0.5, 0.95, 0.99)}
+    pr = percentiles_of_columns(lat, names)
+    pr = pr.select(*[F.round(c, 1).alias(c) for c in pr.columns])
+    mx = lat.agg(F.round(F.max("predict_ms"), 1).alias("produce_to_predict_max"),
+                 F.round(F.max("join_ms"), 1).alias("produce_to_join_max"))
+    return _one(base).join(_one(pr), "_one").join(_one(mx), "_one").drop("_one")
 
 
 def roc_points(df: DataFrame, score_col: str, label_col: str,

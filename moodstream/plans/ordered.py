@@ -174,3 +174,33 @@ def percentiles_row(df: DataFrame, value_col: str, named: dict[str, float],
     p = exact_percentiles(df, value_col, list(named.values()), num_partitions)
     return p.agg(*[F.max(F.when(F.col("q") == F.lit(float(q)), F.col("value"))).alias(name)
                    for name, q in named.items()])
+
+
+def percentiles_of_columns(df: DataFrame, named: dict[str, tuple[str, float]],
+                           num_partitions: int | None = None) -> DataFrame:
+    """One row of exact percentiles over several columns with ONE range
+    sort: the columns are stacked as ``(column index, value)`` rows, ranked
+    globally, and each column's rank offset comes from a per-column count
+    table (one row per column). ``named``: output name → (column, q)."""
+    cols = sorted({c for c, _ in named.values()})
+    stacked = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("_v"))
+                                           for i, c in enumerate(cols)]))).where(F.col("_v").isNotNull())
+    counts = stacked.groupBy("_c").agg(F.count(F.lit(1)).alias("_n"))
+    offs = counts.select("_c", "_n", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    spec = df.sparkSession.createDataFrame(
+        [(name, cols.index(c), float(q)) for name, (c, q) in named.items()], "name string, _c int, q double")
+    wanted = F.broadcast(spec).join(offs, "_c", "left") \
+        .withColumn("_k", (F.col("_n") - 1) * F.col("q")) \
+        .withColumn("_lo", F.col("_off") + F.floor("_k").cast("long") + 1) \
+        .withColumn("_hi", F.col("_off") + F.ceil("_k").cast("long") + 1) \
+        .withColumn("_frac", F.col("_k") - F.floor("_k"))
+    need = wanted.select(F.explode(F.array("_lo", "_hi")).alias("rank")).where(F.col("rank").isNotNull()) \
+        .distinct()
+    ranked = global_rank(stacked, ["_c", "_v"], num_partitions=num_partitions)
+    picked = ranked.join(F.broadcast(need), "rank").select("rank", "_v")
+    lo = picked.select(F.col("rank").alias("_lo"), F.col("_v").alias("_lov"))
+    hi = picked.select(F.col("rank").alias("_hi"), F.col("_v").alias("_hiv"))
+    res = wanted.join(lo, "_lo", "left").join(hi, "_hi", "left") \
+        .select("name", (F.col("_lov") + (F.col("_hiv") - F.col("_lov")) * F.col("_frac")).alias("value"))
+    return res.agg(*[F.max(F.when(F.col("name") == F.lit(n), F.col("value"))).alias(n) for n in named])
