@@ -32,8 +32,17 @@ EVENT_LABELS = {"error": "negative", "click": "negative", "view": "neutral",
 RETURNFLAG_LABELS = {"R": "negative", "N": "neutral", "A": "positive"}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, min_partitions: int | None = None) -> DataFrame:
+    """A driver table. A scan with fewer input splits than the cluster has
+    cores (small files, one row group each) is spread round-robin so the
+    per-row work before the first shuffle uses every core; a large input
+    already has enough splits and is left alone. The partition count is
+    known at planning time (file listing), no job runs for the check."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    want = min_partitions if min_partitions is not None else spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        df = df.repartition(want)
+    return df
 
 
 def _map_col(col: str, mapping: dict[str, str], passthrough: bool = True):
