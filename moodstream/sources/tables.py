@@ -32,16 +32,22 @@ EVENT_LABELS = {"error": "negative", "click": "negative", "view": "neutral",
 RETURNFLAG_LABELS = {"R": "negative", "N": "neutral", "A": "positive"}
 
 
+# Tables whose rows carry long texts (regex and JSON work per row).
+TEXT_TABLES = {"documents", "pages", "conversations"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, min_partitions: int | None = None) -> DataFrame:
-    """A driver table. A scan with fewer input splits than the cluster has
-    cores (small files, one row group each) is spread round-robin so the
-    per-row work before the first shuffle uses every core; a large input
-    already has enough splits and is left alone. The partition count is
-    known at planning time (file listing), no job runs for the check."""
+    """A driver table. A text-heavy scan with fewer input splits than the
+    cluster has cores (small files, one row group each) is hash-spread on its leading
+    key column so the per-row work before the first shuffle uses every
+    core (hash partitioning is deterministic on task retry without the
+    row sort round-robin needs); a large input already has enough splits
+    and is left alone. The split count is known at planning time."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    want = min_partitions if min_partitions is not None else spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        df = df.repartition(want)
+    want = min_partitions if min_partitions is not None else \
+        (spark.sparkContext.defaultParallelism if name in TEXT_TABLES else 0)
+    if want and df.rdd.getNumPartitions() < want:
+        df = df.repartition(want, df.columns[0])
     return df
 
 
