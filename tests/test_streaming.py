@@ -112,3 +112,39 @@ def test_score_texts_batch(spark):
     assert out["a"]["label"] == "positive" and out["a"]["scores"]["positive"] == 0.7
     assert out["b"]["label"] is None and out["b"]["error"] == "RuntimeError: boom"
     assert F is not None
+
+
+def test_processing_time_join_expires_on_quiet_stream(spark, tmp_dir):
+    import time
+
+    from moodstream.streaming import join_timers
+
+    rows = [("a", '{"id": "a", "text": "x"}', "reviews.raw", 0, 1),
+            ("a", '{"id": "a", "label": "negative"}', "reviews.predictions", 0, 1),
+            ("a", '{"id": "a", "text": "x"}', "reviews.raw", 0, 2),          # redelivered after join
+            ("b", '{"id": "b", "text": "y"}', "reviews.raw", 0, 3),          # no prediction
+            ("c", '{"id": "c", "label": "neutral"}', "reviews.predictions", 0, 4),  # no raw
+            ("d", '{"id": "d", "text": "z"}', "reviews.raw", 0, 5),
+            ("d", '{"id": "d", "text": "z"}', "reviews.raw", 0, 6)]          # pending duplicate
+    schema = "id string, payload string, topic string, partition int, offset long"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_dir}/in")
+    src = spark.readStream.schema(schema).parquet(f"{tmp_dir}/in")
+    out = join_timers.join_with_timers(src, ttl_seconds=2, dedupe_seconds=60)
+    q = out.writeStream.format("memory").queryName("tws_join").outputMode("append") \
+        .option("checkpointLocation", f"{tmp_dir}/ck").trigger(processingTime="1 second").start()
+    try:
+        # no processAllAvailable(): it never returns while timers are pending
+        deadline = time.time() + 120
+        while time.time() < deadline:
+            time.sleep(2)
+            assert q.exception() is None
+            if spark.table("tws_join").where("outcome = 'expired'").count() >= 3:
+                break
+    finally:
+        q.stop()
+    res = sorted((r["outcome"], r["id"]) for r in spark.table("tws_join").collect())
+    assert res == [("duplicate", "a"), ("duplicate", "d"), ("expired", "b"), ("expired", "c"),
+                   ("expired", "d"), ("joined", "a")]
+    err = {r["id"]: r["error"] for r in spark.table("tws_join").where("outcome = 'expired'").collect()}
+    assert err["b"] == "join_ttl_expired: no prediction for id within 2.0s"
+    assert err["c"] == "join_ttl_expired: no raw for id within 2.0s"
