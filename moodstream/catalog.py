@@ -108,6 +108,19 @@ def q_alert_intervals(spark, sf):
     return alerts.alert_intervals(alerts.build_alerts(spikes, SPIKE, with_ids=False))
 
 
+def q_alert_overlay(spark, sf):
+    ev = predictions_from_events(spark, sf)
+    counts = dashboard.bucket_counts(ev, BUCKET_SECONDS)
+    spikes = alerts.detect_spikes(ev, SPIKE)
+    iv = alerts.alert_intervals(alerts.build_alerts(spikes, SPIKE, with_ids=False))
+    return dashboard.share_overlay(counts, iv, BUCKET_SECONDS)
+
+
+def q_alert_table(spark, sf):
+    spikes = alerts.detect_spikes(predictions_from_events(spark, sf), SPIKE)
+    return dashboard.alert_table(alerts.build_alerts(spikes, SPIKE, with_ids=False))
+
+
 QUERIES: dict[str, Query] = {
     "bucket_counts": q_bucket_counts,
     "kpis": q_kpis,
@@ -117,6 +130,8 @@ QUERIES: dict[str, Query] = {
     "sliding_share": q_sliding_share,
     "detect_spikes": q_detect_spikes,
     "alert_intervals": q_alert_intervals,
+    "alert_overlay": q_alert_overlay,
+    "alert_table": q_alert_table,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -180,6 +195,21 @@ SELECT we_ts AS start, nxt AS "end", round(share, 4) AS peak_share, CAST({float(
 FROM d WHERE status = 'firing'""",
 }
 
+ORACLE_SQL.update({
+    "alert_overlay": f"""
+WITH counts AS ({ORACLE_SQL["bucket_counts"]}),
+iv AS ({ORACLE_SQL["alert_intervals"]}),
+share AS (SELECT bucket, negative_share, total FROM counts WHERE label = 'negative'),
+spans AS (SELECT start, coalesce("end", (SELECT max(bucket) FROM share)) AS stop, peak_share FROM iv)
+SELECT s.bucket, s.negative_share, s.total, sp.start AS alert_start, sp.stop AS alert_end, sp.peak_share
+FROM share s LEFT JOIN spans sp ON s.bucket >= sp.start AND s.bucket <= sp.stop""",
+    "alert_table": f"""
+WITH {SQL_SPIKES}
+SELECT status, {sql_iso('we_ts')} AS window_end, negative, total, round(share, 4) AS negative_share,
+       CAST({float(SPIKE.threshold)} AS DOUBLE) AS threshold
+FROM spikes ORDER BY we_ts DESC""",
+})
+
 
 # --- messages: contracts and DLQ ----------------------------------------------
 from moodstream.operators import contracts, joining  # noqa: E402
@@ -224,6 +254,18 @@ def q_ttl_join(spark, sf):
     return joining.build_joined(_pairs(spark, sf)).drop("scores")
 
 
+def q_join_dlq(spark, sf):
+    """Join-stage DLQ: malformed messages of the join input and TTL-expired
+    halves, one feed (``unionByName``)."""
+    _, bad = contracts.split_valid(contracts.parse_keyed(raw_messages_from_tables(spark, sf)))
+    malformed = contracts.to_dlq(bad, stage=contracts.STAGE_JOIN, with_time=False)
+    d = malformed.unionByName(joining.expired(_pairs(spark, sf), JOIN_TTL_SECONDS, with_time=False))
+    return d.select("schema_version", "stage", "error", "original_payload",
+                    F.col("source.topic").alias("source_topic"),
+                    F.col("source.partition").alias("source_partition"),
+                    F.col("source.offset").alias("source_offset"))
+
+
 def q_join_expired(spark, sf):
     d = joining.expired(_pairs(spark, sf), JOIN_TTL_SECONDS, with_time=False)
     return d.select("schema_version", "stage", "error", "original_payload",
@@ -244,6 +286,7 @@ QUERIES.update({
     "ttl_join": q_ttl_join,
     "join_expired": q_join_expired,
     "join_outcomes": q_join_outcomes,
+    "join_dlq": q_join_dlq,
 })
 
 SQL_MSGS = """msgs AS (
@@ -300,6 +343,19 @@ pairs AS (SELECT coalesce(r1.id, p1.id) AS id, r1.id IS NOT NULL AS has_raw, p1.
       AS joined
   FROM r1 FULL OUTER JOIN p1 ON r1.id = p1.id)"""
 
+SQL_EXPIRED = f"""SELECT 1 AS schema_version, 'consumer_join' AS stage,
+  'join_ttl_expired: no prediction for id within {JOIN_TTL_SECONDS!r}s' AS error,
+  CAST(to_json({{'id': id, 'text': text, 'source': source, 'source_id': source_id,
+            'produced_at': {sql_iso('produced_at')}, 'offset': raw_offset}}) AS VARCHAR) AS original_payload,
+  'reviews.raw' AS source_topic, 0 AS source_partition, raw_offset AS source_offset
+FROM pairs WHERE NOT joined AND has_raw
+UNION ALL
+SELECT 1, 'consumer_join', 'join_ttl_expired: no raw for id within {JOIN_TTL_SECONDS!r}s',
+  CAST(to_json({{'id': id, 'label': label, 'confidence': confidence, 'model_version': model_version,
+            'predicted_at': {sql_iso('predicted_at')}, 'offset': pred_offset}}) AS VARCHAR),
+  'reviews.predictions', 0, pred_offset
+FROM pairs WHERE NOT joined AND has_pred"""
+
 ORACLE_SQL.update({
     "parse_raw": f"""
 WITH {SQL_MSGS}
@@ -328,20 +384,14 @@ SELECT 1 AS schema_version, id, text, source, source_id, label, confidence, mode
   produced_at, predicted_at, joined_at,
   round((epoch_us(joined_at) - epoch_us(produced_at)) / 1000.0, 1) AS end_to_end_ms
 FROM j""",
-    "join_expired": f"""
-WITH {SQL_PAIRS}
-SELECT 1 AS schema_version, 'consumer_join' AS stage,
-  'join_ttl_expired: no prediction for id within {JOIN_TTL_SECONDS!r}s' AS error,
-  to_json({{'id': id, 'text': text, 'source': source, 'source_id': source_id,
-            'produced_at': {sql_iso('produced_at')}, 'offset': raw_offset}}) AS original_payload,
-  'reviews.raw' AS source_topic, 0 AS source_partition, raw_offset AS source_offset
-FROM pairs WHERE NOT joined AND has_raw
+    "join_expired": f"WITH {SQL_PAIRS}\n{SQL_EXPIRED}",
+    "join_dlq": f"""
+WITH {SQL_MSGS}, {SQL_PAIRS}, e AS (SELECT *, {SQL_KEYED_ERROR} AS error FROM msgj)
+SELECT 1 AS schema_version, 'consumer_join' AS stage, error, value AS original_payload,
+  topic AS source_topic, partition AS source_partition, "offset" AS source_offset
+FROM e WHERE error IS NOT NULL
 UNION ALL
-SELECT 1, 'consumer_join', 'join_ttl_expired: no raw for id within {JOIN_TTL_SECONDS!r}s',
-  to_json({{'id': id, 'label': label, 'confidence': confidence, 'model_version': model_version,
-            'predicted_at': {sql_iso('predicted_at')}, 'offset': pred_offset}}),
-  'reviews.predictions', 0, pred_offset
-FROM pairs WHERE NOT joined AND has_pred""",
+{SQL_EXPIRED}""",
     "join_outcomes": f"""
 WITH {SQL_PAIRS}, a AS (SELECT count(*) FILTER (WHERE joined) AS j,
     sum(greatest(n_raw - 1, 0) + greatest(n_pred - 1, 0)) AS d,

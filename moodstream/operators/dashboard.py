@@ -3,18 +3,22 @@ end_to_end_ms, model_version, ...``)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moodstream.functions.numeric import safe_div
 from moodstream.functions.time import epoch_micros, floor_micros, from_micros
-from moodstream.plans.calendar import time_grid
+from moodstream.plans.calendar import span_buckets, time_grid
 from moodstream.plans.ordered import percentiles_row
 from moodstream.schemas import LABELS
 
 # Bucket sizes offered by the dashboard (seconds), default 30 s.
 FREQS = {"10s": 10, "30s": 30, "1min": 60, "5min": 300}
 
+# Columns of the dashboard tables (latest reviews, alerts).
+LATEST_COLUMNS = ["label", "confidence", "text"]
+ALERT_COLUMNS = ["status", "window_end", "negative", "total", "negative_share", "threshold"]
+
 
 def bucket_counts(df: DataFrame, freq_seconds: int = 30, ts_col: str = "predicted_at",
                   label_col: str = "label", id_col: str = "id") -> DataFrame:
@@ -50,6 +54,49 @@ def bucket_counts(df: DataFrame, freq_seconds: int = 30, ts_col: str = "predicte
     return long
 
 
+def label_ordinal(col: str = "label") -> Column:
+    """Stacking order of a label: its 0-based place in the fixed label
+    order; null for a label outside the domain."""
+    pos = F.array_position(F.array(*[F.lit(x) for x in LABELS]), F.col(col))
+    return F.when(pos > 0, pos - 1)
+
+
+def sort_counts(counts: DataFrame) -> DataFrame:
+    """Bucket counts in display order ``(bucket, label)``."""
+    return counts.orderBy("bucket", "label")
+
+
+def share_overlay(counts: DataFrame, intervals: DataFrame, freq_seconds: int = 30) -> DataFrame:
+    """Negative share per bucket with the alert interval covering it:
+    ``bucket, negative_share, total, alert_start, alert_end, peak_share``
+    (alert columns null outside every interval).
+
+    An interval still open ends at the last bucket. The condition
+    ``start ≤ bucket ≤ end`` is answered by expanding each interval into
+    the grid buckets it covers and joining on the bucket by equality, so
+    there is no nested-loop range join; intervals of one alert stream are
+    disjoint, so the expansion is bounded by the number of buckets. The
+    last bucket is a one-row aggregate (broadcast is bounded).
+    """
+    step = int(freq_seconds) * 1_000_000
+    share = counts.where(F.col("label") == F.lit("negative")) \
+        .select(epoch_micros("bucket").alias("bucket_us"), "negative_share", "total")
+    last = share.agg(F.max("bucket_us").alias("_last_us")).withColumn("_one", F.lit(1))
+    spans = intervals.withColumn("_one", F.lit(1)).join(F.broadcast(last), "_one").select(
+        epoch_micros("start").alias("_lo"),
+        F.coalesce(epoch_micros("end"), F.col("_last_us")).alias("_hi"),
+        F.col("peak_share"))
+    cover = span_buckets(spans, "_lo", "_hi", step)
+    return share.join(cover, "bucket_us", "left").select(
+        from_micros("bucket_us").alias("bucket"), "negative_share", "total",
+        from_micros("_lo").alias("alert_start"), from_micros("_hi").alias("alert_end"), "peak_share")
+
+
+def alert_table(alerts: DataFrame) -> DataFrame:
+    """Alert table of the dashboard: its fixed columns, newest first."""
+    return alerts.select(*ALERT_COLUMNS).orderBy(F.col("window_end").desc())
+
+
 def kpis(df: DataFrame, label_col: str = "label", latency_col: str = "end_to_end_ms",
          version_col: str = "model_version") -> DataFrame:
     """One row: ``total``, ``{label}_share`` per label (over rows with a
@@ -80,7 +127,7 @@ def label_shares(df: DataFrame, label_col: str = "label") -> DataFrame:
 def latest(df: DataFrame, n: int = 15, ts_col: str = "predicted_at",
            columns: list[str] | None = None, tie_col: str = "id") -> DataFrame:
     """The ``n`` most recent rows (a top-k: TakeOrderedAndProject)."""
-    cols = columns or ["predicted_at", "label", "confidence", "text"]
+    cols = columns or LATEST_COLUMNS
     return df.orderBy(F.col(ts_col).desc_nulls_last(), F.col(tie_col).desc()).limit(n).select(*cols)
 
 

@@ -132,10 +132,15 @@ def negative_slice(df: DataFrame, label_col: str = "label") -> DataFrame:
     return df.where(F.col(label_col) == F.lit("negative"))
 
 
-def replay_schedule(df: DataFrame, order_col: str, rate_per_sec: float, start) -> DataFrame:
+def replay_schedule(df: DataFrame, order_col: str, rate_per_sec: float, start,
+                    max_messages: int = 0) -> DataFrame:
     """Due time of item *i* (0-based, in ``order_col`` order) at
-    ``start + i / rate``; a rate ≤ 0 means no pacing (all due at start)."""
+    ``start + i / rate``; a rate ≤ 0 means no pacing (all due at start).
+    ``max_messages > 0`` keeps only the first that many items (0 = all);
+    it filters on the distributed rank, so no single-task limit."""
     r = global_rank(df, [order_col], "_rk")
+    if max_messages > 0:
+        r = r.where(F.col("_rk") <= F.lit(int(max_messages)))
     t0 = F.unix_micros(utc_ts(start if not isinstance(start, str) else F.lit(start)))
     step = (F.col("_rk") - 1) * F.lit(1e6 / rate_per_sec) if rate_per_sec > 0 else F.lit(0)
     return r.select(*df.columns, F.timestamp_micros(t0 + F.round(step).cast("long")).alias("due_at"))

@@ -22,3 +22,25 @@ def time_grid(bounds: DataFrame, lo_col: str, hi_col: str, step_us: int,
     ).repartition("_c0")
     end = F.least(F.col("_c0") + F.lit(big - step_us), F.col("_hi"))
     return starts.select(F.explode(F.sequence(F.col("_c0"), end, F.lit(step_us).cast("long"))).alias(out_col))
+
+
+def span_buckets(spans: DataFrame, lo_col: str, hi_col: str, step_us: int,
+                 out_col: str = "bucket_us", chunk: int = 65536) -> DataFrame:
+    """Every grid bucket ``k*step`` (micros, epoch-aligned) with
+    ``lo ≤ bucket ≤ hi``, once per span row, other columns kept.
+
+    Turns a range condition ``bucket BETWEEN lo AND hi`` into rows that
+    join on the bucket by equality (no nested-loop range join). Two levels
+    as in ``time_grid``, so a long span never explodes inside one task.
+    """
+    first = F.col(lo_col) + F.pmod(-F.col(lo_col), F.lit(step_us))        # ceil to the grid
+    last = F.col(hi_col) - F.pmod(F.col(hi_col), F.lit(step_us))          # floor to the grid
+    big = step_us * chunk
+    keep = [c for c in spans.columns]
+    starts = spans.select(*keep, first.alias("_first"), last.alias("_last")) \
+        .where(F.col("_first") <= F.col("_last")) \
+        .select(*keep, "_last", F.explode(F.sequence(F.col("_first"), F.col("_last"),
+                                                     F.lit(big).cast("long"))).alias("_c0"))
+    end = F.least(F.col("_c0") + F.lit(big - step_us), F.col("_last"))
+    return starts.select(*keep, F.explode(F.sequence(F.col("_c0"), end, F.lit(step_us).cast("long")))
+                         .alias(out_col))

@@ -68,3 +68,41 @@ def test_load_joined_dedupes_and_skips_torn_lines(spark, tmp_dir):
     rows = sorted((r["id"], r["joined_at"].second) for r in df.collect())
     assert rows == [("a", 2), ("b", 3)]
     assert load_joined(spark, f"{tmp_dir}/missing.jsonl").count() == 0
+
+
+def test_share_overlay_fills_open_interval_with_last_bucket(spark):
+    df = preds(spark, [(s, "negative" if 20 <= s < 50 else "neutral", None) for s in range(0, 80, 5)])
+    counts = dashboard.bucket_counts(df, 10)
+    iv = spark.createDataFrame(
+        [(T0 + dt.timedelta(seconds=15), T0 + dt.timedelta(seconds=40), 0.9),
+         (T0 + dt.timedelta(seconds=60), None, 0.7)],
+        "start timestamp, `end` timestamp, peak_share double")
+    out = {r["bucket"]: r for r in dashboard.share_overlay(counts, iv, 10).collect()}
+    assert len(out) == 8
+    secs = {int((b - T0).total_seconds()): r for b, r in out.items()}
+    assert [s for s, r in sorted(secs.items()) if r["peak_share"] == 0.9] == [20, 30, 40]
+    assert [s for s, r in sorted(secs.items()) if r["peak_share"] == 0.7] == [60, 70]
+    assert secs[70]["alert_end"] == T0 + dt.timedelta(seconds=70)
+    assert secs[0]["alert_start"] is None and secs[50]["alert_start"] is None
+
+
+def test_span_buckets_crosses_chunks(spark):
+    from moodstream.plans.calendar import span_buckets
+
+    spans = spark.createDataFrame([(5, 103, "a"), (7, 9, "b")], "lo long, hi long, k string")
+    got = span_buckets(spans, "lo", "hi", 10, chunk=3).collect()
+    assert sorted(r["bucket_us"] for r in got if r["k"] == "a") == list(range(10, 101, 10))
+    assert [r for r in got if r["k"] == "b"] == []
+
+
+def test_alert_table_and_label_order(spark):
+    a = spark.createDataFrame(
+        [("firing", "2026-01-01T00:00:10+00:00", 5, 6, 0.8333, 0.5, "x"),
+         ("resolved", "2026-01-01T00:01:10+00:00", 1, 6, 0.1667, 0.5, "y")],
+        "status string, window_end string, negative long, total long, negative_share double, "
+        "threshold double, extra string")
+    t = dashboard.alert_table(a)
+    assert t.columns == dashboard.ALERT_COLUMNS
+    assert [r["status"] for r in t.collect()] == ["resolved", "firing"]
+    labs = spark.createDataFrame([("positive",), ("negative",), ("other",)], "label string")
+    assert [r[0] for r in labs.select(dashboard.label_ordinal()).collect()] == [2, 0, None]

@@ -64,3 +64,22 @@ def test_replay_schedule(spark):
     out = datasets.replay_schedule(df, "_row", 10, F.lit("2026-01-01 00:00:00")).orderBy("_row").collect()
     base = dt.datetime(2026, 1, 1)
     assert [(r["due_at"] - base).total_seconds() for r in out] == [0.0, 0.1, 0.2, 0.3, 0.4]
+
+
+def test_replay_first_n(spark):
+    df = spark.createDataFrame([(i,) for i in range(20, 0, -1)], "_row long")
+    start = F.lit("2026-01-01 00:00:00")
+    out = datasets.replay_schedule(df, "_row", 0, start, max_messages=3).collect()
+    assert sorted(r["_row"] for r in out) == [1, 2, 3]
+    assert datasets.replay_schedule(df, "_row", 0, start, max_messages=0).count() == 20
+
+
+def test_splits_disjoint(spark):
+    df = spark.createDataFrame([(f"astd-{i}", ["negative", "neutral", "positive"][i % 3]) for i in range(90)],
+                               "id string, label string")
+    s = datasets.stratified_split(df, seed=7)
+    parts = {k: s.where(F.col("split") == k).select("id") for k in ("train", "val", "test")}
+    assert parts["train"].intersect(parts["val"]).count() == 0
+    assert parts["train"].intersect(parts["test"]).count() == 0
+    assert parts["val"].intersect(parts["test"]).count() == 0
+    assert sum(p.count() for p in parts.values()) == 90
