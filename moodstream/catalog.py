@@ -705,6 +705,7 @@ SELECT id, make_timestamp(epoch_us(TIMESTAMP '{REPLAY_START}') + CAST(round(i *
 
 # --- model training and scoring (rows-only checks) ----------------------------
 from moodstream.operators import training  # noqa: E402
+from moodstream.session import checkpoint_dir  # noqa: E402
 
 _MODELS: dict = {}
 
@@ -712,7 +713,10 @@ _MODELS: dict = {}
 def _trained(spark, sf):
     key = (id(spark), sf)
     if key not in _MODELS:
-        split = datasets.stratified_split(dataset(spark, sf), seed=SPLIT_SEED)
+        # train, val and test all read one materialised split (reliable
+        # checkpoint in the shared folder), not three recomputations
+        checkpoint_dir(spark)
+        split = datasets.stratified_split(dataset(spark, sf), seed=SPLIT_SEED).checkpoint(eager=True)
         train = split.where(F.col("split") == "train").select("id", "text", "label")
         val = split.where(F.col("split") == "val").select("id", "text", "label")
         _MODELS[key] = (training.train_classifier(train, val, reg_params=(0.01, 0.1), clean_mode="tweet"), split)
