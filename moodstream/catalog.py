@@ -619,7 +619,21 @@ SQL_CLEAN = ("trim(regexp_replace(lower(regexp_replace(regexp_replace(replace(re
              "regexp_replace(text, '\\.+([^\\pL\\pN_]|$)', '\\1', 'g'), chr(137) || 'Û_', ' '), '&amp', ' '), "
              "chr(10), ' '), '#', ''), '@[a-zA-Z0-9_]+', '@', 'g'), 'https?\\S+', 'www', 'g')), '\\s+', ' ', 'g'))")
 
+# The elongation rule (a non-digit repeated 3+ times → two) needs a
+# back-reference that RE2 lacks; here a character is dropped when it equals
+# the two before it and is not an ASCII digit.
+SQL_PY_SPACE = ("[\\t\\n\\x{0B}\\f\\r \\x{1C}-\\x{1F}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}"
+                "\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]")
+SQL_NORMALIZED = f"""n1 AS (SELECT conv_id, turn, string_split(regexp_replace(regexp_replace(regexp_replace(text,
+    '(?:https?://|www\\.)[^\\t\\n\\x{{0B}}\\f\\r ]+', '[رابط]', 'g'),
+    '@[^\\t\\n\\x{{0B}}\\f\\r ]+', '[مستخدم]', 'g'),
+    '[\\x{{064B}}-\\x{{0652}}\\x{{0640}}]', '', 'g'), '') AS c FROM conversations),
+n2 AS (SELECT conv_id, turn, array_to_string(list_filter(c, lambda x, i: NOT (i >= 3 AND x = c[i - 1]
+    AND x = c[i - 2] AND NOT regexp_full_match(x, '[0-9]'))), '') AS t FROM n1)"""
+
 ORACLE_SQL.update({
+    "normalized_texts": f"""WITH {SQL_NORMALIZED}
+SELECT conv_id, turn, regexp_replace(t, '^{SQL_PY_SPACE}+|{SQL_PY_SPACE}+$', '', 'g') AS normalized FROM n2""",
     "eval_confusion": f"WITH {SQL_CONF} SELECT gold, pred, n FROM cm",
     "eval_class_metrics": f"WITH {SQL_CLASS} SELECT * FROM cls",
     "eval_summary": f"""WITH {SQL_CLASS},

@@ -36,3 +36,21 @@ def test_pad_tokens(spark):
     assert len(long) == 120
     mask = df.select(text.attention_mask(text.pad_tokens(text.codepoints("s"), 5)).alias("m")).first()["m"]
     assert mask == [1, 1, 1, 0, 0]
+
+
+def test_arabic_normaliser_matches_oracle_sql_on_fixture(spark, tmp_dir):
+    import duckdb
+
+    from moodstream.catalog import ORACLE_SQL, q_normalized_texts
+
+    texts = ["رااااااائع جداااا", "١١١١ 1111 ههههه", "جَمِيـــل www.x.com/a؟ و @ali_1 تم",
+             "  مرحبا ", "", "😀😀😀😀 ok", "aaab\tbbbb https://t.co/x\x0bz", None]
+    rows = [(i, 1, "user", t, i) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, n_tokens long") \
+        .write.parquet(f"{tmp_dir}/conversations.parquet")
+    got = {(r["conv_id"], r["normalized"]) for r in q_normalized_texts(spark, tmp_dir).collect()}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_dir}/conversations.parquet/*.parquet')")
+    want = {(c, n) for c, _, n in con.execute(ORACLE_SQL["normalized_texts"]).fetchall()}
+    assert got == want
+    assert dict(got)[0] == "راائع جداا"
