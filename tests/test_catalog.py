@@ -11,9 +11,10 @@ from conftest import SF_SMALL
 sys.path.insert(0, __file__.rsplit("/", 1)[0])
 import oracle  # noqa: E402
 
-ROWS_ONLY = {"normalized_texts", "train_eval", "score_documents"}
+ROWS_ONLY = {"train_eval", "score_documents"}
 FAST = ["bucket_counts", "kpis", "detect_spikes", "parse_raw", "ttl_join", "join_outcomes",
-        "eval_summary", "dataset_split", "clean_texts", "token_ids", "roc_auc"]
+        "eval_summary", "dataset_split", "clean_texts", "token_ids", "roc_auc", "normalized_texts",
+        "alert_overlay", "alert_table", "join_dlq"]
 
 
 def test_registry_is_complete():
