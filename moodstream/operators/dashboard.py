@@ -10,6 +10,7 @@ from moodstream.functions.numeric import safe_div
 from moodstream.functions.time import epoch_micros, floor_micros, from_micros
 from moodstream.plans.calendar import span_buckets, time_grid
 from moodstream.plans.ordered import percentiles_row
+from moodstream.plans.scalar import attach_row
 from moodstream.schemas import LABELS
 
 # Bucket sizes offered by the dashboard (seconds), default 30 s.
@@ -76,13 +77,13 @@ def share_overlay(counts: DataFrame, intervals: DataFrame, freq_seconds: int = 3
     the grid buckets it covers and joining on the bucket by equality, so
     there is no nested-loop range join; intervals of one alert stream are
     disjoint, so the expansion is bounded by the number of buckets. The
-    last bucket is a one-row aggregate (broadcast is bounded).
+    last bucket is a one-row aggregate read as a scalar subquery.
     """
     step = int(freq_seconds) * 1_000_000
     share = counts.where(F.col("label") == F.lit("negative")) \
         .select(epoch_micros("bucket").alias("bucket_us"), "negative_share", "total")
-    last = share.agg(F.max("bucket_us").alias("_last_us")).withColumn("_one", F.lit(1))
-    spans = intervals.withColumn("_one", F.lit(1)).join(F.broadcast(last), "_one").select(
+    last = share.agg(F.max("bucket_us").alias("_last_us"))
+    spans = attach_row(intervals, last).select(
         epoch_micros("start").alias("_lo"),
         F.coalesce(epoch_micros("end"), F.col("_last_us")).alias("_hi"),
         F.col("peak_share"))
@@ -109,18 +110,17 @@ def kpis(df: DataFrame, label_col: str = "label", latency_col: str = "end_to_end
         *[safe_div(F.count_if(F.col(label_col) == F.lit(lab)), F.count(label_col)).alias(f"{lab}_share")
           for lab in LABELS],
         F.array_sort(F.collect_set(version_col)).alias("model_versions"),
-    ).withColumn("_one", F.lit(1))
-    pct = percentiles_row(lat, "_lat", {"p50_latency_ms": 0.5, "p95_latency_ms": 0.95}) \
-        .withColumn("_one", F.lit(1))
-    return base.join(pct, "_one").drop("_one")
+    )
+    pct = percentiles_row(lat, "_lat", {"p50_latency_ms": 0.5, "p95_latency_ms": 0.95})
+    return attach_row(base, pct)
 
 
 def label_shares(df: DataFrame, label_col: str = "label") -> DataFrame:
     """Label distribution: ``label, count, share`` (share of rows with a label)."""
     counts = df.where(F.col(label_col).isNotNull()).groupBy(F.col(label_col).alias("label")) \
         .agg(F.count(F.lit(1)).alias("count"))
-    n = counts.agg(F.sum("count").alias("_n")).withColumn("_one", F.lit(1))
-    return counts.withColumn("_one", F.lit(1)).join(F.broadcast(n), "_one") \
+    n = counts.agg(F.sum("count").alias("_n"))
+    return attach_row(counts, n) \
         .select("label", "count", (F.col("count") / F.col("_n")).alias("share"))
 
 
@@ -133,11 +133,10 @@ def latest(df: DataFrame, n: int = 15, ts_col: str = "predicted_at",
 
 def last_minutes(df: DataFrame, minutes: float, ts_col: str = "predicted_at") -> DataFrame:
     """Rows with ``ts ≥ max(ts) − minutes``: the right edge is the data, not
-    the clock. The max is a one-row aggregate joined back by broadcast."""
-    edge = df.agg(F.max(epoch_micros(ts_col)).alias("_max")).withColumn("_one", F.lit(1))
+    the clock. The max is a scalar subquery (run once, no join)."""
+    edge = df.agg(F.max(epoch_micros(ts_col)).alias("_max"))
     cut = int(round(minutes * 60 * 1_000_000))
-    return df.withColumn("_one", F.lit(1)).join(F.broadcast(edge), "_one") \
-        .where(epoch_micros(ts_col) >= F.col("_max") - F.lit(cut)).drop("_one", "_max")
+    return df.where(epoch_micros(ts_col) >= edge.scalar() - F.lit(cut))
 
 
 def sort_by_time(df: DataFrame, ts_col: str = "predicted_at") -> DataFrame:

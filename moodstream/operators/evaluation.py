@@ -11,13 +11,10 @@ from pyspark.sql import functions as F
 from moodstream.functions.numeric import safe_div
 from moodstream.functions.time import epoch_micros
 from moodstream.plans.ordered import ordered_suffix_scan, percentiles_of_columns
+from moodstream.plans.scalar import attach_row
 from moodstream.schemas import LABELS
 
 
-def _one(df: DataFrame) -> DataFrame:
-    return df.withColumn("_one", F.lit(1))
-
-
 def match_gold(joined: DataFrame, gold: DataFrame, source: str | None = None,
                key_col: str = "source_id") -> DataFrame:
     """Joined rows that have a gold label (``gold_label`` added), optionally
@@ -38,10 +35,10 @@ def coverage(joined: DataFrame, gold: DataFrame, matched: DataFrame,
     missing = ids.join(seen, "_gid", "left_anti").agg(F.count(F.lit(1)).alias("missing"))
     parts = [ids.agg(F.count(F.lit(1)).alias("expected")), joined.agg(F.count(F.lit(1)).alias("joined")),
              matched.agg(F.count(F.lit(1)).alias("matched")), missing]
-    out = _one(parts[0])
+    out = parts[0]
     for p in parts[1:]:
-        out = out.join(_one(p), "_one")
-    return out.drop("_one")
+        out = attach_row(out, p)
+    return out
 
 
 def confusion_matrix(pairs: DataFrame, gold_col: str = "gold_label", pred_col: str = "label",
@@ -89,7 +86,7 @@ def summary(confusion: DataFrame, metrics: DataFrame, labels: list[str] = LABELS
     a = a.select(F.coalesce("n", F.lit(0)).alias("n"), F.round(safe_div(F.col("_ok"), F.col("n")), 4)
                  .alias("accuracy"))
     f = metrics.agg(F.round(F.sum("f1") / F.lit(len(labels)), 4).alias("macro_f1"))
-    return _one(a).join(_one(f), "_one").drop("_one")
+    return attach_row(a, f)
 
 
 def weighted_f1(metrics: DataFrame) -> DataFrame:
@@ -133,7 +130,7 @@ def performance(rows: DataFrame) -> DataFrame:
     pr = pr.select(*[F.round(c, 1).alias(c) for c in pr.columns])
     mx = lat.agg(F.round(F.max("predict_ms"), 1).alias("produce_to_predict_max"),
                  F.round(F.max("join_ms"), 1).alias("produce_to_join_max"))
-    return _one(base).join(_one(pr), "_one").join(_one(mx), "_one").drop("_one")
+    return attach_row(attach_row(base, pr), mx)
 
 
 def roc_points(df: DataFrame, score_col: str, label_col: str,
@@ -146,7 +143,7 @@ def roc_points(df: DataFrame, score_col: str, label_col: str,
         F.count_if(F.col(label_col) != 1).cast("long").alias("_neg"))
     tot = g.agg(F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"))
     s = ordered_suffix_scan(g, ["threshold"], ["_pos", "_neg"], num_partitions=num_partitions)
-    pts = _one(s).join(F.broadcast(_one(tot)), "_one").select(
+    pts = attach_row(s, tot).select(
         "threshold", safe_div(F.col("suf__pos"), F.col("_P")).alias("tpr"),
         safe_div(F.col("suf__neg"), F.col("_N")).alias("fpr"))
     origin = df.sparkSession.createDataFrame([(float("inf"), 0.0, 0.0)], "threshold double, tpr double, fpr double")
