@@ -15,6 +15,8 @@ from moodstream.schemas import LABELS
 
 # Bucket sizes offered by the dashboard (seconds), default 30 s.
 FREQS = {"10s": 10, "30s": 30, "1min": 60, "5min": 300}
+# Time ranges offered by the dashboard (minutes before the newest row), default All.
+RANGES = {"All": None, "5 min": 5, "30 min": 30, "2 h": 120}
 
 # Columns of the dashboard tables (latest reviews, alerts).
 LATEST_COLUMNS = ["label", "confidence", "text"]
@@ -139,5 +141,11 @@ def last_minutes(df: DataFrame, minutes: float, ts_col: str = "predicted_at") ->
     return df.where(epoch_micros(ts_col) >= edge.scalar() - F.lit(cut))
 
 
+def time_range(df: DataFrame, choice: str = "All", ts_col: str = "predicted_at") -> DataFrame:
+    """Rows inside one of the dashboard's ``RANGES`` (``All`` keeps every row)."""
+    minutes = RANGES[choice]
+    return df if minutes is None else last_minutes(df, minutes, ts_col)
+
+
 def sort_by_time(df: DataFrame, ts_col: str = "predicted_at") -> DataFrame:
     return df.orderBy(F.col(ts_col).asc_nulls_last())

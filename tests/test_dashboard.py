@@ -106,3 +106,10 @@ def test_alert_table_and_label_order(spark):
     assert [r["status"] for r in t.collect()] == ["resolved", "firing"]
     labs = spark.createDataFrame([("positive",), ("negative",), ("other",)], "label string")
     assert [r[0] for r in labs.select(dashboard.label_ordinal()).collect()] == [2, 0, None]
+
+
+def test_time_range_choices(spark):
+    df = preds(spark, [(i * 60, "neutral", None) for i in range(40)])
+    assert dashboard.time_range(df, "All").count() == 40
+    assert dashboard.time_range(df, "5 min").count() == 6
+    assert dashboard.time_range(df, "30 min").count() == 31
