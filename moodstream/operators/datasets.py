@@ -66,13 +66,20 @@ def _hash_order(id_col: str, seed: int):
 
 
 def _class_ranks(df: DataFrame, label_col: str, id_col: str, seed: int) -> DataFrame:
-    """Per-class 1-based rank by md5(id ‖ seed), computed globally."""
-    h = df.withColumn("_h", _hash_order(id_col, seed))
-    r = global_rank(h, [label_col, "_h", id_col], "_g")
-    counts = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("_nc"))
+    """Per-class 1-based rank by md5(id ‖ seed), computed globally.
+
+    Only the narrow ``(label, hash, id)`` projection is ranked and
+    checkpointed; the rank joins back to the rows on the (unique) id, so
+    wide columns such as the text are never written to the checkpoint and
+    are pruned entirely when the consumer does not need them."""
+    keys = df.select(label_col, id_col).withColumn("_h", _hash_order(id_col, seed))
+    r = global_rank(keys, [label_col, "_h", id_col], "_g")
+    counts = keys.groupBy(label_col).agg(F.count(F.lit(1)).alias("_nc"))
     offs = counts.select(label_col, "_nc", F.coalesce(F.sum("_nc").over(
         Window.orderBy(label_col).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    return r.join(F.broadcast(offs), label_col).withColumn("_r", F.col("_g") - F.col("_off")).drop("_h", "_g")
+    ranks = r.join(F.broadcast(offs), label_col) \
+        .select(id_col, (F.col("_g") - F.col("_off")).alias("_r"), "_nc", "_off")
+    return df.join(ranks, id_col).select(*df.columns, "_r", "_nc", "_off")
 
 
 def _largest_remainder(counts: DataFrame, label_col: str, n_col: str, draws, out: str) -> DataFrame:
