@@ -197,8 +197,8 @@ class Encoder:
                     spaced.update(pieces[1:])
                     parts.append((stretch, pieces))
             cut.append(parts)
-        self._learn(spaced - self.spaced.keys(), " ", self.spaced)
-        self._learn(bare - self.bare.keys(), "", self.bare)
+        self._learn([p for p in spaced if p not in self.spaced], " ", self.spaced)
+        self._learn([p for p in bare if p not in self.bare], "", self.bare)
         return [np.frombuffer(b"".join([self._ids(p) for p in parts]), np.uint32) for parts in cut]
 
     def _stretches(self, text: str) -> list[str]:
@@ -214,10 +214,10 @@ class Encoder:
             return b"".join([self.bare[pieces[0]], *map(self.spaced.__getitem__, pieces[1:])])
         except TypeError:  # a piece that isn't to be read alone
             words = self.find(stretch)
-            self._merge(set(words) - self.words.keys())
+            self._merge([w for w in set(words) if w not in self.words])
             return b"".join(map(self.words.__getitem__, words))
 
-    def _learn(self, pieces: set[str], lead: str, memory: dict[str, bytes | None]) -> None:
+    def _learn(self, pieces: list[str], lead: str, memory: dict[str, bytes | None]) -> None:
         words, plain, mixed = self.words, [], []
         for p in pieces:
             if p.isalpha():
@@ -229,14 +229,13 @@ class Encoder:
         needed = {lead + p for p in plain}
         for _, ws in mixed:
             needed.update(ws)
-        self._merge(needed - words.keys())
+        self._merge([w for w in needed if w not in words])
         for p in plain:
             memory[p] = words[lead + p]
         for p, ws in mixed:
             memory[p] = b"".join([words[w] for w in ws])
 
-    def _merge(self, words: set[str]) -> None:
-        texts = list(words)
+    def _merge(self, texts: list[str]) -> None:
         data = [w.encode() for w in texts]
         rows = self.lexicon.rows(data) if self.lexicon else np.full(len(data), -1)
         rest = []

@@ -3,10 +3,12 @@
 One dictionary is trained on good and one on bad labelled text. A text is cut
 into pieces of ``piece`` bytes (all of it, the last piece shorter) and each
 piece is compressed with either dictionary; the two sums of compressed sizes
-give the normalised difference ``(bad - good) / (bad + good)``. A logistic
-curve, fitted on labelled documents that the dictionaries have not seen, turns
-the difference into the probability of label 1. Pieces keep the weight of the
-dictionaries the same in short and long texts and bound the memory.
+give the normalised difference ``(bad - good) / bytes of the text``. A rising
+curve, fitted by isotonic regression on labelled documents that the
+dictionaries have not seen, turns the difference into the probability of label
+1. (A logistic curve fits badly: good texts spread widely above a narrow border
+with bad ones.) Pieces keep the weight of the dictionaries the same in short
+and long texts and bound the memory.
 
 Learning uses about ``per_class`` labelled documents of each class, chosen by
 a hash of the id over all labels (documented bounds: ``per_class``, and
@@ -40,15 +42,15 @@ from moodstream.llm.common import fold, hash_sample, prepare, unit_hash
 THRESHOLD = 0.3
 # The held-out fold: crc32 of the id modulo 5 is 0.
 MODULUS, HELD_OUT = 5, 0
-LEVEL, PIECE = 1, 2048
+LEVEL, PIECE = 3, 2048
 
 
 @dataclass(frozen=True)
 class Model:
     good: bytes
     bad: bytes
-    slope: float
-    offset: float
+    at: tuple[float, ...]  # differences, rising
+    score: tuple[float, ...]  # probability of label 1 at each, linear between
 
 
 class Sizes:
@@ -68,34 +70,26 @@ class Sizes:
         if not data:
             return 0.0
         good, bad = (sum(len(c.compress(data[at : at + PIECE])) for at in range(0, len(data), PIECE)) for c in self.both)
-        return (bad - good) / (bad + good)
-
-
-def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3) -> tuple[float, float]:
-    """Slope and offset of a weighted logistic curve, by Newton's method with
-    targets moved off 0 and 1 as Platt proposes."""
-    hits = y.sum()
-    t = np.where(y == 1, (hits + 1) / (hits + 2), 1 / (len(y) - hits + 2))
-    scale = float(np.abs(x).max()) or 1.0
-    a, b, x = 0.0, 0.0, x / scale
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
-        g, h = weight * (p - t), weight * p * (1 - p) + 1e-12
-        m = np.array([[(h * x * x).sum() + ridge, (h * x).sum()], [(h * x).sum(), h.sum()]])
-        step = np.linalg.solve(m, np.array([(g * x).sum() + ridge * a, g.sum()]))
-        size = np.abs(step).max()
-        step *= min(1.0, 4.0 / size) if size else 1.0
-        a, b = a - step[0], b - step[1]
-        if size < 1e-8:
-            break
-    return float(a / scale), float(b)
+        return (bad - good) / len(data)
+
+
+def rising_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[list[float], list[float]]:
+    """Weighted isotonic regression by pooling neighbours: (places, values).
+    Each pool's value is drawn a little to the overall mean."""
+    mean, pools = float((y * weight).sum() / weight.sum()), []
+    for k in np.lexsort((y, x)):
+        pools.append([x[k] * weight[k], y[k] * weight[k], weight[k]])
+        while len(pools) > 1 and pools[-2][1] * pools[-1][2] >= pools[-1][1] * pools[-2][2]:
+            last = pools.pop()
+            pools[-1] = [a + b for a, b in zip(pools[-1], last, strict=True)]
+    return [float(p[0] / p[2]) for p in pools], [float((p[1] + 0.1 * mean) / (p[2] + 0.1)) for p in pools]
 
 
 def _dictionary(texts: list[bytes], size: int) -> bytes:
     pieces = [t[at : at + PIECE] for t in texts for at in range(0, len(t), PIECE)]
     total = sum(map(len, pieces))
     try:
-        return zstandard.train_dictionary(min(size, max(256, total // 8)), pieces, k=64, d=8).as_bytes()
+        return zstandard.train_dictionary(min(size, max(256, total // 8)), pieces, k=256, d=8).as_bytes()
     except zstandard.ZstdError:  # too little text to train on: the text itself serves as a raw dictionary
         return b"".join(pieces)[-size:] or b" "
 
@@ -110,24 +104,24 @@ def _learn(share: float, dict_bytes: int, sample_bytes: int):
                     rows.append((r["_u"], r["_y"], (r["_text"] or "").encode("utf-8", "surrogatepass")))
         rows.sort()
         y = np.array([r[1] for r in rows])
-        # Every second document of a class, in hash order, trains its dictionary; the others fit the curve.
+        # Two of three documents of a class, in hash order, train its dictionary; the third fits the curve.
         turn = np.zeros(len(rows), int)
         for k in (0, 1):
-            turn[y == k] = np.arange((y == k).sum()) % 2
+            turn[y == k] = np.arange((y == k).sum()) % 3 // 2
         if len(rows) and all(((y == k) & (turn == j)).any() for k in (0, 1) for j in (0, 1)):
             good, bad = (_dictionary([r[2] for r, a, t in zip(rows, y, turn, strict=True) if a == k and t == 0], dict_bytes) for k in (1, 0))
             sizes = Sizes(good, bad)
             fit = [(sizes.difference(r[2].decode("utf-8", "surrogatepass")), a) for r, a, t in zip(rows, y, turn, strict=True) if t == 1]
             x, z = (np.array(v, float) for v in zip(*fit, strict=True))
             weight = np.where(z == 1, share / z.mean(), (1 - share) / (1 - z.mean()))
-            slope, offset = fit_logistic(x, z, weight)
-            yield pa.RecordBatch.from_pydict({"good": [good], "bad": [bad], "slope": [slope], "offset": [offset]})
+            places, values = rising_curve(x, z, weight)
+            yield pa.RecordBatch.from_pydict({"good": [good], "bad": [bad], "places": [places], "vals": [values]})
 
     return run
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-          per_class: int = 3000, dict_bytes: int = 65536, sample_bytes: int = 64 << 20, seed: int = 6) -> Model:
+          per_class: int = 3000, dict_bytes: int = 262144, sample_bytes: int = 64 << 20, seed: int = 6) -> Model:
     prepare(docs.sparkSession)
     known = (
         labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (fold(MODULUS, id_col) != HELD_OUT))
@@ -143,15 +137,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # About 2 x per_class ids, whatever the number of labels: small enough for every task.
     sample = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(chosen), "_id")
     sample = sample.select(unit_hash("_id", seed=seed + 1).alias("_u"), "_y", "_text").repartition(1)
-    fitted = sample.mapInArrow(_learn(share, dict_bytes, sample_bytes), "good binary, bad binary, slope double, offset double").collect()
+    fitted = sample.mapInArrow(_learn(share, dict_bytes, sample_bytes), "good binary, bad binary, places array<double>, vals array<double>").collect()
     if not fitted:
         return _constant(share)
-    return Model(bytes(fitted[0]["good"]), bytes(fitted[0]["bad"]), fitted[0]["slope"], fitted[0]["offset"])
+    return Model(bytes(fitted[0]["good"]), bytes(fitted[0]["bad"]), tuple(fitted[0]["places"]), tuple(fitted[0]["vals"]))
 
 
 def _constant(share: float) -> Model:
-    p = min(max(share, 1e-6), 1 - 1e-6)
-    return Model(b" ", b" ", 0.0, float(np.log(p / (1 - p))))
+    return Model(b" ", b" ", (0.0,), (float(share),))
 
 
 def _scores(model: Model):
@@ -159,7 +152,7 @@ def _scores(model: Model):
         sizes = Sizes(model.good, model.bad)
         for b in batches:
             x = np.array([sizes.difference(t) for t in b.column("_text").to_pylist()], float)
-            score = 1 / (1 + np.exp(-np.clip(model.slope * x + model.offset, -700, 700)))
+            score = np.interp(x, model.at, model.score)
             rest = [b.column(i) for i in range(b.num_columns) if b.schema.names[i] != "_text"]
             names = [n for n in b.schema.names if n != "_text"]
             yield pa.RecordBatch.from_arrays([*rest, pa.array(score)], names=[*names, "_score"])

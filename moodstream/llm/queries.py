@@ -6,12 +6,15 @@ its table.
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodstream.llm import bpe, exact_dedup, mixing, quality, sharding, simhash
+from moodstream.llm import bpe, embed_dedup, exact_dedup, langid, mixing, quality, sharding, simhash, token_store, toxicity
 from moodstream.llm.common import read
+from moodstream.session import checkpoint_dir
 
 # The mixing tree of the test tables: a source's domain is its number modulo 4.
 DOMAIN_SQL = "concat('d', cast(regexp_extract(source, '([0-9]+)$', 1) as int) % 4)"
@@ -30,6 +33,21 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/tokens-{uuid4().hex}"
+    token_store.write_store(read(spark, sf_dir, "documents", "doc_id", "text"), folder, bpe_vocabulary())
+    return token_store.read_digests(spark, folder)
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return langid.predict(docs, langid.train(docs))
+
+
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(read(spark, sf_dir, "documents", "doc_id", "text"), bpe_vocabulary())
 
@@ -48,10 +66,76 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.select(docs, MIX_WEIGHTS, MIX_SHARE, F.expr(DOMAIN_SQL), seed=MIX_SEED, epochs=MIX_EPOCHS)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels", "doc_id", "toxic")))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op5_bpe, op6_quality, op7_ring_sharding, op8_mixing, op10_exact_dedup)}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_simhash, op2_token_store, op3_language, op4_embedding_dedup, op5_bpe, op6_quality, op7_ring_sharding, op8_mixing,
+              op9_toxicity, op10_exact_dedup)
+}
+
+_WORDS = "[^\\x20\\x09-\\x0D]+"
+
+_CASE = {
+    level: "CASE " + " ".join(f"WHEN {level} = '{k}' THEN {w}::DOUBLE" for k, w in table.items()) + " ELSE 1.0::DOUBLE END"
+    for level, table in {**{"source": {"(none)": 1.0}}, **MIX_WEIGHTS}.items()
+}
+
 
-ORACLE_SQL = {}
+def _share_sql(name: str, path: str, parents: str, level: str, above: str) -> str:
+    """One level of the tree in SQL: sort children by capacity per weight, the
+    first that its level does not fill sets the level."""
+    part = f"PARTITION BY {parents} " if parents else ""
+    return f"""
+{name}_w AS (SELECT {path}, sum(leaf_tokens) * {MIX_EPOCHS}::DOUBLE AS cap, {_CASE[level]} AS weight FROM leaves GROUP BY {path}),
+{name}_l AS (SELECT n.*, {above} AS above FROM {name}_w n {f"JOIN {parents.split(',')[-1].strip()}_b USING ({parents})" if parents else ""}),
+{name}_r AS (SELECT *, greatest(above - coalesce(sum(cap) OVER ({part}ORDER BY cap / weight, {level} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 0)
+  / sum(weight) OVER ({part}ORDER BY cap / weight, {level} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level0 FROM {name}_l),
+{name}_m AS (SELECT *, max(CASE WHEN level0 < cap / weight THEN level0 END) OVER ({f"PARTITION BY {parents}" if parents else ""}) AS level1 FROM {name}_r),
+{level}_b AS (SELECT {path}, least(cap, coalesce(level1 * weight, cap)) AS budget FROM {name}_m)"""
+
+
+ORACLE_SQL = {
+    "op4_embedding_dedup": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.98
+), r AS (SELECT a AS n, b AS m FROM l UNION SELECT r.n, l.b FROM r JOIN l ON r.m = l.a)
+SELECT e.vec_id, coalesce(d.c, 0)::BIGINT AS n_links, least(e.vec_id, coalesce(c.m, e.vec_id)) AS component_id,
+  least(e.vec_id, coalesce(c.m, e.vec_id)) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN (SELECT a, count(*) AS c FROM l GROUP BY a) d ON d.a = e.vec_id
+LEFT JOIN (SELECT n, min(m) AS m FROM r GROUP BY n) c ON c.n = e.vec_id""",
+    "op8_mixing": f"""
+WITH docs AS (
+  SELECT doc_id, 'd' || (regexp_extract(source, '([0-9]+)$', 1)::INT % 4) AS domain, coalesce(lang, '(none)') AS lang, coalesce(source, '(none)') AS source,
+    len(regexp_extract_all(text, '{_WORDS}'))::BIGINT AS n_tokens FROM documents
+), narrow AS (SELECT doc_id, coalesce(domain, '(none)') AS domain, lang, source, n_tokens FROM docs WHERE n_tokens > 0),
+leaves AS (SELECT domain, lang, source, sum(n_tokens)::DOUBLE AS leaf_tokens FROM narrow GROUP BY ALL),
+{_share_sql("one", "domain", "", "domain", f"(SELECT sum(leaf_tokens) FROM leaves) * {MIX_SHARE}::DOUBLE").strip()},
+{_share_sql("two", "domain, lang", "domain", "lang", "budget").strip()},
+{_share_sql("three", "domain, lang, source", "domain, lang", "source", "budget").strip()},
+plan AS (SELECT domain, lang, source, leaf_tokens, floor(budget + 1e-6)::BIGINT AS leaf_budget FROM leaves JOIN source_b USING (domain, lang, source)),
+stream AS (
+  SELECT n.*, leaf_budget, e.epoch::BIGINT AS epoch, md5('{MIX_SEED}/' || e.epoch || '/' || doc_id) AS o
+  FROM narrow n JOIN plan USING (domain, lang, source), (SELECT unnest(range({MIX_EPOCHS})) AS epoch) e WHERE leaf_budget > 0
+), placed AS (
+  SELECT *, (sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY epoch, o, n_tokens ROWS UNBOUNDED PRECEDING) - n_tokens)::BIGINT AS first_token FROM stream
+)
+SELECT doc_id, domain, lang, source, epoch, n_tokens, first_token, leaf_budget FROM placed WHERE first_token < leaf_budget""",
+    "op10_exact_dedup": r"""
+WITH n AS (SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[ 	-]+', '', 'g') AS t FROM documents),
+g AS (SELECT doc_id, t, count(*) OVER (PARTITION BY t) AS group_size,
+  first_value(doc_id) OVER (PARTITION BY t ORDER BY n DESC, doc_id) AS keep_id FROM n)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM g""",
+}
