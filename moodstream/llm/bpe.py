@@ -314,12 +314,12 @@ def ship_lexicon(docs: DataFrame, path: str, text_col: str, bound: int) -> str:
     return name
 
 
-def _encode(path: str, lexicon: str | None, with_ids: bool):
+def _encode(path: str, lexicon: str | None, with_ids: bool, body: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, vocab = encoder(path, lexicon), vocabulary(path)
         for b in batches:
-            rest = [n for n in b.schema.names if n != "_text"]
-            for at, texts in stretches(b.column("_text").to_pylist()):
+            rest = [n for n in b.schema.names if n != body]
+            for at, texts in stretches(b.column(body).to_pylist()):
                 ids = enc.encode(texts)
                 listed = [i.tolist() for i in ids]
                 sha = [hashlib.sha256(b",".join(map(vocab.decimal.__getitem__, i))).hexdigest() for i in listed]
@@ -345,7 +345,10 @@ def encode_documents(docs: DataFrame, path: str, lexicon_words: int = 65536, wit
     lexicon = ship_lexicon(docs, path, text_col, lexicon_words)
     made = ["n_tokens", "ids_sha256", "decoded_sha256", "input_ids"]
     rest = [c for c in docs.columns if c not in (text_col, *made)] if with_ids else [id_col]
-    texts = docs.select(*[F.col(f"`{c}`") for c in rest], F.col(text_col).alias("_text"))
+    body = "_text"
+    while body in rest:
+        body += "_"
+    texts = docs.select(*[F.col(f"`{c}`") for c in rest], F.col(text_col).alias(body))
     kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest]
     kinds += ["n_tokens long", "ids_sha256 string", "decoded_sha256 string"] + ["input_ids array<int>"] * with_ids
-    return texts.mapInArrow(_encode(path, lexicon, with_ids), ", ".join(kinds))
+    return texts.mapInArrow(_encode(path, lexicon, with_ids, body), ", ".join(kinds))

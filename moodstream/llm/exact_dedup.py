@@ -23,6 +23,8 @@ columns are ignored by ``exact_dedup`` and carried by ``survivors``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,12 +40,13 @@ def _rank(length: Column, ident: Column) -> Column:
     return F.struct(length.alias("n"), ident.isNotNull().alias("has"), (-ident).alias("neg"))
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, keep_id, group_size, kept, text_sha256."""
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hashed: Callable[[Column], Column] = F.md5) -> DataFrame:
+    """One row per input row: id, keep_id, group_size, kept, text_sha256.
+    ``hashed``: the 128-bit hash, in hex."""
     prepare(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("_id"), _text(text_col).alias("_text"))
     norm = rows.select("_id", F.length("_text").alias("_n"), strip_space(F.col("_text")).alias("_norm"))
-    keys = norm.select("_id", "_n", F.unhex(F.md5("_norm")).alias("_hash"), F.unhex(F.sha2("_norm", 256)).alias("_sha"))
+    keys = norm.select("_id", "_n", F.unhex(hashed(F.col("_norm"))).alias("_hash"), F.unhex(F.sha2("_norm", 256)).alias("_sha"))
     keys = keys.checkpoint()
 
     shared = keys.groupBy("_hash").agg(F.count("*").alias("_c")).where("_c > 1")
@@ -52,7 +55,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     candidates = rows.alias("r").join(members.alias("m"), F.col("r._id").eqNullSafe(F.col("m._id")), "left_semi")
     classes = (
         candidates.select("_id", F.length("_text").alias("_n"), strip_space(F.col("_text")).alias("_norm"))
-        .select("_id", "_n", "_norm", F.unhex(F.md5("_norm")).alias("_hash"))
+        .select("_id", "_n", "_norm", F.unhex(hashed(F.col("_norm"))).alias("_hash"))
         .groupBy("_hash", "_norm")
         .agg(F.count("*").alias("_size"), F.max(_rank(F.col("_n"), F.col("_id"))).alias("_best"))
         .select("_hash", F.unhex(F.sha2("_norm", 256)).alias("_sha"), "_size", F.col("_best.has").alias("_has"),
