@@ -1,8 +1,8 @@
 """Text cleaning as native column expressions (no Python UDFs).
 
-The patterns below are chosen so that they mean the same thing in Java
-regex (Spark) and RE2 (DuckDB, used as the test oracle): no look-around,
-no back-references except in ``normalize_arabic``'s elongation rule.
+The patterns use no look-around, and no back-reference except in
+``normalize_arabic``'s elongation rule. White space always means Python's:
+the Unicode White_Space set and U+001C..U+001F.
 """
 
 from __future__ import annotations
@@ -19,8 +19,8 @@ DOT_RUN = r"\.+([^\pL\pN_]|$)"
 MOJIBAKE = "\u0089Û_"
 AMP = "&amp"
 MENTION_ASCII = r"@[a-zA-Z0-9_]+"
-URL = r"https?\S+"
-WHITESPACE = r"\s+"
+URL = r"(?U)https?[^\s\x{1C}-\x{1F}]+"
+WHITESPACE = r"(?U)[\s\x{1C}-\x{1F}]+"
 
 # Fixed values of the Arabic normaliser: the special tokens that replace
 # URLs and user mentions, the tashkeel range U+064B..U+0652, tatweel U+0640,
@@ -28,8 +28,8 @@ WHITESPACE = r"\s+"
 URL_TOKEN = "[رابط]"
 USER_TOKEN = "[مستخدم]"
 TASHKEEL_TATWEEL = r"[\x{064B}-\x{0652}\x{0640}]"
-ARABIC_URL = r"(?:https?://|www\.)\S+"
-ARABIC_MENTION = r"@\S+"
+ARABIC_URL = r"(?U)(?:https?://|www\.)[^\s\x{1C}-\x{1F}]+"
+ARABIC_MENTION = r"(?U)@[^\s\x{1C}-\x{1F}]+"
 ELONGATION = r"(\D)\1{2,}"
 
 # Python's str.strip() whitespace; Java's (?U)\s is the Unicode White_Space set.
@@ -64,7 +64,7 @@ def clean_text(col) -> Column:
     c = F.regexp_replace(c, URL, "www")
     c = F.lower(c)
     c = F.regexp_replace(c, WHITESPACE, " ")
-    return F.trim(c)
+    return F.trim(c)  # only plain spaces are left
 
 
 def normalize_arabic(col) -> Column:
@@ -79,16 +79,17 @@ def normalize_arabic(col) -> Column:
     return py_strip(c)
 
 
-def codepoints(col) -> Column:
-    """ARRAY<INT> of the characters' code points (a simple token-id scheme)."""
-    chars = F.filter(F.split(_c(col), ""), lambda ch: ch != F.lit(""))
-    return F.transform(chars, lambda ch: F.ascii(ch))
+def token_ids(col, max_len: int = 120) -> Column:
+    """A simple token-id scheme: code points of the first ``max_len``
+    characters, padded with 0 to exactly ``max_len``. The text is cut before
+    it is split into characters."""
+    chars = F.filter(F.split(F.left(_c(col), F.lit(max_len)), ""), lambda ch: ch != F.lit(""))
+    return pad_tokens(F.transform(chars, lambda ch: F.ascii(ch)), max_len)
 
 
 def pad_tokens(ids, max_len: int = 120) -> Column:
     """Truncate or right-pad token ids with 0 to exactly ``max_len``."""
-    arr = _c(ids)
-    padded = F.concat(arr, F.array_repeat(F.lit(0), F.lit(max_len)))
+    padded = F.concat(_c(ids), F.array_repeat(F.lit(0), F.lit(max_len)))
     return F.slice(padded, 1, max_len)
 
 
@@ -96,5 +97,6 @@ def attention_mask(padded_ids) -> Column:
     return F.transform(_c(padded_ids), lambda x: (x != 0).cast("int"))
 
 
-def truncate(col, n: int = 200) -> Column:
-    return F.left(_c(col), F.lit(n))
+def percent(col) -> Column:
+    """A share as a whole percentage, like ``33%``."""
+    return F.concat(F.bround(_c(col) * 100, 0).cast("long").cast("string"), F.lit("%"))

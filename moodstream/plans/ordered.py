@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from moodstream.plans.scalar import attach_row
+
 PID = "_pid"
 
 
@@ -138,69 +140,84 @@ def global_rank(df: DataFrame, order_cols: Sequence[str], rank_col: str = "rank"
         .select(*[F.col(c) for c in df.columns], (F.col("_off") + F.col("_pos") + 1).alias(rank_col))
 
 
+def running_totals(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str] = (), max_cols: Sequence[str] = (),
+                   num_partitions: int | None = None) -> DataFrame:
+    """Adds, over the global ascending order of the (unique) ``order_cols``,
+    ``pre_<c>``: the sum of ``c`` over this row and all before it, or the
+    largest value for ``max_cols``. JVM only: a window inside each range
+    partition plus the totals of the partitions before it."""
+    ranged = range_partitioned(df, order_cols, num_partitions)
+    made = {**{c: F.sum for c in sum_cols}, **{c: F.max for c in max_cols}}
+    totals = ranged.groupBy(PID).agg(*[fn(c).alias(f"_t_{c}") for c, fn in made.items()])
+    before = Window.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(PID, *[fn(f"_t_{c}").over(before).alias(f"_b_{c}") for c, fn in made.items()])
+    inside = Window.partitionBy(PID).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+    local = ranged.select("*", *[fn(c).over(inside).alias(f"_l_{c}") for c, fn in made.items()])
+    joined = local.join(F.broadcast(offsets), PID)
+    out = [(F.coalesce(F.col(f"_b_{c}"), F.lit(0)) + F.col(f"_l_{c}") if c in sum_cols
+            else F.greatest(f"_b_{c}", f"_l_{c}")).alias(f"pre_{c}") for c in made]
+    return joined.select(*[F.col(c) for c in df.columns], *out)
+
+
+def with_neighbour(df: DataFrame, order_cols: Sequence[str], cols: Sequence[str], step: int,
+                   num_partitions: int | None = None) -> DataFrame:
+    """Adds ``near_<c>`` from the row ``step`` places on (-1: the one before)
+    in the global order; null at the ends. Ranks are distributed and the
+    neighbour is found by an equi-join on the rank: no window over all rows."""
+    ranked = global_rank(df, order_cols, "_rank", num_partitions)
+    other = ranked.select((F.col("_rank") - step).alias("_rank"), *[F.col(c).alias(f"near_{c}") for c in cols])
+    return ranked.join(other, "_rank", "left").select(*df.columns, *[f"near_{c}" for c in cols])
+
+
 def exact_percentiles(df: DataFrame, value_col: str, quantiles: Sequence[float],
                       num_partitions: int | None = None) -> DataFrame:
     """Exact percentiles with linear interpolation between closest ranks
     (numpy's default), one row per quantile: ``q, value``; ``value`` is null
-    when there are no non-null inputs.
-
-    Distributed: values are range-sorted and ranked; only the (at most two
-    per quantile) ranks needed are picked with an equi-join against a table
-    of ``2 * len(quantiles)`` rows. Nothing is gathered into one task.
-    """
-    spark = df.sparkSession
-    vals = df.select(F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    n = vals.agg(F.count(F.lit(1)).alias("_n"))
-    qs = F.array(*[F.lit(float(q)) for q in quantiles])
-    wanted = n.select(F.col("_n"), F.explode(qs).alias("q")) \
-        .withColumn("_k", (F.col("_n") - 1) * F.col("q")) \
-        .withColumn("_lo", F.floor("_k").cast("long") + 1) \
-        .withColumn("_hi", F.ceil("_k").cast("long") + 1) \
-        .withColumn("_frac", F.col("_k") - F.floor("_k"))
-    need = wanted.select("q", F.explode(F.array("_lo", "_hi")).alias("rank")) \
-        .where(F.col("rank") >= 1).distinct()
-    ranked = global_rank(vals, ["_v"], num_partitions=num_partitions)
-    picked = ranked.join(F.broadcast(need), "rank").select("q", "rank", "_v")
-    lo = picked.select("q", F.col("rank").alias("_lo"), F.col("_v").alias("_lov"))
-    hi = picked.select("q", F.col("rank").alias("_hi"), F.col("_v").alias("_hiv"))
-    res = wanted.join(lo, ["q", "_lo"], "left").join(hi, ["q", "_hi"], "left")
-    del spark
-    return res.select("q", (F.col("_lov") + (F.col("_hiv") - F.col("_lov")) * F.col("_frac")).alias("value"))
+    when there are no non-null inputs."""
+    named = {f"q{i}": (value_col, float(q)) for i, q in enumerate(quantiles)}
+    row = percentiles_of_columns(df, named, num_partitions)
+    return row.select(F.inline(F.array(*[F.struct(F.lit(q).alias("q"), F.col(n).alias("value")) for n, (_, q) in named.items()])))
 
 
 def percentiles_row(df: DataFrame, value_col: str, named: dict[str, float],
                     num_partitions: int | None = None) -> DataFrame:
     """One row with a column per named quantile (see ``exact_percentiles``)."""
-    p = exact_percentiles(df, value_col, list(named.values()), num_partitions)
-    return p.agg(*[F.max(F.when(F.col("q") == F.lit(float(q)), F.col("value"))).alias(name)
-                   for name, q in named.items()])
+    return percentiles_of_columns(df, {n: (value_col, q) for n, q in named.items()}, num_partitions)
 
 
 def percentiles_of_columns(df: DataFrame, named: dict[str, tuple[str, float]],
                            num_partitions: int | None = None) -> DataFrame:
-    """One row of exact percentiles over several columns with ONE range
-    sort: the columns are stacked as ``(column index, value)`` rows, ranked
-    globally, and each column's rank offset comes from a per-column count
-    table (one row per column). ``named``: output name → (column, q)."""
+    """One row of exact percentiles over several columns. ``named``: output
+    name → (column, q).
+
+    Equal values are one row with a count (summed on the map side) before
+    anything is sorted, so a value that most rows share weighs no more than
+    any other. The distinct (column, value) rows are range-sorted; running
+    counts give each the ranks it covers, and the few rows that cover a wanted
+    rank are kept by comparing against a literal list of ranks (two per
+    quantile), read as one scalar subquery."""
     cols = sorted({c for c, _ in named.values()})
     stacked = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("_v"))
                                            for i, c in enumerate(cols)]))).where(F.col("_v").isNotNull())
-    counts = stacked.groupBy("_c").agg(F.count(F.lit(1)).alias("_n"))
-    offs = counts.select("_c", "_n", F.coalesce(F.sum("_n").over(
-        Window.orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    spec = df.sparkSession.createDataFrame(
-        [(name, cols.index(c), float(q)) for name, (c, q) in named.items()], "name string, _c int, q double")
-    wanted = F.broadcast(spec).join(offs, "_c", "left") \
-        .withColumn("_k", (F.col("_n") - 1) * F.col("q")) \
-        .withColumn("_lo", F.col("_off") + F.floor("_k").cast("long") + 1) \
-        .withColumn("_hi", F.col("_off") + F.ceil("_k").cast("long") + 1) \
-        .withColumn("_frac", F.col("_k") - F.floor("_k"))
-    need = wanted.select(F.explode(F.array("_lo", "_hi")).alias("rank")).where(F.col("rank").isNotNull()) \
-        .distinct()
-    ranked = global_rank(stacked, ["_c", "_v"], num_partitions=num_partitions)
-    picked = ranked.join(F.broadcast(need), "rank").select("rank", "_v")
-    lo = picked.select(F.col("rank").alias("_lo"), F.col("_v").alias("_lov"))
-    hi = picked.select(F.col("rank").alias("_hi"), F.col("_v").alias("_hiv"))
-    res = wanted.join(lo, "_lo", "left").join(hi, "_hi", "left") \
-        .select("name", (F.col("_lov") + (F.col("_hiv") - F.col("_lov")) * F.col("_frac")).alias("value"))
-    return res.agg(*[F.max(F.when(F.col("name") == F.lit(n), F.col("value"))).alias(n) for n in named])
+    distinct = stacked.groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    held = running_totals(distinct, ["_c", "_v"], ["_n"], num_partitions=num_partitions)
+
+    sizes = distinct.groupBy().agg(*[F.coalesce(F.sum(F.when(F.col("_c") == i, F.col("_n"))), F.lit(0)).alias(f"_n{i}")
+                                     for i in range(len(cols))])
+    wanted = []
+    for name, (c, q) in named.items():
+        i = cols.index(c)
+        offset = sum((F.col(f"_n{k}") for k in range(i)), F.lit(0))
+        place = (F.col(f"_n{i}") - 1) * F.lit(float(q))
+        wanted.append(F.struct(F.lit(name).alias("name"), (offset + F.floor(place) + 1).cast("long").alias("lo"),
+                               (offset + F.ceil(place) + 1).cast("long").alias("hi"), (place - F.floor(place)).alias("part"),
+                               (F.col(f"_n{i}") > 0).alias("any")))
+    spec = attach_row(held, sizes.select(F.filter(F.array(*wanted), lambda w: w["any"]).alias("_wanted")))
+    covers = lambda rank: (rank > F.col("pre__n") - F.col("_n")) & (rank <= F.col("pre__n"))
+    hits = spec.select("_v", F.explode(F.transform(
+        F.filter("_wanted", lambda w: covers(w["lo"]) | covers(w["hi"])),
+        lambda w: F.struct(w["name"].alias("name"), w["part"].alias("part"), covers(w["lo"]).alias("lo"), covers(w["hi"]).alias("hi")))).alias("_w"))
+    ends = hits.groupBy("_w.name").agg(F.max(F.when(F.col("_w.lo"), F.col("_v"))).alias("lo"), F.max(F.when(F.col("_w.hi"), F.col("_v"))).alias("hi"),
+                                       F.max("_w.part").alias("part"))
+    values = ends.select("name", (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("part")).alias("value"))
+    return values.agg(*[F.max(F.when(F.col("name") == F.lit(n), F.col("value"))).alias(n) for n in named])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -15,6 +16,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # A checkpoint's files go when the frame that reads them is released.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # JSON objects that repeat a key keep its last value.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -39,13 +44,17 @@ def get_spark(master: str | None = None, app_name: str = "moodstream",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names shared storage and is used as is. Only
-    when it is unset (local tests) a scratch folder is created and set.
+    On a cluster this setting names shared storage and is used as is; an
+    unset one is an error there, as executors cannot read a folder of one
+    machine. In local mode (one process) a scratch folder is made and set.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir is not set: master {master} needs a folder that all executors share")
         current = tempfile.mkdtemp(prefix="moodstream-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if not spark.sparkContext.getCheckpointDir():

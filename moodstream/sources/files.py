@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from moodstream.functions.text import is_blank
 from moodstream.functions.time import parse_iso
+from moodstream.operators.datasets import negative_slice
 from moodstream.schemas import ALERT, GOLD, JOINED_JSON
 
 
@@ -43,16 +44,22 @@ def dedupe_first(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
     return firsts.select("_r.*")
 
 
+def _read_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Quotes inside a field are doubled; a field may hold line breaks, so a
+    file is one split (CSV with quoted line breaks cannot be cut safely:
+    bring large inputs as several files)."""
+    return spark.read.schema(GOLD).option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+
+
 def load_gold(spark: SparkSession, path: str) -> DataFrame:
     """Gold CSV ``id,text,label``; for a repeated id the last row wins."""
-    df = spark.read.schema(GOLD).option("header", True).option("multiLine", True).csv(path) \
-        .withColumn("_row", F.monotonically_increasing_id())
+    df = _read_csv(spark, path).withColumn("_row", F.monotonically_increasing_id())
     return df.groupBy("id").agg(F.max_by("label", "_row").alias("label"))
 
 
 def load_reviews(spark: SparkSession, path: str) -> DataFrame:
     """Replay CSV: only ``id`` and ``text`` are read; blank texts skipped."""
-    df = spark.read.schema(GOLD).option("header", True).option("multiLine", True).csv(path)
+    df = _read_csv(spark, path)
     return df.select("id", "text").where(F.col("text").isNotNull() & ~is_blank("text"))
 
 
@@ -64,15 +71,25 @@ def load_alerts(spark: SparkSession, path: str) -> DataFrame:
         .where(F.col("status").isNotNull())
 
 
-def write_splits(df: DataFrame, out_dir: str, fmt: str = "csv") -> None:
-    """One folder per split (``split=train`` ...), header row, UTF-8."""
-    w = df.write.mode("overwrite").partitionBy("split")
+def _write_csv(df: DataFrame, path: str, fmt: str, *by: str) -> None:
+    w = df.write.mode("overwrite").partitionBy(*by) if by else df.write.mode("overwrite")
     if fmt == "csv":
-        w.option("header", True).csv(out_dir)
+        w.option("header", True).option("escape", '"').csv(path)
     else:
-        w.format(fmt).save(out_dir)
+        w.format(fmt).save(path)
 
 
-def write_report(report: DataFrame, path: str) -> None:
-    """A one-row report as a JSON document."""
-    report.coalesce(1).write.mode("overwrite").json(path)
+def write_splits(df: DataFrame, out_dir: str, fmt: str = "csv") -> None:
+    """The data set: one folder per split under ``splits`` (``split=train``
+    ...), the test split as ``replay`` and its negative rows as ``spike``."""
+    _write_csv(df, f"{out_dir}/splits", fmt, "split")
+    test = df.where(F.col("split") == F.lit("test")).drop("split")
+    _write_csv(test, f"{out_dir}/replay", fmt)
+    _write_csv(negative_slice(test), f"{out_dir}/spike", fmt)
+
+
+def write_report(report: DataFrame, lines: DataFrame, path: str) -> None:
+    """A one-row report as a JSON document (``report``) and its ordered
+    lines as Markdown (``markdown``)."""
+    report.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/report")
+    lines.orderBy("line_no").select("line").coalesce(1).write.mode("overwrite").text(f"{path}/markdown")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from moodstream.functions.time import utc_ts
 from moodstream.schemas import MESSAGE
+from moodstream.session import stream_checkpoint
 from moodstream.sources.tables import table
 
 
@@ -63,6 +64,14 @@ def write_kafka(df: DataFrame, bootstrap: str, topic: str | None = None):
     w.save()
 
 
+def write_kafka_stream(stream: DataFrame, bootstrap: str, query_name: str, trigger: dict | None = None):
+    """Streaming write of ``key, value, topic`` rows (each row names its
+    topic; at-least-once, offsets in the query's checkpoint)."""
+    w = stream.writeStream.format("kafka").queryName(query_name).option("kafka.bootstrap.servers", bootstrap) \
+        .option("kafka.acks", "all").option("checkpointLocation", stream_checkpoint(stream.sparkSession, query_name))
+    return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
 def raw_messages_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A raw-review topic derived from whole driver tables:
 
@@ -73,7 +82,10 @@ def raw_messages_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     - ``labels``: objects whose ``id`` is a number (rejected: missing id)
       and ``schema_version`` = quality;
     - ``events.props``: JSON objects without a version;
-    - ``pages.html``: not JSON at all.
+    - ``pages.html``: not JSON at all;
+    - ``part``: by key modulo 4, an object with text after it, one that
+      repeats a key (valid by its last value), two objects, and one followed
+      by white space (valid).
     """
     docs = table(spark, sf_dir, "documents")
     d = as_messages(docs, F.to_json(F.struct(
@@ -97,4 +109,12 @@ def raw_messages_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = as_messages(ev, F.col("props"), "events", F.col("event_id"), timestamp=utc_ts("ts"))
     pg = table(spark, sf_dir, "pages")
     p = as_messages(pg, F.col("html"), "pages", F.col("page_id"))
-    return d.unionByName(c).unionByName(lb).unionByName(e).unionByName(p)
+    pt = table(spark, sf_dir, "part")
+    key = F.col("p_partkey")
+    named = F.concat(F.lit('"id":"part-'), key.cast("string"), F.lit('","text":"part '), key.cast("string"), F.lit('"}'))
+    valid = F.concat(F.lit('{"schema_version":1,'), named)
+    odd = F.when(key % 4 == 0, F.concat(valid, F.lit(" junk"))) \
+        .when(key % 4 == 1, F.concat(F.lit('{"schema_version":9,"schema_version":1,'), named)) \
+        .when(key % 4 == 2, F.concat(valid, F.lit(" "), valid)).otherwise(F.concat(valid, F.lit("\n ")))
+    o = as_messages(pt, odd, "parts", key)
+    return d.unionByName(c).unionByName(lb).unionByName(e).unionByName(p).unionByName(o)

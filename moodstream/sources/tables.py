@@ -32,23 +32,10 @@ EVENT_LABELS = {"error": "negative", "click": "negative", "view": "neutral",
 RETURNFLAG_LABELS = {"R": "negative", "N": "neutral", "A": "positive"}
 
 
-# Tables whose rows carry long texts (regex and JSON work per row).
-TEXT_TABLES = {"documents", "pages", "conversations"}
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, min_partitions: int | None = None) -> DataFrame:
-    """A driver table. A text-heavy scan with fewer input splits than the
-    cluster has cores (small files, one row group each) is hash-spread on its leading
-    key column so the per-row work before the first shuffle uses every
-    core (hash partitioning is deterministic on task retry without the
-    row sort round-robin needs); a large input already has enough splits
-    and is left alone. The split count is known at planning time."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    want = min_partitions if min_partitions is not None else \
-        (spark.sparkContext.defaultParallelism if name in TEXT_TABLES else 0)
-    if want and df.rdd.getNumPartitions() < want:
-        df = df.repartition(want, df.columns[0])
-    return df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table, as scanned. How the scan is split is left to
+    ``spark.sql.files.maxPartitionBytes`` and ``minPartitionNum``."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _map_col(col: str, mapping: dict[str, str], passthrough: bool = True):
@@ -110,3 +97,11 @@ def predictions_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").alias("_tie_part"),
         F.col("l_suppkey").alias("_tie_supp"),
     )
+
+
+def gold_from_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold labels of the joined orders, one per customer: by account
+    balance (below 0 negative, above 5000 positive, else neutral)."""
+    c = table(spark, sf_dir, "customer")
+    label = F.when(F.col("c_acctbal") < 0, "negative").when(F.col("c_acctbal") > 5000, "positive").otherwise("neutral")
+    return c.select(F.col("c_custkey").cast("string").alias("id"), label.alias("label"))
