@@ -8,10 +8,10 @@ job; it gets an ``error`` and is routed to the dead-letter table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from moodstream.functions.text import is_blank, py_strip
+from moodstream.functions.text import is_blank
 from moodstream.functions.time import iso_utc, parse_iso
 from moodstream.schemas import SCHEMA_VERSION
 
@@ -78,8 +78,21 @@ def _is_object(v: Column) -> Column:
     return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
 
 
+def _whole(t: Column) -> Column:
+    """The JSON text as VARIANT; null unless it is exactly one JSON value.
+
+    The parser stops after the first value. As the only element of an array
+    and the only field of an object, a text with anything after its value
+    cannot pass both. A repeated key keeps its last value
+    (``spark.sql.variant.allowDuplicateKeys``, set by ``get_spark``); the
+    non-standard numbers ``NaN`` and ``Infinity`` are rejected."""
+    alone = (F.json_array_length(F.concat(F.lit("["), t, F.lit("]"))) == 1) & \
+        (F.size(F.json_object_keys(F.concat(F.lit('{"v":'), t, F.lit("}")))) == 1)
+    return F.when(alone, F.try_parse_json(t))
+
+
 def _parsed(value) -> Column:
-    return F.try_parse_json(payload_text(value))
+    return _whole(payload_text(value))
 
 
 def raw_error_of(v: Column) -> Column:
@@ -110,12 +123,13 @@ def keyed_error(value) -> Column:
 
 
 def prediction_error_of(v: Column) -> Column:
-    """Alert-input contract: parse, version 1, label and a parsable
+    """Alert-input contract: parse, version 1, id, label and a parsable
     ``predicted_at``. Failures are skipped (and counted), never DLQ'd."""
     ts = parse_iso(F.try_variant_get(v, "$.predicted_at", "string"))
     return F.when(v.isNull(), F.lit(ERR_NOT_JSON)) \
         .when(~_is_object(v), F.lit(ERR_NOT_OBJECT)) \
         .when(~_version_ok(v), F.lit(ERR_VERSION)) \
+        .when(~_id_ok(v), F.lit(ERR_NO_ID)) \
         .when(F.try_variant_get(v, "$.label", "string").isNull(), F.lit("missing label")) \
         .when(ts.isNull(), F.lit("bad predicted_at"))
 
@@ -136,39 +150,40 @@ def _fields_of(v: Column) -> list[Column]:
     ]
 
 
-def _with_parse(messages: DataFrame, value_col: str) -> DataFrame:
-    # The parse is a column of its own: the checks and field reads below
-    # reference it, so each payload is parsed once (CollapseProject does not
-    # inline a non-trivial expression that is used several times).
-    return messages.select("*", _parsed(value_col).alias("_v"))
+def _checked(messages: DataFrame, value_col: str, error_of, fields_of) -> DataFrame:
+    """The message columns with ``error`` and typed fields, one parse per row.
+
+    Text and VARIANT are columns of their own, and the result comes out of a
+    generator over one struct: a later filter on ``error`` cannot be pushed
+    below it, which would repeat the parse on both sides."""
+    m = messages.select("*", payload_text(value_col).alias("_t"))
+    m = m.select(*messages.columns, _whole(F.col("_t")).alias("_v"))
+    v = F.col("_v")
+    return m.select(*messages.columns, F.inline(F.array(F.struct(error_of(v).alias("error"), *fields_of(v)))))
 
 
 def parse_raw(messages: DataFrame, value_col: str = "value") -> DataFrame:
     """Message frame → same rows with ``error`` and the typed raw fields
     (``schema_version, id, text, source, source_id, produced_at``)."""
-    m = _with_parse(messages, value_col)
-    v = F.col("_v")
-    return m.select(*messages.columns, raw_error_of(v).alias("error"), *_fields_of(v))
+    return _checked(messages, value_col, raw_error_of, _fields_of)
 
 
 def parse_keyed(messages: DataFrame, value_col: str = "value") -> DataFrame:
-    m = _with_parse(messages, value_col)
-    v = F.col("_v")
-    return m.select(*messages.columns, keyed_error_of(v).alias("error"), *_fields_of(v))
+    return _checked(messages, value_col, keyed_error_of, _fields_of)
 
 
-def parse_predictions(messages: DataFrame, value_col: str = "value") -> DataFrame:
-    """Alert input: valid rows only (``predicted_at, label, id`` added); use
-    ``observe`` on ``prediction_error`` to count the skipped ones."""
-    m = _with_parse(messages, value_col)
-    v = F.col("_v")
-    ok = m.where(prediction_error_of(v).isNull())
-    return ok.select(
-        *messages.columns,
+def parse_predictions(messages: DataFrame, value_col: str = "value", observation: Observation | None = None) -> DataFrame:
+    """Alert input: valid rows only (``predicted_at, label, id`` added).
+    ``observation`` (optional) receives ``seen`` and ``skipped`` counts."""
+    fields = lambda v: [
         parse_iso(F.try_variant_get(v, "$.predicted_at", "string")).alias("predicted_at"),
         F.try_variant_get(v, "$.label", "string").alias("label"),
         F.try_variant_get(v, "$.id", "string").alias("id"),
-    )
+    ]
+    checked = _checked(messages, value_col, prediction_error_of, fields)
+    if observation is not None:
+        checked = checked.observe(observation, F.count(F.lit(1)).alias("seen"), F.count("error").alias("skipped"))
+    return checked.where(F.col("error").isNull()).drop("error")
 
 
 def split_valid(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -218,6 +233,19 @@ def validate_incoming(df: DataFrame, text_col: str = "text", source_col: str = "
     return df.withColumn("rejected_reason", reason)
 
 
+def build_raw(incoming: DataFrame, id_expr: Column | None = None, produced_at: Column | None = None) -> DataFrame:
+    """Accepted requests (``validate_incoming`` with no reason) as raw
+    messages: a new id and the produce time added (a random UUID and now,
+    unless given). The id is also the key of the message."""
+    accepted = incoming.where(F.col("rejected_reason").isNull())
+    return accepted.select(
+        F.lit(SCHEMA_VERSION).alias("schema_version"),
+        (id_expr if id_expr is not None else F.expr("uuid()")).cast("string").alias("id"),
+        "text", "source", "source_id",
+        (produced_at if produced_at is not None else F.current_timestamp()).alias("produced_at"),
+    )
+
+
 def prediction_payload(df: DataFrame, with_time: bool = True) -> DataFrame:
     """Prediction record: confidence and scores to 4 dp, inference_ms to 2."""
     cols = [
@@ -234,16 +262,18 @@ def prediction_payload(df: DataFrame, with_time: bool = True) -> DataFrame:
     return df.select(*cols)
 
 
-def to_json_value(df: DataFrame, key_col: str | None = "id") -> DataFrame:
-    """``key, value`` for a Kafka-style sink: UTF-8 JSON with nulls kept
-    (default ``to_json`` drops them) and timestamps as UTC ISO text."""
+def to_json_value(df: DataFrame, key_col: str | None = "id", topic: str | Column | None = None) -> DataFrame:
+    """``key, value[, topic]`` for a Kafka-style sink: UTF-8 JSON with nulls
+    kept (default ``to_json`` drops them) and timestamps as UTC ISO text.
+    ``topic``: a topic name, or a column that names each row's topic (left
+    out of the value when it is one of the frame's)."""
+    named = F.lit(topic) if isinstance(topic, str) and topic not in df.columns else _c(topic) if topic is not None else None
     cols = []
     for name, dtype in df.dtypes:
+        if isinstance(topic, str) and name == topic:
+            continue
         cols.append(iso_utc(name).alias(name) if dtype.startswith("timestamp") else F.col(name))
     value = F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
     key = F.col(key_col).cast("binary") if key_col else F.lit(None).cast("binary")
-    return df.select(key.alias("key"), value.cast("binary").alias("value"))
-
-
-def strip_text(df: DataFrame, col: str = "text") -> DataFrame:
-    return df.withColumn(col, py_strip(col))
+    out = [key.alias("key"), value.cast("binary").alias("value")]
+    return df.select(*out, *([named.cast("string").alias("topic")] if named is not None else []))

@@ -19,12 +19,14 @@ skewed in the join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moodstream.functions.time import epoch_micros, iso_utc, ms_between
 from moodstream.operators.contracts import STAGE_JOIN, source_struct
-from moodstream.schemas import SCHEMA_VERSION
+from moodstream.schemas import PREDICTION as PREDICTION_SCHEMA
+from moodstream.schemas import PREDICTIONS_TOPIC, RAW_TOPIC, SCHEMA_VERSION
+from moodstream.schemas import RAW as RAW_SCHEMA
 
 RAW, PREDICTION = "raw", "prediction"
 
@@ -96,31 +98,48 @@ def build_joined(pairs: DataFrame, raw_ts: str = "produced_at", pred_ts: str = "
     )
 
 
-def expired(pairs: DataFrame, ttl_seconds: float, raw_topic: str = "reviews.raw",
-            pred_topic: str = "reviews.predictions", offset_col: str = "offset",
+def contract_payload(half: str, names: list[str], contract: list[str]) -> Column:
+    """A half as JSON: the fields of its message contract that it has, in
+    contract order (the transport columns around them are left out)."""
+    cols = []
+    for c in contract:
+        if c == "schema_version" and c not in names:
+            cols.append(F.lit(SCHEMA_VERSION).alias(c))
+        elif c in names:
+            value = F.col(f"{half}{c}")
+            cols.append((iso_utc(value) if c.endswith("_at") else value).alias(c))
+    return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
+
+
+def expired_error(missing: str, ttl_seconds: float) -> Column:
+    return F.lit(f"join_ttl_expired: no {missing} for id within {_ttl_text(ttl_seconds)}s")
+
+
+def expired(pairs: DataFrame, ttl_seconds: float, raw_topic: str = RAW_TOPIC,
+            pred_topic: str = PREDICTIONS_TOPIC, offset_col: str = "offset",
             partition_col: str | None = "partition", with_time: bool = True) -> DataFrame:
     """DLQ rows for first halves that did not join (J2): one per side
-    present. ``original_payload`` is the half re-serialised as JSON
-    (timestamps as UTC ISO text)."""
-    ttl = _ttl_text(ttl_seconds)
-    out = None
-    for side, other, topic in ((RAW, PREDICTION, raw_topic), (PREDICTION, RAW, pred_topic)):
-        names = pairs.schema[side].dataType
-        fields = [iso_utc(F.col(f"{side}.{f.name}")).alias(f.name) if f.dataType.typeName().startswith("timestamp")
-                  else F.col(f"{side}.{f.name}").alias(f.name) for f in names.fields]
-        payload = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
-        part = F.col(f"{side}.{partition_col}") if partition_col and partition_col in names.fieldNames() \
-            else F.lit(0)
-        rows = pairs.where(~F.col("joined") & F.col(side).isNotNull()).select(
-            F.lit(SCHEMA_VERSION).alias("schema_version"),
-            F.lit(STAGE_JOIN).alias("stage"),
-            F.lit(f"join_ttl_expired: no {other} for id within {ttl}s").alias("error"),
-            payload.alias("original_payload"),
-            source_struct(F.lit(topic), part, F.col(f"{side}.{offset_col}")).alias("source"),
-            *([F.current_timestamp().alias("failed_at")] if with_time else []),
-        )
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    present, both sides out of one pass over the pairs.
+    ``original_payload`` holds the half's contract fields as JSON."""
+    halves = []
+    for side, other, topic, contract in ((RAW, PREDICTION, raw_topic, RAW_SCHEMA), (PREDICTION, RAW, pred_topic, PREDICTION_SCHEMA)):
+        names = pairs.schema[side].dataType.fieldNames()
+        part = F.col(f"{side}.{partition_col}") if partition_col and partition_col in names else F.lit(0)
+        halves.append(F.when(F.col(side).isNotNull(), F.struct(
+            expired_error(other, ttl_seconds).alias("error"),
+            contract_payload(f"{side}.", names, contract.fieldNames()).alias("original_payload"),
+            source_struct(F.lit(topic), part, F.col(f"{side}.{offset_col}")).alias("source"))))
+    present = F.filter(F.array(*halves), lambda h: h.isNotNull())
+    return pairs.where(~F.col("joined")).select(F.inline(present)).select(
+        F.lit(SCHEMA_VERSION).alias("schema_version"), F.lit(STAGE_JOIN).alias("stage"), "error", "original_payload", "source",
+        *([F.current_timestamp().alias("failed_at")] if with_time else []))
+
+
+def run_counters(pairs: DataFrame, parsed: DataFrame) -> DataFrame:
+    """``outcome, n`` of a run: the join's outcomes and the ``malformed``
+    messages of its input (``parsed``: rows with ``error``)."""
+    bad = parsed.agg(F.count("error").alias("n")).select(F.lit("malformed").alias("outcome"), "n")
+    return outcome_counts(pairs).unionByName(bad)
 
 
 def outcome_counts(pairs: DataFrame) -> DataFrame:

@@ -1,120 +1,81 @@
-"""Spike alerts on a live prediction stream (arrival-order semantics).
-
-State per stream key (default: one key for the whole stream; pass a key
-column such as ``source`` to scale out): the events inside the window, as
-sorted (timestamp, negative) arrays, the latest timestamp seen and the
-firing flag. Events are processed in arrival order (partition, offset)
-within a micro-batch:
-
-- the right edge is the max timestamp seen, never the wall clock;
-- a late event still inside ``(latest − W, latest]`` is inserted in order
-  and counted; one already outside is dropped;
-- the window never moves back; state holds only what is inside it.
-
-The state survives restarts through the query checkpoint.
+"""Spike alerts on a live prediction stream, in order of arrival.
+
+Each micro-batch runs the batch operators (``alerts.arrival_spikes``) over
+the events kept from before and its own, so the work is spread over the
+cluster and no state sits in one group. Kept are the events that are still
+inside the window, as a table; what else carries over is one flag (firing or
+not). The state of a batch is written as version ``batch_id`` of a folder, and
+a batch that runs again starts from the version before and replaces its own:
+state, alerts and input offsets stay in step. Versions before the last one
+are not read any more and can be deleted.
+
+Late events count from their arrival while they are inside the window; the
+window's right edge is the latest time seen and never moves back.
 """
 
 from __future__ import annotations
 
-import bisect
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
-
-from moodstream.functions.time import epoch_micros
-from moodstream.operators.alerts import SpikeParams
-
-STATE = T.StructType([
-    T.StructField("ts", T.ArrayType(T.LongType())),
-    T.StructField("neg", T.ArrayType(T.BooleanType())),
-    T.StructField("latest", T.LongType()),
-    T.StructField("firing", T.BooleanType()),
-])
-
-OUT = T.StructType([
-    T.StructField("stream_key", T.StringType()),
-    T.StructField("status", T.StringType()),
-    T.StructField("window_start_us", T.LongType()),
-    T.StructField("window_end_us", T.LongType()),
-    T.StructField("total", T.LongType()),
-    T.StructField("negative", T.LongType()),
-    T.StructField("negative_share", T.DoubleType()),
-])
-
-
-class WindowState:
-    """Sorted events of the current window (pure helper, no Spark)."""
-
-    def __init__(self, window_us: int, ts=None, neg=None, latest=None):
-        self.w = window_us
-        self.ts = list(ts or [])
-        self.neg = list(neg or [])
-        self.n_neg = sum(self.neg)
-        self.latest = latest
-
-    def add(self, t: int, is_neg: bool):
-        self.latest = t if self.latest is None else max(self.latest, t)
-        cutoff = self.latest - self.w
-        if t > cutoff:
-            i = bisect.bisect_right(self.ts, t)
-            self.ts.insert(i, t)
-            self.neg.insert(i, bool(is_neg))
-            self.n_neg += bool(is_neg)
-        k = bisect.bisect_right(self.ts, cutoff)
-        if k:
-            self.n_neg -= sum(self.neg[:k])
-            del self.ts[:k], self.neg[:k]
-        start = self.ts[0] if self.ts else self.latest
-        return start, self.latest, len(self.ts), self.n_neg
-
-
-def _detector(params: SpikeParams):
-    w_us = params.window_us
-
-    def step(key, pdfs, state):
-        if state.exists:
-            ts, neg, latest, firing = state.get
-            win = WindowState(w_us, ts, neg, latest)
-        else:
-            win, firing = WindowState(w_us), False
-        pdf = pd.concat(list(pdfs), ignore_index=True)
-        pdf = pdf.sort_values(["_p", "_o"], kind="stable")
-        out = []
-        for t, is_neg in zip(pdf["_t"].tolist(), pdf["_n"].tolist()):
-            start, end, total, negative = win.add(int(t), bool(is_neg))
-            if total < params.min_count:
-                continue
-            share = negative / total if total else 0.0
-            if not firing and share >= params.threshold:
-                firing = True
-                out.append((key[0], "firing", start, end, total, negative, share))
-            elif firing and share < params.rearm_below:
-                firing = False
-                out.append((key[0], "resolved", start, end, total, negative, share))
-        state.update((win.ts, win.neg, win.latest, firing))
-        yield pd.DataFrame(out, columns=OUT.fieldNames())
-
-    return step
-
-
-def spike_alerts(stream: DataFrame, params: SpikeParams, key_col: str | None = None,
-                 ts_col: str = "predicted_at", label_col: str = "label",
-                 partition_col: str = "partition", offset_col: str = "offset") -> DataFrame:
-    """Alert transitions of a (streaming or batch) prediction frame:
-    ``stream_key, status, window_start, window_end, total, negative,
-    negative_share``. Rows with a null timestamp are skipped."""
-    keyed = stream.select(
-        (F.col(key_col).cast("string") if key_col else F.lit("all")).alias("stream_key"),
-        epoch_micros(ts_col).alias("_t"),
-        (F.col(label_col) == F.lit("negative")).alias("_n"),
-        F.coalesce(F.col(partition_col).cast("long"), F.lit(0)).alias("_p"),
-        F.col(offset_col).cast("long").alias("_o"),
-    ).where(F.col("_t").isNotNull())
-    res = keyed.groupBy("stream_key").applyInPandasWithState(
-        _detector(params), OUT, STATE, "append", GroupStateTimeout.NoTimeout)
-    return res.select("stream_key", "status", F.timestamp_micros("window_start_us").alias("window_start"),
-                      F.timestamp_micros("window_end_us").alias("window_end"), "total", "negative",
-                      "negative_share")
+
+from moodstream.functions.time import epoch_micros, from_micros
+from moodstream.operators.alerts import SpikeParams, arrival_spikes, build_alerts
+from moodstream.session import stream_checkpoint
+
+ORDER = ["_gen", "_from", "_at"]
+KEPT = "t_us long, negative boolean, place long"
+
+
+def as_events(batch: DataFrame, ts_col: str = "predicted_at", label_col: str = "label",
+              partition_col: str = "partition", offset_col: str = "offset") -> DataFrame:
+    """Prediction rows in the shape of the state: time, flag and place."""
+    return batch.select(
+        F.lit(1).alias("_gen"), F.coalesce(F.col(partition_col).cast("long"), F.lit(0).cast("long")).alias("_from"),
+        F.col(offset_col).cast("long").alias("_at"), epoch_micros(ts_col).alias("t_us"),
+        F.coalesce(F.col(label_col) == F.lit("negative"), F.lit(False)).alias("negative")).where(F.col("t_us").isNotNull())
+
+
+def advance(kept: DataFrame, firing: bool, batch: DataFrame, params: SpikeParams,
+            num_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """One batch: (transitions of its events, events that stay inside).
+    ``kept``: rows of the state, ``batch``: rows of ``as_events``."""
+    before = kept.select(F.lit(0).alias("_gen"), F.lit(0).cast("long").alias("_from"), F.col("place").alias("_at"), "t_us", "negative")
+    both = before.unionByName(batch)
+    named = both.select(*ORDER, from_micros("t_us").alias("predicted_at"), F.when(F.col("negative"), "negative").alias("label"))
+    spikes = arrival_spikes(named, params, ORDER, rows=F.col("_gen") == 1, firing=firing, num_partitions=num_partitions)
+    edge = both.agg(F.max("t_us").alias("t")).scalar()
+    stay = both.where(F.col("t_us") > edge - F.lit(params.window_us))
+    # In order of time: each is inside when it is replayed. The number only has to be unique and rising with time.
+    stay = stay.repartitionByRange("t_us", *ORDER).sortWithinPartitions("t_us", *ORDER)
+    return spikes, stay.select("t_us", "negative", F.monotonically_increasing_id().alias("place"))
+
+
+def read_state(spark: SparkSession, state_dir: str, batch_id: int) -> tuple[DataFrame, bool]:
+    if batch_id == 0:
+        return spark.createDataFrame([], KEPT), False
+    flag = spark.read.parquet(f"{state_dir}/firing/version={batch_id - 1}").first()
+    return spark.read.schema(KEPT).parquet(f"{state_dir}/kept/version={batch_id - 1}"), flag["firing"]
+
+
+def start_alert_stream(stream: DataFrame, params: SpikeParams, state_dir: str, alerts_dir: str, query_name: str = "alerts",
+                       trigger: dict | None = None, **columns):
+    """Starts the stream: alert payloads as JSON lines in
+    ``alerts_dir/batch_id=…``. ``columns``: names for ``as_events``."""
+    spark = stream.sparkSession
+
+    def run(batch: DataFrame, batch_id: int):
+        kept, firing = read_state(spark, state_dir, batch_id)
+        held = as_events(batch, **columns).persist()
+        spikes, stay = advance(kept, firing, held, params)
+        spikes = spikes.persist()
+        build_alerts(spikes, params, keep=("arrival",)).drop("arrival").write.mode("overwrite").json(f"{alerts_dir}/batch_id={batch_id}")
+        stay.write.mode("overwrite").parquet(f"{state_dir}/kept/version={batch_id}")
+        last = spikes.agg(F.max_by("status", "arrival").alias("s")).select(
+            F.coalesce(F.col("s") == "firing", F.lit(firing)).alias("firing"))
+        last.write.mode("overwrite").parquet(f"{state_dir}/firing/version={batch_id}")
+        spikes.unpersist()
+        held.unpersist()
+
+    w = stream.writeStream.queryName(query_name).foreachBatch(run) \
+        .option("checkpointLocation", stream_checkpoint(spark, query_name))
+    return w.trigger(**(trigger or {"availableNow": True})).start()

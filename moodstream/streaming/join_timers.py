@@ -25,6 +25,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from moodstream.operators.contracts import STAGE_JOIN
 from moodstream.schemas import SCHEMA_VERSION
+from moodstream.streaming.join_stream import dedupe_period
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -103,8 +104,8 @@ def join_with_timers(messages: DataFrame, ttl_seconds: float = 300.0, dedupe_sec
     ``dedupe_seconds`` defaults to max(600, 5·ttl)."""
     spark = messages.sparkSession
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    dedupe = dedupe_seconds if dedupe_seconds is not None else max(600.0, 5 * ttl_seconds)
+        raise RuntimeError(f"timers need spark.sql.streaming.stateStore.providerClass={ROCKSDB}")
+    dedupe = dedupe_seconds if dedupe_seconds is not None else dedupe_period(ttl_seconds)
     keyed = messages.select(
         "id", F.when(F.col("topic") == F.lit(raw_topic), F.lit(RAW)).otherwise(F.lit(PREDICTION)).alias("side"),
         F.col("payload").cast("string").alias("payload"), "topic",

@@ -9,13 +9,13 @@ the query checkpoint lives in the shared checkpoint folder.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moodstream.functions.text import normalize_arabic
 from moodstream.operators import contracts
 from moodstream.session import stream_checkpoint
 
@@ -26,11 +26,12 @@ def score_batch(batch: DataFrame, scorer: Scorer, model_version: str) -> tuple[D
     """(predictions, DLQ) for one batch of raw messages. ``scorer`` takes
     ``id, text, value, topic, partition, offset`` and returns those columns
     but the text plus ``label, confidence, scores, error, inference_ms``
-    (``error`` set on rows it could not score, e.g. ``scoring.score_texts``)."""
+    (``error`` set on rows it could not score, e.g. ``scoring.score_texts``).
+    Texts reach the scorer as they came: cleaning is a stage of the model, so
+    that training and serving clean alike and once."""
     parsed = contracts.parse_raw(batch)
     good, bad = contracts.split_valid(parsed)
-    clean = good.select("id", normalize_arabic("text").alias("text"), "value", "topic", "partition", "offset")
-    scored = scorer(clean)
+    scored = scorer(good.select("id", "text", "value", "topic", "partition", "offset"))
     ok = scored.where(F.col("error").isNull()).withColumn("model_version", F.lit(model_version))
     preds = contracts.prediction_payload(ok)
     poison = scored.where(F.col("error").isNotNull())
@@ -38,17 +39,19 @@ def score_batch(batch: DataFrame, scorer: Scorer, model_version: str) -> tuple[D
     return preds, dlq
 
 
-def start_scoring_stream(messages: DataFrame, scorer_for_batch: Callable[[], tuple[Scorer, str]],
+def start_scoring_stream(messages: DataFrame, scorer_for_batch: Callable[[], tuple[Scorer, str] | None],
                          predictions_dir: str, dlq_dir: str, query_name: str = "scoring",
-                         trigger: dict | None = None):
+                         trigger: dict | None = None, poll_seconds: float = 1.0):
     """Starts the stream. ``scorer_for_batch`` is called at the start of each
     micro-batch (the place for a model refresh) and returns the scorer and
-    the model version; with no model yet it should raise, leaving input in
-    the source."""
+    the model version, or None while there is no model: the batch then waits
+    and asks again every ``poll_seconds``, its input uncommitted."""
     spark = messages.sparkSession
 
     def run(batch: DataFrame, batch_id: int):
-        scorer, version = scorer_for_batch()
+        while (served := scorer_for_batch()) is None:
+            time.sleep(poll_seconds)
+        scorer, version = served
         b = batch.persist(StorageLevel.MEMORY_AND_DISK)
         preds, dlq = score_batch(b, scorer, version)
         preds.write.mode("overwrite").parquet(f"{predictions_dir}/batch_id={batch_id}")
