@@ -12,16 +12,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodstream.operators import alerts, dashboard
-from moodstream.sources.tables import predictions_from_events
+from moodstream.sources.tables import event_label, predictions_from_events, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Parameters of the registered event-stream queries (events span 30 days;
-# the mean gap at sf0.01 is ~259 s, so a 6 h window holds ~80 events).
+# Parameters of the registered event-stream queries. The detection window is
+# as long as 80 mean gaps between events, whatever the scale factor.
 BUCKET_SECONDS = 300
 RECENT_MINUTES = 24 * 60
-SPIKE = alerts.SpikeParams(window_seconds=6 * 3600, threshold=0.5, min_count=20)
-W_US = SPIKE.window_us
+WINDOW_EVENTS, THRESHOLD, MIN_COUNT = 80, 0.5, 20
+REARM = alerts.SpikeParams(1.0, THRESHOLD, min_count=MIN_COUNT).rearm_below
+# In the late-arrival query, the events of every tenth user arrive this many events late.
+LATE_BY = 40
+
+
+def spike_params(spark: SparkSession, sf: str) -> alerts.SpikeParams:
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    row = table(spark, sf, "events").agg(F.min(us).alias("a"), F.max(us).alias("b"), F.count("ts").alias("n")).first()
+    window = WINDOW_EVENTS * ((row["b"] - row["a"]) // row["n"])
+    return alerts.SpikeParams(window / 1e6, THRESHOLD, min_count=MIN_COUNT)
+
 
 # --- shared SQL fragments (DuckDB) -------------------------------------------
 SQL_PRED = """(SELECT event_id AS seq, CAST(event_id AS VARCHAR) AS id, ts AS predicted_at,
@@ -38,27 +48,28 @@ def sql_iso(x: str) -> str:
             f"ELSE strftime({x}, '%Y-%m-%dT%H:%M:%S.%f+00:00') END")
 
 
+SQL_WIN = f"(SELECT {WINDOW_EVENTS} * ((max(epoch_us(ts)) - min(epoch_us(ts))) // count(ts)) FROM events)"
 SQL_WINDOW = f"""w AS (
   SELECT seq, t,
     CAST(count(*) OVER (ORDER BY t, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-      - count(*) OVER (ORDER BY t RANGE BETWEEN UNBOUNDED PRECEDING AND {W_US} PRECEDING) AS BIGINT) AS total,
+      - count(*) OVER (ORDER BY t RANGE BETWEEN UNBOUNDED PRECEDING AND wus PRECEDING) AS BIGINT) AS total,
     CAST(sum(neg) OVER (ORDER BY t, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-      - coalesce(sum(neg) OVER (ORDER BY t RANGE BETWEEN UNBOUNDED PRECEDING AND {W_US} PRECEDING), 0)
+      - coalesce(sum(neg) OVER (ORDER BY t RANGE BETWEEN UNBOUNDED PRECEDING AND wus PRECEDING), 0)
       AS BIGINT) AS negative,
-    min(t) OVER (ORDER BY t RANGE BETWEEN {W_US - 1} PRECEDING AND CURRENT ROW) AS start_us
-  FROM (SELECT seq, epoch_us(predicted_at) AS t, CASE WHEN label = 'negative' THEN 1 ELSE 0 END AS neg
+    min(t) OVER (ORDER BY t RANGE BETWEEN wus - 1 PRECEDING AND CURRENT ROW) AS start_us
+  FROM (SELECT seq, epoch_us(predicted_at) AS t, CASE WHEN label = 'negative' THEN 1 ELSE 0 END AS neg, {SQL_WIN} AS wus
         FROM {SQL_PRED} WHERE predicted_at IS NOT NULL)),
 ws AS (SELECT *, CASE WHEN total > 0 THEN negative / total ELSE 0.0 END AS share FROM w)"""
 
 SQL_SPIKES = f"""{SQL_WINDOW},
-sg AS (SELECT *, CASE WHEN total >= {SPIKE.min_count} AND share >= {SPIKE.threshold} THEN 1
-                      WHEN total >= {SPIKE.min_count} AND share < {SPIKE.rearm_below} THEN -1 END AS sig
+sg AS (SELECT *, CASE WHEN total >= {MIN_COUNT} AND share >= {THRESHOLD} THEN 1
+                      WHEN total >= {MIN_COUNT} AND share < {REARM} THEN -1 END AS sig
        FROM ws),
 st AS (SELECT *, coalesce(last_value(sig IGNORE NULLS) OVER (ORDER BY t, seq
          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS before FROM sg),
 spikes AS (SELECT seq, CASE WHEN sig = 1 THEN 'firing' ELSE 'resolved' END AS status,
                   make_timestamp(start_us) AS ws_ts, make_timestamp(t) AS we_ts,
-                  total, negative, share
+                  total, negative, share, {SQL_WIN} / 1e6 AS wsec
            FROM st WHERE sig IS NOT NULL AND sig <> before)"""
 
 
@@ -94,31 +105,44 @@ def q_recent_predictions(spark, sf):
 # --- events as predictions: alerting -----------------------------------------
 
 def q_sliding_share(spark, sf):
-    return alerts.sliding_share(predictions_from_events(spark, sf), SPIKE.window_seconds) \
-        .drop("order_desc")
+    window = spike_params(spark, sf).window_seconds
+    return alerts.sliding_share(predictions_from_events(spark, sf), window).drop("order_desc")
+
+
+def q_late_sliding_share(spark, sf):
+    """The window in order of arrival, with late events."""
+    late = F.when(F.col("user_id") % 10 == 0, F.lit(LATE_BY)).otherwise(F.lit(0))
+    ev = table(spark, sf, "events").select((F.col("event_id") + late).alias("place"), F.col("event_id").alias("seq"),
+                                           F.col("ts").cast("timestamp").alias("predicted_at"), event_label().alias("label"))
+    return alerts.arrival_share(ev, spike_params(spark, sf).window_seconds, ["place", "seq"]) \
+        .select("seq", "window_end", "total", "negative", "negative_share")
+
+
+def _alerts(spark, sf):
+    params = spike_params(spark, sf)
+    spikes = alerts.detect_spikes(predictions_from_events(spark, sf), params)
+    return alerts.build_alerts(spikes, params, with_ids=False, keep=("seq",))
 
 
 def q_detect_spikes(spark, sf):
-    spikes = alerts.detect_spikes(predictions_from_events(spark, sf), SPIKE)
-    return alerts.build_alerts(spikes, SPIKE, with_ids=False)
+    return _alerts(spark, sf).drop("seq")
 
 
 def q_alert_intervals(spark, sf):
-    spikes = alerts.detect_spikes(predictions_from_events(spark, sf), SPIKE)
-    return alerts.alert_intervals(alerts.build_alerts(spikes, SPIKE, with_ids=False))
+    return alerts.alert_intervals(_alerts(spark, sf))
 
 
 def q_alert_overlay(spark, sf):
-    ev = predictions_from_events(spark, sf)
-    counts = dashboard.bucket_counts(ev, BUCKET_SECONDS)
-    spikes = alerts.detect_spikes(ev, SPIKE)
-    iv = alerts.alert_intervals(alerts.build_alerts(spikes, SPIKE, with_ids=False))
-    return dashboard.share_overlay(counts, iv, BUCKET_SECONDS)
+    counts = dashboard.bucket_counts(predictions_from_events(spark, sf), BUCKET_SECONDS)
+    return dashboard.share_overlay(counts, alerts.alert_intervals(_alerts(spark, sf)), BUCKET_SECONDS)
 
 
 def q_alert_table(spark, sf):
-    spikes = alerts.detect_spikes(predictions_from_events(spark, sf), SPIKE)
-    return dashboard.alert_table(alerts.build_alerts(spikes, SPIKE, with_ids=False))
+    return dashboard.alert_table(_alerts(spark, sf))
+
+
+def q_alert_status(spark, sf):
+    return alerts.alert_status(_alerts(spark, sf))
 
 
 QUERIES: dict[str, Query] = {
@@ -132,6 +156,8 @@ QUERIES: dict[str, Query] = {
     "alert_intervals": q_alert_intervals,
     "alert_overlay": q_alert_overlay,
     "alert_table": q_alert_table,
+    "alert_status": q_alert_status,
+    "late_sliding_share": q_late_sliding_share,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -182,16 +208,29 @@ SELECT seq, make_timestamp(start_us) AS window_start, make_timestamp(t) AS windo
 WITH {SQL_SPIKES}
 SELECT 1 AS schema_version, 'negative_spike' AS type, status,
        {sql_iso('ws_ts')} AS window_start, {sql_iso('we_ts')} AS window_end,
-       CAST({float(SPIKE.window_seconds)} AS DOUBLE) AS window_seconds, total, negative,
-       round(share, 4) AS negative_share, CAST({float(SPIKE.threshold)} AS DOUBLE) AS threshold,
-       CAST({SPIKE.min_count} AS BIGINT) AS min_count
+       CAST(wsec AS DOUBLE) AS window_seconds, total, negative,
+       round(share, 4) AS negative_share, CAST({THRESHOLD} AS DOUBLE) AS threshold,
+       CAST({MIN_COUNT} AS BIGINT) AS min_count
 FROM spikes""",
+    "alert_status": f"""
+WITH {SQL_SPIKES}
+SELECT count(*) FILTER (WHERE status = 'firing') AS fired,
+  CASE WHEN count(*) > 0 THEN CAST({THRESHOLD} AS DOUBLE) END AS last_threshold FROM spikes""",
+    "late_sliding_share": f"""
+WITH p AS (SELECT e.seq, e.seq + CASE WHEN user_id % 10 = 0 THEN {LATE_BY} ELSE 0 END AS place, epoch_us(predicted_at) AS t,
+    CASE WHEN label = 'negative' THEN 1 ELSE 0 END AS neg
+  FROM {SQL_PRED} e JOIN events ON event_id = seq WHERE predicted_at IS NOT NULL),
+a AS (SELECT *, row_number() OVER (ORDER BY place, seq) AS arr, max(t) OVER (ORDER BY place, seq ROWS UNBOUNDED PRECEDING) AS edge FROM p),
+j AS (SELECT i.seq, i.edge, count(j.arr) AS total, coalesce(sum(j.neg), 0) AS negative
+  FROM a i LEFT JOIN a j ON j.arr <= i.arr AND j.t > i.edge - {SQL_WIN} GROUP BY i.seq, i.edge)
+SELECT seq, make_timestamp(edge) AS window_end, total, CAST(negative AS BIGINT) AS negative,
+  CASE WHEN total > 0 THEN negative / total ELSE 0.0 END AS negative_share FROM j""",
     "alert_intervals": f"""
 WITH {SQL_SPIKES},
-c AS (SELECT *, lag(status, 1, 'resolved') OVER (ORDER BY we_ts, status DESC) AS prev FROM spikes),
-d AS (SELECT *, lead(we_ts) OVER (ORDER BY we_ts, status DESC) AS nxt FROM c WHERE status <> prev)
-SELECT we_ts AS start, nxt AS "end", round(share, 4) AS peak_share, CAST({float(SPIKE.threshold)} AS DOUBLE) AS threshold,
-       CAST({float(SPIKE.window_seconds)} AS DOUBLE) AS window_seconds
+c AS (SELECT *, lag(status, 1, 'resolved') OVER (ORDER BY we_ts, seq) AS prev FROM spikes),
+d AS (SELECT *, lead(we_ts) OVER (ORDER BY we_ts, seq) AS nxt FROM c WHERE status <> prev)
+SELECT we_ts AS start, nxt AS "end", round(share, 4) AS peak_share, CAST({THRESHOLD} AS DOUBLE) AS threshold,
+       CAST(wsec AS DOUBLE) AS window_seconds
 FROM d WHERE status = 'firing'""",
 }
 
@@ -206,16 +245,17 @@ FROM share s LEFT JOIN spans sp ON s.bucket >= sp.start AND s.bucket <= sp.stop"
     "alert_table": f"""
 WITH {SQL_SPIKES}
 SELECT status, {sql_iso('we_ts')} AS window_end, negative, total, round(share, 4) AS negative_share,
-       CAST({float(SPIKE.threshold)} AS DOUBLE) AS threshold
+       CAST({THRESHOLD} AS DOUBLE) AS threshold
 FROM spikes ORDER BY we_ts DESC""",
 })
 
 
 # --- messages: contracts and DLQ ----------------------------------------------
 from moodstream.operators import contracts, joining  # noqa: E402
-from moodstream.sources.messages import raw_messages_from_tables  # noqa: E402
-from moodstream.sources.tables import (predictions_from_lineitem, raw_from_orders,  # noqa: E402
-                                       table)
+from moodstream.functions.time import iso_utc  # noqa: E402
+from moodstream.schemas import RAW_TOPIC  # noqa: E402
+from moodstream.sources.messages import as_messages, raw_messages_from_tables  # noqa: E402
+from moodstream.sources.tables import gold_from_customers, predictions_from_lineitem, raw_from_orders  # noqa: E402
 
 JOIN_TTL_SECONDS = 365 * 24 * 3600.0
 
@@ -245,6 +285,24 @@ def q_validate_incoming(spark, sf):
     return contracts.validate_incoming(docs).select("doc_id", "rejected_reason")
 
 
+def q_ingest_raw(spark, sf):
+    """Accepted documents as keyed raw messages (fixed ids and time)."""
+    docs = table(spark, sf, "documents").select("doc_id", "text", "source", F.col("doc_id").cast("string").alias("source_id"))
+    raw = contracts.build_raw(contracts.validate_incoming(docs), F.concat(F.lit("doc-"), F.col("source_id")),
+                              F.lit("2026-01-01 00:00:00").cast("timestamp"))
+    sent = contracts.to_json_value(raw, topic=RAW_TOPIC)
+    return sent.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"), "topic")
+
+
+def q_alert_input(spark, sf):
+    """Events as prediction messages, every seventh without an id."""
+    ev = predictions_from_events(spark, sf)
+    id_ = F.when(F.col("seq") % 7 != 0, F.col("id"))
+    msgs = as_messages(ev, F.to_json(F.struct(F.lit(1).alias("schema_version"), id_.alias("id"), "label",
+                                              iso_utc("predicted_at").alias("predicted_at"))), "predictions", F.col("seq"))
+    return contracts.parse_predictions(msgs).select("offset", "id", "label", "predicted_at")
+
+
 def _pairs(spark, sf):
     return joining.join_reviews(raw_from_orders(spark, sf), predictions_from_lineitem(spark, sf),
                                 JOIN_TTL_SECONDS, tie_cols=("_tie_part", "_tie_supp"))
@@ -278,7 +336,15 @@ def q_join_outcomes(spark, sf):
     return joining.outcome_counts(_pairs(spark, sf))
 
 
+def q_run_counters(spark, sf):
+    parsed = contracts.parse_keyed(raw_messages_from_tables(spark, sf))
+    return joining.run_counters(_pairs(spark, sf), parsed)
+
+
 QUERIES.update({
+    "ingest_raw": q_ingest_raw,
+    "alert_input": q_alert_input,
+    "run_counters": q_run_counters,
     "parse_raw": q_parse_raw,
     "parse_keyed": q_parse_keyed,
     "dlq_rows": q_dlq_rows,
@@ -292,16 +358,20 @@ QUERIES.update({
 SQL_MSGS = """msgs AS (
   SELECT 'documents' AS topic, 0 AS partition, doc_id AS "offset",
     CAST(to_json({'schema_version': 1, 'id': 'doc-' || doc_id, 'text': text, 'source': source,
-             'source_id': CAST(doc_id AS VARCHAR), 'produced_at': NULL}) AS VARCHAR) AS value FROM documents
+             'source_id': CAST(doc_id AS VARCHAR), 'produced_at': NULL}) AS VARCHAR) AS value, NULL AS meant FROM documents
   UNION ALL SELECT 'conversations', 0, conv_id * 1000 + turn,
     CAST(to_json({'schema_version': turn, 'id': 'conv-' || conv_id || '-' || turn, 'text': text,
-                  'source': role}) AS VARCHAR)
+                  'source': role}) AS VARCHAR), NULL
     FROM conversations
-  UNION ALL SELECT 'labels', 0, doc_id, CAST(to_json({'schema_version': quality, 'id': doc_id}) AS VARCHAR)
+  UNION ALL SELECT 'labels', 0, doc_id, CAST(to_json({'schema_version': quality, 'id': doc_id}) AS VARCHAR), NULL
     FROM labels
-  UNION ALL SELECT 'events', 0, event_id, props FROM events
-  UNION ALL SELECT 'pages', 0, page_id, html FROM pages),
-msgj AS (SELECT *, CASE WHEN json_valid(value) THEN value END AS j FROM msgs)"""
+  UNION ALL SELECT 'events', 0, event_id, props, NULL FROM events
+  UNION ALL SELECT 'pages', 0, page_id, html, NULL FROM pages
+  UNION ALL SELECT 'parts', 0, p_partkey, CASE p_partkey % 4 WHEN 0 THEN ok || ' junk'
+      WHEN 1 THEN '{"schema_version":9,' || substr(ok, 2) WHEN 2 THEN ok || ' ' || ok ELSE ok || chr(10) || ' ' END,
+    CASE WHEN p_partkey % 4 = 1 THEN ok END
+    FROM (SELECT p_partkey, '{"schema_version":1,"id":"part-' || p_partkey || '","text":"part ' || p_partkey || '"}' AS ok FROM part)),
+msgj AS (SELECT *, coalesce(meant, CASE WHEN json_valid(value) THEN value END) AS j FROM msgs)"""
 
 SQL_VERSION_REPR = """CASE WHEN json_type(j, '$.schema_version') IS NULL
     OR json_type(j, '$.schema_version') = 'NULL' THEN 'None'
@@ -345,14 +415,14 @@ pairs AS (SELECT coalesce(r1.id, p1.id) AS id, r1.id IS NOT NULL AS has_raw, p1.
 
 SQL_EXPIRED = f"""SELECT 1 AS schema_version, 'consumer_join' AS stage,
   'join_ttl_expired: no prediction for id within {JOIN_TTL_SECONDS!r}s' AS error,
-  CAST(to_json({{'id': id, 'text': text, 'source': source, 'source_id': source_id,
-            'produced_at': {sql_iso('produced_at')}, 'offset': raw_offset}}) AS VARCHAR) AS original_payload,
+  CAST(to_json({{'schema_version': 1, 'id': id, 'text': text, 'source': source, 'source_id': source_id,
+            'produced_at': {sql_iso('produced_at')}}}) AS VARCHAR) AS original_payload,
   'reviews.raw' AS source_topic, 0 AS source_partition, raw_offset AS source_offset
 FROM pairs WHERE NOT joined AND has_raw
 UNION ALL
 SELECT 1, 'consumer_join', 'join_ttl_expired: no raw for id within {JOIN_TTL_SECONDS!r}s',
-  CAST(to_json({{'id': id, 'label': label, 'confidence': confidence, 'model_version': model_version,
-            'predicted_at': {sql_iso('predicted_at')}, 'offset': pred_offset}}) AS VARCHAR),
+  CAST(to_json({{'schema_version': 1, 'id': id, 'label': label, 'confidence': confidence, 'model_version': model_version,
+            'predicted_at': {sql_iso('predicted_at')}}}) AS VARCHAR),
   'reviews.predictions', 0, pred_offset
 FROM pairs WHERE NOT joined AND has_pred"""
 
@@ -392,6 +462,21 @@ SELECT 1 AS schema_version, 'consumer_join' AS stage, error, value AS original_p
 FROM e WHERE error IS NOT NULL
 UNION ALL
 {SQL_EXPIRED}""",
+    "ingest_raw": """
+SELECT 'doc-' || doc_id AS key, CAST(to_json({'schema_version': 1, 'id': 'doc-' || doc_id, 'text': text, 'source': source,
+    'source_id': CAST(doc_id AS VARCHAR), 'produced_at': '2026-01-01T00:00:00+00:00'}) AS VARCHAR) AS value, 'reviews.raw' AS topic
+FROM documents WHERE text IS NOT NULL AND length(text) BETWEEN 1 AND 5000 AND coalesce(length(source), 0) <= 64""",
+    "alert_input": f"""
+SELECT seq AS "offset", id, label, predicted_at FROM {SQL_PRED}
+WHERE seq % 7 <> 0 AND label IS NOT NULL AND predicted_at IS NOT NULL""",
+    "run_counters": f"""
+WITH {SQL_MSGS}, {SQL_PAIRS}, a AS (SELECT count(*) FILTER (WHERE joined) AS j,
+    sum(greatest(n_raw - 1, 0) + greatest(n_pred - 1, 0)) AS d,
+    sum(CASE WHEN NOT joined THEN CAST(has_raw AS INT) + CAST(has_pred AS INT) ELSE 0 END) AS e FROM pairs)
+SELECT 'joined' AS outcome, CAST(j AS BIGINT) AS n FROM a
+UNION ALL SELECT 'duplicates', CAST(coalesce(d, 0) AS BIGINT) FROM a
+UNION ALL SELECT 'expired', CAST(coalesce(e, 0) AS BIGINT) FROM a
+UNION ALL SELECT 'malformed', count(*) FROM msgj WHERE {SQL_KEYED_ERROR} IS NOT NULL""",
     "join_outcomes": f"""
 WITH {SQL_PAIRS}, a AS (SELECT count(*) FILTER (WHERE joined) AS j,
     sum(greatest(n_raw - 1, 0) + greatest(n_pred - 1, 0)) AS d,
@@ -435,8 +520,26 @@ def q_eval_class_metrics(spark, sf):
 
 
 def q_eval_summary(spark, sf):
-    cm = evaluation.confusion_matrix(_matched(spark, sf))
-    return evaluation.summary(cm, evaluation.class_metrics(cm))
+    return evaluation.summary(evaluation.confusion_matrix(_matched(spark, sf)))
+
+
+def q_classification_report(spark, sf):
+    r = evaluation.classification_report(evaluation.confusion_matrix(_matched(spark, sf)))
+    return r.select("label", *[F.round(c, 9).alias(c) for c in ("precision", "recall", "f1")], "support")
+
+
+def _report(spark, sf):
+    joined = joining.build_joined(_pairs(spark, sf)).where(F.col("label").isNotNull())
+    return evaluation.evaluation_report(joined, gold_from_customers(spark, sf))
+
+
+def q_eval_report(spark, sf):
+    return _report(spark, sf).select("expected", "joined", "matched", "missing", F.array_join("model_versions", ",").alias("model_versions"),
+                                     "n", "accuracy", "macro_f1", "messages", "throughput_per_sec", "produce_to_join_p95")
+
+
+def q_report_lines(spark, sf):
+    return evaluation.report_lines(_report(spark, sf))
 
 
 def q_eval_coverage(spark, sf):
@@ -509,7 +612,15 @@ def q_dataset_sample(spark, sf):
 
 
 def q_class_weights(spark, sf):
-    return datasets.class_weights(dataset(spark, sf))
+    return datasets.class_weights(datasets.map_labels(source_dataset(spark, sf)))
+
+
+def q_dataset_union(spark, sf):
+    """Documents and conversation turns as one data set."""
+    docs = source_dataset(spark, sf).withColumnRenamed("_row", "key")
+    turns = table(spark, sf, "conversations").select(F.col("text").alias("tweet"), F.lit(0).alias("label"),
+                                                     (F.col("conv_id") * 1000 + F.col("turn")).alias("key"))
+    return datasets.union_datasets(docs, turns).select("_set", "key", "label", F.length("tweet").alias("n_chars"))
 
 
 def q_replay_schedule(spark, sf):
@@ -533,7 +644,7 @@ def q_clean_texts(spark, sf):
 
 def q_token_ids(spark, sf):
     d = table(spark, sf, "documents")
-    ids = textf.pad_tokens(textf.codepoints("text"), TOKENS)
+    ids = textf.token_ids("text", TOKENS)
     return d.select("doc_id", F.array_join(ids, " ").alias("ids"),
                     F.aggregate(textf.attention_mask(ids), F.lit(0), lambda a, x: a + x).cast("long")
                     .alias("mask_sum"))
@@ -545,6 +656,10 @@ def q_normalized_texts(spark, sf):
 
 
 QUERIES.update({
+    "classification_report": q_classification_report,
+    "eval_report": q_eval_report,
+    "report_lines": q_report_lines,
+    "dataset_union": q_dataset_union,
     "eval_confusion": q_eval_confusion,
     "eval_class_metrics": q_eval_class_metrics,
     "eval_summary": q_eval_summary,
@@ -615,23 +730,76 @@ rk AS (SELECT ids.*, row_number() OVER (PARTITION BY label ORDER BY md5(id || '{
 split AS (SELECT rk.id, rk.doc_id, rk.label, CASE WHEN r <= train THEN 'train' WHEN r <= train + val THEN 'val'
     ELSE 'test' END AS split FROM rk JOIN c5 USING (label))"""
 
+# Python's white space, spelled out: RE2's \\s is ASCII only.
+SQL_SPACES = ("\\t\\n\\x{0B}\\f\\r \\x{1C}-\\x{1F}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}"
+              "\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}")
+SQL_PY_SPACE, SQL_NOT_SPACE = f"[{SQL_SPACES}]", f"[^{SQL_SPACES}]"
 SQL_CLEAN = ("trim(regexp_replace(lower(regexp_replace(regexp_replace(replace(replace(replace(replace("
              "regexp_replace(text, '\\.+([^\\pL\\pN_]|$)', '\\1', 'g'), chr(137) || 'Û_', ' '), '&amp', ' '), "
-             "chr(10), ' '), '#', ''), '@[a-zA-Z0-9_]+', '@', 'g'), 'https?\\S+', 'www', 'g')), '\\s+', ' ', 'g'))")
+             "chr(10), ' '), '#', ''), '@[a-zA-Z0-9_]+', '@', 'g'), 'https?" + SQL_NOT_SPACE + "+', 'www', 'g')), '" + SQL_PY_SPACE + "+', ' ', 'g'))")
 
 # The elongation rule (a non-digit repeated 3+ times → two) needs a
 # back-reference that RE2 lacks; here a character is dropped when it equals
 # the two before it and is not an ASCII digit.
-SQL_PY_SPACE = ("[\\t\\n\\x{0B}\\f\\r \\x{1C}-\\x{1F}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}"
-                "\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]")
 SQL_NORMALIZED = f"""n1 AS (SELECT conv_id, turn, string_split(regexp_replace(regexp_replace(regexp_replace(text,
-    '(?:https?://|www\\.)[^\\t\\n\\x{{0B}}\\f\\r ]+', '[رابط]', 'g'),
-    '@[^\\t\\n\\x{{0B}}\\f\\r ]+', '[مستخدم]', 'g'),
+    '(?:https?://|www\\.){SQL_NOT_SPACE}+', '[رابط]', 'g'),
+    '@{SQL_NOT_SPACE}+', '[مستخدم]', 'g'),
     '[\\x{{064B}}-\\x{{0652}}\\x{{0640}}]', '', 'g'), '') AS c FROM conversations),
 n2 AS (SELECT conv_id, turn, array_to_string(list_filter(c, lambda x, i: NOT (i >= 3 AND x = c[i - 1]
     AND x = c[i - 2] AND NOT regexp_full_match(x, '[0-9]'))), '') AS t FROM n1)"""
 
+SQL_REPORT = f"""{SQL_PAIRS},
+gold AS (SELECT CAST(c_custkey AS VARCHAR) AS gid, CASE WHEN c_acctbal < 0 THEN 'negative' WHEN c_acctbal > 5000 THEN 'positive'
+    ELSE 'neutral' END AS gold_label FROM customer),
+jr AS (SELECT *, make_timestamp(greatest(epoch_us(produced_at), epoch_us(predicted_at))) AS joined_at FROM pairs WHERE joined AND label IS NOT NULL),
+m AS (SELECT *, round((epoch_us(joined_at) - epoch_us(produced_at)) / 1000.0, 1) AS e2e,
+    (epoch_us(predicted_at) - epoch_us(produced_at)) / 1000.0 AS pms FROM jr JOIN gold ON source_id = gid),
+lbl AS (SELECT unnest(['negative', 'neutral', 'positive']) AS l),
+k AS (SELECT l, count(*) FILTER (WHERE gold_label = l AND label = l) AS tp, count(*) FILTER (WHERE gold_label <> l AND label = l) AS fp,
+    count(*) FILTER (WHERE gold_label = l AND label <> l) AS fn FROM lbl, m GROUP BY l),
+f AS (SELECT l, tp + fn AS support, round(CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0.0 END, 4) AS f1 FROM k),
+r AS (SELECT (SELECT count(DISTINCT gid) FROM gold) AS expected, (SELECT count(*) FROM jr) AS joined, count(*) AS matched,
+    (SELECT count(DISTINCT gid) FROM gold WHERE gid NOT IN (SELECT source_id FROM m)) AS missing,
+    array_to_string(list_sort(list_distinct(list(model_version))), ',') AS model_versions, count(*) AS n,
+    round(count(*) FILTER (WHERE label = gold_label) / count(*), 4) AS accuracy, (SELECT round(sum(f1) / 3, 4) FROM f) AS macro_f1,
+    count(*) AS messages,
+    round(count(*) / ((max(epoch_us(produced_at)) - min(epoch_us(produced_at))) / 1e6), 2) AS offered_rate_per_sec,
+    round(count(*) / ((max(epoch_us(joined_at)) - min(epoch_us(produced_at))) / 1e6), 2) AS throughput_per_sec,
+    round(quantile_cont(pms, 0.5), 1) AS p50, round(quantile_cont(pms, 0.95), 1) AS p95,
+    round(quantile_cont(e2e, 0.5), 1) AS j50, round(quantile_cont(e2e, 0.95), 1) AS produce_to_join_p95, round(quantile_cont(e2e, 0.99), 1) AS j99
+  FROM m)"""
+
+
+def _sql_number(x: str) -> str:
+    return f"coalesce(regexp_replace(CAST(CAST({x} AS DECIMAL(30, 2)) AS VARCHAR), '0$', ''), 'None')"
+
+
 ORACLE_SQL.update({
+    "classification_report": f"""WITH {SQL_CLASS},
+u AS (SELECT label, p, r, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END AS f, support FROM pr)
+SELECT label, round(p, 9) AS precision, round(r, 9) AS recall, round(f, 9) AS f1, support FROM u
+UNION ALL SELECT 'macro avg', round(sum(p) / 3, 9), round(sum(r) / 3, 9), round(sum(f) / 3, 9), CAST(sum(support) AS BIGINT) FROM u
+UNION ALL SELECT 'weighted avg', round(sum(p * support) / sum(support), 9), round(sum(r * support) / sum(support), 9),
+  round(sum(f * support) / sum(support), 9), CAST(sum(support) AS BIGINT) FROM u""",
+    "eval_report": f"""WITH {SQL_REPORT}
+SELECT expected, joined, matched, missing, model_versions, n, accuracy, macro_f1, messages, throughput_per_sec, produce_to_join_p95 FROM r""",
+    "report_lines": f"""WITH {SQL_REPORT},
+x AS (
+  SELECT 0 AS line_no, 'Matched ' || matched || ' / ' || expected || ' dataset rows (' || missing || ' missing) · model: '
+    || replace(model_versions, ',', ', ') AS line FROM r
+  UNION ALL SELECT 1, '' UNION ALL SELECT 2, '| Metric | Value |' UNION ALL SELECT 3, '|---|---|'
+  UNION ALL SELECT 4, '| Accuracy | ' || printf('%.4f', accuracy) || ' |' FROM r
+  UNION ALL SELECT 5, '| Macro-F1 | ' || printf('%.4f', macro_f1) || ' |' FROM r
+  UNION ALL SELECT 6 + list_position(['negative', 'neutral', 'positive'], l) - 1, '| F1 ' || l || ' (n=' || support || ') | ' || printf('%.4f', f1) || ' |' FROM f
+  UNION ALL SELECT 9, '| Offered rate | ' || {_sql_number('offered_rate_per_sec')} || ' msg/s |' FROM r
+  UNION ALL SELECT 10, '| Throughput (end to end) | ' || {_sql_number('throughput_per_sec')} || ' msg/s |' FROM r
+  UNION ALL SELECT 11, '| Produce→predict p50 / p95 | ' || {_sql_number('p50')} || ' / ' || {_sql_number('p95')} || ' ms |' FROM r
+  UNION ALL SELECT 12, '| Produce→join p50 / p95 / p99 | ' || {_sql_number('j50')} || ' / ' || {_sql_number('produce_to_join_p95')} || ' / '
+    || {_sql_number('j99')} || ' ms |' FROM r)
+SELECT CAST(line_no AS INTEGER) AS line_no, line FROM x""",
+    "dataset_union": f"""WITH {SQL_DATASET}
+SELECT 0 AS _set, doc_id AS key, label_id AS label, length(text) AS n_chars FROM src
+UNION ALL SELECT 1, conv_id * 1000 + turn, 0, length(text) FROM conversations""",
     "normalized_texts": f"""WITH {SQL_NORMALIZED}
 SELECT conv_id, turn, regexp_replace(t, '^{SQL_PY_SPACE}+|{SQL_PY_SPACE}+$', '', 'g') AS normalized FROM n2""",
     "eval_confusion": f"WITH {SQL_CONF} SELECT gold, pred, n FROM cm",
@@ -717,37 +885,61 @@ SELECT id, make_timestamp(epoch_us(TIMESTAMP '{REPLAY_START}') + CAST(round(i *
 })
 
 
-# --- model training and scoring (rows-only checks) ----------------------------
+# --- model training and scoring -------------------------------------------------
+# Weights of a model are not reproducible in SQL. These queries return what must
+# hold for any trained model, row by row, so the SQL can say it.
 from moodstream.operators import training  # noqa: E402
+from moodstream.schemas import LABELS  # noqa: E402
 from moodstream.session import checkpoint_dir  # noqa: E402
 
-_MODELS: dict = {}
+FIT = {"reg_params": (0.01, 0.1), "clean_mode": "tweet", "num_features": 1 << 14, "max_iter": 15}
 
 
 def _trained(spark, sf):
-    key = (id(spark), sf)
-    if key not in _MODELS:
-        # train, val and test all read one materialised split (reliable
-        # checkpoint in the shared folder), not three recomputations
-        checkpoint_dir(spark)
-        split = datasets.stratified_split(dataset(spark, sf), seed=SPLIT_SEED).checkpoint(eager=True)
-        train = split.where(F.col("split") == "train").select("id", "text", "label")
-        val = split.where(F.col("split") == "val").select("id", "text", "label")
-        _MODELS[key] = (training.train_classifier(train, val, reg_params=(0.01, 0.1), clean_mode="tweet"), split)
-    return _MODELS[key]
+    # train, val and test all read one materialised split (reliable
+    # checkpoint in the shared folder), not three recomputations
+    checkpoint_dir(spark)
+    split = datasets.stratified_split(dataset(spark, sf), seed=SPLIT_SEED).checkpoint(eager=True)
+    part = lambda name: split.where(F.col("split") == name).select("id", "text", "label")
+    return training.train_classifier(part("train"), part("val"), **FIT), part("test")
 
 
 def q_train_eval(spark, sf):
-    res, split = _trained(spark, sf)
-    test = split.where(F.col("split") == "test").select("id", "text", "label")
+    """Per label: the support in the test split, and whether the metrics of
+    the trained model are shares."""
+    res, test = _trained(spark, sf)
     cls, _ = training.metrics_for(res.model, test)
-    return cls
+    share = lambda c: F.col(c).between(0, 1)
+    return cls.select("label", "support", (share("precision") & share("recall") & share("f1")).alias("shares"))
 
 
 def q_score_documents(spark, sf):
+    """Per document: whether the label is the first of the highest scores,
+    the confidence its score, and the scores sum to 1."""
     res, _ = _trained(spark, sf)
-    docs = table(spark, sf, "documents").select("doc_id", "text")
-    return training.predict(res.model, docs).select("doc_id", "label", F.round("confidence", 4).alias("confidence"))
+    scored = training.predict(res.model, table(spark, sf, "documents").select("doc_id", "text"))
+    values = F.transform(F.array(*[F.lit(x) for x in LABELS]), lambda k: F.element_at("scores", k))
+    best = F.element_at(F.array(*[F.lit(x) for x in LABELS]), F.array_position(values, F.array_max(values)).cast("int"))
+    total = F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+    return scored.select("doc_id", ((F.col("label") == best) & (F.col("confidence") == F.array_max(values))
+                                    & (F.abs(total - 1) < 1e-9)).alias("consistent"))
 
 
-QUERIES.update({"train_eval": q_train_eval, "score_documents": q_score_documents})
+def q_score_binary(spark, sf):
+    """Per document: whether a two-class model's label follows from its
+    probability."""
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    known = d.join(table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label")), "doc_id")
+    model = training.train_binary(known, class_weights={0: 5.0}, num_features=1 << 12, max_iter=10)
+    p = training.predict_binary(model, d)
+    return p.select("doc_id", (F.col("prob").between(0, 1) & ((F.col("prob") >= 0.5) == (F.col("label") == 1))).alias("consistent"))
+
+
+QUERIES.update({"train_eval": q_train_eval, "score_documents": q_score_documents, "score_binary": q_score_binary})
+
+ORACLE_SQL.update({
+    "train_eval": f"""WITH {SQL_SPLIT}, lbl AS (SELECT unnest(['negative', 'neutral', 'positive']) AS label)
+SELECT lbl.label, count(split.id) AS support, true AS shares FROM lbl LEFT JOIN split ON split.label = lbl.label AND split = 'test' GROUP BY lbl.label""",
+    "score_documents": "SELECT doc_id, true AS consistent FROM documents",
+    "score_binary": "SELECT doc_id, true AS consistent FROM documents",
+})

@@ -14,8 +14,11 @@ distributed ordered scan (``plans.ordered``): each event contributes a data
 row at ``ts`` and a probe row at ``ts − W``; the window count is the
 difference of two suffix counts. The firing state is a run-length problem:
 inside fixed-size blocks of consecutive events only rows where the signal
-changes survive, and a final small window over those rows emits the
-transitions.
+changes survive; each of these finds the one before it by a distributed rank
+and an equi-join, so no window runs over all of them.
+
+``arrival_share`` is the same window in order of arrival, where late events
+count from the moment they arrive if they are still inside.
 """
 
 from __future__ import annotations
@@ -27,7 +30,8 @@ from pyspark.sql import functions as F
 
 from moodstream.functions.numeric import safe_div
 from moodstream.functions.time import epoch_micros, from_micros, iso_utc, parse_iso
-from moodstream.plans.ordered import ordered_suffix_scan
+from moodstream.plans.ordered import ordered_suffix_scan, running_totals, with_neighbour
+from moodstream.plans.scalar import attach_row
 from moodstream.schemas import SCHEMA_VERSION
 
 ALERT_TYPE = "negative_spike"
@@ -44,7 +48,7 @@ class SpikeParams:
         if self.rearm_below is None:
             object.__setattr__(self, "rearm_below", round(self.threshold * 0.8, 4))
         if not 0 <= self.rearm_below <= self.threshold <= 1:
-            raise ValueError("need 0 <= rearm_below <= threshold <= 1")
+            raise ValueError(f"rearm_below {self.rearm_below} and threshold {self.threshold} must be shares in this order")
         if self.window_seconds <= 0:
             raise ValueError("window_seconds must be positive")
 
@@ -99,6 +103,64 @@ def sliding_share(df: DataFrame, window_seconds: float, ts_col: str = "predicted
     )
 
 
+def arrival_share(df: DataFrame, window_seconds: float, order_cols: list[str], ts_col: str = "predicted_at",
+                  label_col: str = "label", negative_label: str = "negative", num_partitions: int | None = None) -> DataFrame:
+    """The window in order of arrival (``order_cols``, unique): the right edge
+    is the latest time seen so far; a late event is counted from its arrival
+    if it lies inside (edge − W, edge], and never otherwise. Adds to
+    ``order_cols``: ``window_end, total, negative, negative_share`` and
+    ``arrival`` (1-based place).
+
+    Let K be the events that were inside when they arrived. An event of K at
+    or before a row's cutoff always arrived before that row, because cutoffs
+    only grow. So a row's window is (K up to its arrival) minus (K up to its
+    cutoff in time): running totals in order of arrival, and a suffix scan in
+    order of time over K and one probe per row."""
+    w_us = int(round(window_seconds * 1_000_000))
+    ev = df.select(*order_cols, epoch_micros(ts_col).alias("_t"),
+                   F.coalesce((F.col(label_col) == F.lit(negative_label)).cast("long"), F.lit(0)).alias("_n")).where(F.col("_t").isNotNull())
+    seen = running_totals(ev.withColumn("_one", F.lit(1).cast("long")), order_cols, ["_one"], ["_t"], num_partitions)
+    seen = seen.select(*order_cols, "_t", "_n", F.col("pre__one").alias("arrival"), F.col("pre__t").alias("_edge"))
+    seen = seen.withColumn("_in", (F.col("_t") > F.col("_edge") - F.lit(w_us)).cast("long")).withColumn("_nin", F.col("_in") * F.col("_n"))
+    kept = running_totals(seen, ["arrival"], ["_in", "_nin"], num_partitions=num_partitions)
+    point = kept.where("_in = 1").select("_t", F.lit(0).alias("_k"), F.col("arrival").alias("_a"), F.col("_in").alias("_d"), F.col("_nin").alias("_m"))
+    probe = kept.select((F.col("_edge") - F.lit(w_us)).alias("_t"), F.lit(1).alias("_k"), F.col("arrival").alias("_a"),
+                        F.lit(0).cast("long").alias("_d"), F.lit(0).cast("long").alias("_m"))
+    after = ordered_suffix_scan(point.unionByName(probe), ["_t", "_k", "_a"], ["_d", "_m"], num_partitions=num_partitions)
+    after = after.where("_k = 1").select(F.col("_a").alias("arrival"), F.col("suf__d").alias("_sd"), F.col("suf__m").alias("_sm"))
+    sums = kept.agg(F.sum("_in").alias("_all"), F.sum("_nin").alias("_alln"))
+    row = attach_row(kept.join(after, "arrival"), sums)
+    total = F.col("pre__in") - (F.col("_all") - F.col("_sd"))
+    negative = F.col("pre__nin") - (F.col("_alln") - F.col("_sm"))
+    return row.select(*order_cols, "arrival", from_micros("_edge").alias("window_end"), total.alias("total"),
+                      negative.alias("negative"), safe_div(negative, total).alias("negative_share"))
+
+
+def arrival_spikes(df: DataFrame, params: SpikeParams, order_cols: list[str], ts_col: str = "predicted_at",
+                   label_col: str = "label", rows=None, firing: bool = False, block_rows: int = 1 << 20,
+                   num_partitions: int | None = None) -> DataFrame:
+    """Transitions of the detector in order of arrival, with ``window_start``.
+    ``rows``: a condition on the rows that may raise one (the others only
+    fill the window); ``firing``: the detector's state before them.
+
+    The start of a window is the first time inside it among the events that
+    had arrived. It is looked up for the transitions alone: windows and
+    events are matched on stretches of time as long as the window, of which
+    a window touches two."""
+    win = arrival_share(df, params.window_seconds, order_cols, ts_col, label_col, num_partitions=num_partitions)
+    raised = transitions(win if rows is None else win.where(rows), params, "arrival", firing, block_rows, num_partitions)
+    w_us = F.lit(params.window_us)
+    end = epoch_micros("window_end")
+    touched = F.array(F.floor(end / w_us), F.floor(end / w_us) - 1)
+    asks = raised.withColumn("_cut", end - w_us).withColumn("_stretch", F.explode(touched))
+    times = df.select(*order_cols, epoch_micros(ts_col).alias("_t")).where(F.col("_t").isNotNull())
+    times = times.join(win.select(*order_cols, F.col("arrival").alias("_a")), order_cols).select("_t", "_a", F.floor(F.col("_t") / w_us).alias("_stretch"))
+    starts = asks.join(times, "_stretch").where("_t > _cut AND _a <= arrival").groupBy("arrival").agg(F.min("_t").alias("_start"))
+    return raised.join(starts, "arrival", "left").select(
+        *order_cols, "arrival", "status", F.coalesce(from_micros("_start"), F.col("window_end")).alias("window_start"),
+        "window_end", "total", "negative", "negative_share")
+
+
 def _signal(p: SpikeParams):
     enough = F.col("total") >= F.lit(p.min_count)
     share = F.col("negative_share")
@@ -106,34 +168,41 @@ def _signal(p: SpikeParams):
         .when(enough & (share < F.lit(p.rearm_below)), F.lit(-1))
 
 
+def transitions(windows: DataFrame, params: SpikeParams, place_col: str, firing: bool = False,
+                block_rows: int = 1 << 20, num_partitions: int | None = None) -> DataFrame:
+    """The rows of ``windows`` (with ``total``, ``negative_share`` and a
+    1-based ``place_col``) where the detector fires or resolves, with
+    ``status``. ``firing``: its state before the first row."""
+    sig = windows.withColumn("signal", _signal(params)).where(F.col("signal").isNotNull())
+    # Per block of consecutive events, the first signal and every change.
+    sig = sig.withColumn("_blk", F.floor((F.col(place_col) - 1) / F.lit(block_rows)))
+    in_block = Window.partitionBy("_blk").orderBy(place_col)
+    runs = sig.withColumn("_prev", F.lag("signal").over(in_block)) \
+        .where(F.col("_prev").isNull() | (F.col("_prev") != F.col("signal"))).drop("_prev", "_blk")
+    paired = with_neighbour(runs, [place_col], ["signal"], -1, num_partitions)
+    before = F.coalesce("near_signal", F.lit(1 if firing else -1))
+    return paired.where(F.col("signal") != before) \
+        .withColumn("status", F.when(F.col("signal") == 1, F.lit("firing")).otherwise(F.lit("resolved"))) \
+        .drop("signal", "near_signal")
+
+
 def detect_spikes(df: DataFrame, params: SpikeParams, ts_col: str = "predicted_at",
                   label_col: str = "label", seq_col: str = "seq",
                   block_rows: int = 1 << 20, num_partitions: int | None = None) -> DataFrame:
     """Transitions of the hysteresis detector: ``seq, status, window_start,
     window_end, total, negative, negative_share`` (share unrounded)."""
-    win = sliding_share(df, params.window_seconds, ts_col, label_col, seq_col,
-                        num_partitions=num_partitions)
-    sig = win.withColumn("signal", _signal(params)).where(F.col("signal").isNotNull())
-    # Keep, per block of consecutive events, the first signal and every change.
-    sig = sig.withColumn("_blk", F.floor((F.col("order_desc") - 1) / F.lit(block_rows)))
-    in_block = Window.partitionBy("_blk").orderBy(F.col("order_desc").desc())
-    runs = sig.withColumn("_prev", F.lag("signal").over(in_block)) \
-        .where(F.col("_prev").isNull() | (F.col("_prev") != F.col("signal")))
-    # Few rows remain (≤ 2 per block + transitions): one ordered pass is cheap.
-    everything = Window.orderBy(F.col("order_desc").desc())
-    state_before = F.coalesce(F.lag("signal").over(everything), F.lit(-1))
-    out = runs.withColumn("_before", state_before).where(F.col("signal") != F.col("_before"))
-    return out.select(
-        "seq",
-        F.when(F.col("signal") == 1, F.lit("firing")).otherwise(F.lit("resolved")).alias("status"),
-        "window_start", "window_end", "total", "negative", "negative_share",
-    )
+    win = sliding_share(df, params.window_seconds, ts_col, label_col, seq_col, num_partitions=num_partitions)
+    # Places count from the end of the stream; negated they run with time.
+    win = win.withColumn("_place", -F.col("order_desc"))
+    out = transitions(win, params, "_place", block_rows=block_rows, num_partitions=num_partitions)
+    return out.select("seq", "status", "window_start", "window_end", "total", "negative", "negative_share")
 
 
-def build_alerts(spikes: DataFrame, params: SpikeParams, with_ids: bool = True) -> DataFrame:
+def build_alerts(spikes: DataFrame, params: SpikeParams, with_ids: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
     """Alert payload rows (V16): timestamps as UTC ISO text, share to 4 dp.
     ``alert_id``/``emitted_at`` are random/current and only added when
-    ``with_ids``."""
+    ``with_ids``. ``keep``: columns to carry along, such as ``seq``, the order
+    of alerts that end at one time."""
     cols = [
         F.lit(SCHEMA_VERSION).alias("schema_version"),
         *([F.expr("uuid()").alias("alert_id")] if with_ids else []),
@@ -148,33 +217,52 @@ def build_alerts(spikes: DataFrame, params: SpikeParams, with_ids: bool = True)
         F.lit(float(params.threshold)).alias("threshold"),
         F.lit(int(params.min_count)).cast("long").alias("min_count"),
         *([iso_utc(F.current_timestamp()).alias("emitted_at")] if with_ids else []),
+        *keep,
     ]
     return spikes.select(*cols)
 
 
-def alert_intervals(alerts: DataFrame, partition_cols: list[str] | None = None) -> DataFrame:
+def _times(alerts: DataFrame) -> DataFrame:
+    text = dict(alerts.dtypes).get("window_end") == "string"
+    return alerts.withColumn("_end", parse_iso("window_end") if text else F.col("window_end").cast("timestamp"))
+
+
+def alert_intervals(alerts: DataFrame, partition_cols: list[str] | None = None, tie_cols: tuple[str, ...] = ("seq",),
+                    num_partitions: int | None = None) -> DataFrame:
     """Pairs each ``firing`` alert with the next ``resolved`` one:
     ``start, end, peak_share, threshold, window_seconds``; an alert still
     open has ``end`` null. Repeated statuses are ignored.
 
-    ``window_end`` may be ISO text (the alert sink) or a timestamp. The
-    ordered pass runs per ``partition_cols`` (one alert stream per key);
-    the alert feed is small next to the events it summarises.
-    """
+    ``window_end`` may be ISO text (the alert sink) or a timestamp. Alerts
+    are ordered by it and then by the ``tie_cols`` that they have (the
+    order in which they were raised). ``partition_cols``: one alert stream
+    per key. Both neighbours are found by rank (``with_neighbour``)."""
     keys = partition_cols or []
-    a = alerts.where(F.col("status").isin("firing", "resolved")).withColumn(
-        "_end", parse_iso(F.col("window_end").cast("string"))
-        if dict(alerts.dtypes).get("window_end") == "string" else F.col("window_end").cast("timestamp"))
-    w = Window.partitionBy(*keys).orderBy("_end", F.col("status").desc())
-    changes = a.withColumn("_prev", F.lag("status", 1, "resolved").over(w)) \
-        .where(F.col("status") != F.col("_prev"))
-    paired = changes.withColumn("_next_end", F.lead("_end").over(Window.partitionBy(*keys).orderBy(
-        "_end", F.col("status").desc())))
+    order = [*keys, "_end", *[c for c in tie_cols if c in alerts.columns]]
+    own = {k: f"_key{i}" for i, k in enumerate(keys)}
+    a = _times(alerts).where(F.col("status").isin("firing", "resolved"))
+    a = a.select("*", *[F.col(k).alias(v) for k, v in own.items()])
+    same = F.lit(True)
+    for k, v in own.items():
+        same = same & F.col(k).eqNullSafe(F.col(f"near_{v}"))
+    carried = list(own.values())
+    changes = with_neighbour(a, order, ["status", *carried], -1, num_partitions)
+    before = F.coalesce(F.when(same, F.col("near_status")), F.lit("resolved"))
+    changes = changes.where(F.col("status") != before).drop("near_status", *[f"near_{v}" for v in carried])
+    paired = with_neighbour(changes, order, ["_end", *carried], 1, num_partitions)
     return paired.where(F.col("status") == "firing").select(
         *keys,
         F.col("_end").alias("start"),
-        F.col("_next_end").alias("end"),
+        F.when(same, F.col("near__end")).alias("end"),
         F.col("negative_share").cast("double").alias("peak_share"),
         F.col("threshold").cast("double").alias("threshold"),
         F.col("window_seconds").cast("double").alias("window_seconds"),
     )
+
+
+def alert_status(alerts: DataFrame, tie_cols: tuple[str, ...] = ("seq",)) -> DataFrame:
+    """One row: ``fired`` (firing alerts so far) and ``last_threshold`` (of
+    the newest alert; null without alerts)."""
+    newest = F.struct("_end", *[c for c in tie_cols if c in alerts.columns])
+    return _times(alerts).agg(F.count_if(F.col("status") == "firing").alias("fired"),
+                              F.max_by(F.col("threshold").cast("double"), newest).alias("last_threshold"))

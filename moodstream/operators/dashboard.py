@@ -12,6 +12,7 @@ from moodstream.plans.calendar import span_buckets, time_grid
 from moodstream.plans.ordered import percentiles_row
 from moodstream.plans.scalar import attach_row
 from moodstream.schemas import LABELS
+from moodstream.session import checkpoint_dir
 
 # Bucket sizes offered by the dashboard (seconds), default 30 s.
 FREQS = {"10s": 10, "30s": 30, "1min": 60, "5min": 300}
@@ -31,17 +32,18 @@ def bucket_counts(df: DataFrame, freq_seconds: int = 30, ts_col: str = "predicte
     outside the domain, which are not counted in ``total``. Rows with a null
     id are not counted.
 
-    One shuffle on the bucket (partial aggregation first); the calendar is
-    generated in chunks from the bucket range and left-joined to the counts,
-    reusing their partitioning.
+    One shuffle on the bucket (partial aggregation first). The per-bucket
+    counts are checkpointed: they give the range of the calendar, which is
+    generated in chunks, and are joined to it.
     """
+    checkpoint_dir(df.sparkSession)
     step = int(freq_seconds) * 1_000_000
     b = df.select(floor_micros(ts_col, step).alias("bucket_us"), F.col(label_col).alias("_l"),
                   F.col(id_col).alias("_id")) \
         .where(F.col("bucket_us").isNotNull() & F.col("_l").isNotNull())
     per = b.groupBy("bucket_us").agg(
         *[F.count(F.when(F.col("_l") == F.lit(lab), F.col("_id"))).alias(f"_n{i}")
-          for i, lab in enumerate(LABELS)])
+          for i, lab in enumerate(LABELS)]).checkpoint()
     bounds = per.agg(F.min("bucket_us").alias("_lo"), F.max("bucket_us").alias("_hi"))
     grid = time_grid(bounds, "_lo", "_hi", step)
     full = grid.join(per, "bucket_us", "left").na.fill(0, [f"_n{i}" for i in range(len(LABELS))])
@@ -111,10 +113,16 @@ def kpis(df: DataFrame, label_col: str = "label", latency_col: str = "end_to_end
         F.count(F.lit(1)).alias("total"),
         *[safe_div(F.count_if(F.col(label_col) == F.lit(lab)), F.count(label_col)).alias(f"{lab}_share")
           for lab in LABELS],
-        F.array_sort(F.collect_set(version_col)).alias("model_versions"),
     )
     pct = percentiles_row(lat, "_lat", {"p50_latency_ms": 0.5, "p95_latency_ms": 0.95})
-    return attach_row(base, pct)
+    return attach_row(attach_row(base, version_list(df, version_col)), pct)
+
+
+def version_list(df: DataFrame, version_col: str = "model_version") -> DataFrame:
+    """One row: the sorted distinct versions (a display list). Repeats go in a
+    distributed ``distinct``; only one row per version is gathered."""
+    return df.select(version_col).where(F.col(version_col).isNotNull()).distinct() \
+        .agg(F.array_sort(F.collect_list(version_col)).alias("model_versions"))
 
 
 def label_shares(df: DataFrame, label_col: str = "label") -> DataFrame:
@@ -136,9 +144,9 @@ def latest(df: DataFrame, n: int = 15, ts_col: str = "predicted_at",
 def last_minutes(df: DataFrame, minutes: float, ts_col: str = "predicted_at") -> DataFrame:
     """Rows with ``ts ≥ max(ts) − minutes``: the right edge is the data, not
     the clock. The max is a scalar subquery (run once, no join)."""
-    edge = df.agg(F.max(epoch_micros(ts_col)).alias("_max"))
     cut = int(round(minutes * 60 * 1_000_000))
-    return df.where(epoch_micros(ts_col) >= edge.scalar() - F.lit(cut))
+    edge = df.agg(F.timestamp_micros(F.max(epoch_micros(ts_col)) - F.lit(cut)).alias("_edge"))
+    return df.where(F.col(ts_col) >= edge.scalar())
 
 
 def time_range(df: DataFrame, choice: str = "All", ts_col: str = "predicted_at") -> DataFrame:

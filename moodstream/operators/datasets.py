@@ -48,17 +48,35 @@ def map_labels(df: DataFrame, objective: str = "neutral", text_col: str = "tweet
 
 
 def dedupe_by(df: DataFrame, key: str, order_col: str) -> DataFrame:
-    """First row per ``key`` by ``order_col`` (min_by: partial aggregation)."""
-    return df.groupBy(key).agg(F.min_by(F.struct(*[c for c in df.columns if c != key]),
-                                        F.col(order_col)).alias("_r")).select(key, "_r.*")
+    """First row per ``key`` by ``order_col``. Rows are grouped by a 256-bit
+    hash of the key, so the text itself is neither sort nor shuffle key
+    (min_by: partial aggregation)."""
+    return df.groupBy(F.unhex(F.sha2(F.col(key).cast("string"), 256)).alias("_h")).agg(
+        F.min_by(F.struct(*df.columns), F.col(order_col)).alias("_r")).select("_r.*").select(key, *[c for c in df.columns if c != key])
+
+
+def union_datasets(*frames: DataFrame) -> DataFrame:
+    """All rows of several data sets (columns by name, absent ones null),
+    with ``_set``: the position of the frame a row came from."""
+    out = None
+    for i, f in enumerate(frames):
+        f = f.withColumn("_set", F.lit(i))
+        out = f if out is None else out.unionByName(f, allowMissingColumns=True)
+    return out
+
+
+def _ranked(df: DataFrame, order_col: str) -> DataFrame:
+    """``df`` with its 1-based rank ``_rk`` by the unique ``order_col``. Only
+    that column is sorted and checkpointed; the rank joins back on it."""
+    ranks = global_rank(df.select(order_col), [order_col], "_rk")
+    return df.join(ranks, order_col).select(*df.columns, "_rk")
 
 
 def with_ids(df: DataFrame, order_col: str, prefix: str = "astd-") -> DataFrame:
     """Sequential ids ``{prefix}{i}`` (i from 0) in ``order_col`` order,
-    from a distributed global rank."""
-    r = global_rank(df, [order_col], "_rk")
-    return r.select(F.concat(F.lit(prefix), (F.col("_rk") - 1).cast("string")).alias("id"),
-                    *[c for c in df.columns])
+    from a distributed global rank of that (unique) column."""
+    return _ranked(df, order_col).select(
+        F.concat(F.lit(prefix), (F.col("_rk") - 1).cast("string")).alias("id"), *df.columns)
 
 
 def _hash_order(id_col: str, seed: int):
@@ -77,7 +95,7 @@ def _class_ranks(df: DataFrame, label_col: str, id_col: str, seed: int) -> DataF
     counts = keys.groupBy(label_col).agg(F.count(F.lit(1)).alias("_nc"))
     offs = counts.select(label_col, "_nc", F.coalesce(F.sum("_nc").over(
         Window.orderBy(label_col).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    ranks = r.join(F.broadcast(offs), label_col) \
+    ranks = r.join(offs, label_col) \
         .select(id_col, (F.col("_g") - F.col("_off")).alias("_r"), "_nc", "_off")
     return df.join(ranks, id_col).select(*df.columns, "_r", "_nc", "_off")
 
@@ -109,7 +127,7 @@ def stratified_split(df: DataFrame, label_col: str = "label", id_col: str = "id"
     c = c.withColumn("_nval", held - F.ceil(F.lit(test_of_holdout) * held))
     c = _largest_remainder(c, label_col, "_rest", F.col("_nval"), "_val")
     quotas = c.select(label_col, "_train", "_val")
-    r = _class_ranks(df, label_col, id_col, seed).join(F.broadcast(quotas), label_col)
+    r = _class_ranks(df, label_col, id_col, seed).join(quotas, label_col)
     split = F.when(F.col("_r") <= F.col("_train"), "train") \
         .when(F.col("_r") <= F.col("_train") + F.col("_val"), "val").otherwise("test")
     return r.withColumn("split", split).drop("_r", "_nc", "_off", "_train", "_val")
@@ -145,7 +163,7 @@ def replay_schedule(df: DataFrame, order_col: str, rate_per_sec: float, start,
     ``start + i / rate``; a rate ≤ 0 means no pacing (all due at start).
     ``max_messages > 0`` keeps only the first that many items (0 = all);
     it filters on the distributed rank, so no single-task limit."""
-    r = global_rank(df, [order_col], "_rk")
+    r = _ranked(df, order_col)
     if max_messages > 0:
         r = r.where(F.col("_rk") <= F.lit(int(max_messages)))
     t0 = F.unix_micros(utc_ts(start if not isinstance(start, str) else F.lit(start)))

@@ -10,19 +10,28 @@ from pyspark.sql import functions as F
 
 from moodstream.functions.numeric import safe_div
 from moodstream.functions.time import epoch_micros
+from moodstream.operators.dashboard import version_list
 from moodstream.plans.ordered import ordered_suffix_scan, percentiles_of_columns
 from moodstream.plans.scalar import attach_row
 from moodstream.schemas import LABELS
+from moodstream.session import checkpoint_dir
+
+
+def one_gold_label(gold: DataFrame, order_col: str | None = None) -> DataFrame:
+    """``id, label`` with one row per id: of a repeated id the last by
+    ``order_col``, or the last label by name when there is no order."""
+    return gold.groupBy("id").agg(F.max_by("label", order_col if order_col else "label").alias("label"))
 
 
 def match_gold(joined: DataFrame, gold: DataFrame, source: str | None = None,
-               key_col: str = "source_id") -> DataFrame:
+               key_col: str = "source_id", order_col: str | None = None) -> DataFrame:
     """Joined rows that have a gold label (``gold_label`` added), optionally
     for one run tag only. Many joined rows may match one gold id. Gold is
-    first reduced to one label per id; the join is left to AQE (gold is
-    often small enough to broadcast, and AQE checks that at run time)."""
+    first reduced to one label per id (``one_gold_label``); the join is left
+    to AQE (gold is often small enough to broadcast, and AQE checks that at
+    run time)."""
     rows = joined if source is None else joined.where(F.col("source") == F.lit(source))
-    g = gold.select(F.col("id").alias("_gid"), F.col("label").alias("gold_label"))
+    g = one_gold_label(gold, order_col).select(F.col("id").alias("_gid"), F.col("label").alias("gold_label"))
     return rows.join(g, rows[key_col] == g["_gid"], "inner").drop("_gid")
 
 
@@ -78,21 +87,107 @@ def class_metrics(confusion: DataFrame, labels: list[str] = LABELS) -> DataFrame
                     F.round(f1, 4).alias("f1"), "support")
 
 
-def summary(confusion: DataFrame, metrics: DataFrame, labels: list[str] = LABELS) -> DataFrame:
+def _label_counts(confusion: DataFrame, labels: list[str]) -> DataFrame:
+    """One row: ``n``, ``ok`` and tp/fp/fn per label, in one pass."""
+    n, hit = F.col("n"), F.col("gold") == F.col("pred")
+    total = lambda cond: F.coalesce(F.sum(F.when(cond, n)), F.lit(0)).cast("long")
+    cols = [total(F.lit(True)).alias("n"), total(hit).alias("ok")]
+    for i, lab in enumerate(labels):
+        gold, pred = F.col("gold") == lab, F.col("pred") == lab
+        cols += [total(gold & pred).alias(f"tp{i}"), total(~gold & pred).alias(f"fp{i}"), total(gold & ~pred).alias(f"fn{i}")]
+    return confusion.agg(*cols)
+
+
+def _scores(i: int) -> tuple:
+    tp, fp, fn = (F.col(f"{k}{i}") for k in ("tp", "fp", "fn"))
+    p, r = safe_div(tp, tp + fp), safe_div(tp, tp + fn)
+    return p, r, safe_div(2 * p * r, p + r), tp + fn
+
+
+def summary(confusion: DataFrame, labels: list[str] = LABELS) -> DataFrame:
     """``n, accuracy, macro_f1``; macro-F1 averages the rounded per-class F1
-    over all labels."""
-    a = confusion.agg(F.sum("n").cast("long").alias("n"),
-                      F.sum(F.when(F.col("gold") == F.col("pred"), F.col("n")).otherwise(0)).alias("_ok"))
-    a = a.select(F.coalesce("n", F.lit(0)).alias("n"), F.round(safe_div(F.col("_ok"), F.col("n")), 4)
-                 .alias("accuracy"))
-    f = metrics.agg(F.round(F.sum("f1") / F.lit(len(labels)), 4).alias("macro_f1"))
-    return attach_row(a, f)
+    over all labels. One pass over the confusion table."""
+    c = _label_counts(confusion, labels)
+    macro = sum((F.round(_scores(i)[2], 4) for i in range(len(labels))), F.lit(0.0)) / F.lit(len(labels))
+    return c.select("n", F.round(safe_div(F.col("ok"), F.col("n")), 4).alias("accuracy"), F.round(macro, 4).alias("macro_f1"))
 
 
-def weighted_f1(metrics: DataFrame) -> DataFrame:
-    """Support-weighted average F1 (classification report style)."""
-    return metrics.agg(F.round(safe_div(F.sum(F.col("f1") * F.col("support")), F.sum("support")), 4)
-                       .alias("weighted_f1"))
+def classification_report(confusion: DataFrame, labels: list[str] = LABELS) -> DataFrame:
+    """``label, precision, recall, f1, support``, unrounded: a row per label,
+    then ``macro avg`` and ``weighted avg``."""
+    c = _label_counts(confusion, labels)
+    per = [_scores(i) for i in range(len(labels))]
+    support = sum((s[3] for s in per), F.lit(0))
+    rows = [(lab, *s) for lab, s in zip(labels, per, strict=True)]
+    macro = [sum((s[k] for s in per), F.lit(0.0)) / F.lit(len(labels)) for k in range(3)]
+    weighted = [safe_div(sum((s[k] * s[3] for s in per), F.lit(0.0)), support) for k in range(3)]
+    rows += [("macro avg", *macro, support), ("weighted avg", *weighted, support)]
+    return c.select(F.inline(F.array(*[F.struct(
+        F.lit(name).alias("label"), p.alias("precision"), r.alias("recall"), f.alias("f1"), s.cast("long").alias("support"))
+        for name, p, r, f, s in rows])))
+
+
+def weighted_f1(confusion: DataFrame, labels: list[str] = LABELS) -> DataFrame:
+    """Support-weighted average F1, 4 dp."""
+    return classification_report(confusion, labels).where(F.col("label") == "weighted avg").select(F.round("f1", 4).alias("weighted_f1"))
+
+
+def model_versions(rows: DataFrame, version_col: str = "model_version") -> DataFrame:
+    """One row: sorted distinct non-empty versions of the matched rows."""
+    return version_list(rows.where(F.col(version_col) != ""), version_col)
+
+
+def evaluation_report(joined: DataFrame, gold: DataFrame, source: str | None = None, key_col: str = "source_id",
+                      labels: list[str] = LABELS, order_col: str | None = None) -> DataFrame:
+    """The whole report of a run as one row: ``coverage`` counts of the
+    (tagged) rows, ``model_versions``, quality (``n, accuracy, macro_f1,
+    per_class, confusion``) and ``performance`` of the matched rows. The
+    matched rows are checkpointed once for all parts."""
+    checkpoint_dir(joined.sparkSession)
+    rows = joined if source is None else joined.where(F.col("source") == F.lit(source))
+    matched = match_gold(rows, gold, key_col=key_col, order_col=order_col).checkpoint()
+    cm = confusion_matrix(matched, labels=labels).checkpoint()
+    per = _label_counts(cm, labels).select(F.array(*[F.struct(
+        F.lit(lab).alias("label"), F.round(_scores(i)[0], 4).alias("precision"), F.round(_scores(i)[1], 4).alias("recall"),
+        F.round(_scores(i)[2], 4).alias("f1"), _scores(i)[3].alias("support")) for i, lab in enumerate(labels)]).alias("per_class"))
+    cells = cm.agg(*[F.max(F.when((F.col("gold") == g) & (F.col("pred") == p), F.col("n"))).alias(f"c{i}_{j}")
+                     for i, g in enumerate(labels) for j, p in enumerate(labels)])
+    cells = cells.select(F.array(*[F.array(*[F.col(f"c{i}_{j}") for j in range(len(labels))]) for i in range(len(labels))]).alias("confusion"))
+    out = coverage(rows, gold, matched, key_col)
+    for part in (model_versions(matched), summary(cm, labels), per, cells, performance(matched)):
+        out = attach_row(out, part)
+    return out
+
+
+def _number(col):
+    """A rounded number as it is usually shown: no trailing zeros but one."""
+    text = F.regexp_replace(F.col(col).cast("decimal(30,2)").cast("string"), "0$", "")
+    return F.coalesce(text, F.lit("None"))
+
+
+def report_lines(report: DataFrame) -> DataFrame:
+    """The report as Markdown: ``line_no, line``, labels in their fixed
+    order."""
+    f4 = lambda c: F.format_string("%.4f", c)
+    head = [
+        F.concat(F.lit("Matched "), F.col("matched").cast("string"), F.lit(" / "), F.col("expected").cast("string"), F.lit(" dataset rows ("),
+                 F.col("missing").cast("string"), F.lit(" missing) · model: "),
+                 F.when(F.size("model_versions") > 0, F.array_join("model_versions", ", ")).otherwise(F.lit("n/a"))),
+        F.lit(""), F.lit("| Metric | Value |"), F.lit("|---|---|"),
+        F.concat(F.lit("| Accuracy | "), f4(F.col("accuracy")), F.lit(" |")),
+        F.concat(F.lit("| Macro-F1 | "), f4(F.col("macro_f1")), F.lit(" |")),
+    ]
+    classes = F.transform("per_class", lambda c: F.concat(
+        F.lit("| F1 "), c["label"], F.lit(" (n="), c["support"].cast("string"), F.lit(") | "), f4(c["f1"]), F.lit(" |")))
+    show = lambda name, *cols: F.concat(F.lit(f"| {name} | "), F.concat_ws(" / ", *[_number(c) for c in cols]))
+    tail = [
+        F.concat(show("Offered rate", "offered_rate_per_sec"), F.lit(" msg/s |")),
+        F.concat(show("Throughput (end to end)", "throughput_per_sec"), F.lit(" msg/s |")),
+        F.concat(show("Produce→predict p50 / p95", "produce_to_predict_p50", "produce_to_predict_p95"), F.lit(" ms |")),
+        F.concat(show("Produce→join p50 / p95 / p99", "produce_to_join_p50", "produce_to_join_p95", "produce_to_join_p99"), F.lit(" ms |")),
+    ]
+    lines = F.concat(F.array(*head), classes, F.array(*tail))
+    return report.select(F.posexplode(lines).alias("line_no", "line"))
 
 
 def performance(rows: DataFrame) -> DataFrame:
@@ -102,8 +197,6 @@ def performance(rows: DataFrame) -> DataFrame:
 
     The narrow projection needed by every figure is checkpointed once, so
     the (possibly join-heavy) input is computed a single time."""
-    from moodstream.session import checkpoint_dir
-
     checkpoint_dir(rows.sparkSession)
     rows = rows.select(F.col("produced_at").cast("timestamp").alias("produced_at"),
                        F.col("predicted_at").cast("timestamp").alias("predicted_at"),
@@ -158,12 +251,19 @@ def roc_auc(df: DataFrame, score_col: str, label_col: str,
         F.count_if(F.col(label_col) == 1).cast("long").alias("_pos"),
         F.count_if(F.col(label_col) != 1).cast("long").alias("_neg"))
     s = ordered_suffix_scan(g, ["_s"], ["_neg"], num_partitions=num_partitions)
-    part = s.agg(F.sum(F.col("_pos") * (F.col("suf__neg") - F.col("_neg"))).alias("_above"),
-                 F.sum(F.col("_pos") * F.col("_neg")).alias("_ties"),
+    return auc_of(s)
+
+
+def auc_of(s: DataFrame) -> DataFrame:
+    """AUC of ``_pos, _neg, suf__neg`` rows, one per distinct score."""
+    # Products of counts outgrow BIGINT at some 10^9 rows a class: 38 digits hold them exactly.
+    big = lambda c: F.col(c).cast("decimal(19,0)")
+    part = s.agg(F.sum(big("_pos") * (big("suf__neg") - big("_neg")).cast("decimal(19,0)")).alias("_above"),
+                 F.sum(big("_pos") * big("_neg")).alias("_ties"),
                  F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"))
     # suf__neg - _neg = negatives strictly above; below = N - suffix
-    return part.select(safe_div(F.col("_P") * F.col("_N") - F.col("_above") - F.lit(0.5) * F.col("_ties"),
-                                F.col("_P") * F.col("_N")).alias("auc"))
+    pairs, d = F.col("_P").cast("double") * F.col("_N").cast("double"), lambda c: F.col(c).cast("double")
+    return part.select(safe_div(pairs - d("_above") - F.lit(0.5) * d("_ties"), pairs).alias("auc"))
 
 
 def binary_metrics(df: DataFrame, prob_col: str, label_col: str, threshold: float = 0.5) -> DataFrame:
@@ -177,13 +277,3 @@ def binary_metrics(df: DataFrame, prob_col: str, label_col: str, threshold: floa
                F.count_if((pred != 1) & (y == 1)).alias("fn"))
     return a.select("n", safe_div(F.col("_ok"), F.col("n")).alias("accuracy"),
                     safe_div(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")).alias("f1"))
-
-
-def report_table(summary_row: DataFrame, metrics: DataFrame) -> DataFrame:
-    """Markdown table rows ``| Metric | Value |`` of the report."""
-    head = summary_row.select(F.inline(F.array(
-        F.struct(F.lit(0).alias("_o"), F.format_string("| Accuracy | %.4f |", "accuracy").alias("line")),
-        F.struct(F.lit(1).alias("_o"), F.format_string("| Macro-F1 | %.4f |", "macro_f1").alias("line")))))
-    per = metrics.select(F.lit(2).alias("_o"),
-                         F.format_string("| F1 %s (n=%d) | %.4f |", "label", "support", "f1").alias("line"))
-    return head.unionByName(per)

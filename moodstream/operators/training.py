@@ -71,9 +71,12 @@ def build_pipeline(reg_param: float, num_features: int = 1 << 16, text_col: str
     return Pipeline(stages=[*stages, classifier(reg_param, max_iter)])
 
 
-def with_weights(df: DataFrame, label_col: str = "label") -> DataFrame:
-    """Adds ``label_id`` and the inverse-frequency ``weight`` (the weights
-    table has one row per label, so broadcasting it is bounded)."""
+def with_weights(df: DataFrame, label_col: str = "label", weighted: bool = True) -> DataFrame:
+    """Adds ``label_id`` and the inverse-frequency ``weight``, or 1 for all
+    when not ``weighted`` (the weights table has one row per label of the
+    fixed domain, so broadcasting it is bounded)."""
+    if not weighted:
+        return df.withColumn("weight", F.lit(1.0)).withColumn("label_id", label_index(label_col))
     w = datasets.class_weights(df, label_col)
     return df.join(F.broadcast(w.withColumnRenamed("label", label_col)), label_col) \
         .withColumn("label_id", label_index(label_col))
@@ -102,8 +105,7 @@ def metrics_of(pred: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(class metrics, summary) of ``gold_label`` vs ``label`` rows; the
     tiny confusion table is built once and shared by both."""
     cm = evaluation.confusion_matrix(pred).cache()
-    cls = evaluation.class_metrics(cm)
-    return cls, evaluation.summary(cm, cls)
+    return evaluation.class_metrics(cm), evaluation.summary(cm)
 
 
 @dataclass
@@ -112,31 +114,46 @@ class TrainResult:
     reg_param: float
     history: list = field(default_factory=list)
     train_seconds: float = 0.0
+    train_size: int = 0
+    weighted: bool = True
+    test: dict = field(default_factory=dict)
+
+    def measure(self, test: DataFrame, label_col: str = "label") -> TrainResult:
+        """Adds the metrics on a test split to the metadata."""
+        pred = predict(self.model, test.withColumnRenamed(label_col, "gold_label"))
+        cm = evaluation.confusion_matrix(pred).cache()
+        row = evaluation.summary(cm).first()
+        per = {r["label"]: {k: r[k] for k in ("precision", "recall", "f1", "support")} for r in evaluation.classification_report(cm).collect()}
+        cells = {(r["gold"], r["pred"]): r["n"] for r in cm.collect()}
+        self.test = {"accuracy": row["accuracy"], "macro_f1": row["macro_f1"], "per_class": per,
+                     "confusion_matrix": [[cells[g, p] for p in LABELS] for g in LABELS]}
+        return self
 
     def metadata(self, name: str = "sentiment-lr") -> dict:
         stamp = time.strftime("%Y%m%d-%H%M%S", time.gmtime())
         return {"model_version": f"{name}@{stamp}", "base_model": "hashing-tf-idf-logreg",
                 "labels": LABELS, "trained_at": stamp, "train_seconds": round(self.train_seconds),
-                "device": "spark", "hyperparameters": {"regParam": self.reg_param}, "history": self.history}
+                "device": "spark", "hyperparameters": {"regParam": self.reg_param, "class_weights": self.weighted},
+                "train_size": self.train_size, "history": self.history, "test": self.test}
 
 
 def train_classifier(train: DataFrame, val: DataFrame, reg_params=(0.0, 0.01, 0.1),
                      label_col: str = "label", text_col: str = "text", clean_mode: str = "arabic",
-                     num_features: int = 1 << 16, max_iter: int = 30) -> TrainResult:
+                     num_features: int = 1 << 16, max_iter: int = 30, weighted: bool = True) -> TrainResult:
     """Cleans, tokenizes and hashes the training texts once (cached term
     frequencies feed both the IDF fit and the features), then fits one
     logistic regression per ``regParam`` and keeps the best on validation
     macro-F1 (strictly greater, so the earliest wins ties). Only scalar
     metrics reach the driver."""
     t0 = time.time()
-    tr = with_weights(train, label_col)
+    tr = with_weights(train, label_col, weighted)
     stages = feature_pipeline(num_features, text_col, clean_mode).getStages()
     pre = Pipeline(stages=stages[:3]).fit(tr)                 # stateless transformers
     tf = pre.transform(tr).select("_tf", "label_id", "weight").cache()
     idf = stages[3].fit(tf)
     feats = PipelineModel(stages=[*pre.stages, idf])
     ftr = idf.transform(tf).select("_features", "label_id", "weight").cache()
-    ftr.count()
+    size = ftr.count()
     tf.unpersist()
     fval = feats.transform(val.withColumnRenamed(label_col, "gold_label")) \
         .select("_features", "gold_label").cache()
@@ -153,7 +170,7 @@ def train_classifier(train: DataFrame, val: DataFrame, reg_params=(0.0, 0.01, 0.
             best = (model, row["macro_f1"], rp)
     ftr.unpersist()
     fval.unpersist()
-    return TrainResult(best[0], best[2], history, time.time() - t0)
+    return TrainResult(best[0], best[2], history, time.time() - t0, size, weighted)
 
 
 def save_model(result: TrainResult, path: str, name: str = "sentiment-lr") -> dict:
@@ -164,3 +181,30 @@ def save_model(result: TrainResult, path: str, name: str = "sentiment-lr") -> di
     SparkSession.getActiveSession().createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1) \
         .write.mode("overwrite").text(f"{path.rstrip('/')}/training_meta")
     return meta
+
+
+def train_binary(train: DataFrame, label_col: str = "label", text_col: str = "text", class_weights: dict[int, float] | None = None,
+                 reg_param: float = 0.01, clean_mode: str = "tweet", num_features: int = 1 << 16, max_iter: int = 30) -> PipelineModel:
+    """A two-class model (labels 0 and 1): clean → tokenize → hashing TF →
+    IDF → logistic regression, one sigmoid output. ``class_weights``: weight
+    of each class, 1 where not given."""
+    weight = F.lit(1.0)
+    for k, w in (class_weights or {}).items():
+        weight = F.when(F.col(label_col) == k, F.lit(float(w))).otherwise(weight)
+    rows = train.select(text_col, F.col(label_col).cast("double").alias("label_id"), weight.alias("weight"))
+    lr = LogisticRegression(featuresCol="_features", labelCol="label_id", weightCol="weight", regParam=reg_param,
+                            maxIter=max_iter, family="binomial")
+    model = Pipeline(stages=[*feature_pipeline(num_features, text_col, clean_mode).getStages(), lr]).fit(rows)
+    # A two-class model's training summary holds the session, which does not serialise once the
+    # session has observed metrics; scoring has no use for it.
+    model.stages[-1]._java_obj.setSummary(rows.sparkSession.sparkContext._jvm.scala.Option.empty())
+    return model
+
+
+def predict_binary(model: PipelineModel, df: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """Adds ``prob`` (of class 1) and ``label`` (1 if ``prob`` reaches the
+    threshold)."""
+    rows = df.drop("label") if "label" in df.columns else df
+    prob = F.get(vector_to_array("probability"), F.lit(1))
+    scored = model.transform(rows).select(*rows.columns, prob.alias("prob"))
+    return scored.withColumn("label", (F.col("prob") >= threshold).cast("int"))

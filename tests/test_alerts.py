@@ -6,146 +6,144 @@ from pyspark.sql import functions as F
 
 from moodstream.operators import alerts
 from moodstream.operators.alerts import SpikeParams
-from moodstream.streaming.alert_stream import WindowState
 
-T0 = dt.datetime(2026, 1, 1)
+T0 = dt.datetime(2025, 3, 9)
+NEG, POS = "negative", "positive"
 
 
 def frame(spark, events):
-    """events: (seconds, label) in arrival order; seq = position."""
+    """events: (seconds, label) in order of arrival; seq = position."""
     rows = [(i, T0 + dt.timedelta(seconds=s), lab) for i, (s, lab) in enumerate(events)]
     return spark.createDataFrame(rows, "seq long, predicted_at timestamp, label string")
 
 
 def brute(events, w, params=None):
-    """Naive reference: per event, scan all earlier events."""
+    """Per event, all that arrived before it; transitions with params."""
     out, firing = [], False
-    latest = None
-    for i, (t, lab) in enumerate(events):
-        latest = t if latest is None else max(latest, t)
-        inside = [(tj, lj) for tj, lj in events[: i + 1] if tj > latest - w]
-        total = len(inside)
-        neg = sum(1 for _, lj in inside if lj == "negative")
-        start = min(tj for tj, _ in inside) if inside else latest
-        share = neg / total if total else 0.0
-        rec = {"seq": i, "total": total, "negative": neg, "start": start, "end": latest, "share": share}
-        if params is not None:
-            if total >= params.min_count:
-                if not firing and share >= params.threshold:
-                    firing = True
-                    out.append(("firing", rec))
-                elif firing and share < params.rearm_below:
-                    firing = False
-                    out.append(("resolved", rec))
-        else:
+    for i, (_, _) in enumerate(events):
+        edge = max(t for t, _ in events[: i + 1])
+        inside = [(t, lab) for t, lab in events[: i + 1] if t > edge - w]
+        neg = sum(lab == NEG for _, lab in inside)
+        rec = {"seq": i, "total": len(inside), "negative": neg, "end": edge, "start": min((t for t, _ in inside), default=edge)}
+        if params is None:
             out.append(rec)
+        elif len(inside) >= params.min_count:
+            share = neg / len(inside)
+            if share >= params.threshold if not firing else share < params.rearm_below:
+                firing = not firing
+                out.append(("firing" if firing else "resolved", i, rec["start"]))
     return out
 
 
-def test_boundary_left_edge_exclusive(spark):
-    df = frame(spark, [(0, "negative"), (5, "positive"), (10, "positive")])
-    r = {x["seq"]: x for x in alerts.sliding_share(df, 10).collect()}
-    assert (r[2]["total"], r[2]["negative"]) == (2, 0)
-    assert r[2]["window_start"] == T0 + dt.timedelta(seconds=5)
-    assert r[2]["window_end"] == T0 + dt.timedelta(seconds=10)
+def stream_of(seed, late=0.0, n=500):
+    rnd, t, ev = random.Random(seed), 0, []
+    for k in range(n):
+        t += rnd.choice([0, 0, 1, 2, 4, 9])
+        at = t - rnd.choice([3, 17, 60]) if rnd.random() < late else t
+        ev.append((at, NEG if rnd.random() < (0.75 if k // 90 % 2 else 0.25) else POS))
+    return ev + [(t, NEG)] * 90 + [(t + 1, POS)] * 90
 
 
-def test_share(spark):
-    df = frame(spark, [(0, "negative"), (1, "negative"), (2, "positive"), (3, "neutral")])
-    r = {x["seq"]: x for x in alerts.sliding_share(df, 60).collect()}
-    assert r[3]["negative_share"] == 0.5
+def test_window_is_open_on_the_left(spark):
+    df = frame(spark, [(3, NEG), (13, POS), (20, NEG), (23, POS)])
+    r = {x["seq"]: x for x in alerts.sliding_share(df, 10).collect()}
+    assert [(r[i]["total"], r[i]["negative"]) for i in range(4)] == [(1, 1), (1, 0), (2, 1), (2, 1)]
+    assert r[1]["window_start"] == T0 + dt.timedelta(seconds=13)
+    assert r[3]["negative_share"] == 0.5 and r[3]["window_end"] == T0 + dt.timedelta(seconds=23)
 
 
-def test_params():
+def test_parameters_are_checked():
+    for bad in ({"threshold": 0.2, "rearm_below": 0.6}, {"threshold": 1.2}, {"threshold": 0.5, "rearm_below": -0.1}):
+        with pytest.raises(ValueError):
+            SpikeParams(30, **bad)
     with pytest.raises(ValueError):
-        SpikeParams(60, threshold=0.3, rearm_below=0.5)
-    assert SpikeParams(60, threshold=0.4).rearm_below == 0.32
+        SpikeParams(0)
+    assert SpikeParams(30, threshold=0.75).rearm_below == 0.6
 
 
-def test_min_count_blocks_firing(spark):
-    df = frame(spark, [(i, "negative") for i in range(19)])
-    assert alerts.detect_spikes(df, SpikeParams(60, 0.4, min_count=20)).count() == 0
+@pytest.mark.parametrize("seed", [11, 12])
+def test_batch_detection_is_brute_force(spark, seed):
+    ev = stream_of(seed)
+    df, w = frame(spark, ev), 25
+    got = {r["seq"]: r for r in alerts.sliding_share(df, w, num_partitions=5).collect()}
+    for rec in brute(ev, w):
+        g = got[rec["seq"]]
+        assert (g["total"], g["negative"]) == (rec["total"], rec["negative"])
+        assert g["window_start"] == T0 + dt.timedelta(seconds=rec["start"])
+    p = SpikeParams(w, 0.55, 0.4, 8)
+    want = [(s, i) for s, i, _ in brute(ev, w, p)]
+    spikes = alerts.detect_spikes(df, p, block_rows=32, num_partitions=5).orderBy("seq").collect()
+    assert [(r["status"], r["seq"]) for r in spikes] == want and len(want) >= 4
+    assert [s for s, _ in want[:2]] == ["firing", "resolved"]
 
 
-def test_fires_once(spark):
-    ev = [(i, "positive") for i in range(10)] + [(10 + i, "negative") for i in range(10)]
-    rows = alerts.detect_spikes(frame(spark, ev), SpikeParams(60, 0.4, min_count=10)).collect()
-    assert [r["status"] for r in rows] == ["firing"]
-    assert rows[0]["negative_share"] >= 0.4
+def test_too_few_events_change_nothing(spark):
+    assert alerts.detect_spikes(frame(spark, [(i, NEG) for i in range(6)]), SpikeParams(90, 0.5, min_count=7)).count() == 0
+    assert alerts.detect_spikes(frame(spark, [(i, NEG) for i in range(7)]), SpikeParams(90, 0.5, min_count=7)).count() == 1
 
 
-def test_hysteresis_oscillation_fires_once(spark):
-    ev = [(i, "negative" if i % 2 == 0 else "positive") for i in range(40)]
-    rows = alerts.detect_spikes(frame(spark, ev), SpikeParams(1000, 0.5, 0.3, 4)).collect()
-    assert [r["status"] for r in rows] == ["firing"]
+@pytest.mark.parametrize("seed", [3, 4])
+def test_late_events_count_from_their_arrival(spark, seed):
+    ev = stream_of(seed, late=0.2, n=300)
+    df, w = frame(spark, ev), 25
+    got = {r["seq"]: r for r in alerts.arrival_share(df, w, ["seq"], num_partitions=4).collect()}
+    for rec in brute(ev, w):
+        g = got[rec["seq"]]
+        assert (g["total"], g["negative"], g["window_end"]) == (rec["total"], rec["negative"], T0 + dt.timedelta(seconds=rec["end"]))
+    p = SpikeParams(w, 0.55, 0.4, 8)
+    spikes = alerts.arrival_spikes(df, p, ["seq"], block_rows=32, num_partitions=4).orderBy("seq").collect()
+    want = brute(ev, w, p)
+    assert [(r["status"], r["seq"], r["window_start"]) for r in spikes] == [(s, i, T0 + dt.timedelta(seconds=a)) for s, i, a in want]
+    assert len(want) >= 2
 
 
-def test_resolve_and_rearm(spark):
-    ev = [(i, "negative") for i in range(20)] + [(20 + i, "positive") for i in range(20)] + \
-         [(40 + i, "negative") for i in range(20)]
-    rows = alerts.detect_spikes(frame(spark, ev), SpikeParams(20, 0.5, 0.2, 10)).orderBy("window_end").collect()
-    assert [r["status"] for r in rows] == ["firing", "resolved", "firing"]
+def test_late_event_outside_the_window_is_dropped(spark):
+    r = {x["seq"]: x for x in alerts.arrival_share(frame(spark, [(50, POS), (44, NEG), (39, NEG), (58, POS)]), 10, ["seq"]).collect()}
+    assert [(r[i]["total"], r[i]["negative"]) for i in range(4)] == [(1, 0), (2, 1), (2, 1), (2, 0)]
 
 
-def test_slide_out_resolves(spark):
-    ev = [(i, "negative") for i in range(10)] + [(100 + i, "positive") for i in range(5)]
-    rows = alerts.detect_spikes(frame(spark, ev), SpikeParams(10, 0.5, 0.3, 5)).orderBy("window_end").collect()
-    assert [r["status"] for r in rows] == ["firing", "resolved"]
+def test_alert_payload(spark):
+    p = SpikeParams(45, 0.6, min_count=3)
+    a = alerts.build_alerts(alerts.detect_spikes(frame(spark, [(1, NEG), (2, POS), (4, NEG)]), p), p).first()
+    assert (a["window_start"], a["window_end"]) == ("2025-03-09T00:00:01+00:00", "2025-03-09T00:00:04+00:00")
+    assert (a["total"], a["negative"], a["negative_share"], a["status"], a["type"]) == (3, 2, 0.6667, "firing", "negative_spike")
+    assert (a["window_seconds"], a["threshold"], a["min_count"]) == (45.0, 0.6, 3) and len(a["alert_id"]) == 36 and a["emitted_at"]
 
 
-def test_alert_payload(spark):
-    ev = [(0, "negative"), (1, "negative")]
-    df = spark.createDataFrame([(0, dt.datetime(2026, 1, 1), "negative"),
-                                (1, dt.datetime(2026, 1, 1, 0, 0, 1), "negative")],
-                               "seq long, predicted_at timestamp, label string")
-    p = SpikeParams(60, 0.4, min_count=2)
-    a = alerts.build_alerts(alerts.detect_spikes(df, p), p).first()
-    assert a["window_start"] == "2026-01-01T00:00:00+00:00"
-    assert a["window_end"] == "2026-01-01T00:00:01+00:00"
-    assert (a["total"], a["negative_share"], a["status"], a["type"]) == (2, 1.0, "firing", "negative_spike")
-    assert len(a["alert_id"]) == 36 and ev
-
-
-@pytest.mark.parametrize("seed", [1, 7])
-def test_batch_plan_matches_brute_force(spark, seed):
-    rnd = random.Random(seed)
-    t, ev = 0, []
-    for _ in range(700):
-        t += rnd.choice([0, 0, 1, 2, 3, 7])          # many ties
-        lab = "negative" if rnd.random() < (0.7 if 200 < len(ev) < 350 else 0.3) else "positive"
-        ev.append((t, lab))
-    ev += [(t, "negative")] * 150                      # one hot timestamp
-    df = frame(spark, ev)
-    w = 25
-    got = {r["seq"]: r for r in alerts.sliding_share(df, w, num_partitions=5).collect()}
-    for rec in brute(ev, w):
-        g = got[rec["seq"]]
-        assert (g["total"], g["negative"]) == (rec["total"], rec["negative"])
-        assert g["window_start"] == T0 + dt.timedelta(seconds=rec["start"])
-    p = SpikeParams(w, 0.5, 0.35, 10)
-    want = [(s, r["seq"]) for s, r in brute(ev, w, p)]
-    spikes = alerts.detect_spikes(df, p, block_rows=64, num_partitions=5).collect()
-    assert sorted((r["status"], r["seq"]) for r in spikes) == sorted(want)
-    assert len(want) >= 2
+def feed(spark, rows):
+    return spark.createDataFrame([(s, f"2025-03-09T{m // 60:02d}:{m % 60:02d}:00+00:00", x, q) for s, m, x, q in rows],
+                                 "status string, window_end string, negative_share double, seq long") \
+        .withColumn("threshold", 0.01 * F.col("seq")).withColumn("window_seconds", F.lit(90.0))
 
 
-def test_alert_intervals(spark):
-    rows = [("firing", "2026-01-01T00:01:00+00:00", 0.45), ("firing", "2026-01-01T00:02:00+00:00", 0.5),
-            ("resolved", "2026-01-01T00:03:00+00:00", 0.2), ("firing", "2026-01-01T00:07:00+00:00", 0.6)]
-    df = spark.createDataFrame(rows, "status string, window_end string, negative_share double") \
-        .withColumn("threshold", F.lit(0.4)).withColumn("window_seconds", F.lit(60.0))
+def test_intervals_pair_firing_with_the_next_resolved(spark):
+    df = feed(spark, [("resolved", 2, 0.1, 1), ("firing", 5, 0.7, 2), ("firing", 6, 0.8, 3), ("resolved", 9, 0.2, 4), ("resolved", 10, 0.1, 5), ("firing", 31, 0.9, 6)])
     out = alerts.alert_intervals(df).orderBy("start").collect()
-    assert [(r["start"].minute, r["end"].minute if r["end"] else None, r["peak_share"]) for r in out] == \
-        [(1, 3, 0.45), (7, None, 0.6)]
-
-
-def test_stream_window_late_events():
-    w = WindowState(10_000_000)
-    s = 1_000_000
-    assert w.add(100 * s, False)[2:] == (1, 0)
-    assert w.add(105 * s, False)[2:] == (2, 0)
-    assert w.add(102 * s, True)[2:] == (3, 1)        # late, inside: counted
-    assert w.add(int(112.5 * s), False)[2:] == (2, 0)
-    w2 = WindowState(10_000_000)
-    w2.add(100 * s, False)
-    assert w2.add(80 * s, True)[2:] == (1, 0)        # late, outside: dropped
+    assert [(r["start"].minute, r["end"] and r["end"].minute, r["peak_share"]) for r in out] == [(5, 9, 0.7), (31, None, 0.9)]
+    status = alerts.alert_status(df).first()
+    assert (status["fired"], status["last_threshold"]) == (3, pytest.approx(0.06))
+
+
+def test_alerts_of_one_instant_keep_their_order(spark):
+    both = feed(spark, [("firing", 5, 0.7, 1), ("resolved", 5, 0.2, 4)])
+    (r,) = alerts.alert_intervals(both).collect()
+    assert r["start"] == r["end"]
+    turned = feed(spark, [("firing", 4, 0.7, 0), ("resolved", 5, 0.2, 1), ("firing", 5, 0.6, 4)])
+    assert [r["end"] is None for r in alerts.alert_intervals(turned).orderBy("start", F.col("end").isNull()).collect()] == [False, True]
+
+
+def test_intervals_per_key(spark):
+    df = feed(spark, [("firing", 1, 0.7, 1), ("firing", 2, 0.7, 2), ("resolved", 3, 0.7, 3), ("resolved", 8, 0.1, 4)]).withColumn("k", F.col("seq") % 2)
+    out = alerts.alert_intervals(df, ["k"]).orderBy("k").collect()
+    assert [(r["k"], r["start"].minute, r["end"].minute) for r in out] == [(0, 2, 8), (1, 1, 3)]
+    assert alerts.alert_intervals(df.limit(0)).count() == 0 and alerts.alert_status(df.limit(0)).first()["fired"] == 0
+
+
+def test_no_window_over_all_rows(spark):
+    """Windows without a partition key run over one row per range partition only."""
+    df = frame(spark, stream_of(5))
+    for out in (alerts.detect_spikes(df, SpikeParams(25, 0.5)), alerts.alert_intervals(feed(spark, [("firing", 1, 0.5, 1)]))):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        for line in plan.split("\n"):
+            if "Window [" in line and "[], [" in line:
+                assert "_pid" in line

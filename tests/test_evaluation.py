@@ -10,29 +10,35 @@ def pairs(spark, rows):
     return spark.createDataFrame(rows, "gold_label string, label string")
 
 
-def test_perfect(spark):
-    cm = evaluation.confusion_matrix(pairs(spark, [("negative", "negative"), ("positive", "positive")]))
-    s = evaluation.summary(cm, evaluation.class_metrics(cm)).first()
-    assert s["accuracy"] == 1.0
+LABELS = ["negative", "neutral", "positive"]
+# gold, predicted, how often
+CELLS = [("negative", "negative", 5), ("negative", "positive", 2), ("neutral", "neutral", 3), ("neutral", "negative", 1), ("positive", "positive", 4), ("positive", "neutral", 3)]
 
 
-def test_six_rows(spark):
-    rows = [("negative", "negative"), ("negative", "neutral"), ("neutral", "neutral"), ("neutral", "neutral"),
-            ("positive", "negative"), ("positive", "positive")]
-    cm = evaluation.confusion_matrix(pairs(spark, rows))
-    m = {(r["gold"], r["pred"]): r["n"] for r in cm.collect()}
-    labels = ["negative", "neutral", "positive"]
-    assert [[m[(g, p)] for p in labels] for g in labels] == [[1, 1, 0], [0, 2, 0], [1, 0, 1]]
-    cls = evaluation.class_metrics(cm)
-    s = evaluation.summary(cm, cls).first()
-    assert s["n"] == 6 and s["accuracy"] == round(4 / 6, 4)
-    assert abs(s["macro_f1"] - 0.6556) < 1e-4
+def confusion(spark):
+    return evaluation.confusion_matrix(pairs(spark, [(g, p) for g, p, n in CELLS for _ in range(n)]))
 
 
-def test_class_never_predicted(spark):
-    cm = evaluation.confusion_matrix(pairs(spark, [("negative", "neutral"), ("neutral", "neutral")]))
-    f1 = {r["label"]: r["f1"] for r in evaluation.class_metrics(cm).collect()}
-    assert f1["negative"] == 0.0
+def test_metrics_of_a_confusion_table(spark):
+    cm = confusion(spark)
+    assert {(r["gold"], r["pred"]): r["n"] for r in cm.collect()} == {(g, p): 0 for g in LABELS for p in LABELS} | {(g, p): n for g, p, n in CELLS}
+    s = evaluation.summary(cm).first()
+    f1 = {"negative": 10 / 13, "neutral": 6 / 10, "positive": 8 / 13}
+    assert (s["n"], s["accuracy"]) == (18, round(12 / 18, 4)) and abs(s["macro_f1"] - sum(f1.values()) / 3) < 1e-4
+    assert {r["label"]: r["f1"] for r in evaluation.class_metrics(cm).collect()} == {k: round(v, 4) for k, v in f1.items()}
+    rep = {r["label"]: r for r in evaluation.classification_report(cm).collect()}
+    assert [rep[k]["support"] for k in (*LABELS, "macro avg", "weighted avg")] == [7, 4, 7, 18, 18]
+    assert rep["macro avg"]["precision"] == pytest.approx((5 / 6 + 3 / 6 + 4 / 6) / 3)
+    assert rep["weighted avg"]["recall"] == pytest.approx(12 / 18)
+    want = sum(f1[k] * n for k, n in (("negative", 7), ("neutral", 4), ("positive", 7))) / 18
+    assert evaluation.weighted_f1(cm).first()[0] == round(want, 4)
+
+
+def test_a_class_that_is_never_predicted_scores_zero(spark):
+    cm = evaluation.confusion_matrix(pairs(spark, [("positive", "neutral"), ("neutral", "neutral")]))
+    assert {r["label"]: r["f1"] for r in evaluation.class_metrics(cm).collect()}["positive"] == 0.0
+    empty = evaluation.summary(evaluation.confusion_matrix(pairs(spark, []))).first()
+    assert (empty["n"], empty["accuracy"], empty["macro_f1"]) == (0, 0.0, 0.0)
 
 
 def test_label_outside_domain_fails(spark):
@@ -40,14 +46,30 @@ def test_label_outside_domain_fails(spark):
         evaluation.confusion_matrix(pairs(spark, [("angry", "neutral")])).collect()
 
 
-@pytest.mark.parametrize("values,q,want", [(list(range(101)), 0.95, 95.0), ([0, 10], 0.95, 9.5),
-                                           ([], 0.5, None), ([7], 0.5, 7.0)])
+@pytest.mark.parametrize("values,q,want", [(list(range(1, 12)), 0.95, 10.5), ([4, 4, 4, 4, 9], 0.8, 5.0), ([], 0.5, None), ([3], 0.99, 3.0),
+                                           ([6] * 60 + [8] * 20 + [1] * 20, 0.2, 5.0)])
 def test_percentile(spark, values, q, want):
     df = spark.createDataFrame([(float(v),) for v in values], "v double")
     got = exact_percentiles(df, "v", [q], num_partitions=3).first()["value"]
     assert got == pytest.approx(want) if want is not None else got is None
 
 
+def test_a_value_that_most_rows_share_is_one_row_when_sorted(spark, monkeypatch):
+    from moodstream.plans import ordered
+
+    sizes, real = [], ordered.range_partitioned
+
+    def spy(df, *a, **k):
+        out = real(df, *a, **k)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(ordered, "range_partitioned", spy)
+    df = spark.range(1000).selectExpr("CAST(IF(id % 3 < 2, 7, id) AS DOUBLE) AS v")
+    assert exact_percentiles(df, "v", [0.5, 0.9]).count() == 2
+    assert sizes == [334]
+
+
 def test_rates(spark):
     t0 = dt.datetime(2026, 1, 1)
     rows = [(t0 + dt.timedelta(seconds=i), t0 + dt.timedelta(seconds=i, milliseconds=100),
@@ -69,7 +91,52 @@ def test_coverage(spark):
     c = evaluation.coverage(joined, gold, matched).first()
     assert (c["expected"], c["joined"], c["matched"], c["missing"]) == (3, 3, 2, 1)
     cm = evaluation.confusion_matrix(matched)
-    assert evaluation.summary(cm, evaluation.class_metrics(cm)).first()["accuracy"] == 0.5
+    assert evaluation.summary(cm).first()["accuracy"] == 0.5
+
+
+def test_a_repeated_gold_id_counts_once(spark):
+    gold = spark.createDataFrame([("1", "negative", 0), ("1", "positive", 5), ("1", "neutral", 3)], "id string, label string, line int")
+    joined = spark.createDataFrame([("1", "positive")], "source_id string, label string")
+    (r,) = evaluation.match_gold(joined, gold, order_col="line").collect()
+    assert r["gold_label"] == "positive"
+    assert evaluation.match_gold(joined, gold).count() == 1
+
+
+def test_report_and_its_lines(spark, tmp_dir):
+    from moodstream.sources.files import write_report
+
+    t0 = dt.datetime(2025, 2, 3)
+    rows = [(str(i), LABELS[i % 3], "m-2" if i % 2 else "m-1", "run", t0 + dt.timedelta(seconds=2 * i), t0 + dt.timedelta(seconds=2 * i, milliseconds=250),
+             t0 + dt.timedelta(seconds=2 * i + 1), 1000.0) for i in range(9)] + [("99", "neutral", "m-9", "run", t0, t0, t0, 1.0), ("1", "neutral", "", "other", t0, t0, t0, 1.0)]
+    joined = spark.createDataFrame(rows, "source_id string, label string, model_version string, source string, produced_at timestamp, "
+                                         "predicted_at timestamp, joined_at timestamp, end_to_end_ms double")
+    gold = spark.createDataFrame([(str(i), LABELS[i % 3 if i != 4 else 0]) for i in range(12)], "id string, label string")
+    report = evaluation.evaluation_report(joined, gold, source="run").cache()
+    r = report.first()
+    assert (r["expected"], r["joined"], r["matched"], r["missing"], r["model_versions"]) == (12, 10, 9, 3, ["m-1", "m-2"])
+    assert (r["n"], r["accuracy"], r["confusion"]) == (9, round(8 / 9, 4), [[3, 1, 0], [0, 2, 0], [0, 0, 3]])
+    assert [c["support"] for c in r["per_class"]] == [4, 2, 3] and (r["messages"], r["wall_seconds"]) == (9, 17.0)
+    lines = [x["line"] for x in evaluation.report_lines(report).orderBy("line_no").collect()]
+    assert lines[0] == "Matched 9 / 12 dataset rows (3 missing) · model: m-1, m-2" and lines[1:4] == ["", "| Metric | Value |", "|---|---|"]
+    assert lines[4] == "| Accuracy | 0.8889 |" and lines[6].startswith("| F1 negative (n=4) | 0.857")
+    assert lines[9:] == ["| Offered rate | 0.56 msg/s |", "| Throughput (end to end) | 0.53 msg/s |", "| Produce→predict p50 / p95 | 250.0 / 250.0 ms |",
+                         "| Produce→join p50 / p95 / p99 | 1000.0 / 1000.0 / 1000.0 ms |"]
+    write_report(report, evaluation.report_lines(report), f"{tmp_dir}/out")
+    assert spark.read.json(f"{tmp_dir}/out/report").first()["matched"] == 9
+    assert [x["value"] for x in spark.read.text(f"{tmp_dir}/out/markdown").collect()] == lines
+
+
+def test_auc_of_many_rows_does_not_overflow(spark):
+    df = spark.createDataFrame([(0.1, 0), (0.9, 1)], "score double, y int")
+    big = evaluation.roc_auc
+    from pyspark.sql import functions as F
+
+    from moodstream.plans import ordered
+
+    g = spark.createDataFrame([(0.1, 0, 4 * 10**9), (0.5, 10**9, 10**9), (0.9, 4 * 10**9, 0)], "_s double, _pos long, _neg long")
+    assert big(df, "score", "y").first()["auc"] == 1.0
+    s = ordered.ordered_suffix_scan(g, ["_s"], ["_neg"])
+    assert evaluation.auc_of(s).select(F.round("auc", 6)).first()[0] == pytest.approx(1 - 0.5 / 25)
 
 
 def test_source_tag(spark):
@@ -77,7 +144,7 @@ def test_source_tag(spark):
     joined = spark.createDataFrame([("1", "negative", "capacity"), ("1", "neutral", "latency")],
                                    "source_id string, label string, source string")
     cm = evaluation.confusion_matrix(evaluation.match_gold(joined, gold, source="capacity"))
-    assert evaluation.summary(cm, evaluation.class_metrics(cm)).first()["accuracy"] == 1.0
+    assert evaluation.summary(cm).first()["accuracy"] == 1.0
 
 
 def test_roc_auc_against_brute_force(spark):
