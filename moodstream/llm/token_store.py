@@ -34,8 +34,10 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +50,30 @@ from moodstream.llm import bpe
 from moodstream.llm.common import hash_sample, prepare
 
 LEVEL, BLOCK_DOCS = 3, 512
+# Pieces that a worker remembers, some 200 bytes each.
+REMEMBER = 1_000_000
+
+
+class NotAlone(Exception):
+    """A piece that cannot be encoded apart from its neighbours."""
+
+
+class Memory(dict):
+    """Remembers what ``make`` gives for a key. Words seen early are mostly
+    the frequent ones, so a full memory forgets its newer half."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key: str) -> bytes:
+        value = self[key] = self.make(key)
+        return value
+
+    def trim(self, bound: int) -> None:
+        if len(self) > bound:
+            for key in list(islice(self, bound // 2, None)):
+                del self[key]
 
 
 class LibraryEncoder(bpe.Encoder):
@@ -57,14 +83,42 @@ class LibraryEncoder(bpe.Encoder):
         from tokenizers import Tokenizer
 
         super().__init__(bpe.vocabulary(path))
-        self.model = Tokenizer.from_file(path).model
-        self.printed = {b: c for c, b in bpe.byte_names().items()}
-
-    def _merge(self, words: list[str]) -> None:
-        tokenize, printed = self.model.tokenize, self.printed
-        for w in words:
-            ids = [t.id for t in tokenize(w.encode().decode("latin-1").translate(printed))]
-            self.words[w] = np.array(ids, np.uint32).tobytes()
+        self.tokenize = Tokenizer.from_file(path).model.tokenize
+        self.printed = str.maketrans({b: c for c, b in bpe.byte_names().items()})
+        self.spaced, self.bare = Memory(lambda p: self._piece(" ", p)), Memory(lambda p: self._piece("", p))
+        self.words = Memory(self._word)
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        self.spaced.trim(REMEMBER)
+        self.bare.trim(REMEMBER // 8)
+        self.words.trim(REMEMBER // 8)
+        return [np.frombuffer(b"".join([self._stretch(k % 2, s) for k, s in enumerate(self._stretches(t))]), np.uint32) for t in texts]
+
+    def _stretch(self, added: int, text: str) -> bytes:
+        if added:
+            return array("I", [self.vocabulary.added[text]]).tobytes()
+        if not text:
+            return b""
+        pieces = text.split(" ")
+        try:
+            return b"".join([self.bare[pieces[0]], *map(self.spaced.__getitem__, islice(pieces, 1, None))])
+        except NotAlone:
+            return b"".join(map(self._known, self.find(text)))
+
+    def _word(self, word: str) -> bytes:
+        return array("I", [t.id for t in self.tokenize(word.encode().decode("latin-1").translate(self.printed))]).tobytes()
+
+    def _piece(self, lead: str, piece: str) -> bytes:
+        if piece.isalpha():
+            return self._word(lead + piece)
+        if not piece or piece[0].isspace() or piece[-1].isspace():
+            raise NotAlone
+        return b"".join(map(self._known, self.find(lead + piece)))
+
+    def _known(self, word: str) -> bytes:
+        if word[0] == " " and word[1:].isalpha():
+            return self.spaced[word[1:]]
+        return self.words[word]
 
 
 @lru_cache(maxsize=2)
