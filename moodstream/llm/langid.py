@@ -27,12 +27,12 @@ result; extra columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,7 +43,7 @@ from moodstream.llm.ftrl import Ftrl
 MODULUS, HELD_OUT = 5, 0
 BITS, GRAMS, STRETCH = 16, 3, 1 << 20
 MIX, STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x100000001B3)
-_letter = re.compile(r"[^\W\d_]").search
+_letter = regex.compile(r"\p{L}").search
 
 
 @dataclass(frozen=True)
