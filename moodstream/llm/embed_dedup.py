@@ -12,8 +12,9 @@ Range join of one block: the first ``grid`` coordinates give a cell of width
 twice the radius. Each vector is in its own cell and looks into the cells that
 its range touches, only upward in cell order, so that a pair meets once per
 block. The join is an equality on (label, dimension, block, cell) with the
-block's squared distance as its condition, compiled by Spark and streamed; a
-hot cell is split by adaptive execution. Candidates of all blocks are
+block's squared distance as its condition (the coordinates that made no cell
+first), compiled by Spark and streamed; a hot cell is split by adaptive
+execution. Candidates of all blocks are
 united, and each is verified once: cosine of the original vectors in
 double precision.
 
@@ -36,13 +37,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from moodstream.llm.common import prepare
 from moodstream.llm.components import connected_components
 
-SLACK = 1e-9  # over the rounding of doubles, so that the filter never loses a pair that verification would keep
+SLACK = 1e-5  # over the rounding of single precision, in which blocks travel: the filter loses no pair that verification keeps
 
 
 @lru_cache(maxsize=4)
@@ -71,14 +72,21 @@ def cell_ranges(x: np.ndarray, radius: float, width: float) -> list[tuple[np.nda
 
 def _pack(cells: np.ndarray) -> np.ndarray:
     """One number per cell that keeps their order."""
-    out = np.zeros(len(cells), np.int64)
+    bits, out = 60 // cells.shape[1], np.zeros(len(cells), np.int64)
     for k in range(cells.shape[1]):
-        out = (out << 20) + (cells[:, k] + (1 << 19))
+        out = (out << bits) + (cells[:, k] + (1 << bits - 1))
     return out
 
 
-def _blocks(budget: float, block: int, grid: int, seed: int):
-    """Classes (cls, vec) -> (cls, dim, blk, cell, home, x, share)."""
+def block_width(block: int) -> int:
+    """The most coordinates a block can have."""
+    return max(hi - lo for dim in range(1, 4 * block) for lo, hi in block_edges(dim, block))
+
+
+def _blocks(look: bool, budget: float, block: int, grid: int, seed: int):
+    """Classes (cls, vec) -> their blocks in the cells where they are at home,
+    or in those they look into."""
+    places = block_width(block)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -91,36 +99,26 @@ def _blocks(budget: float, block: int, grid: int, seed: int):
                 x = x / np.abs(x).max(axis=1, keepdims=True)
                 x = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ rotation(int(dim), seed)
                 for blk, (lo, hi) in enumerate(block_edges(int(dim), block)):
-                    part, share = x[:, lo:hi], budget * (hi - lo) / dim + SLACK
+                    part, share = x[:, lo:hi].astype(np.float32), budget * (hi - lo) / dim + SLACK
                     radius, axes = float(np.sqrt(share)), min(grid, hi - lo)
                     width = 2 * radius
-                    home = _pack(np.floor(part[:, :axes] / width).astype(np.int64))
-                    rows, cells = cell_ranges(part[:, :axes], radius, width)
-                    cell = _pack(cells)
-                    up = cell >= home[rows]
-                    rows, cell = rows[up], cell[up]
-                    at = np.r_[np.arange(len(some)), rows]
-                    n = len(at)
-                    flat = part[at].ravel()
-                    yield pa.RecordBatch.from_arrays(
-                        [label.take(pa.array(some[at])), pa.array(np.full(n, dim, np.int32)),
-                         pa.array(np.full(n, blk, np.int32)), pa.array(np.r_[home, cell]), pa.array(ids[some[at]]),
-                         pa.array(np.r_[np.ones(len(some), bool), np.zeros(len(rows), bool)]), pa.array(np.r_[home, home[rows]]),
-                         pa.array(np.full(n, share)), pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, hi - lo, dtype=np.int32)), pa.array(flat))],
-                        names=["label", "dim", "blk", "cell", "cls", "home", "own", "share", "x"])
+                    home = _pack(np.floor(part[:, :axes].astype(float) / width).astype(np.int64))
+                    rows, cell = np.arange(len(some)), home
+                    if look:
+                        rows, cells = cell_ranges(part[:, :axes].astype(float), radius, width)
+                        cell = _pack(cells)
+                        up = cell >= home[rows]
+                        rows, cell = rows[up], cell[up]
+                    n, flat = len(rows), np.zeros((len(rows), places), np.float32)
+                    flat[:, : hi - lo] = part[rows]
+                    columns = {"label": label.take(pa.array(some[rows])), "dim": pa.array(np.full(n, dim, np.int32)), "blk": pa.array(np.full(n, blk, np.int32)),
+                               "cell": pa.array(cell), "cls": pa.array(ids[some[rows]]), "above": pa.array(cell > home[rows]), "share": pa.array(np.full(n, share))}
+                    columns |= {f"x{k}": pa.array(np.ascontiguousarray(flat[:, k])) for k in range(places)}
+                    yield pa.RecordBatch.from_pydict(columns)
 
     return run
 
 
-def _distance2(a: Column, b: Column, width: int) -> Column:
-    """Squared distance of arrays of up to ``width`` numbers, compiled."""
-    total = None
-    for k in range(width):
-        d = F.coalesce(F.get(a, F.lit(k)) - F.get(b, F.lit(k)), F.lit(0.0))
-        total = d * d if total is None else total + d * d
-    return total
-
-
 def _verify(limit: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -139,7 +137,7 @@ def _verify(limit: float):
 
 
 def near_duplicates(vectors: DataFrame, limit: float = 0.98, id_col: str = "vec_id", vector_col: str = "embedding",
-                    label_col: str = "label", block: int = 8, grid: int = 3, seed: int = 4) -> DataFrame:
+                    label_col: str = "label", block: int = 8, grid: int = 4, seed: int = 4) -> DataFrame:
     """One row per vector: id, n_links, component_id, kept."""
     prepare(vectors.sparkSession)
     rows = vectors.select(F.col(id_col).alias("_id"), F.col(label_col).alias("label"), F.col(vector_col).alias("vec"))
@@ -152,20 +150,19 @@ def near_duplicates(vectors: DataFrame, limit: float = 0.98, id_col: str = "vec_
     classes = good.groupBy("label", "vec").agg(F.count("*").alias("n"), F.min("_id").alias("first"))
     classes = classes.withColumn("cls", F.monotonically_increasing_id()).checkpoint()
 
-    width = block + block // 2 + 1
-    kind = dict(classes.dtypes)["label"]
-    spread = classes.select("label", "vec", "cls").mapInArrow(
-        _blocks(2 - 2 * limit, block, grid, seed),
-        f"label {kind}, dim int, blk int, cell long, cls long, home boolean, own long, share double, x array<double>")
-    spread = spread.checkpoint()
-    home = spread.where("home").select("label", "dim", "blk", "cell", F.col("cls").alias("a"), F.col("x").alias("xa"))
-    look = spread.where("NOT home").select("label", "dim", "blk", "cell", "own", "share", F.col("cls").alias("b"), F.col("x").alias("xb"))
-    met = home.join(look, ["label", "dim", "blk", "cell"]).where(
-        # A pair of one cell meets from both sides: it counts when a < b.
-        ((F.col("cell") > F.col("own")) | (F.col("a") < F.col("b")))
-        & (_distance2(F.col("xa"), F.col("xb"), width) <= F.col("share")))
+    kind, places = dict(classes.dtypes)["label"], block_width(block)
+    schema = f"label {kind}, dim int, blk int, cell long, cls long, above boolean, share double, " + ", ".join(f"x{k} float" for k in range(places))
+    content = classes.select("label", "vec", "cls")
+    made = {look: content.mapInArrow(_blocks(look, 2 - 2 * limit, block, grid, seed), schema) for look in (False, True)}
+    key = ["label", "dim", "blk", "cell"]
+    home = made[False].select(*key, F.col("cls").alias("a"), *[F.col(f"x{k}").alias(f"a{k}") for k in range(places)])
+    look = made[True].select(*key, "above", "share", F.col("cls").alias("b"), *[F.col(f"x{k}").alias(f"b{k}") for k in range(places)])
+    apart = [(F.col(f"a{k}") - F.col(f"b{k}")) * (F.col(f"a{k}") - F.col(f"b{k}")) for k in range(places)]
+    free, whole = sum(apart[grid:], F.lit(0.0)), sum(apart, F.lit(0.0))
+    # A pair of one cell meets from both sides: it counts when a < b.
+    met = home.join(look, key).where((free <= F.col("share")) & (F.col("above") | (F.col("a") < F.col("b"))) & (whole <= F.col("share")))
     pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    content = classes.select(F.col("cls"), F.col("vec"))
+    content = classes.select("cls", "vec")
     both = (
         pairs.join(content.withColumnsRenamed({"cls": "a", "vec": "va"}), "a")
         .join(content.withColumnsRenamed({"cls": "b", "vec": "vb"}), "b")
