@@ -49,7 +49,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keys = norm.select("_id", "_n", F.unhex(hashed(F.col("_norm"))).alias("_hash"), F.unhex(F.sha2("_norm", 256)).alias("_sha"))
     keys = keys.checkpoint()
 
-    shared = keys.groupBy("_hash").agg(F.count("*").alias("_c")).where("_c > 1")
+    # Written out, so that the join below is between two plain shuffles, which adaptive execution can split for a hot hash.
+    shared = keys.groupBy("_hash").agg(F.count("*").alias("_c")).where("_c > 1").select("_hash").checkpoint()
     members = keys.join(shared, "_hash", "left_semi").select("_id")
     # An id that several rows carry brings all of them along; their texts separate below.
     candidates = rows.alias("r").join(members.alias("m"), F.col("r._id").eqNullSafe(F.col("m._id")), "left_semi")
