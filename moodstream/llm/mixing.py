@@ -42,6 +42,8 @@ from pyspark.sql import functions as F
 from moodstream.llm.common import prepare
 
 TREE = ["domain", "lang", "source"]
+# Leaves up to which the budget table is broadcast.
+SMALL_TREE = 100_000
 
 
 def _weight(level: str, table: Mapping[str, float]) -> Column:
@@ -98,6 +100,8 @@ def select(docs: DataFrame, weights: Mapping[str, Mapping[str, float]], share_of
     leaves = narrow.groupBy(*TREE).agg(F.sum("n_tokens").alias("leaf_tokens")).checkpoint()
     total = (leaves.agg(F.sum("leaf_tokens")).first()[0] or 0) * share_of_tokens
     plan = budgets(leaves, total, weights, epochs)
+    if leaves.count() <= SMALL_TREE:  # some 10 MB at most; a larger tree is joined by a shuffle that adaptive execution splits
+        plan = F.broadcast(plan)
 
     last = F.ceil(F.col("leaf_budget") / F.col("leaf_tokens")) - 1
     stream = (
