@@ -7,8 +7,9 @@ end as one star per component around its smallest node, after a number of
 rounds that grows like the square of the log of the longest path at worst.
 
 A step is an aggregate (combined on the map side, so a hub's edges meet as one
-row per task) and an equi-join that adaptive execution splits for a hub. Each
-round is written to the shared checkpoint folder. Nothing is collected but one
+row per task) and an equi-join. The aggregate is written out first: the join is
+then between two plain shuffles, which adaptive execution splits for a hub.
+Each round is written to the shared checkpoint folder. Nothing is collected but one
 count and one checksum per round.
 """
 
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 
 def _least(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    return edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")).checkpoint()
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
