@@ -42,7 +42,7 @@ from moodstream.llm.ftrl import Ftrl
 THRESHOLD = 0.3
 # The held-out fold: crc32 of the id modulo 4 is 2.
 MODULUS, HELD_OUT = 4, 2
-BITS, STEM, STRETCH, REMEMBER = 20, 5, 1 << 20, 400_000
+BITS, STEM, STRETCH, REMEMBER = 20, 4, 1 << 20, 400_000
 # Odd numbers that set the kinds of features apart.
 NEXT, SKIP, CUT = (np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 _words = re.compile(r"\w+").findall
@@ -145,7 +145,7 @@ def _learn(share: float, passes: int, alpha: float, beta: float, l1: float, l2:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          per_class: int = 4000, passes: int = 3, alpha: float = 1.0, beta: float = 1.0, l1: float = 3.0, l2: float = 1e-3,
+          per_class: int = 4000, passes: int = 6, alpha: float = 1.0, beta: float = 1.0, l1: float = 3.0, l2: float = 1e-3,
           seed: int = 9) -> Model:
     prepare(docs.sparkSession)
     known = (

@@ -118,15 +118,10 @@ def test_models_of_odd_documents_and_labels(spark):
 
 
 def test_toxicity_of_held_out_documents(spark):
-    """Texts made of the table's, some with one of six words in."""
-    docs, _ = _tables(spark)
-    bad = F.array(*[F.lit(w) for w in ("idiot", "moron", "clown", "scum", "loser", "trash")])
-    made = docs.select("doc_id", F.when(F.col("doc_id") % 4 == 1, F.concat("text", F.lit(" "), bad[F.expr("cast(doc_id div 12 as int)") % 6], F.lit("!"))).otherwise(F.col("text")).alias("text"))
-    labels = made.select("doc_id", (F.col("doc_id") % 4 == 1).cast("int").alias("toxic")).where("doc_id % 3 < 2")
-    clean = made.where(~F.lower("text").rlike("idiot|moron|clown|scum|loser|trash|pathetic|worthless|stupid|disgusting") | (F.col("doc_id") % 4 == 1))
-    got = toxicity.score(clean, toxicity.train(clean, labels)).where("held_out")
-    r = dict(rows(got.groupBy((F.col("doc_id") % 4 == 1).alias("toxic")).agg(F.avg("predicted"))))
-    assert r[True] > 0.85 and r[False] < 0.05  # 300 labelled documents, six words
+    docs, labels = (spark.read.parquet(f"{SF.replace('sf0.01', 'sf0.1')}/{t}.parquet") for t in ("documents", "labels"))
+    got = toxicity.score(docs, toxicity.train(docs, labels)).where("held_out").join(labels, "doc_id")
+    share = dict(rows(got.groupBy("toxic").agg(F.avg("predicted"))))
+    assert share[1] > 0.85 and share[0] < 0.02, share  # 3,000 labelled documents to learn from
 
 
 def test_toxicity_features_do_not_depend_on_stretches(monkeypatch):
