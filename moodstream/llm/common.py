@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +51,21 @@ def hash_sample(df: DataFrame, bound: int, total: int, *cols: str, seed: int = 0
     return df.where(unit_hash(*cols, seed=seed) < F.lit(bound / total))
 
 
+def level(sizes: list[int], bound: int) -> int:
+    """The most that one may give of its size so that all together give at
+    most ``bound``; 1 if even that is more."""
+    held, lo, hi = np.array(sizes, np.int64), 1, max([1, *sizes])
+    while lo < hi:
+        mid = (lo + hi + 1) // 2
+        lo, hi = (mid, hi) if np.minimum(held, mid).sum() <= bound else (lo, mid - 1)
+    return lo
+
+
+def spaced(n: int, most: int) -> list[int]:
+    """0 to n - 1, or ``most`` of them, evenly spaced."""
+    return list(range(n)) if n <= most else [k * n // most for k in range(most)]
+
+
 def require_model(rows: list, what: str) -> list:
     if not rows:
         raise ValueError(f"{what}: no labelled rows to learn from")

@@ -11,11 +11,17 @@ with bad ones.) Pieces keep the weight of the dictionaries the same in short
 and long texts and bound the memory.
 
 Learning uses about ``per_class`` labelled documents of each class, chosen by
-a hash of the id over all labels (documented bounds: ``per_class``, and
-``sample_bytes`` of text in the one learning task, documents beyond it being
-left out in hash order). The class weights of the curve restore the shares
-that all labels have. Scoring reads every whole text, in one map pass without
-a shuffle; the model is two dictionaries of at most ``dict_bytes``.
+a hash of the id over all labels (documented bound). In hash order, two of
+three documents of a class train its dictionary and the third fits the curve.
+Every one of them takes part, whatever its length and whenever it arrives: the
+fitting ones are compressed whole, where they are, and each training one sends
+its pieces to the one learning task, all of them as long as they fit into
+``sample_bytes``. If not, one number of pieces that no document may exceed is
+set from all lengths beforehand; longer documents send that many, evenly
+spaced, shorter ones still all (at least one piece each). The class weights of
+the curve restore the shares that all labels have. Scoring reads every whole
+text, in one map pass without a shuffle; the model is two dictionaries of at
+most ``dict_bytes``.
 
 Defined cases: null and empty texts have difference 0, so their score is the
 curve's value there; a label of null is no label; if labels of one document
@@ -37,7 +43,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from moodstream.llm.common import fold, hash_sample, prepare, unit_hash
+from moodstream.llm.common import fold, hash_sample, level, prepare, spaced, unit_hash
 
 THRESHOLD = 0.3
 # The held-out fold: crc32 of the id modulo 5 is 0.
@@ -85,8 +91,7 @@ def rising_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[list
     return [float(p[0] / p[2]) for p in pools], [float((p[1] + 0.1 * mean) / (p[2] + 0.1)) for p in pools]
 
 
-def _dictionary(texts: list[bytes], size: int) -> bytes:
-    pieces = [t[at : at + PIECE] for t in texts for at in range(0, len(t), PIECE)]
+def _dictionary(pieces: list[bytes], size: int) -> bytes:
     total = sum(map(len, pieces))
     try:
         return zstandard.train_dictionary(min(size, max(256, total // 8)), pieces, k=256, d=8).as_bytes()
@@ -94,28 +99,36 @@ def _dictionary(texts: list[bytes], size: int) -> bytes:
         return b"".join(pieces)[-size:] or b" "
 
 
-def _learn(share: float, dict_bytes: int, sample_bytes: int):
+def _pieces(training: frozenset[float], most: int):
+    """The pieces of each training document, ``most`` evenly spaced ones of a longer one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for u, y, text in zip(*(b.column(c).to_pylist() for c in ("_u", "_y", "_text")), strict=True):
+                if u in training:
+                    data = (text or "").encode("utf-8", "surrogatepass")
+                    pieces = [data[at * PIECE : (at + 1) * PIECE] for at in spaced(-(-len(data) // PIECE), most)]
+                    yield pa.RecordBatch.from_pydict({"_u": [u], "_y": pa.array([y], pa.int32()), "pieces": pa.array([pieces], pa.list_(pa.binary()))})
+
+    return run
+
+
+def _dictionaries(dict_bytes: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted(r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("_u", "_y", "pieces")), strict=True))
+        good, bad = (_dictionary([p for _, y, pieces in rows if y == k for p in pieces], dict_bytes) for k in (1, 0))
+        yield pa.RecordBatch.from_pydict({"good": [good], "bad": [bad]})
+
+    return run
+
+
+def _differences(training: frozenset[float], good: bytes, bad: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, held = [], 0
+        sizes = Sizes(good, bad)
         for b in batches:
-            for r in b.select(["_u", "_y", "_text"]).to_pylist():
-                held += len(r["_text"] or "")
-                if held <= sample_bytes:
-                    rows.append((r["_u"], r["_y"], (r["_text"] or "").encode("utf-8", "surrogatepass")))
-        rows.sort()
-        y = np.array([r[1] for r in rows])
-        # Two of three documents of a class, in hash order, train its dictionary; the third fits the curve.
-        turn = np.zeros(len(rows), int)
-        for k in (0, 1):
-            turn[y == k] = np.arange((y == k).sum()) % 3 // 2
-        if len(rows) and all(((y == k) & (turn == j)).any() for k in (0, 1) for j in (0, 1)):
-            good, bad = (_dictionary([r[2] for r, a, t in zip(rows, y, turn, strict=True) if a == k and t == 0], dict_bytes) for k in (1, 0))
-            sizes = Sizes(good, bad)
-            fit = [(sizes.difference(r[2].decode("utf-8", "surrogatepass")), a) for r, a, t in zip(rows, y, turn, strict=True) if t == 1]
-            x, z = (np.array(v, float) for v in zip(*fit, strict=True))
-            weight = np.where(z == 1, share / z.mean(), (1 - share) / (1 - z.mean()))
-            places, values = rising_curve(x, z, weight)
-            yield pa.RecordBatch.from_pydict({"good": [good], "bad": [bad], "places": [places], "vals": [values]})
+            rows = [r for r in zip(*(b.column(c).to_pylist() for c in ("_u", "_y", "_text")), strict=True) if r[0] not in training]
+            yield pa.RecordBatch.from_arrays([pa.array([r[1] for r in rows], pa.int32()), pa.array([sizes.difference(r[2]) for r in rows], pa.float64())],
+                                             names=["_y", "x"])
 
     return run
 
@@ -136,11 +149,22 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     chosen = parts[0].unionByName(parts[1])
     # About 2 x per_class ids, whatever the number of labels: small enough for every task.
     sample = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(chosen), "_id")
-    sample = sample.select(unit_hash("_id", seed=seed + 1).alias("_u"), "_y", "_text").repartition(1)
-    fitted = sample.mapInArrow(_learn(share, dict_bytes, sample_bytes), "good binary, bad binary, places array<double>, vals array<double>").collect()
-    if not fitted:
+    # Written out: read for the lengths, the dictionaries and the curve.
+    sample = sample.select(unit_hash("_id", seed=seed + 1).alias("_u"), F.col("_y"), F.col("_text")).checkpoint()
+    lengths = sorted(tuple(r) for r in sample.select("_u", "_y", F.coalesce(F.octet_length("_text"), F.lit(0))).collect())
+    # Two of three documents of a class, in hash order, train its dictionary; the third fits the curve.
+    turns = {k: [[r for i, r in enumerate(of) if i % 3 // 2 == j] for j in (0, 1)] for k in (0, 1) for of in [[r for r in lengths if r[1] == k]]}
+    if not all(turns[k][j] for k in (0, 1) for j in (0, 1)):
         return _constant(share)
-    return Model(bytes(fitted[0]["good"]), bytes(fitted[0]["bad"]), tuple(fitted[0]["places"]), tuple(fitted[0]["vals"]))
+    training = frozenset(r[0] for k in (0, 1) for r in turns[k][0])
+    most = level([-(-r[2] // PIECE) for k in (0, 1) for r in turns[k][0]], sample_bytes // PIECE)
+    pieces = sample.mapInArrow(_pieces(training, most), "_u double, _y int, pieces array<binary>").repartition(1)
+    trained = pieces.mapInArrow(_dictionaries(dict_bytes), "good binary, bad binary").first()
+    good, bad = bytes(trained["good"]), bytes(trained["bad"])
+    x, z = (np.array(v, float) for v in zip(*[(r["x"], r["_y"]) for r in sample.mapInArrow(_differences(training, good, bad), "_y int, x double").collect()], strict=True))
+    weight = np.where(z == 1, share / z.mean(), (1 - share) / (1 - z.mean()))
+    places, values = rising_curve(x, z, weight)
+    return Model(good, bad, tuple(places), tuple(values))
 
 
 def _constant(share: float) -> Model:

@@ -1,13 +1,14 @@
 """Language, quality and toxicity: held-out accuracy and odd cases."""
 
 import math
+import random
 
 import numpy as np
 from conftest import SF_SMALL
 from fixtures import held_out, no_documents, odd_documents, rows, rows_of_odd_documents
 from pyspark.sql import functions as F
 
-from moodstream.llm import langid, quality, toxicity
+from moodstream.llm import common, langid, quality, toxicity
 from moodstream.llm.ftrl import Ftrl
 
 SF = SF_SMALL.replace("sf0.001", "sf0.01")
@@ -84,6 +85,30 @@ def test_quality_of_held_out_documents(spark):
     assert {r[0] for r in rows(kept.select("doc_id"))} == {r[0] for r in rows(quality.score(docs, model).where("predicted = 1"))}
 
 
+def test_quality_learns_the_same_in_any_order_and_past_an_oversized_text(spark):
+    rnd = random.Random(3)
+    kinds = {0: "buy cheap pills now click".split(), 1: "the river runs through quiet hills".split()}
+    data = [(i, " ".join(rnd.choice(kinds[i % 2]) + str(rnd.randrange(9)) for _ in range(300))) for i in range(120)]
+    huge = (120, "x y " * 100_000)  # more than the whole bound, and first or last to arrive
+    labels = spark.createDataFrame([(i, i % 2) for i in range(121)], "doc_id long, quality int")
+    models = []
+    for rows_in in ([huge, *data], [*data, huge], [*reversed(data), huge]):
+        docs = spark.createDataFrame(rows_in, "doc_id long, text string").coalesce(1)
+        models.append(quality.train(docs, labels, sample_bytes=100_000))
+    assert models[0] == models[1] == models[2]
+    assert len(models[0].at) > 1  # no constant score
+    sizes = quality.Sizes(models[0].good, models[0].bad)
+    score = lambda t: np.interp(sizes.difference(t), models[0].at, models[0].score)
+    assert min(score(t) for i, t in data if i % 2) > 0.5 > max(score(t) for i, t in data if not i % 2)
+
+
+def test_level_fills_the_bound_and_pieces_are_spaced():
+    for sizes, bound in (([5, 1, 100, 30], 40), ([0, 3], 100), ([7] * 9, 4), ([], 3)):
+        best = max([n for n in range(1, max([1, *sizes]) + 1) if sum(min(s, n) for s in sizes) <= bound], default=1)
+        assert common.level(sizes, bound) == best
+    assert common.spaced(3, 5) == [0, 1, 2] and common.spaced(10, 4) == [0, 2, 5, 7] and common.spaced(0, 4) == []
+
+
 def test_rising_curve_is_the_weighted_isotonic_fit():
     rng = np.random.default_rng(2)
     x, w = rng.standard_normal(60), rng.random(60) + 0.1
