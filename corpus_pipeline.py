@@ -13,9 +13,9 @@ its predecessor kept.
 Defined cases: an empty table passes through every stage as an empty table;
 null and empty texts are scored by the quality model like any other and, if
 kept, form one group of copies, of which the mixture selects none (no tokens);
-repeated rows leave the exact stage once; a document with a null id cannot be
-named by the later decisions and ends at the near-copy stage; extra columns
-are carried to the last stage.
+repeated rows leave the exact stage once; the later stages name a document by
+its id and text, so documents with a null or a shared id are each decided like
+any other; extra columns are carried to the last stage.
 """
 
 from __future__ import annotations
@@ -47,8 +47,9 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (the smallest id)."""
-    return simhash.representatives(docs)
+    """One document of each group of near copies (the smallest id; one
+    without an id only where no other has one)."""
+    return simhash.survivors(docs)
 
 
 def mixture_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

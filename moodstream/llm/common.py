@@ -51,6 +51,20 @@ def hash_sample(df: DataFrame, bound: int, total: int, *cols: str, seed: int = 0
     return df.where(unit_hash(*cols, seed=seed) < F.lit(bound / total))
 
 
+def row_key(id_col: str, text_col: str) -> list[Column]:
+    """128 bits of the id and the text, as two longs: names a row whose id is
+    null or stands on other texts too."""
+    # A null adds nothing to the hash, so that it is told apart by a flag.
+    parts = [F.col(id_col), F.col(id_col).isNull(), F.col(text_col), F.col(text_col).isNull()]
+    return [F.xxhash64(F.lit(k), *parts).alias(f"_k{k}") for k in (1, 2)]
+
+
+def keep_rows(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows whose key is among ``keys``, with all columns."""
+    row: Column = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(row.alias("_row"), *row_key(id_col, text_col)).join(keys, ["_k1", "_k2"], "left_semi").select("_row.*")
+
+
 def level(sizes: list[int], bound: int) -> int:
     """The most that one may give of its size so that all together give at
     most ``bound``; 1 if even that is more."""

@@ -26,8 +26,8 @@ Tokens are counted as words ``[^\\x20\\x09-\\x0D]+`` unless a token column is
 given. Defined cases: a text without words (null or empty) has no tokens and is
 never selected; a null domain, language or source is the leaf "(none)"; a
 weight that is not listed is 1, a weight of 0 or less takes nothing; rows with a
-null id are ordered by a hash of their text and are not selected by ``mix``;
-repeated rows are separate documents of ``select`` and stay together in ``mix``;
+null id are ordered by a hash of their text; repeated rows are separate documents
+of ``select``, and rows equal in id and text stay together in ``mix``;
 an empty table gives an empty result; extra columns are ignored by ``select``
 and carried by ``mix``.
 """
@@ -39,7 +39,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from moodstream.llm.common import prepare
+from moodstream.llm.common import keep_rows, prepare, row_key
 
 TREE = ["domain", "lang", "source"]
 # Leaves up to which the budget table is broadcast.
@@ -87,12 +87,21 @@ def select(docs: DataFrame, weights: Mapping[str, Mapping[str, float]], share_of
            text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """The chosen documents, one row per epoch in which each is taken: id,
     tree, epoch, n_tokens, first_token (in the leaf's stream), leaf_budget."""
+    chosen = _chosen(docs, weights, share_of_tokens, domain, [F.col(id_col).alias("_id")], seed, epochs, tokens, cell_digits,
+                     id_col, text_col, lang_col, source_col)
+    return chosen.select(F.col("_id").alias(id_col), *TREE, "epoch", "n_tokens", "first_token", "leaf_budget")
+
+
+def _chosen(docs: DataFrame, weights: Mapping[str, Mapping[str, float]], share_of_tokens: float, domain: Column, carried: list[Column],
+            seed: int = 11, epochs: int = 1, tokens: Column | None = None, cell_digits: int = 3, id_col: str = "doc_id",
+            text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+    """The rows of ``select`` with the ``carried`` columns instead of the id."""
     prepare(docs.sparkSession)
     if tokens is None:
         tokens = F.regexp_count(F.col(text_col), F.lit("[^\\x20\\x09-\\x0D]+"))
     name = lambda c: F.coalesce(c.cast("string"), F.lit("(none)"))
     narrow = docs.select(
-        F.col(id_col).alias("_id"), name(domain).alias("domain"), name(F.col(lang_col)).alias("lang"),
+        *carried, name(domain).alias("domain"), name(F.col(lang_col)).alias("lang"),
         name(F.col(source_col)).alias("source"), tokens.cast("long").alias("n_tokens"),
         F.coalesce(F.col(id_col).cast("string"), F.md5(F.col(text_col))).alias("_key"),
     ).where("n_tokens > 0").checkpoint()
@@ -121,12 +130,11 @@ def select(docs: DataFrame, weights: Mapping[str, Mapping[str, float]], share_of
         .join(offsets, cell)
         .withColumn("first_token", F.col("_before") + F.col("_run"))
         .where("first_token < leaf_budget")
-        .select(F.col("_id").alias(id_col), *TREE, "epoch", "n_tokens", "first_token", "leaf_budget")
     )
 
 
 def mix(docs: DataFrame, weights: Mapping[str, Mapping[str, float]], share_of_tokens: float, domain: Column,
-        id_col: str = "doc_id", **options) -> DataFrame:
+        id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The chosen documents with all their columns, in one epoch."""
-    chosen = select(docs, weights, share_of_tokens, domain, id_col=id_col, epochs=1, **options).select(id_col)
-    return docs.join(chosen, id_col, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    chosen = _chosen(docs, weights, share_of_tokens, domain, row_key(id_col, text_col), id_col=id_col, text_col=text_col, epochs=1, **options)
+    return keep_rows(docs, chosen.select("_k1", "_k2"), id_col, text_col)

@@ -31,9 +31,10 @@ many, are one row. ``component_id`` is the smallest id reachable.
 
 Defined cases: null and empty texts have fingerprint zero and are linked like
 any other; a null id is carried and never is a component id unless nothing
-else is there; repeated rows are linked like copies; an empty table gives an
+else is there (``survivors`` then keeps one of those rows); repeated rows
+are linked like copies; an empty table gives an
 empty result; extra columns are ignored by ``near_duplicates`` and carried by
-``representatives``.
+``survivors`` and ``representatives``.
 """
 
 from __future__ import annotations
@@ -44,10 +45,10 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from moodstream.llm.common import prepare
+from moodstream.llm.common import keep_rows, prepare, row_key
 from moodstream.llm.components import connected_components
 
 SHINGLE, MAX_BITS, SEED = 3, 3, 42
@@ -74,9 +75,11 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All columns but the text, and its fingerprint."""
     for b in batches:
         prints = np.array([fingerprint(t) for t in b.column("_text").to_pylist()], np.uint64).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([b.column("_id"), pa.array(prints)], names=["_id", "fp"])
+        names = [n for n in b.schema.names if n != "_text"]
+        yield pa.RecordBatch.from_arrays([*[b.column(n) for n in names], pa.array(prints)], names=[*names, "fp"])
 
 
 def _syndromes() -> np.ndarray:
@@ -282,21 +285,39 @@ def near_links(prints: DataFrame, bits: int = MAX_BITS, blocks: int = 2, block:
     return first.where("NOT hot").select("a", "b").unionByName(second.select("a", "b"))
 
 
+def _rooted(prints: DataFrame, first: Column, bits: int) -> DataFrame:
+    """Rows with ``fp`` -> (fp, first, root) of each distinct fingerprint;
+    ``first`` is an aggregate."""
+    classes = prints.groupBy("fp").agg(first.alias("first"))
+    roots = connected_components(near_links(classes.select("fp"), bits), "a", "b")
+    return classes.join(roots, classes.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = MAX_BITS) -> DataFrame:
     """One row per input row: id, fingerprint (hex), component_id."""
     prepare(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
     prints = texts.mapInArrow(_fingerprints, "_id long, fp long").checkpoint()
-    classes = prints.groupBy("fp").agg(F.min("_id").alias("first"))
-    roots = connected_components(near_links(classes.select("fp"), bits), "a", "b")
-    rooted = classes.join(roots, classes.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    rooted = _rooted(prints, F.min("_id"), bits)
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     parts = rooted.join(smallest, "root").select("fp", "component_id")
     return prints.join(parts, "fp").select(
         F.col("_id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = MAX_BITS) -> DataFrame:
+    """The row of the smallest id of each component (null ids last, then by the
+    key of id and text), with all columns. Rows equal in id and text stay
+    together."""
+    prepare(docs.sparkSession)
+    keyed = docs.select(F.col(id_col).cast("long").alias("_id"), *row_key(id_col, text_col), F.col(text_col).alias("_text"))
+    prints = keyed.mapInArrow(_fingerprints, "_id long, _k1 long, _k2 long, fp long").checkpoint()
+    best = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_k1", "_k2"))
+    stay = _rooted(prints, best, bits).groupBy("root").agg(F.min("first").alias("best")).select("best._k1", "best._k2")
+    return keep_rows(docs, stay, id_col, text_col)
+
+
 def representatives(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of the smallest id of each component, with all columns."""
-    stay = near_duplicates(docs, id_col, **options).where(F.col(id_col) == F.col("component_id")).select(id_col)
-    return docs.join(stay, id_col, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of the smallest id of each component, with all columns: those
+    of ``survivors`` that have an id."""
+    return survivors(docs, id_col, **options).where(F.col(id_col).isNotNull())

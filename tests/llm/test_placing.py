@@ -189,3 +189,23 @@ def test_pipeline_of_an_empty_table(spark, tmp_path):
     spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(0).write.parquet(str(tmp_path / "documents.parquet"))
     spark.read.parquet(f"{SF_SMALL}/labels.parquet").limit(0).write.parquet(str(tmp_path / "labels.parquet"))
     assert pipe.run(spark, str(tmp_path)).count() == 0
+
+
+def test_null_and_shared_ids_are_decided_by_row(spark):
+    """A third of the rows without an id and two texts with one id."""
+    from moodstream.llm import simhash
+
+    text = lambda k: " ".join(f"w{k}x{j}" for j in range(60))
+    data = [(k if k % 3 else None, text(k), "en", f"src{k % 4}") for k in range(30)]
+    data += [(100, text(100), "en", "src1"), (None, text(100), "en", "src1"), (None, text(101), "en", "src1"), (None, text(101), "en", "src2")]
+    # Another text with an id that stays, a copy of a smaller id's text.
+    data += [(4, text(1), "en", "src1")]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string").repartition(3)
+    stay = rows(simhash.survivors(docs))
+    want = {(r[0], r[1]) for r in data} - {(None, text(100)), (4, text(1))}
+    assert {r[:2] for r in stay} == want
+    unique = spark.createDataFrame(data[:30], docs.schema)
+    chosen = rows(mixing.select(unique, {}, 0.5, F.expr(DOMAIN)))
+    mixed = rows(mixing.mix(unique, {}, 0.5, F.expr(DOMAIN)))
+    assert len(mixed) == len(chosen) and Counter(r[0] for r in mixed) == Counter(r[0] for r in chosen)
+    assert sum(r[0] is None for r in mixed) > 0
