@@ -51,6 +51,12 @@ def hash_sample(df: DataFrame, bound: int, total: int, *cols: str, seed: int = 0
     return df.where(unit_hash(*cols, seed=seed) < F.lit(bound / total))
 
 
+def one_per_id(rows: DataFrame, *cols: str) -> DataFrame:
+    """One row per ``_id`` with the largest of (``cols``); the map side already
+    reduces an id that many rows carry."""
+    return rows.groupBy("_id").agg(F.max(F.struct(*cols)).alias("_best")).select("_id", "_best.*")
+
+
 def row_key(id_col: str, text_col: str) -> list[Column]:
     """128 bits of the id and the text, as two longs: names a row whose id is
     null or stands on other texts too."""

@@ -21,8 +21,9 @@ border are kept, so the counts are those of the whole text.
 Defined cases: a null text or one without a letter is ``und`` with score 0, and
 is not learnt from; a null language or id is not learnt from; equal scores go
 to the language first in order; with no language to learn from everything is
-``und``; repeated rows are predicted each; an empty table gives an empty
-result; extra columns are ignored.
+``und``; repeated rows are predicted each and give the weights one example per
+id (of several texts the largest); an empty table gives an empty result; extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moodstream.llm.common import fold, prepare, unit_hash
+from moodstream.llm.common import fold, one_per_id, prepare, unit_hash
 from moodstream.llm.ftrl import Ftrl
 
 # The held-out fold: crc32 of the id modulo 5 is 0.
@@ -141,6 +142,12 @@ def _learn(langs: tuple[str, ...], idf_of, passes: int, alpha: float, beta: floa
     return run
 
 
+def _sample(known: DataFrame, rates: dict[str, float], seed: int) -> DataFrame:
+    """One row (_id, _text, _lang) of each id whose hash falls below the rate of its language."""
+    rate = F.create_map(*[F.lit(v) for pair in rates.items() for v in pair])
+    return one_per_id(known.where(unit_hash("_id", seed=seed) < rate[F.col("_lang")]), "_text", "_lang")
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = 6000,
           passes: int = 4, alpha: float = 1.0, beta: float = 1.0, l1: float = 0.2, l2: float = 1e-3, max_langs: int = 200, seed: int = 3) -> Model:
     spark = prepare(docs.sparkSession)
@@ -153,7 +160,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         df[r["bucket"]] = r["n"]
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
 
-    sizes = {r["_lang"]: r["n"] for r in known.groupBy("_lang").agg(F.count("*").alias("n")).limit(max_langs + 1).collect()}
+    sizes = {r["_lang"]: r["n"] for r in known.select("_lang", "_id").distinct().groupBy("_lang").agg(F.count("*").alias("n")).limit(max_langs + 1).collect()}
     if len(sizes) > max_langs:
         raise ValueError(f"more than {max_langs} languages: raise max_langs")
     langs = tuple(sorted(sizes))
@@ -161,9 +168,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     if not langs:
         return none
     each = max(20, sample // len(langs))
-    rates = F.create_map(*[F.lit(v) for k in langs for v in (k, min(1.0, each / sizes[k]))])
-    chosen = known.where(unit_hash("_id", seed=seed) < rates[F.col("_lang")])
-    chosen = chosen.select(unit_hash("_id", seed=seed + 1).alias("_u"), "_lang", "_text").repartition(1)
+    chosen = _sample(known, {k: min(1.0, each / sizes[k]) for k in langs}, seed).select(unit_hash("_id", seed=seed + 1).alias("_u"), "_lang", "_text").repartition(1)
     learn = _learn(langs, spark.sparkContext.broadcast(idf), passes, alpha, beta, l1, l2, seed)
     fitted = chosen.mapInArrow(learn, "features array<long>, weights array<double>, bias array<double>, temperature double").collect()
     if not fitted:

@@ -27,7 +27,8 @@ Defined cases: null and empty texts have difference 0, so their score is the
 curve's value there; a label of null is no label; if labels of one document
 differ the largest counts; with labels of one class only, or none, every score
 is the share of label 1 (0.5 without labels); rows with a null id are scored
-and never learnt from; repeated rows are scored each; an empty table gives an
+and never learnt from; repeated rows are scored each and learnt from once, an id with
+several texts by the largest of them; an empty table gives an
 empty result; extra columns are ignored by ``score`` and carried by
 ``accepted``.
 """
@@ -43,7 +44,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from moodstream.llm.common import fold, hash_sample, level, prepare, spaced, unit_hash
+from moodstream.llm.common import fold, hash_sample, level, one_per_id, prepare, spaced, unit_hash
 
 THRESHOLD = 0.3
 # The held-out fold: crc32 of the id modulo 5 is 0.
@@ -149,6 +150,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     chosen = parts[0].unionByName(parts[1])
     # About 2 x per_class ids, whatever the number of labels: small enough for every task.
     sample = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(chosen), "_id")
+    sample = one_per_id(sample, "_y", "_text")
     # Written out: read for the lengths, the dictionaries and the curve.
     sample = sample.select(unit_hash("_id", seed=seed + 1).alias("_u"), F.col("_y"), F.col("_text")).checkpoint()
     lengths = sorted(tuple(r) for r in sample.select("_u", "_y", F.coalesce(F.octet_length("_text"), F.lit(0))).collect())

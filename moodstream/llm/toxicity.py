@@ -20,8 +20,8 @@ Defined cases: null and empty texts have no features, so their score comes
 from the offset alone; a null label is no label; if labels of one document
 differ the largest counts; with labels of one class only, or none, every score
 is the share of label 1 (0 without labels); rows with a null id are scored and
-never learnt from; repeated rows are scored each; an empty table gives an empty
-result; extra columns are ignored.
+never learnt from; repeated rows are scored each and learnt from once, an id with
+several texts by the largest of them; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moodstream.llm.common import fold, hash_sample, prepare, unit_hash
+from moodstream.llm.common import fold, hash_sample, one_per_id, prepare, unit_hash
 from moodstream.llm.ftrl import Ftrl
 
 THRESHOLD = 0.3
@@ -159,6 +159,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     parts = [hash_sample(known.where(F.col("_y") == k), per_class, counts[k], "_id", seed=seed) for k in (0, 1)]
     # About 2 x per_class ids, whatever the number of labels: small enough for every task.
     sample = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(parts[0].unionByName(parts[1])), "_id")
+    sample = one_per_id(sample, "_y", "_text")
     sample = sample.select(unit_hash("_id", seed=seed + 1).alias("_u"), "_y", "_text").repartition(1)
     schema = "features array<long>, weights array<double>, slope double, intercept double"
     fitted = sample.mapInArrow(_learn(share, passes, alpha, beta, l1, l2, seed), schema).collect()

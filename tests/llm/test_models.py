@@ -102,6 +102,20 @@ def test_quality_learns_the_same_in_any_order_and_past_an_oversized_text(spark):
     assert min(score(t) for i, t in data if i % 2) > 0.5 > max(score(t) for i, t in data if not i % 2)
 
 
+def test_a_repeated_id_is_learnt_from_once(spark):
+    rnd = random.Random(4)
+    kinds = {0: "buy cheap pills now idiot".split(), 1: "the river runs through quiet hills".split()}
+    data = [(i, " ".join(rnd.choice(kinds[i % 2]) + str(rnd.randrange(9)) for _ in range(80)), "en") for i in range(120)]
+    again = data + [data[8]] * 200 + [(8, "another text, smaller", "en")] * 40
+    labels = spark.createDataFrame([(i, i % 2, 1 - i % 2) for i in range(120)], "doc_id long, quality int, toxic int")
+    once, often = (spark.createDataFrame(d, "doc_id long, text string, lang string") for d in (data, again))
+    assert quality.train(once, labels) == quality.train(often, labels)
+    a, b = toxicity.train(once, labels), toxicity.train(often, labels)
+    assert (a.features == b.features).all() and (a.weights == b.weights).all() and (a.slope, a.offset) == (b.slope, b.offset)
+    known = often.selectExpr("doc_id AS _id", "lang AS _lang", "text AS _text")
+    assert sorted(rows(langid._sample(known, {"en": 1.0}, 3).select("_id", "_text", "_lang"))) == sorted(data)
+
+
 def test_level_fills_the_bound_and_pieces_are_spaced():
     for sizes, bound in (([5, 1, 100, 30], 40), ([0, 3], 100), ([7] * 9, 4), ([], 3)):
         best = max([n for n in range(1, max([1, *sizes]) + 1) if sum(min(s, n) for s in sizes) <= bound], default=1)
