@@ -3,8 +3,8 @@
 The tree is domain -> language -> source; a leaf is one (domain, language,
 source). The total budget of tokens goes down the tree level by level. At
 each node it is shared among the children in proportion to their weights,
-but no child gets more than its subtree can give (its tokens times the
-number of epochs); what a child cannot use is shared among its siblings in
+but no child gets more than its subtree can give (the tokens of its leaves
+whose weights are positive at every level, times the number of epochs); what a child cannot use is shared among its siblings in
 the same proportion until they are full too. As a node's own budget was capped
 by what its subtree holds, a shortage is made up by siblings first and reaches
 the next ancestor's children only when the whole node is exhausted.
@@ -35,6 +35,8 @@ and carried by ``mix``.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -71,9 +73,11 @@ def share(nodes: DataFrame, parents: list[str], key: str) -> DataFrame:
 def budgets(leaves: DataFrame, total: float, weights: Mapping[str, Mapping[str, float]], epochs: int) -> DataFrame:
     """Leaf table (tree, leaf_tokens) -> (tree, leaf_tokens, leaf_budget)."""
     above = None
+    open_leaf = reduce(and_, [_weight(level, weights.get(level, {})) > 0 for level in TREE])
+    counted = leaves.withColumn("_usable", F.when(open_leaf, F.col("leaf_tokens")).otherwise(F.lit(0)))
     for depth, level in enumerate(TREE):
         path, parents = TREE[: depth + 1], TREE[:depth]
-        nodes = leaves.groupBy(*path).agg((F.sum("leaf_tokens") * epochs).cast("double").alias("cap"))
+        nodes = counted.groupBy(*path).agg((F.sum("_usable") * epochs).cast("double").alias("cap"))
         nodes = nodes.withColumn("weight", _weight(level, weights.get(level, {})))
         nodes = nodes.withColumn("above", F.lit(float(total))) if above is None else nodes.join(above, parents)
         shared = share(nodes, parents, level)

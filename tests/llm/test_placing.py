@@ -138,6 +138,18 @@ def test_shortage_goes_to_siblings_first(spark):
     assert got == {"s1": 10, "s2": 90, "s3": 100, "s4": 200}
 
 
+def test_children_without_weight_hold_no_budget(spark):
+    """Shares from the leaves: only those with positive weights all the way down count."""
+    leaves = [("a", "x", "s1", 50.0), ("a", "y", "s2", 900.0), ("a", "x", "s5", 300.0), ("b", "x", "s3", 500.0), ("b", "y", "s4", 500.0)]
+    weights = {"lang": {"y": 0}, "source": {"s5": 0}}
+    table = spark.createDataFrame(leaves, "domain string, lang string, source string, leaf_tokens double")
+    for total, epochs in ((400.0, 1), (90.0, 1), (700.0, 1), (700.0, 2), (0.0, 1)):
+        got = {r["source"]: r["leaf_budget"] for r in mixing.budgets(table, total, weights, epochs).collect()}
+        # s1 (of a) and s3 (of b) are all there is to choose from.
+        want = _split(total, [("s1", 1, 50.0 * epochs), ("s3", 1, 500.0 * epochs)])
+        assert got == {"s2": 0, "s4": 0, "s5": 0, "s1": int(want["s1"] + 1e-6), "s3": int(want["s3"] + 1e-6)}
+
+
 def test_mix_keeps_columns_and_rows(spark):
     docs = odd_documents(spark)
     out = mixing.mix(docs, {}, 0.7, F.expr(DOMAIN))
