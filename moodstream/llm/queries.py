@@ -16,8 +16,9 @@ from moodstream.llm import bpe, embed_dedup, exact_dedup, langid, mixing, qualit
 from moodstream.llm.common import read
 from moodstream.session import checkpoint_dir
 
-# The mixing tree of the test tables: a source's domain is its number modulo 4.
-DOMAIN_SQL = "concat('d', cast(regexp_extract(source, '([0-9]+)$', 1) as int) % 4)"
+# The mixing tree of the test tables: a source's domain is its number modulo 4, which the
+# last two of any number of digits decide; a source without a number has none.
+DOMAIN_SQL = "concat('d', try_cast(regexp_extract(source, '([0-9]{1,2})$', 1) as int) % 4)"
 MIX_WEIGHTS = {
     "domain": {"d0": 0.4, "d1": 0.3, "d2": 0.2, "d3": 0.1},
     "lang": {"en": 0.4, "fr": 0.25, "de": 0.2, "es": 0.15},
@@ -134,7 +135,8 @@ stream AS (
 )
 SELECT doc_id, domain, lang, source, epoch, n_tokens, first_token, leaf_budget FROM placed WHERE first_token < leaf_budget""",
     "op10_exact_dedup": r"""
-WITH n AS (SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[ 	-]+', '', 'g') AS t FROM documents),
+WITH n AS (SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[ 	-
+]+', '', 'g') AS t FROM documents),
 g AS (SELECT doc_id, t, count(*) OVER (PARTITION BY t) AS group_size,
   first_value(doc_id) OVER (PARTITION BY t ORDER BY n DESC, doc_id) AS keep_id FROM n)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM g""",

@@ -221,3 +221,13 @@ def test_null_and_shared_ids_are_decided_by_row(spark):
     mixed = rows(mixing.mix(unique, {}, 0.5, F.expr(DOMAIN)))
     assert len(mixed) == len(chosen) and Counter(r[0] for r in mixed) == Counter(r[0] for r in chosen)
     assert sum(r[0] is None for r in mixed) > 0
+
+
+def test_domains_of_odd_sources(spark):
+    from moodstream.llm.queries import DOMAIN_SQL
+
+    sources = ["src0", "src7", "src10", "src123", "web", "", None, "7 up", "src" + "9" * 30 + "6", "src2147483648"]
+    docs = spark.createDataFrame([(i, "one two three", "en", s) for i, s in enumerate(sources)], "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r["domain"] for r in mixing.select(docs, {}, 1.0, F.expr(DOMAIN_SQL)).collect()}
+    numbers = [re.search("[0-9]+$", s or "") for s in sources]
+    assert got == {i: f"d{int(m[0]) % 4}" if m else "(none)" for i, m in enumerate(numbers)}
