@@ -14,8 +14,12 @@ A frame is one document's ids with the end id, compressed alone with the shared
 dictionary, so a short document is read by its block's index and one small
 decompression (``fetch``), not by unpacking its neighbours; the dictionary makes
 up for what short inputs lack. The dictionary is trained on the serialised ids
-of about ``sample_docs`` documents (documented bounds: that number, chosen by
-a hash of the id over all documents, and ``sample_bytes`` of ids).
+of about ``sample_docs`` documents (documented bound; chosen by a hash of id and
+text over all documents, equal rows once). All their ids are used as long as
+they fit into ``sample_bytes``; if not, one number of pieces that no document
+may exceed is set from all lengths, and longer documents give that many, evenly
+spaced (at least one). The order of arrival plays no part, and a store with
+documents always has a dictionary.
 
 Documents are dealt by ranges of the id and sorted (ties by text), so shards,
 blocks and frames are in ascending id order; the number of ids before a shard
@@ -47,9 +51,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from moodstream.llm import bpe
-from moodstream.llm.common import hash_sample, prepare
+from moodstream.llm.common import hash_sample, level, prepare, spaced, unit_hash
 
 LEVEL, BLOCK_DOCS = 3, 512
+# Bytes of ids that a long document gives at a time to the dictionary.
+PIECE = 2048
 # Pieces that a worker remembers, some 200 bytes each.
 REMEMBER = 1_000_000
 
@@ -138,15 +144,22 @@ def _serialised(path: str, end_id: int, dtype: str):
     return run
 
 
-def _train(size: int, sample_bytes: int):
+def _samples(most: int):
+    """The ids of each document as one sample, or ``most`` evenly spaced pieces of a longer one."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        samples, held = [], 0
         for b in batches:
             for ids in b.column(0).to_pylist():
-                held += len(ids)
-                if held <= sample_bytes:
-                    samples.append(ids)
-        samples.sort()
+                n = -(-len(ids) // PIECE)
+                out = [ids] if n <= most else [ids[at * PIECE : (at + 1) * PIECE] for at in spaced(n, most)]
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["ids"])
+
+    return run
+
+
+def _train(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        samples = sorted(ids for b in batches for ids in b.column(0).to_pylist())
         try:
             data = zstandard.train_dictionary(size, samples, k=256, d=8).as_bytes()
         except (zstandard.ZstdError, ValueError):  # too little to train on: the ids themselves serve as a raw dictionary
@@ -191,10 +204,19 @@ def write_store(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 0,
     spark = prepare(docs.sparkSession)
     dtype = "<u2" if len(bpe.vocabulary(vocabulary).tokens) <= 1 << 16 else "<u4"
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    sample = hash_sample(rows, sample_docs, rows.count(), "_id", seed=2).select("_text")
-    trained = sample.mapInArrow(_serialised(vocabulary, end_id, dtype), "ids binary").repartition(1).mapInArrow(_train(dict_bytes, sample_bytes), "data binary")
-    found = trained.collect()
+    total = rows.count()
+    sample = hash_sample(rows, sample_docs, total, "_id", "_text", seed=2).distinct()
+    encode = _serialised(vocabulary, end_id, dtype)
+    serialised = sample.select("_text").mapInArrow(encode, "ids binary").checkpoint()
+    lengths = [r[0] for r in serialised.select(F.length("ids")).collect()]
+    if total and not lengths:  # the hash chose none
+        first = rows.orderBy(unit_hash("_id", "_text", seed=2), "_id", "_text").limit(1)
+        serialised = first.select("_text").mapInArrow(encode, "ids binary")
+    most = level([-(-n // PIECE) for n in lengths], sample_bytes // PIECE) if lengths else max(1, sample_bytes // PIECE)
+    found = serialised.mapInArrow(_samples(most), "ids binary").repartition(1).mapInArrow(_train(dict_bytes), "data binary").collect()
     dictionary = bytes(found[0]["data"]) if found else b""
+    if total and not dictionary:
+        raise ValueError("no dictionary for a store with documents")
     dict_hash = hashlib.sha256(dictionary).hexdigest()
     spark.range(1).select(F.lit(dict_hash).alias("dict_hash"), F.lit(dictionary).alias("data"), F.lit(int(dtype[-1])).alias("id_bytes"),
                           F.lit(end_id).alias("end_id")).write.parquet(f"{folder}/dictionary")

@@ -106,3 +106,18 @@ def test_empty_token_store(spark):
     folder = tempfile.mkdtemp() + "/store"
     token_store.write_store(no_documents(spark), folder, PATH)
     assert token_store.read_digests(spark, folder).count() == 0
+
+
+def test_dictionary_does_not_depend_on_arrival_or_one_long_document(spark, tmp_path):
+    rnd = random.Random(6)
+    data = [(i, " ".join(rnd.choice("alpha beta gamma delta epsilon".split()) for _ in range(200))) for i in range(60)]
+    huge = (60, "zeta eta " * 40_000)  # more ids than the whole bound
+    found = set()
+    for k, given in enumerate(([huge, *data], [*data, huge], [*reversed(data), huge])):
+        folder = str(tmp_path / f"store{k}")
+        token_store.write_store(spark.createDataFrame(given, "doc_id long, text string").coalesce(1), folder, PATH, sample_bytes=40_000)
+        found.add(bytes(spark.read.parquet(f"{folder}/dictionary").first()["data"]))
+    assert len(found) == 1 and found.pop()
+    folder = str(tmp_path / "none_chosen")
+    token_store.write_store(spark.createDataFrame(data, "doc_id long, text string"), folder, PATH, sample_docs=0)
+    assert spark.read.parquet(f"{folder}/dictionary").first()["data"]
