@@ -25,9 +25,12 @@ Documents are dealt by ranges of the id and sorted (ties by text), so shards,
 blocks and frames are in ascending id order; the number of ids before a shard
 is a running sum over one row per shard.
 
-Ids come from the tokenizers library. A text is cut where the vocabulary's
-splitting pattern can't match across (see ``bpe.Encoder``), and the library's model
-encodes each word once per task memory.
+Ids come from the tokenizers library's model, which encodes each word once per
+task memory; the words are cut here, where the vocabulary's splitting pattern
+can't match across (see ``bpe.Encoder``). The pattern sees a character's class
+only, so every character outside ASCII of a word not seen before is compared
+with the library's own cut, and a text with one that the two class differently goes to
+the library whole.
 
 Defined cases: null and empty texts hold the end id alone; rows with a null id
 come first; repeated rows are stored each; an empty table gives an empty store;
@@ -64,6 +67,10 @@ class NotAlone(Exception):
     """A piece that cannot be encoded apart from its neighbours."""
 
 
+class Foreign(Exception):
+    """A character that the library may class differently."""
+
+
 class Memory(dict):
     """Remembers what ``make`` gives for a key. Words seen early are mostly
     the frequent ones, so a full memory forgets its newer half."""
@@ -89,7 +96,9 @@ class LibraryEncoder(bpe.Encoder):
         from tokenizers import Tokenizer
 
         super().__init__(bpe.vocabulary(path))
-        self.tokenize = Tokenizer.from_file(path).model.tokenize
+        self.library = Tokenizer.from_file(path)
+        self.tokenize, self.pieces = self.library.model.tokenize, self.library.pre_tokenizer.pre_tokenize_str
+        self.foreign = Memory(self._foreign)
         self.printed = str.maketrans({b: c for c, b in bpe.byte_names().items()})
         self.spaced, self.bare = Memory(lambda p: self._piece(" ", p)), Memory(lambda p: self._piece("", p))
         self.words = Memory(self._word)
@@ -98,7 +107,27 @@ class LibraryEncoder(bpe.Encoder):
         self.spaced.trim(REMEMBER)
         self.bare.trim(REMEMBER // 8)
         self.words.trim(REMEMBER // 8)
-        return [np.frombuffer(b"".join([self._stretch(k % 2, s) for k, s in enumerate(self._stretches(t))]), np.uint32) for t in texts]
+        out, apart = [], []
+        for t in texts:
+            try:
+                out.append(b"".join([self._stretch(k % 2, s) for k, s in enumerate(self._stretches(t))]))
+            except Foreign:
+                apart.append(len(out))
+                out.append(b"")
+        for k, e in zip(apart, self.library.encode_batch([texts[k] for k in apart], add_special_tokens=False), strict=True):
+            out[k] = array("I", e.ids).tobytes()
+        return [np.frombuffer(o, np.uint32) for o in out]
+
+    def _foreign(self, ch: str) -> bool:
+        """Whether the library classes a character differently from the regex
+        module, or from what ``isalpha`` and ``isspace`` are used for."""
+        if ch.isascii():
+            return False
+        letter, number, other = cuts = [self.pieces(f"{side}{ch}{side}") for side in "a1!"]
+        if any([f"{side}{ch}{side}"[a:b] for _, (a, b) in cut] != self.find(f"{side}{ch}{side}") for side, cut in zip("a1!", cuts, strict=True)):
+            return True
+        space = len(letter) > 1 and len(number) > 1 and len(other) > 1
+        return (ch.isalpha() and len(letter) > 1) or (space and not ch.isspace())
 
     def _stretch(self, added: int, text: str) -> bytes:
         if added:
@@ -112,6 +141,8 @@ class LibraryEncoder(bpe.Encoder):
             return b"".join(map(self._known, self.find(text)))
 
     def _word(self, word: str) -> bytes:
+        if not word.isascii() and any(map(self.foreign.__getitem__, word)):
+            raise Foreign
         return array("I", [t.id for t in self.tokenize(word.encode().decode("latin-1").translate(self.printed))]).tobytes()
 
     def _piece(self, lead: str, piece: str) -> bytes:

@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 from fixtures import no_documents, odd_documents, rows, rows_of_odd_documents
 from tokenizers import Tokenizer
 
@@ -39,6 +40,20 @@ def test_encoder_gives_the_librarys_ids_and_texts(library, tmp_path):
             assert vocab.decode(ids) == library.decode(want, skip_special_tokens=False)
 
 
+def test_characters_of_other_unicode_tables_go_to_the_library(library):
+    # Assigned or classed differently by the tables of Python, regex and the library.
+    odd = [chr(c) for c in (0x558, 0x58B, 0x88F, 0xC5C, 0x208F, 0xA7CE, 0xA7F1, 0xAB6C, 0x107BB, 0x3FC3D)]
+    texts = [t for c in odd for t in (f"a{c}b", f"1{c}2 {c}", f"!{c}? x  {c}{c} é", f"{c} <|endoftext|>{c}")]
+    enc = token_store.LibraryEncoder(PATH)
+    assert [i.tolist() for i in enc.encode(texts)] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert not any(enc.foreign[c] for c in "é漢😀\x85　½")
+    # A table that has no letter é.
+    enc = token_store.LibraryEncoder(PATH)
+    enc.find = regex.compile(bpe.PATTERN.replace("\\p{L}", "a-zA-Z").replace(" ?a-zA-Z+", " ?[a-zA-Z]+")).findall
+    text = "café1 société2 über3 Größe4"
+    assert enc.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_long_and_short_merges_agree():
     vocab, rnd = bpe.Vocabulary(PATH), random.Random(4)
     words = ["".join(rnd.choice("abcdeinrstth") for _ in range(rnd.randint(1, 60))).encode() for _ in range(400)]
