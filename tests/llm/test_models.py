@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from conftest import SF_SMALL
 from fixtures import held_out, no_documents, odd_documents, rows, rows_of_odd_documents
 from pyspark.sql import functions as F
@@ -163,6 +164,27 @@ def test_toxicity_of_held_out_documents(spark):
     assert share[1] > 0.85 and share[0] < 0.02, share  # 3,000 labelled documents to learn from
 
 
+def _few_labels(spark):
+    """Texts made of the table's, some with one of six words in; 300 labels."""
+    docs, _ = _tables(spark)
+    bad = F.array(*[F.lit(w) for w in ("idiot", "moron", "clown", "scum", "loser", "trash")])
+    made = docs.select("doc_id", F.when(F.col("doc_id") % 4 == 1, F.concat("text", F.lit(" "), bad[F.expr("cast(doc_id div 12 as int)") % 6], F.lit("!"))).otherwise(F.col("text")).alias("text"))
+    labels = made.select("doc_id", (F.col("doc_id") % 4 == 1).cast("int").alias("toxic")).where("doc_id % 3 < 2")
+    clean = made.where(~F.lower("text").rlike("idiot|moron|clown|scum|loser|trash|pathetic|worthless|stupid|disgusting") | (F.col("doc_id") % 4 == 1))
+    got = toxicity.score(clean, toxicity.train(clean, labels)).where("held_out")
+    r = dict(rows(got.groupBy((F.col("doc_id") % 4 == 1).alias("toxic")).agg(F.avg("predicted"))))
+    return r
+
+
+def test_toxicity_found_from_few_labelled_documents(spark):
+    assert _few_labels(spark)[True] > 0.9
+
+
+@pytest.mark.xfail(strict=True, reason="8.2 % are false (README)")
+def test_toxicity_false_from_few_labelled_documents(spark):
+    assert _few_labels(spark)[False] < 0.05
+
+
 def test_toxicity_features_do_not_depend_on_stretches(monkeypatch):
     text = "You are an idiot , truly AN idiot\nof the first order " * 5
     make = toxicity.Features()
