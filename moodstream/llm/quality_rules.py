@@ -79,7 +79,16 @@ def _n_repeated(words: Column) -> Column:
         listed = F.transform(triples, lambda t, k: F.struct(F.xxhash64(t).alias("h"), t.alias("s"), k.cast("long").alias("at")))
         return F.sort_array(F.filter(listed, lambda t: t["s"].isNotNull()))
 
-    return _with(words, lambda w: _with(windows(w), lambda s: _with(places(s), covered)))
+    def hashes(w: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.xxhash64(w[i], w[i + 1], w[i + 2]))
+
+    def told(w: Column) -> Column:
+        # Most texts repeat nothing, which their windows' hashes show at once.
+        apart = F.size(F.array_distinct(hashes(w))) == F.size(w) - 2
+        nothing = F.lit(0).cast("long")
+        return F.when(F.size(w) < 3, nothing).when(apart, nothing).otherwise(_with(windows(w), lambda s: _with(places(s), covered)))
+
+    return _with(words, told)
 
 
 def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[Column] | None = None) -> DataFrame:
