@@ -18,13 +18,20 @@ merges the best pair of every word at once. Words longer than ``LONG`` bytes
 are merged by a heap in n log n steps, so a long run without spaces is no
 special case.
 
+The pattern sees a character's class only (letter, number, space, other), and
+the library's Unicode tables class some characters differently from the regex
+module and from ``isalpha``. So each character outside ASCII is compared with the
+library's own cut when it is first seen (``Classes``); a text is cut with a
+stand-in of the right class in the place of each that differs.
+
 The vocabulary file is read by the workers from its path (the package that
 holds it is installed on all machines). It must be byte-level BPE with the
 usual splitting pattern and no normaliser.
 
 Defined cases: null and empty texts have no tokens (the hashes of nothing);
 repeated rows are encoded each; null ids are carried; an empty table gives an
-empty result; extra columns are ignored, or carried with ``with_ids``.
+empty result; extra columns are ignored, or carried with ``with_ids`` (one that
+has the name of a made column gets ``_`` behind its name).
 """
 
 from __future__ import annotations
@@ -44,6 +51,7 @@ import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from moodstream.llm.common import prepare
 from moodstream.llm.lexicon import Transducer, compile_words
@@ -171,11 +179,42 @@ class Vocabulary:
         return b"".join(map(self.tokens.__getitem__, ids.tolist())).decode("utf-8", "replace")
 
 
+class Classes(dict):
+    """Character -> the character that stands for it when text is cut: itself
+    where regex module and library agree, else one of the library's class."""
+
+    # One of each class: letter (in no contraction), number, other, space (not the one that leads a word).
+    STAND_INS = {"a": "a", "1": "0", "!": "!"}
+    SPACE = "\u2003"
+
+    def __init__(self, find):
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        super().__init__({chr(c): chr(c) for c in range(128)})
+        self.find, self.pieces = find, ByteLevel(add_prefix_space=False).pre_tokenize_str
+
+    def __missing__(self, ch: str) -> str:
+        whole = [side for side in self.STAND_INS if len(self.pieces(f"{side}{ch}{side}")) == 1]
+        here = [side for side in self.STAND_INS if len(self.find(f"{side}{ch}{side}")) == 1]
+        agree = whole == here and ch.isalpha() == (whole == ["a"]) and (bool(whole) or ch.isspace())
+        self[ch] = ch if agree else self.STAND_INS[whole[0]] if whole else self.SPACE
+        return self[ch]
+
+    def plain(self, text: str) -> str:
+        """The text with its stand-ins; the same object if there are none."""
+        if text.isascii():
+            return text
+        stood = "".join(map(self.__getitem__, text))
+        return text if stood == text else stood
+
+
 class Encoder:
     """Texts to token ids, with a memory of the pieces seen."""
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Transducer | None = None):
-        self.vocabulary, self.lexicon, self.find = vocabulary, lexicon, regex.compile(PATTERN).findall
+        pattern = regex.compile(PATTERN)
+        self.vocabulary, self.lexicon, self.find, self.spans = vocabulary, lexicon, pattern.findall, pattern.finditer
+        self.classes = Classes(self.find)
         # Ids as bytes of a piece with the space before it, of one without, and of single words; None: not alone.
         self.spaced: dict[str, bytes | None] = {}
         self.bare: dict[str, bytes | None] = {}
@@ -213,17 +252,22 @@ class Encoder:
         try:
             return b"".join([self.bare[pieces[0]], *map(self.spaced.__getitem__, pieces[1:])])
         except TypeError:  # a piece that isn't to be read alone
-            words = self.find(stretch)
+            words = self._cut(stretch, self.classes.plain(stretch))
             self._merge([w for w in set(words) if w not in self.words])
             return b"".join(map(self.words.__getitem__, words))
 
+    def _cut(self, text: str, seen: str) -> list[str]:
+        """The words of a text; ``seen``: the text with its stand-ins."""
+        return self.find(text) if seen is text else [text[m.start() : m.end()] for m in self.spans(seen)]
+
     def _learn(self, pieces: list[str], lead: str, memory: dict[str, bytes | None]) -> None:
         words, plain, mixed = self.words, [], []
         for p in pieces:
-            if p.isalpha():
+            seen = self.classes.plain(p)
+            if seen.isalpha():
                 plain.append(p)
-            elif p and not p[0].isspace() and not p[-1].isspace():
-                mixed.append((p, self.find(lead + p)))
+            elif p and not seen[0].isspace() and not seen[-1].isspace():
+                mixed.append((p, self.find(lead + p) if seen is p else self._cut(lead + p, lead + seen)))
             else:
                 memory[p] = None
         needed = {lead + p for p in plain}
@@ -343,12 +387,19 @@ def encode_documents(docs: DataFrame, path: str, lexicon_words: int = 65536, wit
     ``with_ids`` also the other columns (without the text) and ``input_ids``."""
     prepare(docs.sparkSession)
     lexicon = ship_lexicon(docs, path, text_col, lexicon_words)
-    made = ["n_tokens", "ids_sha256", "decoded_sha256", "input_ids"]
-    rest = [c for c in docs.columns if c not in (text_col, *made)] if with_ids else [id_col]
-    body = "_text"
-    while body in rest:
-        body += "_"
-    texts = docs.select(*[F.col(f"`{c}`") for c in rest], F.col(text_col).alias(body))
-    kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest]
-    kinds += ["n_tokens long", "ids_sha256 string", "decoded_sha256 string"] + ["input_ids array<int>"] * with_ids
-    return texts.mapInArrow(_encode(path, lexicon, with_ids, body), ", ".join(kinds))
+    made = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
+    made += [T.StructField("input_ids", T.ArrayType(T.IntegerType()))] * with_ids
+    rest = [c for c in docs.columns if c != text_col] if with_ids else [id_col]
+    taken = {*rest, *(f.name for f in made)}
+
+    def free(name: str) -> str:
+        while name in taken:
+            name += "_"
+        taken.add(name)
+        return name
+
+    body = free("_text")
+    carried = {c: free(c) if any(c == f.name for f in made) else c for c in rest}
+    texts = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in carried.items()], F.col(text_col).alias(body))
+    schema = T.StructType([T.StructField(n, docs.schema[c].dataType) for c, n in carried.items()] + made)
+    return texts.mapInArrow(_encode(path, lexicon, with_ids, body), schema)

@@ -7,7 +7,7 @@ deleted (null counts as empty). The steps, all DataFrame functions:
    text, its SHA-256, code points of the original), written once to the
    shared checkpoint folder;
 2. a partial aggregate by MD5 finds the hashes that more than one row has;
-3. only rows of those hashes send their text anywhere: they are grouped by
+3. rows of those hashes (a second pass over the texts, joined by the hash) are grouped by
    (hash, whole normalised text), so the grouping itself compares the bytes
    and two texts with one hash fall apart. The aggregate combines on the map
    side, so a text that a third of all rows share is one row per task;
@@ -46,17 +46,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     prepare(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("_id"), _text(text_col).alias("_text"))
     norm = rows.select("_id", F.length("_text").alias("_n"), strip_space(F.col("_text")).alias("_norm"))
-    keys = norm.select("_id", "_n", F.unhex(hashed(F.col("_norm"))).alias("_hash"), F.unhex(F.sha2("_norm", 256)).alias("_sha"))
-    keys = keys.checkpoint()
+    norm = norm.select("_id", "_n", "_norm", F.unhex(hashed(F.col("_norm"))).alias("_hash"))
+    keys = norm.select("_id", "_n", "_hash", F.unhex(F.sha2("_norm", 256)).alias("_sha")).checkpoint()
 
     # Written out, so that the join below is between two plain shuffles, which adaptive execution can split for a hot hash.
     shared = keys.groupBy("_hash").agg(F.count("*").alias("_c")).where("_c > 1").select("_hash").checkpoint()
-    members = keys.join(shared, "_hash", "left_semi").select("_id")
-    # An id that several rows carry brings all of them along; their texts separate below.
-    candidates = rows.alias("r").join(members.alias("m"), F.col("r._id").eqNullSafe(F.col("m._id")), "left_semi")
+    # By the hash of the text itself: an id plays no part, so rows without one, or with one id, do not meet.
     classes = (
-        candidates.select("_id", F.length("_text").alias("_n"), strip_space(F.col("_text")).alias("_norm"))
-        .select("_id", "_n", "_norm", F.unhex(hashed(F.col("_norm"))).alias("_hash"))
+        norm.join(shared, "_hash", "left_semi")
         .groupBy("_hash", "_norm")
         .agg(F.count("*").alias("_size"), F.max(_rank(F.col("_n"), F.col("_id"))).alias("_best"))
         .select("_hash", F.unhex(F.sha2("_norm", 256)).alias("_sha"), "_size", F.col("_best.has").alias("_has"),

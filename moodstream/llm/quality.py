@@ -43,6 +43,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from moodstream.llm.common import fold, hash_sample, level, one_per_id, prepare, spaced, unit_hash
 
@@ -200,6 +201,6 @@ def accepted(docs: DataFrame, model: Model, text_col: str = "text", threshold: f
     prepare(docs.sparkSession)
     row: Column = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     held = docs.select(row.alias("_row"), F.col(text_col).alias("_text"))
-    kind = held.schema["_row"].dataType.simpleString()
-    scored = held.mapInArrow(_scores(model), f"_row {kind}, _score double")
+    kind = T.StructType([T.StructField("_row", held.schema["_row"].dataType), T.StructField("_score", T.DoubleType())])
+    scored = held.mapInArrow(_scores(model), kind)
     return scored.where(F.col("_score") >= threshold).select("_row.*")

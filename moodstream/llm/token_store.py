@@ -5,7 +5,8 @@ executor or a second attempt leaves no half file, on any file system):
 
 - ``dictionary``: one row with the dictionary, its SHA-256, the bytes per id (2
   if all ids of the vocabulary fit, else 4, little-endian) and the end id.
-- ``blocks``: rows in document order. A block holds the frames of some hundred
+- ``blocks``: rows in document order, with the least and greatest id (``first_id``,
+  ``last_id``), by which a reader skips blocks. A block holds the frames of some hundred
   documents one after another (``blob``), the offset index (``doc_ids``, ``ends``:
   where each frame ends, ``n_tokens``), the number of ids before it in its
   shard (``first_token``) and the hash of the dictionary that its frames need.
@@ -21,7 +22,7 @@ may exceed is set from all lengths, and longer documents give that many, evenly
 spaced (at least one). The order of arrival plays no part, and a store with
 documents always has a dictionary.
 
-Documents are dealt by ranges of the id and sorted (ties by text), so shards,
+Documents are dealt by ranges of (id, hash of the text) and sorted, so shards,
 blocks and frames are in ascending id order; the number of ids before a shard
 is a running sum over one row per shard.
 
@@ -56,7 +57,7 @@ from pyspark.sql import functions as F
 from moodstream.llm import bpe
 from moodstream.llm.common import hash_sample, level, prepare, spaced, unit_hash
 
-LEVEL, BLOCK_DOCS = 3, 512
+LEVEL, BLOCK_DOCS, ROW_GROUP = 3, 512, 4 << 20
 # Bytes of ids that a long document gives at a time to the dictionary.
 PIECE = 2048
 # Pieces that a worker remembers, some 200 bytes each.
@@ -214,7 +215,9 @@ def _blocks(path: str, end_id: int, dtype: str, dictionary: bytes, dict_hash: st
                 for lo in range(0, len(texts), BLOCK_DOCS):
                     part = [np.append(i, end_id).astype(dtype) for i in ids[lo : lo + BLOCK_DOCS]]
                     frames, counts = [pack(i.tobytes()) for i in part], [len(i) for i in part]
+                    held = [i for i in names[at + lo : at + lo + len(part)] if i is not None]
                     yield pa.RecordBatch.from_pydict({
+                        "first_id": pa.array([held[0] if held else None], pa.int64()), "last_id": pa.array([held[-1] if held else None], pa.int64()),
                         "shard": pa.array([shard], pa.int32()), "block": pa.array([block], pa.int32()), "dict_hash": [dict_hash],
                         "first_token": pa.array([before], pa.int64()), "tokens": pa.array([sum(counts)], pa.int64()),
                         "doc_ids": pa.array([names[at + lo : at + lo + len(part)]], pa.list_(pa.int64())),
@@ -226,7 +229,7 @@ def _blocks(path: str, end_id: int, dtype: str, dictionary: bytes, dict_hash: st
     return run
 
 
-BLOCK_SCHEMA = ("shard int, block int, dict_hash string, first_token long, tokens long, doc_ids array<bigint>, "
+BLOCK_SCHEMA = ("first_id long, last_id long, shard int, block int, dict_hash string, first_token long, tokens long, doc_ids array<bigint>, "
                 "n_tokens array<bigint>, ends array<bigint>, blob binary")
 
 
@@ -251,10 +254,11 @@ def write_store(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 0,
     dict_hash = hashlib.sha256(dictionary).hexdigest()
     spark.range(1).select(F.lit(dict_hash).alias("dict_hash"), F.lit(dictionary).alias("data"), F.lit(int(dtype[-1])).alias("id_bytes"),
                           F.lit(end_id).alias("end_id")).write.parquet(f"{folder}/dictionary")
-    ordered = rows.repartitionByRange("_id").sortWithinPartitions("_id", "_text")
+    # Rows of one id, or without one, are in any order: a hash of the text lets them go to several shards.
+    ordered = rows.withColumn("_h", F.xxhash64("_text")).repartitionByRange("_id", "_h").sortWithinPartitions("_id", "_h", "_text").drop("_h")
     blocks = ordered.mapInArrow(_blocks(vocabulary, end_id, dtype, dictionary, dict_hash), BLOCK_SCHEMA)
-    # Frames are compressed already.
-    blocks.write.option("compression", "none").parquet(f"{folder}/blocks")
+    # Frames are compressed already. Small row groups: a reader skips those whose range of ids it does not need.
+    blocks.write.option("compression", "none").option("parquet.block.size", ROW_GROUP).parquet(f"{folder}/blocks")
 
 
 class Frames:
@@ -305,16 +309,20 @@ def read_digests(spark: SparkSession, folder: str) -> DataFrame:
     n_tokens, ids_crc32."""
     prepare(spark)
     blocks = spark.read.parquet(f"{folder}/blocks")
-    read = blocks.drop("tokens", "block").mapInArrow(_read_blocks(_open(spark, folder), None, True), "shard int, doc_id long, in_shard long, n_tokens long, ids_crc32 long")
+    read = blocks.drop("tokens", "block", "first_id", "last_id").mapInArrow(_read_blocks(_open(spark, folder), None, True), "shard int, doc_id long, in_shard long, n_tokens long, ids_crc32 long")
     shards = blocks.groupBy("shard").agg(F.sum("tokens").alias("tokens"))
     before = shards.select("shard", (F.sum("tokens").over(Window.orderBy("shard")) - F.col("tokens")).alias("before"))
     return read.join(before, "shard").select("doc_id", (F.col("before") + F.col("in_shard")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def fetch(spark: SparkSession, folder: str, doc_ids: list[int]) -> DataFrame:
-    """The ids of a few documents (with the end id): only their blocks are
-    read on from the index, and only their frames are unpacked."""
+    """The ids of a few documents (with the end id). Row groups and blocks
+    whose range of ids holds none of them are skipped by the reader; of the
+    blocks left only the frames asked for are unpacked."""
     prepare(spark)
-    blocks = spark.read.parquet(f"{folder}/blocks").where(F.arrays_overlap("doc_ids", F.array(*[F.lit(int(d)) for d in doc_ids])))
+    wanted = F.lit(False)
+    for d in sorted(set(doc_ids)):
+        wanted = wanted | ((F.col("first_id") <= int(d)) & (F.col("last_id") >= int(d)))
+    blocks = spark.read.parquet(f"{folder}/blocks").where(wanted)
     schema = "shard int, doc_id long, in_shard long, ids array<bigint>"
-    return blocks.drop("tokens", "block").mapInArrow(_read_blocks(_open(spark, folder), frozenset(doc_ids), False), schema).select("doc_id", "ids")
+    return blocks.drop("tokens", "block", "first_id", "last_id").mapInArrow(_read_blocks(_open(spark, folder), frozenset(doc_ids), False), schema).select("doc_id", "ids")

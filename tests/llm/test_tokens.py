@@ -12,6 +12,8 @@ import regex
 from fixtures import no_documents, odd_documents, rows, rows_of_odd_documents
 from tokenizers import Tokenizer
 
+from pyspark.sql import functions as F
+
 from moodstream.llm import bpe, lexicon, token_store
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -54,6 +56,20 @@ def test_characters_of_other_unicode_tables_go_to_the_library(library):
     assert enc.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_words_are_cut_by_the_librarys_classes(library):
+    """Every character that regex module, ``isalpha`` or ``isspace`` class otherwise than the library, beside all that a class matters to."""
+    enc = bpe.Encoder(bpe.Vocabulary(PATH))
+    every = [chr(c) for c in range(128, 0x110000) if not 0xD800 <= c < 0xE000]
+    odd = [c for c in every if enc.classes[c] != c]
+    assert len(odd) > 10000
+    around = ("{0}'s", "{0}'re x", "a{0}'ll", "x {0}", " {0}{0}", "1{0}2", "a{0}b c", "!{0}?", "{0} ", " {0}  {0}", "\t{0}\n", "{0}1 {1}", "{1}{0}'d", "é{0}漢 {0}'m",
+              "<|endoftext|>{0}'t", "{0}\u3000'{0}s {1}'ve", " '{0}s")
+    texts = [form.format(c, odd[(k * 7919) % len(odd)]) for k, c in enumerate(odd) for form in around]
+    for at in range(0, len(texts), 20000):
+        part = texts[at : at + 20000]
+        assert [i.tolist() for i in enc.encode(part)] == [e.ids for e in library.encode_batch(part, add_special_tokens=False)]
+
+
 def test_long_and_short_merges_agree():
     vocab, rnd = bpe.Vocabulary(PATH), random.Random(4)
     words = ["".join(rnd.choice("abcdeinrstth") for _ in range(rnd.randint(1, 60))).encode() for _ in range(400)]
@@ -85,6 +101,12 @@ def _digests(library, data):
 def test_documents_are_encoded_as_the_library_does(spark, library):
     docs, data = odd_documents(spark), rows_of_odd_documents()
     assert sorted(rows(bpe.encode_documents(docs, PATH, lexicon_words=5)), key=str) == _digests(library, data)
+    clash = docs.withColumnsRenamed({"fp": "n_tokens", "score": "input_ids"}).withColumn("my col", F.struct(F.lit(1).alias("a b"), F.lit("x").alias("n-c")))
+    carried = bpe.encode_documents(clash, PATH, with_ids=True)
+    assert carried.columns == ["doc_id", "lang", "source", "n_chars", "_id", "_text", "n_tokens_", "input_ids_", "_hash", "my col", "n_tokens", "ids_sha256",
+                               "decoded_sha256", "input_ids"]
+    assert sorted(rows(carried.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")), key=str) == _digests(library, data)
+    assert {r["my col"]["a b"] for r in carried.collect()} == {1}
     wide = bpe.encode_documents(docs, PATH, with_ids=True)
     assert wide.columns == ["doc_id", "lang", "source", "n_chars", "_id", "_text", "fp", "score", "_hash", "n_tokens", "ids_sha256", "decoded_sha256", "input_ids"]
     for r in wide.collect():
