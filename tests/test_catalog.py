@@ -47,3 +47,12 @@ def test_entry_runs(spark):
 def test_matches_oracle(spark, name):
     res = oracle.compare(spark, SF_SMALL, [name], verbose=False)
     assert res[name][0] == "ok", res
+
+
+@pytest.mark.parametrize("blocked", ["zstandard", "moodstream.llm", "corpus_pipeline"])
+def test_library_queries_do_without_the_other_part(blocked):
+    import subprocess
+
+    code = f"import sys, warnings; warnings.simplefilter('ignore'); sys.modules[{blocked!r}] = None; import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=E.__file__.rsplit("/", 1)[0], capture_output=True, text=True, check=True).stdout
+    assert out.split() == [str(len(QUERIES)), str(len(ORACLE_SQL))]
