@@ -24,6 +24,8 @@ WINDOW_EVENTS, THRESHOLD, MIN_COUNT = 80, 0.5, 20
 REARM = alerts.SpikeParams(1.0, THRESHOLD, min_count=MIN_COUNT).rearm_below
 # In the late-arrival query, the events of every tenth user arrive this many events late.
 LATE_BY = 40
+# Streams beside the hot one, and how much longer their detection window is.
+KEYS, KEYED_WINDOWS = 4, 3
 
 
 def spike_params(spark: SparkSession, sf: str) -> alerts.SpikeParams:
@@ -73,6 +75,41 @@ spikes AS (SELECT seq, CASE WHEN sig = 1 THEN 'firing' ELSE 'resolved' END AS st
            FROM st WHERE sig IS NOT NULL AND sig <> before)"""
 
 
+SQL_STREAM = f"CASE WHEN user_id % 3 = 0 THEN 'hot' ELSE 'k' || CAST(user_id % {KEYS} AS VARCHAR) END"
+SQL_NEGATIVE = "CASE WHEN event_type IN ('error', 'click') THEN 1 ELSE 0 END"
+SQL_KEYED_WINDOW = f"""w AS (
+  SELECT stream, seq, t,
+    CAST(count(*) OVER (PARTITION BY stream ORDER BY t, seq ROWS UNBOUNDED PRECEDING)
+      - count(*) OVER (PARTITION BY stream ORDER BY t RANGE BETWEEN UNBOUNDED PRECEDING AND wus PRECEDING) AS BIGINT) AS total,
+    CAST(sum(neg) OVER (PARTITION BY stream ORDER BY t, seq ROWS UNBOUNDED PRECEDING)
+      - coalesce(sum(neg) OVER (PARTITION BY stream ORDER BY t RANGE BETWEEN UNBOUNDED PRECEDING AND wus PRECEDING), 0) AS BIGINT) AS negative,
+    min(t) OVER (PARTITION BY stream ORDER BY t RANGE BETWEEN wus - 1 PRECEDING AND CURRENT ROW) AS start_us
+  FROM (SELECT {SQL_STREAM} AS stream, event_id AS seq, epoch_us(ts) AS t, {SQL_NEGATIVE} AS neg, {KEYED_WINDOWS} * {SQL_WIN} AS wus
+        FROM events WHERE ts IS NOT NULL)),
+ws AS (SELECT *, negative / total AS share, row_number() OVER (PARTITION BY stream ORDER BY t, seq) AS place, t AS end_us FROM w)"""
+
+
+def sql_late_window(stream: str, windows: int) -> str:
+    """Each arrival with all events of its window that had arrived."""
+    return f"""a AS (
+  SELECT *, row_number() OVER (PARTITION BY stream ORDER BY place, seq) AS arrival, max(t) OVER (PARTITION BY stream ORDER BY place, seq) AS edge
+  FROM (SELECT {stream} AS stream, event_id AS seq, event_id + CASE WHEN user_id % 10 = 0 THEN {LATE_BY} ELSE 0 END AS place,
+               epoch_us(ts) AS t, {SQL_NEGATIVE} AS neg FROM events WHERE ts IS NOT NULL)),
+ws AS (
+  SELECT r.stream, r.seq, r.arrival AS place, r.edge AS end_us, count(*) AS total, CAST(sum(o.neg) AS BIGINT) AS negative, sum(o.neg) / count(*) AS share,
+    min(o.t) AS start_us
+  FROM a r JOIN a o ON o.stream = r.stream AND o.t > r.edge - {windows} * {SQL_WIN} AND o.t <= r.edge AND o.arrival <= r.arrival
+  GROUP BY r.stream, r.seq, r.arrival, r.edge)"""
+
+
+SQL_TRANSITIONS = f"""sg AS (
+  SELECT *, CASE WHEN total >= {MIN_COUNT} AND share >= {THRESHOLD} THEN 1 WHEN total >= {MIN_COUNT} AND share < {REARM} THEN -1 END AS sig FROM ws),
+st AS (SELECT *, coalesce(last_value(sig IGNORE NULLS) OVER (PARTITION BY stream ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS before
+       FROM sg),
+tr AS (SELECT stream, seq, place AS arrival, CASE WHEN sig = 1 THEN 'firing' ELSE 'resolved' END AS status, make_timestamp(start_us) AS window_start,
+         make_timestamp(end_us) AS window_end, total, negative, share AS negative_share FROM st WHERE sig IS NOT NULL AND sig <> before)"""
+
+
 # --- events as predictions: dashboard ----------------------------------------
 
 def q_bucket_counts(spark, sf):
@@ -145,7 +182,46 @@ def q_alert_status(spark, sf):
     return alerts.alert_status(_alerts(spark, sf))
 
 
+# --- several streams: a third of the events in one of them --------------------
+
+def _stream_key():
+    return F.when(F.col("user_id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), (F.col("user_id") % KEYS).cast("string")))
+
+
+def _keyed_events(spark, sf):
+    late = F.when(F.col("user_id") % 10 == 0, F.lit(LATE_BY)).otherwise(F.lit(0))
+    return table(spark, sf, "events").select(
+        _stream_key().alias("stream"), (F.col("event_id") + late).alias("place"), F.col("event_id").alias("seq"),
+        F.col("ts").cast("timestamp").alias("predicted_at"), event_label().alias("label"))
+
+
+def _keyed_params(spark, sf):
+    p = spike_params(spark, sf)
+    return alerts.SpikeParams(KEYED_WINDOWS * p.window_us / 1e6, THRESHOLD, min_count=MIN_COUNT)
+
+
+def q_keyed_sliding_share(spark, sf):
+    return alerts.sliding_share(_keyed_events(spark, sf), _keyed_params(spark, sf).window_seconds, keys=["stream"]).drop("order_desc")
+
+
+def q_keyed_spikes(spark, sf):
+    return alerts.detect_spikes(_keyed_events(spark, sf), _keyed_params(spark, sf), keys=["stream"])
+
+
+def q_arrival_spikes(spark, sf):
+    """Transitions in order of arrival, with late events and the start of each window."""
+    return alerts.arrival_spikes(_keyed_events(spark, sf).drop("stream"), spike_params(spark, sf), ["place", "seq"]).drop("place")
+
+
+def q_keyed_arrival_spikes(spark, sf):
+    return alerts.arrival_spikes(_keyed_events(spark, sf), _keyed_params(spark, sf), ["place", "seq"], keys=["stream"]).drop("place")
+
+
 QUERIES: dict[str, Query] = {
+    "keyed_sliding_share": q_keyed_sliding_share,
+    "keyed_spikes": q_keyed_spikes,
+    "arrival_spikes": q_arrival_spikes,
+    "keyed_arrival_spikes": q_keyed_arrival_spikes,
     "bucket_counts": q_bucket_counts,
     "kpis": q_kpis,
     "label_shares": q_label_shares,
@@ -161,6 +237,12 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "keyed_sliding_share": f"""
+WITH {SQL_KEYED_WINDOW}
+SELECT stream, seq, make_timestamp(start_us) AS window_start, make_timestamp(t) AS window_end, total, negative, share AS negative_share FROM ws""",
+    "keyed_spikes": f"WITH {SQL_KEYED_WINDOW}, {SQL_TRANSITIONS} SELECT * EXCLUDE (arrival) FROM tr",
+    "arrival_spikes": f"""WITH {sql_late_window("'all'", 1)}, {SQL_TRANSITIONS} SELECT * EXCLUDE (stream) FROM tr""",
+    "keyed_arrival_spikes": f"WITH {sql_late_window(SQL_STREAM, KEYED_WINDOWS)}, {SQL_TRANSITIONS} SELECT * FROM tr",
     "bucket_counts": f"""
 WITH b AS (SELECT epoch_us(predicted_at) - (epoch_us(predicted_at) % {BUCKET_SECONDS * 1_000_000}) AS bucket_us,
                   label, id FROM {SQL_PRED} WHERE predicted_at IS NOT NULL AND label IS NOT NULL),
@@ -251,8 +333,8 @@ FROM spikes ORDER BY we_ts DESC""",
 
 
 # --- messages: contracts and DLQ ----------------------------------------------
-from moodstream.operators import contracts, joining  # noqa: E402
-from moodstream.functions.time import iso_utc  # noqa: E402
+from moodstream.operators import contracts, join_chains, joining  # noqa: E402
+from moodstream.functions.time import iso_utc, utc_ts  # noqa: E402
 from moodstream.schemas import RAW_TOPIC  # noqa: E402
 from moodstream.sources.messages import as_messages, raw_messages_from_tables  # noqa: E402
 from moodstream.sources.tables import gold_from_customers, predictions_from_lineitem, raw_from_orders  # noqa: E402
@@ -341,7 +423,63 @@ def q_run_counters(spark, sf):
     return joining.run_counters(_pairs(spark, sf), parsed)
 
 
+# Every third order shares one id: its halves go through many epochs.
+CHAIN_TTL_DAYS, CHAIN_DEDUPE_DAYS = 30, 45
+
+
+def _halves(spark, sf):
+    def half(side, key, at, line, ties):
+        id_ = F.when(F.col(key) % 3 == 0, F.lit("hot")).otherwise(F.col(key).cast("string"))
+        return [id_.alias("id"), F.lit(side).alias("side"), utc_ts(at).alias("at"), (F.col(key) * 10 + line).alias("offset"),
+                *[c.cast("long").alias(f"_tie{i}") for i, c in enumerate(ties)]]
+
+    zero = F.lit(0)
+    raw = table(spark, sf, "orders").select(*half(joining.RAW, "o_orderkey", "o_orderdate", zero, [zero, zero]))
+    return raw.unionByName(table(spark, sf, "lineitem").select(
+        *half(joining.PREDICTION, "l_orderkey", "l_shipdate", F.col("l_linenumber"), [F.col("l_partkey"), F.col("l_suppkey")])))
+
+
+def _epochs(halves):
+    day = 86400
+    return join_chains.join_chains(halves, CHAIN_TTL_DAYS * day, CHAIN_DEDUPE_DAYS * day, ("offset", "_tie0", "_tie1"))
+
+
+def q_ttl_join_chains(spark, sf):
+    return _epochs(_halves(spark, sf))
+
+
+def q_chain_outcomes(spark, sf):
+    halves = _halves(spark, sf)
+    return join_chains.chain_outcomes(halves, _epochs(halves))
+
+
+SQL_CHAINS = f"""WITH RECURSIVE h AS (
+  SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'hot' ELSE CAST(o_orderkey AS VARCHAR) END AS id, 'raw' AS side, epoch_us(o_orderdate) AS t, o_orderkey * 10 AS off,
+    0 AS p, 0 AS s FROM orders
+  UNION ALL SELECT CASE WHEN l_orderkey % 3 = 0 THEN 'hot' ELSE CAST(l_orderkey AS VARCHAR) END, 'prediction', epoch_us(l_shipdate), l_orderkey * 10 + l_linenumber,
+    l_partkey, l_suppkey FROM lineitem),
+r AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY id, t, off, p, s, side) AS r FROM h WHERE t IS NOT NULL),
+o AS (SELECT *, min(CASE WHEN side = 'raw' THEN r END) OVER later AS next_raw, min(CASE WHEN side <> 'raw' THEN r END) OVER later AS next_pred
+  FROM r WINDOW later AS (PARTITION BY id ORDER BY r ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+q AS (SELECT o.*, m.t AS pt, m.off AS poff FROM o LEFT JOIN r m ON m.r = CASE WHEN o.side = 'raw' THEN next_pred ELSE next_raw END
+  AND m.t - o.t < {CHAIN_TTL_DAYS} * 86400000000),
+e AS (SELECT *, CASE WHEN pt IS NULL THEN t + {CHAIN_TTL_DAYS} * 86400000000 ELSE pt + {CHAIN_DEDUPE_DAYS} * 86400000000 END AS end_t FROM q),
+f AS (SELECT id, t, min(r) AS r FROM r GROUP BY id, t),
+n AS MATERIALIZED (SELECT e.*, f.r AS nxt FROM e ASOF LEFT JOIN f ON e.id = f.id AND e.end_t <= f.t),
+reach AS (SELECT min(r) AS r FROM r GROUP BY id UNION ALL SELECT nxt FROM reach JOIN n USING (r) WHERE nxt IS NOT NULL),
+epochs AS (SELECT id, row_number() OVER (PARTITION BY id ORDER BY r) AS epoch, side, make_timestamp(t) AS started_at,
+  CASE WHEN pt IS NULL THEN 'expired' ELSE 'joined' END AS outcome, make_timestamp(coalesce(pt, end_t)) AS ended_at,
+  CASE WHEN side = 'raw' THEN off ELSE poff END AS raw_offset, CASE WHEN side = 'raw' THEN poff ELSE off END AS prediction_offset FROM reach JOIN n USING (r))"""
+
+ORACLE_SQL.update({
+    "ttl_join_chains": f"{SQL_CHAINS} SELECT * FROM epochs",
+    "chain_outcomes": f"""{SQL_CHAINS}, c AS (SELECT count(*) FILTER (outcome = 'joined') AS j, count(*) FILTER (outcome = 'expired') AS x FROM epochs)
+SELECT 'joined' AS outcome, j AS n FROM c UNION ALL SELECT 'expired', x FROM c UNION ALL SELECT 'duplicates', (SELECT count(*) FROM r) - 2 * j - x FROM c""",
+})
+
 QUERIES.update({
+    "ttl_join_chains": q_ttl_join_chains,
+    "chain_outcomes": q_chain_outcomes,
     "ingest_raw": q_ingest_raw,
     "alert_input": q_alert_input,
     "run_counters": q_run_counters,

@@ -20,6 +20,7 @@ a re-read, not a re-sort.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Sequence
 
 import numpy as np
@@ -141,24 +142,139 @@ def global_rank(df: DataFrame, order_cols: Sequence[str], rank_col: str = "rank"
 
 
 def running_totals(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str] = (), max_cols: Sequence[str] = (),
-                   num_partitions: int | None = None) -> DataFrame:
+                   num_partitions: int | None = None, keys: Sequence[str] = ()) -> DataFrame:
     """Adds, over the global ascending order of the (unique) ``order_cols``,
     ``pre_<c>``: the sum of ``c`` over this row and all before it, or the
     largest value for ``max_cols``. JVM only: a window inside each range
-    partition plus the totals of the partitions before it."""
-    ranged = range_partitioned(df, order_cols, num_partitions)
+    partition plus the totals of the partitions before it.
+
+    ``keys``: one order per key, which starts anew at each key's first row
+    (``order_cols`` unique per key). Rows are ranged by (keys, order), so a key
+    that holds most rows is cut into pieces like any other; a piece at the
+    start of a partition takes over the totals of that key's pieces before
+    it, from a table with two rows per partition."""
+    keys, order_cols = list(keys), list(order_cols)
+    ranged = range_partitioned(df, [*keys, *order_cols], num_partitions)
     made = {**{c: F.sum for c in sum_cols}, **{c: F.max for c in max_cols}}
-    totals = ranged.groupBy(PID).agg(*[fn(c).alias(f"_t_{c}") for c, fn in made.items()])
-    before = Window.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(PID, *[fn(f"_t_{c}").over(before).alias(f"_b_{c}") for c, fn in made.items()])
-    inside = Window.partitionBy(PID).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(PID, *keys).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.select("*", *[fn(c).over(inside).alias(f"_l_{c}") for c, fn in made.items()])
+    if keys:
+        offsets = _carried_in(ranged, keys, made)
+        here = F.struct(*keys).eqNullSafe(F.col("_head"))
+    else:
+        totals = ranged.groupBy(PID).agg(*[fn(c).alias(f"_t_{c}") for c, fn in made.items()])
+        before = Window.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
+        offsets = totals.select(PID, *[fn(f"_t_{c}").over(before).alias(f"_b_{c}") for c, fn in made.items()])
+        here = F.lit(True)
     joined = local.join(F.broadcast(offsets), PID)
-    out = [(F.coalesce(F.col(f"_b_{c}"), F.lit(0)) + F.col(f"_l_{c}") if c in sum_cols
-            else F.greatest(f"_b_{c}", f"_l_{c}")).alias(f"pre_{c}") for c in made]
+    carry = {c: F.when(here, F.col(f"_b_{c}")) for c in made}
+    out = [(F.coalesce(carry[c], F.lit(0)) + F.col(f"_l_{c}") if c in sum_cols
+            else F.greatest(carry[c], F.col(f"_l_{c}"))).alias(f"pre_{c}") for c in made]
     return joined.select(*[F.col(c) for c in df.columns], *out)
 
 
+def _carried_in(ranged: DataFrame, keys: list[str], made: dict) -> DataFrame:
+    """Per partition its first key (``_head``) and, for each column, what the
+    partitions before it hold of that key. Of the partitions before, a key can
+    only be the last one."""
+    pieces = ranged.groupBy(PID, F.struct(*keys).alias("_seg")).agg(*[fn(c).alias(f"_t_{c}") for c, fn in made.items()])
+    ends = pieces.groupBy(PID).agg(F.min("_seg").alias("_head"), F.max("_seg").alias("_last"),
+                                   F.max_by(F.struct(*[f"_t_{c}" for c in made]), "_seg").alias("_held"))
+    asks = F.struct(F.col("_head").alias("_seg"), F.lit(0).alias("_turn"))
+    gives = F.struct(F.col("_last").alias("_seg"), F.lit(1).alias("_turn"))
+    turns = ends.select(PID, "_held", F.inline(F.array(asks, gives)))
+    # Two rows per partition; one key's rows are at most all of them.
+    before = Window.partitionBy("_seg").orderBy(PID, "_turn").rowsBetween(Window.unboundedPreceding, -1)
+    given = {c: F.when(F.col("_turn") == 1, F.col(f"_held._t_{c}")) for c in made}
+    carried = turns.select(PID, "_turn", F.col("_seg").alias("_head"), *[fn(given[c]).over(before).alias(f"_b_{c}") for c, fn in made.items()])
+    return carried.where("_turn = 0").drop("_turn")
+
+
+def _first_to_the_right(keys: Sequence[str]):
+    """Rows of a partition in (keys, ``_t``, ``_k``, ``_a``) order; for each ask
+    (``_k`` = 1) the time of the first row after it, of its key, with ``_k`` = 0
+    and an ``_a`` not above its own. ``_more``: its key may go on in the next
+    partition."""
+
+    def run(batches):
+        held = [b for b in batches if len(b)]
+        if not held:
+            return
+        rows = pd.concat(held, ignore_index=True)
+        apart = np.zeros(len(rows), bool)
+        for k in keys:
+            col = rows[k]
+            apart |= (col.ne(col.shift()) & ~(col.isna() & col.shift().isna())).to_numpy(dtype=bool)
+        seg = np.cumsum(apart)
+        asks = np.flatnonzero(rows["_k"].to_numpy() == 1)
+        found = pd.Series(pd.NA, index=rows.index, dtype="Int64")
+        if len(asks):
+            a, t, kind = rows["_a"].to_numpy(), rows["_t"].to_numpy(), rows["_k"].to_numpy()
+            # From right to left: the rows that some ask further left may want, nearest last, with falling ``_a`` towards the first.
+            stack_a: list[int] = []
+            stack_t: list[int] = []
+            for i in range(len(rows) - 1, asks[0] - 1, -1):
+                if i + 1 < len(rows) and seg[i] != seg[i + 1]:
+                    stack_a.clear(), stack_t.clear()
+                if kind[i] == 0:
+                    while stack_a and stack_a[-1] >= a[i]:
+                        stack_a.pop(), stack_t.pop()
+                    stack_a.append(int(a[i])), stack_t.append(int(t[i]))
+                else:
+                    n = bisect_right(stack_a, a[i])
+                    if n:
+                        found[i] = stack_t[n - 1]
+        out = rows.loc[asks].copy()
+        out["_found"] = found.loc[asks]
+        out["_more"] = out["_found"].isna() & (seg[asks] == seg[-1])
+        yield out
+
+    return run
+
+
+def _first_from_the_start(asks: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+    """The same for asks that come from partitions before: ``rows`` are those of the first key, by time."""
+    rows = rows.sort_values("_t", kind="stable")
+    least = np.minimum.accumulate(rows["_a"].to_numpy())
+    at = np.searchsorted(-least, -asks["_a"].to_numpy())
+    out = asks.copy()
+    out["_found"] = rows["_t"].to_numpy()[np.minimum(at, max(len(rows) - 1, 0))]
+    return out
+
+
+def first_time_after(events: DataFrame, asks: DataFrame, keys: Sequence[str] = (), num_partitions: int | None = None) -> DataFrame:
+    """A successor in two dimensions. ``events``: keys, ``_t`` (time), ``_a``
+    (place of arrival); ``asks``: keys, ``_t`` (a cut), ``_a``. For each ask the
+    least time after its cut among the events of its key that had arrived by its
+    place, as ``_found`` (null if there is none); (keys, ``_a``) names an ask.
+
+    Events and asks are ranged by (keys, time) and each partition answers its
+    own asks in one pass in n log n steps. What a partition cannot answer goes
+    to the first later one of that key that holds an early enough arrival, which
+    a table of each partition's earliest arrival tells. A key that holds most
+    events is cut like any other."""
+    keys = list(keys)
+    kinds = {c: events.schema[c].dataType for c in keys}
+    both = events.select(*keys, "_t", F.lit(0).alias("_k"), "_a").unionByName(asks.select(*keys, "_t", F.lit(1).alias("_k"), "_a"))
+    ranged = range_partitioned(both, [*keys, "_t", "_k", "_a"], num_partitions, sort=True)
+    shape = T.StructType([T.StructField(c, kinds[c]) for c in keys] + [T.StructField("_t", T.LongType()), T.StructField("_k", T.IntegerType()),
+                         T.StructField("_a", T.LongType()), T.StructField(PID, T.IntegerType()), T.StructField("_found", T.LongType())])
+    first = ranged.mapInPandas(_first_to_the_right(keys), T.StructType([*shape.fields, T.StructField("_more", T.BooleanType())])).checkpoint()
+    open_ = first.where("_more").drop("_more", "_found")
+    seg = F.struct(*keys) if keys else F.lit(0)
+    pieces = ranged.groupBy(PID, seg.alias("_seg")).agg(F.min(F.when(F.col("_k") == 0, F.col("_a"))).alias("_least"))
+    starts = pieces.groupBy(PID).agg(F.min_by(F.struct("_seg", "_least"), "_seg").alias("_s")).where("_s._least IS NOT NULL")
+    listed = starts.groupBy(F.col("_s._seg").alias("_seg")).agg(F.array_sort(F.collect_list(F.struct(F.col(PID).alias("pid"), F.col("_s._least").alias("least")))).alias("_in"))
+    aimed = open_.withColumn("_seg", seg).join(listed, "_seg")
+    to = F.filter("_in", lambda p: (p["pid"] > F.col(PID)) & (p["least"] <= F.col("_a")))
+    aimed = aimed.withColumn(PID, F.get(to, F.lit(0))["pid"]).where(F.col(PID).isNotNull()).drop("_in").checkpoint()
+    rows = ranged.where("_k = 0").withColumn("_seg", seg).select(PID, "_seg", "_t", "_a")
+    rows = rows.join(starts.select(PID, F.col("_s._seg").alias("_seg")), [PID, "_seg"], "left_semi").join(aimed.select(PID).distinct(), PID, "left_semi")
+    later = aimed.drop("_seg").groupBy(PID).cogroup(rows.select(PID, "_t", "_a").groupBy(PID)).applyInPandas(_first_from_the_start, shape)
+    told = first.select(*keys, "_a", "_found").where("_found IS NOT NULL").unionByName(later.select(*keys, "_a", "_found"))
+    return told
+
+
 def with_neighbour(df: DataFrame, order_cols: Sequence[str], cols: Sequence[str], step: int,
                    num_partitions: int | None = None) -> DataFrame:
     """Adds ``near_<c>`` from the row ``step`` places on (-1: the one before)

@@ -147,3 +147,68 @@ def test_no_window_over_all_rows(spark):
         for line in plan.split("\n"):
             if "Window [" in line and "[], [" in line:
                 assert "_pid" in line
+
+
+def keyed_streams(n=150):
+    """A hot key with most of the events, some small ones, one null key, one of a single event."""
+    out = []
+    for key, seed, size in (("hot", 31, 4 * n), ("a", 32, n), ("b", 33, n // 2), (None, 34, n)):
+        out += [(key, k, e) for k, e in enumerate(stream_of(seed, late=0.2, n=size))]
+    return out + [("z", 0, (5, NEG))]
+
+
+def keyed_frame(spark, rows):
+    data = [(k, i * 1000 + j, T0 + dt.timedelta(seconds=s), lab) for j, (k, i, (s, lab)) in enumerate(rows)]
+    return spark.createDataFrame(data, "k string, seq long, predicted_at timestamp, label string").repartition(3), {d[1]: r for d, r in zip(data, rows, strict=True)}
+
+
+@pytest.mark.parametrize("parts", [1, 9])
+def test_each_key_is_a_stream_of_its_own(spark, parts):
+    rows = keyed_streams()
+    df, by_seq = keyed_frame(spark, rows)
+    w, p = 25, SpikeParams(25, 0.55, 0.4, 8)
+    want, spikes, ordered, ordered_spikes = {}, set(), {}, set()
+    for key in {r[0] for r in rows}:
+        of = [(seq, r[2]) for seq, r in sorted(by_seq.items()) if r[0] == key]
+        for made, raised, own in ((want, spikes, of), (ordered, ordered_spikes, sorted(of, key=lambda x: (x[1][0], x[0])))):
+            events = [e for _, e in own]
+            made.update({(key, own[r["seq"]][0]): (r["total"], r["negative"], r["start"], r["end"]) for r in brute(events, w)})
+            raised |= {(key, s, own[i][0], a) for s, i, a in brute(events, w, p)}
+    seconds = lambda t: int((t - T0).total_seconds())
+    got = {(r["k"], r["seq"]): (r["total"], r["negative"], seconds(r["window_end"])) for r in alerts.arrival_share(df, w, ["seq"], num_partitions=parts, keys=["k"]).collect()}
+    assert got == {k: (v[0], v[1], v[3]) for k, v in want.items()}
+    late = alerts.arrival_spikes(df, p, ["seq"], block_rows=32, num_partitions=parts, keys=["k"]).collect()
+    assert {(r["k"], r["status"], r["seq"], seconds(r["window_start"])) for r in late} == spikes and len(late) == len(spikes) > 6
+    got = {(r["k"], r["seq"]): (r["total"], r["negative"], seconds(r["window_start"]), seconds(r["window_end"]))
+           for r in alerts.sliding_share(df, w, num_partitions=parts, keys=["k"]).collect()}
+    assert got == ordered
+    found = alerts.detect_spikes(df, p, block_rows=32, num_partitions=parts, keys=["k"]).collect()
+    assert {(r["k"], r["status"], r["seq"], seconds(r["window_start"])) for r in found} == ordered_spikes and found[0].asDict().keys() >= {"k", "seq"}
+
+
+def test_first_time_after_crosses_partitions(spark):
+    import random as rnd_
+
+    from moodstream.plans.ordered import first_time_after
+
+    rnd = rnd_.Random(8)
+    events = [(k, t, rnd.randrange(1, 4000)) for k in ("a", "b", None) for t in rnd.sample(range(5000), 400)] + [("c", 10, 5)]
+    asks = [(rnd.choice(["a", "b", None, "c", "d"]), rnd.randrange(-5, 5000), 100_000 * i + rnd.randrange(1, 300)) for i in range(300)]
+    made = first_time_after(spark.createDataFrame(events, "k string, _t long, _a long"),
+                            spark.createDataFrame([(k, t, a) for k, t, a in asks], "k string, _t long, _a long").withColumn("_a", F.col("_a") % 100_000 + F.lit(0)).dropDuplicates(["k", "_a"]),
+                            ["k"], num_partitions=13)
+    got = {(r["k"], r["_a"]): r["_found"] for r in made.collect()}
+    first = {}
+    for k, t, a in asks:
+        first.setdefault((k, a % 100_000), []).append(t)
+    for (k, a), ts in first.items():
+        options = {min((t for key, t, b in events if key == k and t > cut and b <= a), default=None) for cut in ts}
+        assert got.get((k, a)) in options
+    assert len(got) > 50
+
+
+def test_no_window_by_key(spark):
+    df, _ = keyed_frame(spark, keyed_streams(30))
+    plan = alerts.sliding_share(df, 25, keys=["k"])._jdf.queryExecution().optimizedPlan().toString()
+    for line in plan.split("\n"):
+        assert "Window [" not in line or "_pid" in line or "_seg" in line
