@@ -44,6 +44,12 @@ def bucket_counts(df: DataFrame, freq_seconds: int = 30, ts_col: str = "predicte
     per = b.groupBy("bucket_us").agg(
         *[F.count(F.when(F.col("_l") == F.lit(lab), F.col("_id"))).alias(f"_n{i}")
           for i, lab in enumerate(LABELS)]).checkpoint()
+    return fill_counts(per, step)
+
+
+def fill_counts(per: DataFrame, step: int) -> DataFrame:
+    """``bucket_counts`` from one row per bucket that occurs: ``bucket_us`` and
+    ``_n0, _n1, ...``, the counts of the labels in their fixed order."""
     bounds = per.agg(F.min("bucket_us").alias("_lo"), F.max("bucket_us").alias("_hi"))
     grid = time_grid(bounds, "_lo", "_hi", step)
     full = grid.join(per, "bucket_us", "left").na.fill(0, [f"_n{i}" for i in range(len(LABELS))])

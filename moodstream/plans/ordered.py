@@ -315,7 +315,17 @@ def percentiles_of_columns(df: DataFrame, named: dict[str, tuple[str, float]],
     cols = sorted({c for c, _ in named.values()})
     stacked = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("_v"))
                                            for i, c in enumerate(cols)]))).where(F.col("_v").isNotNull())
-    distinct = stacked.groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    return _percentiles(stacked.groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n")), cols, named, num_partitions)
+
+
+def percentiles_of_counts(counts: DataFrame, value_col: str, count_col: str, named: dict[str, float],
+                          num_partitions: int | None = None) -> DataFrame:
+    """``percentiles_row`` over values that come with a count (each value once, counts above 0)."""
+    held = counts.select(F.lit(0).alias("_c"), F.col(value_col).cast("double").alias("_v"), F.col(count_col).alias("_n")).where(F.col("_v").isNotNull())
+    return _percentiles(held, [value_col], {n: (value_col, q) for n, q in named.items()}, num_partitions)
+
+
+def _percentiles(distinct: DataFrame, cols: list[str], named: dict[str, tuple[str, float]], num_partitions: int | None) -> DataFrame:
     held = running_totals(distinct, ["_c", "_v"], ["_n"], num_partitions=num_partitions)
 
     sizes = distinct.groupBy().agg(*[F.coalesce(F.sum(F.when(F.col("_c") == i, F.col("_n"))), F.lit(0)).alias(f"_n{i}")
