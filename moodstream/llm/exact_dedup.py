@@ -31,6 +31,10 @@ from pyspark.sql import functions as F
 from moodstream.llm.common import prepare, strip_space
 
 
+# Parts over which the copies of one text are spread.
+SPREAD = 16
+
+
 def _text(col: str) -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
@@ -51,9 +55,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     # Written out, so that the join below is between two plain shuffles, which adaptive execution can split for a hot hash.
     shared = keys.groupBy("_hash").agg(F.count("*").alias("_c")).where("_c > 1").select("_hash").checkpoint()
-    # By the hash of the text itself: an id plays no part, so rows without one, or with one id, do not meet.
+    # By the hash of the text itself: an id plays no part, so rows without one, or with one id, do not meet. The copies of
+    # a text are spread over ``SPREAD`` parts (and may be split further): the aggregate below then has a shuffle of its
+    # own, before which each task makes one row of a text's copies.
+    part = F.pmod(F.xxhash64("_id", "_n"), F.lit(SPREAD)).cast("int")
+    parts = shared.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
     classes = (
-        norm.join(shared, "_hash", "left_semi")
+        norm.withColumn("_part", part).join(parts, ["_hash", "_part"], "left_semi")
         .groupBy("_hash", "_norm")
         .agg(F.count("*").alias("_size"), F.max(_rank(F.col("_n"), F.col("_id"))).alias("_best"))
         .select("_hash", F.unhex(F.sha2("_norm", 256)).alias("_sha"), "_size", F.col("_best.has").alias("_has"),
