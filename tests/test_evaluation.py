@@ -71,27 +71,22 @@ def test_a_value_that_most_rows_share_is_one_row_when_sorted(spark, monkeypatch)
 
 
 def test_rates(spark):
-    t0 = dt.datetime(2026, 1, 1)
-    rows = [(t0 + dt.timedelta(seconds=i), t0 + dt.timedelta(seconds=i, milliseconds=100),
-             t0 + dt.timedelta(seconds=i, milliseconds=200), 200.0) for i in range(11)]
-    df = spark.createDataFrame(rows, "produced_at timestamp, predicted_at timestamp, joined_at timestamp, "
-                                     "end_to_end_ms double")
+    start, ms = dt.datetime(2025, 7, 4, 9), lambda n: dt.timedelta(milliseconds=n)
+    rows = [(start + ms(2000 * k), start + ms(2000 * k + 300), start + ms(2000 * k + 750), 750.0) for k in range(6)]
+    df = spark.createDataFrame(rows, "produced_at timestamp, predicted_at timestamp, joined_at timestamp, end_to_end_ms double")
     p = evaluation.performance(df).first()
-    assert p["offered_rate_per_sec"] == 1.1
-    assert p["throughput_per_sec"] == round(11 / 10.2, 2)
-    assert p["produce_to_predict_p95"] == 100.0 and p["produce_to_join_p50"] == 200.0
+    assert (p["offered_rate_per_sec"], p["throughput_per_sec"]) == (round(6 / 10, 2), round(6 / 10.75, 2))
+    assert (p["produce_to_predict_p95"], p["produce_to_join_p50"]) == (300.0, 750.0)
 
 
 def test_coverage(spark):
-    gold = spark.createDataFrame([("1", "negative"), ("2", "neutral"), ("3", "positive")], "id string, label string")
-    joined = spark.createDataFrame([("x", "1", "negative", "m"), ("y", "2", "negative", "m"),
-                                    ("z", "9", "neutral", "m")],
-                                   "id string, source_id string, label string, model_version string")
+    gold = spark.createDataFrame([(f"g{k}", LABELS[k % 3]) for k in range(5)], "id string, label string")
+    joined = spark.createDataFrame([(f"u{k}", source, label, "m") for k, (source, label) in enumerate(
+        [("g0", "negative"), ("g4", "neutral"), ("g2", "negative"), ("other", "neutral")])], "id string, source_id string, label string, model_version string")
     matched = evaluation.match_gold(joined, gold)
     c = evaluation.coverage(joined, gold, matched).first()
-    assert (c["expected"], c["joined"], c["matched"], c["missing"]) == (3, 3, 2, 1)
-    cm = evaluation.confusion_matrix(matched)
-    assert evaluation.summary(cm).first()["accuracy"] == 0.5
+    assert (c["expected"], c["joined"], c["matched"], c["missing"]) == (5, 4, 3, 2)
+    assert evaluation.summary(evaluation.confusion_matrix(matched)).first()["accuracy"] == round(2 / 3, 4)
 
 
 def test_a_repeated_gold_id_counts_once(spark):
@@ -140,11 +135,11 @@ def test_auc_of_many_rows_does_not_overflow(spark):
 
 
 def test_source_tag(spark):
-    gold = spark.createDataFrame([("1", "negative")], "id string, label string")
-    joined = spark.createDataFrame([("1", "negative", "capacity"), ("1", "neutral", "latency")],
+    gold = spark.createDataFrame([("g1", "positive"), ("g2", "neutral")], "id string, label string")
+    joined = spark.createDataFrame([("g1", "positive", "run-b"), ("g2", "negative", "run-b"), ("g2", "neutral", "run-a"), ("g1", "neutral", None)],
                                    "source_id string, label string, source string")
-    cm = evaluation.confusion_matrix(evaluation.match_gold(joined, gold, source="capacity"))
-    assert evaluation.summary(cm).first()["accuracy"] == 1.0
+    accuracy = lambda tag: evaluation.summary(evaluation.confusion_matrix(evaluation.match_gold(joined, gold, source=tag))).first()["accuracy"]
+    assert (accuracy("run-b"), accuracy("run-a")) == (0.5, 1.0)
 
 
 def test_roc_auc_against_brute_force(spark):
