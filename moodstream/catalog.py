@@ -1024,9 +1024,13 @@ SELECT id, make_timestamp(epoch_us(TIMESTAMP '{REPLAY_START}') + CAST(round(i *
 
 
 # --- model training and scoring -------------------------------------------------
-# Weights of a model are not reproducible in SQL. These queries return what must
-# hold for any trained model, row by row, so the SQL can say it.
+# Weights of a model are not reproducible in SQL. score_documents and score_binary return
+# what must hold for any trained model, row by row; train_eval and binary_held_out hold
+# the model against answers by chance, whose figures the SQL works out.
+from pyspark.sql import Window  # noqa: E402
+
 from moodstream.operators import training  # noqa: E402
+from moodstream.plans.scalar import attach_row  # noqa: E402
 from moodstream.schemas import LABELS  # noqa: E402
 from moodstream.session import checkpoint_dir  # noqa: E402
 
@@ -1043,12 +1047,24 @@ def _trained(spark, sf):
 
 
 def q_train_eval(spark, sf):
-    """Per label: the support in the test split, and whether the metrics of
-    the trained model are shares."""
+    """Per label, of the test split: the support, the answers in its row of the
+    confusion matrix (all rows of the split, so the same number), and what a
+    model that always gives the most frequent label reaches as macro-F1. The
+    trained model has to be above that, and it has to be the first candidate
+    with the best validation score."""
     res, test = _trained(spark, sf)
-    cls, _ = training.metrics_for(res.model, test)
-    share = lambda c: F.col(c).between(0, 1)
-    return cls.select("label", "support", (share("precision") & share("recall") & share("f1")).alias("shares"))
+    pred = training.predict(res.model, test.withColumnRenamed("label", "gold_label"))
+    cm = evaluation.confusion_matrix(pred).checkpoint()
+    rows = cm.groupBy(F.col("gold").alias("label")).agg(F.sum("n").alias("answered"))
+    cls = evaluation.class_metrics(cm).select("label", "support", F.col("f1"))
+    share = F.col("support") / F.sum("support").over(Window.partitionBy())  # one row per label
+    most = F.max(share).over(Window.partitionBy())
+    by_chance = (2 * most / (1 + most)) / F.lit(len(LABELS))
+    reached = F.avg("f1").over(Window.partitionBy())
+    scores = [h["val_macro_f1"] for h in res.history]
+    first_best = FIT["reg_params"][scores.index(max(scores))] == res.reg_param
+    return cls.join(rows, "label").select("label", "support", "answered", F.round(by_chance, 6).alias("majority_f1"),
+                                          (reached > by_chance).alias("above_majority"), F.lit(first_best).alias("first_best"))
 
 
 def q_score_documents(spark, sf):
@@ -1073,11 +1089,38 @@ def q_score_binary(spark, sf):
     return p.select("doc_id", (F.col("prob").between(0, 1) & ((F.col("prob") >= 0.5) == (F.col("label") == 1))).alias("consistent"))
 
 
-QUERIES.update({"train_eval": q_train_eval, "score_documents": q_score_documents, "score_binary": q_score_binary})
+HELD = "0123"  # a quarter of all documents, by the first digit of the hash of the id
+
+
+def q_binary_held_out(spark, sf):
+    """A two-class model learnt from three quarters of the labelled documents
+    and its ranking of the rest: counts, whether the area under the curve is
+    above chance (0.5), and whether every document was scored."""
+    checkpoint_dir(spark)
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    y = table(spark, sf, "labels").where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("y"))
+    held = F.substring(F.md5(F.col("doc_id").cast("string").cast("binary")), 1, 1).isin(*HELD)
+    known = d.join(y, "doc_id")
+    model = training.train_binary(known.where(~held).withColumnRenamed("y", "label"), class_weights={1: 5.0}, num_features=1 << 14, max_iter=15)
+    scored = training.predict_binary(model, d).select("doc_id", "prob").checkpoint()
+    rest = scored.join(y, "doc_id").where(held).select("prob", "y")
+    counts = rest.agg(F.count(F.lit(1)).alias("held_out"), F.count_if(F.col("y") == 1).alias("toxic"))
+    auc = evaluation.roc_auc(rest, "prob", "y").select((F.col("auc") > 0.5).alias("above_chance"))
+    return attach_row(attach_row(counts, auc), scored.agg(F.count("prob").alias("scored")))
+
+
+QUERIES.update({"train_eval": q_train_eval, "score_documents": q_score_documents, "score_binary": q_score_binary,
+                "binary_held_out": q_binary_held_out})
 
 ORACLE_SQL.update({
-    "train_eval": f"""WITH {SQL_SPLIT}, lbl AS (SELECT unnest(['negative', 'neutral', 'positive']) AS label)
-SELECT lbl.label, count(split.id) AS support, true AS shares FROM lbl LEFT JOIN split ON split.label = lbl.label AND split = 'test' GROUP BY lbl.label""",
+    "train_eval": f"""WITH {SQL_SPLIT}, lbl AS (SELECT unnest(['negative', 'neutral', 'positive']) AS label),
+c AS (SELECT lbl.label, count(split.id) AS support FROM lbl LEFT JOIN split ON split.label = lbl.label AND split = 'test' GROUP BY lbl.label),
+m AS (SELECT max(support) / sum(support) AS most FROM c)
+SELECT label, support, support AS answered, round(2 * most / (1 + most) / 3, 6) AS majority_f1, true AS above_majority, true AS first_best FROM c, m""",
+    "binary_held_out": f"""WITH y AS (SELECT doc_id, max(toxic) AS y FROM labels WHERE doc_id IS NOT NULL AND toxic IS NOT NULL GROUP BY doc_id),
+rest AS (SELECT y FROM documents JOIN y USING (doc_id) WHERE md5(CAST(doc_id AS VARCHAR))[1] IN ({", ".join(f"'{h}'" for h in HELD)}))
+SELECT count(*) AS held_out, count(*) FILTER (WHERE y = 1) AS toxic, count(DISTINCT y) = 2 AS above_chance,
+  (SELECT count(*) FROM documents) AS scored FROM rest""",
     "score_documents": "SELECT doc_id, true AS consistent FROM documents",
     "score_binary": "SELECT doc_id, true AS consistent FROM documents",
 })
