@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from moodstream.functions.time import epoch_micros, from_micros
 from moodstream.operators.alerts import SpikeParams, arrival_spikes, build_alerts
 from moodstream.session import stream_checkpoint
+from moodstream.streaming.commits import commit_batch, is_committed, read_committed, retain, vacuum
 
 ORDER = ["_gen", "_from", "_at"]
 KEPT = "t_us long, negative boolean, place long"
@@ -50,29 +51,44 @@ def advance(kept: DataFrame, firing: bool, batch: DataFrame, params: SpikeParams
     return spikes, stay.select("t_us", "negative", F.monotonically_increasing_id().alias("place"))
 
 
-def read_state(spark: SparkSession, state_dir: str, batch_id: int) -> tuple[DataFrame, bool]:
+def read_state(spark: SparkSession, state_dir: str, batch_id: int, committed: bool = False) -> tuple[DataFrame, bool]:
     if batch_id == 0:
         return spark.createDataFrame([], KEPT), False
+    if committed:
+        kept, flag = (read_committed(spark, state_dir, t, batch_id - 1, batch_id - 1) for t in ("kept", "firing"))
+        return kept, flag.first()["firing"]
     flag = spark.read.parquet(f"{state_dir}/firing/version={batch_id - 1}").first()
     return spark.read.schema(KEPT).parquet(f"{state_dir}/kept/version={batch_id - 1}"), flag["firing"]
 
 
-def start_alert_stream(stream: DataFrame, params: SpikeParams, state_dir: str, alerts_dir: str, query_name: str = "alerts",
-                       trigger: dict | None = None, **columns):
+def start_alert_stream(stream: DataFrame, params: SpikeParams, state_dir: str | None = None, alerts_dir: str | None = None,
+                       query_name: str = "alerts", trigger: dict | None = None, commits: str | None = None, **columns):
     """Starts the stream: alert payloads as JSON lines in
-    ``alerts_dir/batch_id=…``. ``columns``: names for ``as_events``."""
+    ``alerts_dir/batch_id=…``. ``columns``: names for ``as_events``. With
+    ``commits``, a folder, alerts and both parts of the state go there in one
+    commit a batch (tables ``alerts``, ``kept``, ``firing``); of the states the
+    last two stay."""
     spark = stream.sparkSession
 
     def run(batch: DataFrame, batch_id: int):
-        kept, firing = read_state(spark, state_dir, batch_id)
+        if commits and is_committed(spark, commits, batch_id):
+            return
+        kept, firing = read_state(spark, commits or state_dir, batch_id, bool(commits))
         held = as_events(batch, **columns).persist()
         spikes, stay = advance(kept, firing, held, params)
         spikes = spikes.persist()
-        build_alerts(spikes, params, keep=("arrival",)).drop("arrival").write.mode("overwrite").json(f"{alerts_dir}/batch_id={batch_id}")
-        stay.write.mode("overwrite").parquet(f"{state_dir}/kept/version={batch_id}")
+        raised = build_alerts(spikes, params, keep=("arrival",)).drop("arrival")
         last = spikes.agg(F.max_by("status", "arrival").alias("s")).select(
             F.coalesce(F.col("s") == "firing", F.lit(firing)).alias("firing"))
-        last.write.mode("overwrite").parquet(f"{state_dir}/firing/version={batch_id}")
+        if commits:
+            commit_batch(commits, batch_id, {"alerts": (raised, "json"), "kept": (stay, "parquet"), "firing": (last, "parquet")})
+            for t in ("kept", "firing"):
+                retain(spark, commits, t, 2)
+            vacuum(spark, commits)
+        else:
+            raised.write.mode("overwrite").json(f"{alerts_dir}/batch_id={batch_id}")
+            stay.write.mode("overwrite").parquet(f"{state_dir}/kept/version={batch_id}")
+            last.write.mode("overwrite").parquet(f"{state_dir}/firing/version={batch_id}")
         spikes.unpersist()
         held.unpersist()
 

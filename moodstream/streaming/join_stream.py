@@ -22,6 +22,7 @@ from moodstream.schemas import JOINED, PREDICTIONS_TOPIC, RAW_TOPIC, SCHEMA_VERS
 from moodstream.schemas import PREDICTION as PREDICTION_SCHEMA
 from moodstream.schemas import RAW as RAW_SCHEMA
 from moodstream.session import stream_checkpoint
+from moodstream.streaming.commits import commit_batch
 
 
 def dedupe_period(ttl_seconds: float) -> float:
@@ -88,15 +89,20 @@ def expired_rows(j: DataFrame, ttl_seconds: float) -> DataFrame:
         "_x.source", F.current_timestamp().alias("failed_at"), "_x.id")
 
 
-def start_join_stream(j: DataFrame, ttl_seconds: float, joined_dir: str, dlq_dir: str, query_name: str = "join",
-                      trigger: dict | None = None):
+def start_join_stream(j: DataFrame, ttl_seconds: float, joined_dir: str | None = None, dlq_dir: str | None = None, query_name: str = "join",
+                      trigger: dict | None = None, commits: str | None = None):
     """Starts the sinks of a ``join_streams`` frame: JSON lines of joined
     rows and Parquet of DLQ rows, one folder per batch id, so a batch that is
-    run again replaces its own output."""
+    run again replaces its own output. With ``commits``, a folder, both go
+    there in one commit a batch (tables ``joined`` and ``dlq``) with their counts."""
     def run(batch: DataFrame, batch_id: int):
         b = batch.persist()
-        joined_rows(b).write.mode("overwrite").option("ignoreNullFields", "false").json(f"{joined_dir}/batch_id={batch_id}")
-        expired_rows(b, ttl_seconds).drop("id").write.mode("overwrite").parquet(f"{dlq_dir}/batch_id={batch_id}")
+        joined, lost = joined_rows(b), expired_rows(b, ttl_seconds).drop("id")
+        if commits:
+            commit_batch(commits, batch_id, {"joined": (joined, "json"), "dlq": (lost, "parquet")})
+        else:
+            joined.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{joined_dir}/batch_id={batch_id}")
+            lost.write.mode("overwrite").parquet(f"{dlq_dir}/batch_id={batch_id}")
         b.unpersist()
 
     w = j.writeStream.queryName(query_name).foreachBatch(run) \

@@ -25,6 +25,8 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from moodstream.operators.contracts import STAGE_JOIN
 from moodstream.schemas import SCHEMA_VERSION
+from moodstream.session import stream_checkpoint
+from moodstream.streaming.commits import commit_batch
 from moodstream.streaming.join_stream import dedupe_period
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -121,3 +123,19 @@ def outcome_dlq(outcomes: DataFrame) -> DataFrame:
         F.coalesce("raw_payload", "prediction_payload").alias("original_payload"),
         F.struct("topic", "partition", "offset").alias("source"),
         F.timestamp_millis("at_ms").alias("failed_at"))
+
+
+def start_timer_join(outcomes: DataFrame, commits: str, query_name: str = "timer_join", trigger: dict | None = None):
+    """Starts the sinks of ``join_with_timers``: joined pairs and the DLQ of
+    expired halves in one commit a batch, with the counters of a run (joined,
+    expired, duplicates)."""
+    def run(batch: DataFrame, batch_id: int):
+        b = batch.persist()
+        pairs = b.where(F.col("outcome") == "joined").select("id", "raw_payload", "prediction_payload", F.timestamp_millis("at_ms").alias("joined_at"))
+        counts = b.agg(*[F.count_if(F.col("outcome") == k).alias(name) for k, name in (("expired", "expired"), ("duplicate", "duplicates"))])
+        commit_batch(commits, batch_id, {"joined": (pairs, "parquet"), "dlq": (outcome_dlq(b), "parquet")}, counts)
+        b.unpersist()
+
+    w = outcomes.writeStream.queryName(query_name).foreachBatch(run) \
+        .option("checkpointLocation", stream_checkpoint(outcomes.sparkSession, query_name))
+    return w.trigger(**(trigger or {"processingTime": "1 second"})).start()

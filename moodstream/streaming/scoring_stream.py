@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from moodstream.operators import contracts
 from moodstream.session import stream_checkpoint
+from moodstream.streaming.commits import commit_batch, is_committed
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -40,22 +41,30 @@ def score_batch(batch: DataFrame, scorer: Scorer, model_version: str) -> tuple[D
 
 
 def start_scoring_stream(messages: DataFrame, scorer_for_batch: Callable[[], tuple[Scorer, str] | None],
-                         predictions_dir: str, dlq_dir: str, query_name: str = "scoring",
-                         trigger: dict | None = None, poll_seconds: float = 1.0):
+                         predictions_dir: str | None = None, dlq_dir: str | None = None, query_name: str = "scoring",
+                         trigger: dict | None = None, poll_seconds: float = 1.0, commits: str | None = None):
     """Starts the stream. ``scorer_for_batch`` is called at the start of each
     micro-batch (the place for a model refresh) and returns the scorer and
     the model version, or None while there is no model: the batch then waits
-    and asks again every ``poll_seconds``, its input uncommitted."""
+    and asks again every ``poll_seconds``, its input uncommitted. With
+    ``commits``, a folder, both tables go there in one commit a batch
+    (``commits.read_committed``, tables ``predictions`` and ``dlq``) with their
+    counts (``commits.stream_counters``), and the two other folders stay unused."""
     spark = messages.sparkSession
 
     def run(batch: DataFrame, batch_id: int):
+        if commits and is_committed(spark, commits, batch_id):
+            return
         while (served := scorer_for_batch()) is None:
             time.sleep(poll_seconds)
         scorer, version = served
         b = batch.persist(StorageLevel.MEMORY_AND_DISK)
         preds, dlq = score_batch(b, scorer, version)
-        preds.write.mode("overwrite").parquet(f"{predictions_dir}/batch_id={batch_id}")
-        dlq.write.mode("overwrite").parquet(f"{dlq_dir}/batch_id={batch_id}")
+        if commits:
+            commit_batch(commits, batch_id, {"predictions": (preds, "parquet"), "dlq": (dlq, "parquet")})
+        else:
+            preds.write.mode("overwrite").parquet(f"{predictions_dir}/batch_id={batch_id}")
+            dlq.write.mode("overwrite").parquet(f"{dlq_dir}/batch_id={batch_id}")
         b.unpersist()
 
     w = messages.writeStream.queryName(query_name).foreachBatch(run) \
