@@ -9,11 +9,15 @@ of length 1. Three steps:
 2. Weights by follow-the-regularised-leader with per-coordinate rates, an L1
    and an L2 penalty (elastic net), on about ``sample`` documents in equal
    parts per language (documented bound; chosen by a hash of the id over all
-   documents), in one task. One in five is kept back; on these a single
+   documents), in one task, which holds at most about ``sample_bytes`` of
+   features: a language whose long texts would take more than its part gives
+   fewer of them, by a hash again. One in five is kept back; on these a single
    temperature is fitted that divides the scores of all languages.
 3. Prediction over every whole text, in one map pass without a shuffle. The
    broadcast model has one number per bucket and at most one per bucket and
-   language; more than ``max_langs`` languages are an error.
+   language. Its size is bounded by ``max_langs``: of more language values (a
+   dirty column) the ones with the most documents are learnt, of equal ones the
+   first in order, and the rows of the others are predicted like any other.
 
 Long texts are read in stretches of ``STRETCH`` characters whose n-grams at the
 border are kept, so the counts are those of the whole text.
@@ -34,10 +38,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from moodstream.llm.common import fold, one_per_id, prepare, unit_hash
+from moodstream.llm.common import fold, level, one_per_id, prepare, unit_hash
 from moodstream.llm.ftrl import Ftrl
 
 # The held-out fold: crc32 of the id modulo 5 is 0.
@@ -142,14 +146,28 @@ def _learn(langs: tuple[str, ...], idf_of, passes: int, alpha: float, beta: floa
     return run
 
 
+def _rate(rates: dict[str, float]) -> Column:
+    return F.create_map(*[F.lit(v) for pair in rates.items() for v in pair])[F.col("_lang")]
+
+
 def _sample(known: DataFrame, rates: dict[str, float], seed: int) -> DataFrame:
     """One row (_id, _text, _lang) of each id whose hash falls below the rate of its language."""
-    rate = F.create_map(*[F.lit(v) for pair in rates.items() for v in pair])
-    return one_per_id(known.where(unit_hash("_id", seed=seed) < rate[F.col("_lang")]), "_text", "_lang")
+    return one_per_id(known.where(unit_hash("_id", seed=seed) < _rate(rates)), "_text", "_lang")
+
+
+def _bounded(chosen: DataFrame, sample_bytes: int) -> DataFrame:
+    """``chosen`` (written out), thinned where a language's features would take more than a
+    level that all together keep to ``sample_bytes``. A text of n characters has at
+    most min(3 n, buckets) features of 8 bytes."""
+    most = F.least(F.lit(GRAMS) * F.coalesce(F.length("_text"), F.lit(0)), F.lit(1 << BITS)).cast("long") * 8
+    size = {r["_lang"]: r["n"] for r in chosen.groupBy("_lang").agg(F.sum(most).alias("n")).collect()}
+    top = level(list(size.values()), sample_bytes)
+    return chosen if max(size.values(), default=0) <= top else chosen.where(F.col("_u") < _rate({k: min(1.0, top / max(n, 1)) for k, n in size.items()}))
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = 6000,
-          passes: int = 4, alpha: float = 1.0, beta: float = 1.0, l1: float = 0.2, l2: float = 1e-3, max_langs: int = 200, seed: int = 3) -> Model:
+          passes: int = 4, alpha: float = 1.0, beta: float = 1.0, l1: float = 0.2, l2: float = 1e-3, max_langs: int = 200,
+          sample_bytes: int = 512 << 20, seed: int = 3) -> Model:
     spark = prepare(docs.sparkSession)
     known = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & (fold(MODULUS, id_col) != HELD_OUT))
     known = known.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"), F.col(text_col).alias("_text"))
@@ -160,15 +178,17 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         df[r["bucket"]] = r["n"]
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
 
-    sizes = {r["_lang"]: r["n"] for r in known.select("_lang", "_id").distinct().groupBy("_lang").agg(F.count("*").alias("n")).limit(max_langs + 1).collect()}
-    if len(sizes) > max_langs:
-        raise ValueError(f"more than {max_langs} languages: raise max_langs")
+    per_lang = known.select("_lang", "_id").distinct().groupBy("_lang").agg(F.count("*").alias("n"))
+    sizes = {r["_lang"]: r["n"] for r in per_lang.orderBy(F.desc("n"), "_lang").limit(max_langs).collect()}
     langs = tuple(sorted(sizes))
     none = Model((), idf, np.empty(0, np.int64), np.empty((0, 0)), np.empty(0), 1.0)
     if not langs:
         return none
     each = max(20, sample // len(langs))
-    chosen = _sample(known, {k: min(1.0, each / sizes[k]) for k in langs}, seed).select(unit_hash("_id", seed=seed + 1).alias("_u"), "_lang", "_text").repartition(1)
+    rates = {k: min(1.0, each / sizes[k]) for k in langs}
+    # A language that is not learnt has no rate, and null is below nothing.
+    chosen = _sample(known, rates, seed).select(unit_hash("_id", seed=seed + 1).alias("_u"), "_lang", "_text").checkpoint()
+    chosen = _bounded(chosen, sample_bytes).repartition(1)
     learn = _learn(langs, spark.sparkContext.broadcast(idf), passes, alpha, beta, l1, l2, seed)
     fitted = chosen.mapInArrow(learn, "features array<long>, weights array<double>, bias array<double>, temperature double").collect()
     if not fitted:

@@ -42,6 +42,24 @@ def test_language_of_odd_documents(spark):
     assert langid.predict(no_documents(spark), model).count() == 0
 
 
+def test_language_column_with_many_values_and_long_texts(spark):
+    """Most of the language values are dirt; the frequent ones are learnt and predicted, without an error."""
+    say = {"aa": "lorem ipsum dolor sit amet", "bb": "\u0444\u044b\u0432\u0430 \u043e\u043b\u0434\u0436"}
+    rows = [(i, say[k], k) for i, k in enumerate(["aa", "bb"] * 40)] + [(1000 + i, "lorem ipsum", f"x{i}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs, max_langs=2)
+    assert model.langs == ("aa", "bb")
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.predict(docs, model).collect()}
+    assert len(got) == 380 and all(got[i] == k for i, k in enumerate(["aa", "bb"] * 40)) and got[1000] == "aa"
+
+    # A language of long texts is thinned to its level, the other one is left whole.
+    held = [(i / 100, "long", "\u4e00" * 5000) for i in range(100)] + [(i / 100, "short", "ab") for i in range(100)]
+    chosen = spark.createDataFrame(held, "_u double, _lang string, _text string")
+    kept = {r["_lang"]: r["count"] for r in langid._bounded(chosen, 100 * 48 + 50 * 120_000).groupBy("_lang").count().collect()}
+    assert kept == {"long": 50, "short": 100}
+    assert langid._bounded(chosen, 1 << 30).count() == 200
+
+
 def test_gram_counts_do_not_depend_on_stretches(monkeypatch):
     text = "Grüße aus Köln, ça va? 漢字 " * 40
     whole = langid.gram_counts(text)
