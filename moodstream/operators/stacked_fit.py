@@ -8,7 +8,7 @@ jobs is that of the candidate that asks most often, whatever their number.
 
 A pass is a tree aggregate: each task sums the losses and gradients of its rows,
 about the square root of so many tasks sum those in a fixed order, and the driver
-adds up theirs. A partial sum holds candidates x classes x features numbers; no
+adds up theirs (all of them, if they take no more than ``DIRECT`` bytes). A partial sum holds candidates x classes x features numbers; no
 row reaches the driver.
 
 The objective is that of Spark's own estimator: the weighted mean of the log
@@ -36,6 +36,8 @@ from pyspark.sql import functions as F
 
 # Entries of feature rows that are worked on at once.
 ENTRIES = 200_000
+# Bytes of partial sums that the driver adds up itself, without the stage between.
+DIRECT = 64 << 20
 MEMORY, ARMIJO, CURVATURE, TRIALS = 10, 1e-4, 0.9, 20
 
 
@@ -171,8 +173,9 @@ def _evaluate(rows: DataFrame, tasks: int, weights: np.ndarray, bias: np.ndarray
     points = rows.sparkSession.sparkContext.broadcast((np.ascontiguousarray(weights.T), bias))
     shape = "pid int, sums binary"
     parts = rows.mapInArrow(_partial(points, classes), shape)
-    groups = max(1, math.isqrt(tasks))
-    added = parts.repartition(groups, "pid").sortWithinPartitions("pid").mapInArrow(_added, shape).collect()
+    if tasks * (weights.size + 2 * len(bias)) * 8 > DIRECT:
+        parts = parts.repartition(max(1, math.isqrt(tasks)), "pid").sortWithinPartitions("pid").mapInArrow(_added, shape)
+    added = parts.collect()
     points.destroy()
     total = np.sum([np.frombuffer(r["sums"], np.float64) for r in sorted(added, key=lambda r: r["pid"])], axis=0)
     outputs, many = len(bias), len(bias) // classes

@@ -74,6 +74,14 @@ def test_answers_of_all_candidates_are_those_of_the_models(spark, data):
         assert {k[1:]: n for k, n in got.items() if k[0] == c and n} == want
 
 
+def test_sums_between_tasks_and_driver_change_nothing(data, monkeypatch):
+    near = stacked_fit.fit_all(data, REGS, 3, max_iter=5)
+    monkeypatch.setattr(stacked_fit, "DIRECT", 0)
+    far = stacked_fit.fit_all(data, REGS, 3, max_iter=5)
+    for a, b in zip(near, far, strict=True):
+        assert np.abs(a.coefficients - b.coefficients).max() < 1e-9 and a.iterations == b.iterations
+
+
 def test_missing_class_empty_rows_and_no_rows(spark):
     two = spark.createDataFrame([(Vectors.sparse(3, {0: 1.0}), 0.0, 1.0), (Vectors.sparse(3, {}), 2.0, 1.0), (Vectors.sparse(3, {}), 2.0, 1.0)], ["_features", "label_id", "weight"]).cache()
     fit = stacked_fit.fit_all(two, [0.1], 3)[0]
