@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from moodstream.functions.time import floor_micros, from_micros
 from moodstream.operators import alerts, dashboard
 from moodstream.sources.tables import event_label, predictions_from_events, table
 
@@ -171,7 +172,7 @@ def q_alert_intervals(spark, sf):
 
 def q_alert_overlay(spark, sf):
     counts = dashboard.bucket_counts(predictions_from_events(spark, sf), BUCKET_SECONDS)
-    return dashboard.share_overlay(counts, alerts.alert_intervals(_alerts(spark, sf)), BUCKET_SECONDS)
+    return dashboard.share_overlay(counts, alerts.alert_intervals(_alerts(spark, sf)))
 
 
 def q_alert_table(spark, sf):
@@ -217,7 +218,20 @@ def q_keyed_arrival_spikes(spark, sf):
     return alerts.arrival_spikes(_keyed_events(spark, sf), _keyed_params(spark, sf), ["place", "seq"], keys=["stream"]).drop("place")
 
 
+def q_keyed_alert_overlay(spark, sf):
+    """Buckets of each stream under the windows of its transitions, which overlap;
+    those of firing ones stay open to the stream's last bucket."""
+    events = _keyed_events(spark, sf).where("predicted_at IS NOT NULL AND label IS NOT NULL")
+    per = events.groupBy("stream", floor_micros("predicted_at", BUCKET_SECONDS * 1_000_000).alias("us")).agg(
+        F.count("*").alias("total"), F.count_if(F.col("label") == "negative").alias("n"))
+    counts = per.select("stream", from_micros("us").alias("bucket"), F.lit("negative").alias("label"), (F.col("n") / F.col("total")).alias("negative_share"), "total")
+    spikes = q_keyed_spikes(spark, sf)
+    spans = spikes.select("stream", F.col("window_start").alias("start"), F.when(F.col("status") == "resolved", F.col("window_end")).alias("end"), F.col("negative_share").alias("peak_share"))
+    return dashboard.share_overlay(counts, spans, keys=["stream"])
+
+
 QUERIES: dict[str, Query] = {
+    "keyed_alert_overlay": q_keyed_alert_overlay,
     "keyed_sliding_share": q_keyed_sliding_share,
     "keyed_spikes": q_keyed_spikes,
     "arrival_spikes": q_arrival_spikes,
@@ -317,6 +331,16 @@ FROM d WHERE status = 'firing'""",
 }
 
 ORACLE_SQL.update({
+    "keyed_alert_overlay": f"""
+WITH spans AS (SELECT stream, window_start AS start, CASE WHEN status = 'resolved' THEN window_end END AS stop, negative_share AS peak_share
+  FROM ({ORACLE_SQL["keyed_spikes"]})),
+share AS (SELECT {SQL_STREAM} AS stream, make_timestamp(epoch_us(predicted_at) - (epoch_us(predicted_at) % {BUCKET_SECONDS * 1_000_000})) AS bucket,
+    count(*) AS total, count(*) FILTER (WHERE label = 'negative') / count(*) AS negative_share
+  FROM {SQL_PRED} p JOIN events ON event_id = seq WHERE predicted_at IS NOT NULL AND label IS NOT NULL GROUP BY ALL),
+ends AS (SELECT stream, max(bucket) AS last FROM share GROUP BY stream),
+closed AS (SELECT spans.stream, start, coalesce(stop, last) AS stop, peak_share FROM spans JOIN ends USING (stream))
+SELECT s.stream, s.bucket, s.negative_share, s.total, c.start AS alert_start, c.stop AS alert_end, c.peak_share
+FROM share s LEFT JOIN closed c ON s.stream = c.stream AND s.bucket >= c.start AND s.bucket <= c.stop""",
     "alert_overlay": f"""
 WITH counts AS ({ORACLE_SQL["bucket_counts"]}),
 iv AS ({ORACLE_SQL["alert_intervals"]}),

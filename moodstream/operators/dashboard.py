@@ -3,14 +3,19 @@ end_to_end_ms, model_version, ...``)."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moodstream.functions.numeric import safe_div
 from moodstream.functions.time import epoch_micros, floor_micros, from_micros
-from moodstream.plans.calendar import span_buckets, time_grid
+from moodstream.plans.calendar import time_grid
 from moodstream.plans.ordered import percentiles_row
 from moodstream.plans.scalar import attach_row
+from moodstream.plans.sweep import covering
 from moodstream.schemas import LABELS
 from moodstream.session import checkpoint_dir
 
@@ -77,29 +82,30 @@ def sort_counts(counts: DataFrame) -> DataFrame:
     return counts.orderBy("bucket", "label")
 
 
-def share_overlay(counts: DataFrame, intervals: DataFrame, freq_seconds: int = 30) -> DataFrame:
-    """Negative share per bucket with the alert interval covering it:
+def share_overlay(counts: DataFrame, intervals: DataFrame, freq_seconds: int | None = None, keys: Sequence[str] = ()) -> DataFrame:
+    """Negative share per bucket with the alert intervals covering it:
     ``bucket, negative_share, total, alert_start, alert_end, peak_share``
-    (alert columns null outside every interval).
-
-    An interval still open ends at the last bucket. The condition
-    ``start ≤ bucket ≤ end`` is answered by expanding each interval into
-    the grid buckets it covers and joining on the bucket by equality, so
-    there is no nested-loop range join; intervals of one alert stream are
-    disjoint, so the expansion is bounded by the number of buckets. The
-    last bucket is a one-row aggregate read as a scalar subquery.
+    (alert columns null outside every interval; one row per interval where
+    several overlap). ``keys``: intervals and buckets of one stream each.
+
+    An interval still open ends at the last bucket of its key. The condition
+    ``start ≤ bucket ≤ end`` is answered by a sweep over both in order of time
+    (``plans.sweep``), so its work follows the rows that come out. The buckets
+    are taken as they are; ``freq_seconds`` is only accepted for earlier callers.
     """
-    step = int(freq_seconds) * 1_000_000
+    keys = list(keys)
     share = counts.where(F.col("label") == F.lit("negative")) \
-        .select(epoch_micros("bucket").alias("bucket_us"), "negative_share", "total")
-    last = share.agg(F.max("bucket_us").alias("_last_us"))
-    spans = attach_row(intervals, last).select(
-        epoch_micros("start").alias("_lo"),
-        F.coalesce(epoch_micros("end"), F.col("_last_us")).alias("_hi"),
-        F.col("peak_share"))
-    cover = span_buckets(spans, "_lo", "_hi", step)
-    return share.join(cover, "bucket_us", "left").select(
-        from_micros("bucket_us").alias("bucket"), "negative_share", "total",
+        .select(*keys, epoch_micros("bucket").alias("bucket_us"), "negative_share", "total")
+    last = share.groupBy(*keys).agg(F.max("bucket_us").alias("_last_us"))
+    if keys:
+        own = last.select(*[F.col(k).alias(f"_of_{k}") for k in keys], "_last_us")
+        same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
+        ended = intervals.join(own, same, "left")
+    else:
+        ended = attach_row(intervals, last)
+    spans = ended.select(*keys, epoch_micros("start").alias("_lo"), F.coalesce(epoch_micros("end"), F.col("_last_us")).alias("_hi"), "peak_share")
+    return covering(share, spans, "bucket_us", "_lo", "_hi", keys).select(
+        *keys, from_micros("bucket_us").alias("bucket"), "negative_share", "total",
         from_micros("_lo").alias("alert_start"), from_micros("_hi").alias("alert_end"), "peak_share")
 
 

@@ -71,6 +71,17 @@ def test_overlay_closes_an_open_interval_at_the_last_bucket(spark):
     assert out[135]["alert_end"] == T0 + dt.timedelta(seconds=135)
 
 
+def test_overlay_of_keyed_and_overlapping_intervals(spark):
+    at = lambda s: T0 + dt.timedelta(seconds=s)
+    counts = spark.createDataFrame([(k, at(s), "negative", 0.5, 2) for k, last in (("a", 60), (None, 30)) for s in range(0, last + 1, 15)],
+                                   "k string, bucket timestamp, label string, negative_share double, total long")
+    iv = spark.createDataFrame([("a", at(10), at(30), 0.1), ("a", at(20), None, 0.2), (None, at(15), None, 0.3), ("gone", at(0), None, 0.4)],
+                               "k string, start timestamp, end timestamp, peak_share double")
+    got = [(r["k"], int((r["bucket"] - T0).total_seconds()), r["peak_share"], r["alert_end"]) for r in dashboard.share_overlay(counts, iv, keys=["k"]).collect()]
+    want = [("a", 0, None, None), ("a", 15, 0.1, at(30)), ("a", 30, 0.1, at(30))] + [("a", s, 0.2, at(60)) for s in (30, 45, 60)]
+    assert sorted(got, key=str) == sorted(want + [(None, 0, None, None), (None, 15, 0.3, at(30)), (None, 30, 0.3, at(30))], key=str)
+
+
 def test_a_long_span_is_made_in_many_tasks(spark):
     spans = spark.createDataFrame([(5, 10_003, "a"), (7, 9, "b")], "lo long, hi long, k string")
     df = span_buckets(spans, "lo", "hi", 10, chunk=50)
