@@ -6,6 +6,7 @@ returns a DataFrame whose column names match the oracle SQL's aliases.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -1148,3 +1149,85 @@ SELECT count(*) AS held_out, count(*) FILTER (WHERE y = 1) AS toxic, count(DISTI
     "score_documents": "SELECT doc_id, true AS consistent FROM documents",
     "score_binary": "SELECT doc_id, true AS consistent FROM documents",
 })
+
+
+# --- one query each for operators that the queries above use only in part -----
+from moodstream.functions.numeric import label_scores, softmax  # noqa: E402
+from moodstream.sources import files  # noqa: E402
+
+RUN_TAG, FIRST_N = "src3", 50
+
+
+def q_eval_run_tag(spark, sf):
+    """Documents of one run tag with their gold label."""
+    pairs = evaluation.match_gold(doc_predictions(spark, sf), gold_from_labels(spark, sf), source=RUN_TAG)
+    return pairs.select("id", "source", "label", "gold_label")
+
+
+def q_last_gold(spark, sf):
+    """Of a gold id that comes several times (a user) the last row counts."""
+    gold = table(spark, sf, "events").select(F.col("user_id").alias("id"), event_label().alias("label"), "event_id")
+    return evaluation.one_gold_label(gold, "event_id")
+
+
+def q_prediction_payloads(spark, sf):
+    """Prediction records of three scores per row: softmax, first highest
+    label, scores by label, rounded as they are sent."""
+    logits = F.transform(F.slice("embedding", 1, len(LABELS)), lambda x: x.cast("double") * 10)
+    e = table(spark, sf, "embeddings").select(F.col("vec_id").cast("string").alias("id"), label_scores(softmax(logits), LABELS).alias("s"), F.size("embedding").alias("n"))
+    sent = contracts.prediction_payload(e.select("id", "s.*", F.lit("m-1").alias("model_version"), (F.col("n") / 3).alias("inference_ms")), with_time=False)
+    return sent.select("schema_version", "id", "label", "confidence", *[F.col("scores")[x].alias(f"score_{x}") for x in LABELS], "model_version", "inference_ms")
+
+
+def q_stacked_counts(spark, sf):
+    """Bucket counts with the place of the label in the stack."""
+    return q_bucket_counts(spark, sf).select("bucket", "label", "count", dashboard.label_ordinal().cast("int").alias("place"))
+
+
+def q_replay_first(spark, sf):
+    """The first items of the replay (the limit is the feature)."""
+    test = datasets.stratified_split(dataset(spark, sf), seed=SPLIT_SEED).where(F.col("split") == "test")
+    return datasets.replay_schedule(test, "_row", REPLAY_RATE, F.lit(REPLAY_START), max_messages=FIRST_N).select("id", "due_at")
+
+
+def q_first_deliveries(spark, sf):
+    """Of the deliveries of a prediction the earliest."""
+    p = predictions_from_lineitem(spark, sf)
+    return files.dedupe_first(p, "id", ["predicted_at", "offset", "_tie_part", "_tie_supp"]).select("id", "label", "predicted_at", "offset")
+
+
+def q_joined_lines(spark, sf):
+    """Joined results written as JSON lines, one in ten of them torn, read back:
+    the earliest time of each id."""
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/joined-lines-{uuid.uuid4().hex}"
+    ev = table(spark, sf, "events").where("ts IS NOT NULL").select("event_id", F.to_json(F.struct(
+        F.col("user_id").cast("string").alias("id"), event_label().alias("label"), iso_utc(F.col("ts").cast("timestamp")).alias("joined_at"))).alias("line"))
+    torn = F.when(F.col("event_id") % 10 == 0, F.expr("substring(line, 1, length(line) div 2)")).otherwise(F.col("line"))
+    ev.select(torn.alias("value")).write.text(folder)
+    return files.load_joined(spark, folder).select("id", "joined_at")
+
+
+QUERIES.update({"eval_run_tag": q_eval_run_tag, "last_gold": q_last_gold, "prediction_payloads": q_prediction_payloads, "stacked_counts": q_stacked_counts,
+                "replay_first": q_replay_first, "first_deliveries": q_first_deliveries, "joined_lines": q_joined_lines})
+
+_SQL_SCORE = [f"exp(x[{i + 1}] - m) / (exp(x[1] - m) + exp(x[2] - m) + exp(x[3] - m))" for i in range(len(LABELS))]
+ORACLE_SQL.update({
+    "eval_run_tag": f"WITH {SQL_MATCHED} SELECT id, source, label, gold_label FROM m WHERE source = '{RUN_TAG}'",
+    "last_gold": f"""SELECT user_id AS id, arg_max(label, event_id) AS label
+FROM {SQL_PRED} p JOIN events ON event_id = seq GROUP BY user_id""",
+    "prediction_payloads": f"""WITH e AS (SELECT vec_id, len(embedding) AS n, list_transform(embedding[1:3], lambda v: CAST(v AS DOUBLE) * 10) AS x FROM embeddings),
+t AS (SELECT *, list_max(x) AS m FROM e), s AS (SELECT *, [{", ".join(_SQL_SCORE)}] AS p FROM t)
+SELECT 1 AS schema_version, CAST(vec_id AS VARCHAR) AS id, ['negative', 'neutral', 'positive'][list_position(p, list_max(p))] AS label,
+  round(list_max(p), 4) AS confidence, round(p[1], 4) AS score_negative, round(p[2], 4) AS score_neutral, round(p[3], 4) AS score_positive,
+  'm-1' AS model_version, round(n / 3, 2) AS inference_ms FROM s""",
+    "stacked_counts": f"""SELECT bucket, label, "count", list_position(['negative', 'neutral', 'positive'], label) - 1 AS place
+FROM ({ORACLE_SQL["bucket_counts"]})""",
+    "replay_first": f"""WITH {SQL_SPLIT},
+t AS (SELECT id, row_number() OVER (ORDER BY doc_id) - 1 AS i FROM split WHERE split = 'test')
+SELECT id, make_timestamp(epoch_us(TIMESTAMP '{REPLAY_START}') + CAST(round(i * (1e6 / {REPLAY_RATE})) AS BIGINT)) AS due_at FROM t WHERE i < {FIRST_N}""",
+    "first_deliveries": """SELECT CAST(l_orderkey AS VARCHAR) AS id, CASE l_returnflag WHEN 'R' THEN 'negative' WHEN 'N' THEN 'neutral' WHEN 'A' THEN 'positive' END AS label,
+  CAST(l_shipdate AS TIMESTAMP) AS predicted_at, CAST(l_linenumber AS BIGINT) AS "offset" FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate, l_linenumber, l_partkey, l_suppkey) = 1""",
+    "joined_lines": """SELECT CAST(user_id AS VARCHAR) AS id, min(CAST(ts AS TIMESTAMP)) AS joined_at FROM events
+WHERE event_id % 10 <> 0 AND ts IS NOT NULL GROUP BY user_id""",
+})
