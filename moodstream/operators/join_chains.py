@@ -9,54 +9,227 @@ the epoch starts the next one. ``joining.join_reviews`` looks at the first halve
 only; here a half that is delivered again after expiry or after the dedupe
 period waits again, as in the stream (``streaming.join_timers``).
 
-An id's epochs follow from each other, but none needs the ones before: if a half
-starts an epoch, the end of it depends on that half alone. So every half gets
-a pointer to the half that would start the next epoch, and the halves that do
-start one are those that the pointers reach from an id's first half.
-
-1. halves are ranked by (id, time, order); from the last to the first, a
-   running maximum per id gives each its next half of the other side;
-2. the same scan over halves and one probe per half at the end of its epoch
-   gives the pointers;
-3. reachable halves are found by pointer doubling: after k rounds all that
-   are less than 2^k pointers away. A round is two joins on the rank, which is
-   unique, so an id with most of the rows weighs no more than many ids.
-
-No step groups the halves of an id in one task. Each round is written to the
-shared checkpoint folder.
+An id's epochs follow from each other, but what a half starts depends on that
+half alone: if it starts an epoch, its partner and the end of the epoch are known
+from the halves after it, and the next epoch starts at the first half at or after
+the end.
+
+1. Halves are ranged by (id, time, order) and sorted, in as many partitions as
+   keep one near ``HALVES``. An id that lies in one partition is walked there.
+2. An id that goes over several is a *span* of pieces, one a partition. What the
+   later pieces hold first of each side comes from a table with one row per piece.
+   Each piece tells, for each time at which one of its halves may start an epoch,
+   the end with which the chain from there leaves the piece.
+3. Ends are the nodes: the first half at or after an end, in the piece where it
+   lies, gives the end with which the chain leaves that piece. Pointer doubling
+   from a span's first half finds the ends that are reached (after k rounds all that
+   are less than 2^k pieces away), at most one for each piece.
+4. Every partition walks its halves once, a piece from the end that reaches it.
+
+No step groups the halves of an id in one task. The sorted halves, the pieces'
+ends and each round are written to the shared checkpoint folder; the driver holds a
+few numbers per partition.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from bisect import bisect_left
+from collections import defaultdict
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from moodstream.functions.time import epoch_micros, from_micros
 from moodstream.operators.joining import PREDICTION, RAW
-from moodstream.plans.ordered import global_rank, running_totals
+from moodstream.plans.ordered import PID, default_partitions, range_partitioned
+
+# Halves that one task sorts and walks, about.
+HALVES = 1_000_000
+
+
+def _whole(batches: Iterator[pa.RecordBatch]) -> pa.Table | None:
+    held = [b for b in batches if b.num_rows]
+    return pa.Table.from_batches(held).combine_chunks() if held else None
+
+
+def _flags(column: pa.ChunkedArray, value: str) -> np.ndarray:
+    return pc.fill_null(pc.equal(column, value), False).to_numpy().astype(bool)
+
+
+def _same(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """Equal ids, nulls equal to each other."""
+    same = pc.or_(pc.fill_null(pc.equal(a, b), False), pc.and_(pc.is_null(a), pc.is_null(b)))
+    return same.to_numpy(zero_copy_only=False).astype(bool)
+
+
+def _epochs_from(rows: pa.Table, stop: np.ndarray, ahead: tuple, ttl_us: int, dedupe_us: int):
+    """For each half, were it to start an epoch: the place of its partner (-1 for
+    none) in ``when``, and the epoch's end. ``stop``: where its id ends. ``when``
+    are the halves' times and those of the first raw and the first prediction
+    ``ahead``, in later pieces of the last id."""
+    t, raw, pred = rows["_t"].to_numpy(), _flags(rows["side"], RAW), _flags(rows["side"], PREDICTION)
+    n = len(t)
+    place = np.arange(n)
+    first = lambda of: np.minimum.accumulate(np.where(of, place, n)[::-1])[::-1]
+    found = np.where(raw, first(pred), first(raw))
+    later = [n + k if half else -1 for k, half in enumerate(ahead)]
+    found = np.where(found < stop, found, np.where(stop == n, np.where(raw, later[1], later[0]), -1))
+    when = np.r_[t, [half[0] if half else 0 for half in ahead]].astype(np.int64)
+    met = (found >= 0) & (when[found] - t < ttl_us)
+    return np.where(met, found, -1), np.where(met, when[found] + dedupe_us, t + ttl_us), when
+
+
+def _leaving(ahead: dict, lasts: dict, ttl_us: int, dedupe_us: int):
+    """Rows of the pieces of a partition; for each time in a piece the number of
+    epochs (``n``) of the chain that starts there and the end with which it leaves
+    the piece (``exit``; ``on``: a later piece goes on from it). ``ask``: the end of
+    the epoch that starts there, ``aim`` the piece that goes on from it (-1: the
+    epoch ends in this piece, or nothing comes after)."""
+
+    def run(batches):
+        rows = _whole(batches)
+        if rows is None:
+            return
+        pid, spans = rows[PID][0].as_py(), rows["_span"].to_numpy()
+        for span in np.unique(spans):
+            piece = rows.filter(pa.array(spans == span))
+            n, t = piece.num_rows, piece["_t"].to_numpy()
+            _, end, _ = _epochs_from(piece, np.full(n, n), ahead[pid, span], ttl_us, dedupe_us)
+            to = np.maximum(np.searchsorted(t, end), np.arange(1, n + 1)).tolist()
+            last, count = list(range(n)), [1] * n
+            for i in range(n - 1, -1, -1):
+                if to[i] < n:
+                    last[i], count[i] = last[to[i]], count[to[i]] + 1
+            pids, until = lasts[span]
+            after = np.searchsorted(pids, pid, side="right")
+            aims = after + np.searchsorted(until[after:], end)
+            aims = np.where(aims < len(pids), pids[np.minimum(aims, len(pids) - 1)], -1)
+            starts = np.flatnonzero(np.r_[True, t[1:] != t[:-1]])
+            leaves = np.array(last)[starts]
+            yield pa.RecordBatch.from_pydict({
+                "_span": np.full(len(starts), span, np.int32), PID: np.full(len(starts), pid, np.int32), "_t": t[starts], "n": np.array(count)[starts],
+                "exit": end[leaves], "on": aims[leaves] >= 0, "ask": end[starts], "aim": np.where(leaves == starts, aims[starts], -1).astype(np.int32)})
+
+    return run
+
+
+def _going_on(asks: pd.DataFrame, starts: pd.DataFrame) -> pd.DataFrame:
+    """What becomes of the ends ``asks`` in the piece that goes on from them."""
+    starts = starts.sort_values("_t")
+    found = starts.iloc[np.searchsorted(starts["_t"].to_numpy(), asks["ask"].to_numpy())]
+    return found[["_span", PID, "n", "exit", "on"]].assign(ask=asks["ask"].to_numpy())
+
+
+def _walk(into: dict, ahead: dict, ttl_us: int, dedupe_us: int):
+    """The epochs of the halves of a partition. ``into``: (end that reaches it or
+    none, epochs before) of a piece whose id began in an earlier partition."""
+
+    def run(batches):
+        rows = _whole(batches)
+        if rows is None:
+            return
+        pid, ids, n = rows[PID][0].as_py(), rows["id"].combine_chunks(), rows.num_rows
+        bounds = np.r_[0, np.flatnonzero(~_same(ids.slice(1), ids.slice(0, n - 1))) + 1, n]
+        nearest = ahead.get(pid, (None, None))
+        partner, end, when = _epochs_from(rows, np.repeat(bounds[1:], np.diff(bounds)), nearest, ttl_us, dedupe_us)
+        times, ends, starts, epochs = rows["_t"].to_numpy().tolist(), end.tolist(), [], []
+        for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            i, epoch = lo, 0
+            if lo == 0 and pid in into:
+                reached, epoch = into[pid]
+                i = hi if reached is None else bisect_left(times, reached, lo, hi)
+            while i < hi:
+                epoch += 1
+                starts.append(i)
+                epochs.append(epoch)
+                i = bisect_left(times, ends[i], i + 1, hi)
+        offset = rows["offset"].combine_chunks()
+        offset = pa.concat_arrays([offset, pa.array([half[1] if half else None for half in nearest], offset.type)])
+        at, met = pa.array(starts, pa.int64()), partner[starts]
+        other = pa.array(met, mask=met < 0)
+        yield pa.RecordBatch.from_pydict({
+            "id": ids.take(at), "epoch": pa.array(epochs, pa.int64()), "side": rows["side"].combine_chunks().take(at), "_t": rows["_t"].combine_chunks().take(at),
+            "_pt": pa.array(when).take(other), "_end": pa.array(end[starts]), "offset": offset.take(at), "_po": offset.take(other)})
+
+    return run
+
+
+def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first and the last id of a partition (one row if they are the same): what
+    it holds first of each side, and its last time."""
+    rows = _whole(batches)
+    if rows is None:
+        return
+    ids, n = rows["id"].combine_chunks(), rows.num_rows
+    apart = np.flatnonzero(~_same(ids.slice(1), ids.slice(0, n - 1))) + 1
+    for lo, hi in [(0, n)] if not len(apart) else [(0, int(apart[0])), (int(apart[-1]), n)]:
+        out = {PID: rows[PID].slice(lo, 1), "id": rows["id"].slice(lo, 1), "last": rows["_t"].slice(hi - 1, 1)}
+        for name, side in (("raw", RAW), ("pred", PREDICTION)):
+            at = np.flatnonzero(_flags(rows["side"].slice(lo, hi - lo), side))[:1] + lo
+            place = pa.array(at if len(at) else [None], pa.int64())
+            out |= {f"{name}_t": rows["_t"].take(place), f"{name}_offset": rows["offset"].take(place)}
+        yield pa.Table.from_pydict(out).combine_chunks().to_batches()[0]
+
+
+def _pieces(ranged: DataFrame) -> list[tuple[int, int, bool, Row]]:
+    """(partition, number of the span, whether its id began in an earlier partition, row
+    of ``_edges``) of each piece of an id that lies in several partitions."""
+    kinds = {f.name: f.dataType for f in ranged.schema}
+    shape = T.StructType([T.StructField(PID, T.IntegerType()), T.StructField("id", kinds["id"]), T.StructField("last", T.LongType()),
+                          *[f for name in ("raw", "pred") for f in (T.StructField(f"{name}_t", T.LongType()), T.StructField(f"{name}_offset", kinds["offset"]))]])
+    pieces, before, span = [], None, -1
+    for r in ranged.mapInArrow(_edges, shape).collect():  # two rows per partition at most, in order
+        if before is not None and before["id"] == r["id"]:
+            if not (pieces and pieces[-1][3] is before):
+                span += 1
+                pieces.append((before[PID], span, False, before))
+            pieces.append((r[PID], span, True, r))
+        before = r
+    return pieces
+
 
+def _entries(ranged: DataFrame, listed: list, ttl_us: int, dedupe_us: int) -> tuple[dict, dict]:
+    """``into`` and ``ahead`` of ``_walk``: by partition, what reaches the piece that it
+    begins with, and what comes after the piece that it ends with."""
+    if not listed:
+        return {}, {}
+    shape = T.StructType([T.StructField("_p", T.IntegerType()), T.StructField("_span", T.IntegerType()), T.StructField("_i", ranged.schema["id"].dataType)])
+    named = F.broadcast(ranged.sparkSession.createDataFrame([(p, s, r["id"]) for p, s, _, r in listed], shape))
+    pieces = ranged.join(named, (F.col(PID) == F.col("_p")) & F.col("id").eqNullSafe(F.col("_i"))).select(PID, "_span", "side", "_t", "offset")
 
-def _next(side: str) -> Column:
-    return F.when(F.col("side") == side, F.struct((-F.col("_t")).alias("t"), (-F.col("_r")).alias("r")))
+    ahead, lasts, near = {}, defaultdict(list), {}
+    for p, span, _, r in reversed(listed):
+        ahead[p, span] = near.get(span, (None, None))
+        near[span] = tuple(old if r[f"{name}_t"] is None else (r[f"{name}_t"], r[f"{name}_offset"]) for name, old in zip(("raw", "pred"), ahead[p, span], strict=True))
+        lasts[span].insert(0, (p, r["last"]))
+    lasts = {s: (np.array([p for p, _ in x]), np.array([t for _, t in x])) for s, x in lasts.items()}
 
+    firsts = pieces.mapInArrow(_leaving(ahead, lasts, ttl_us, dedupe_us), f"_span int, {PID} int, _t long, n long, exit long, on boolean, ask long, aim int").checkpoint()
+    asks = firsts.where("aim >= 0").select("_span", "ask", F.col("aim").alias(PID)).distinct()
+    edges = asks.groupBy("_span", PID).cogroup(firsts.select("_span", PID, "_t", "n", "exit", "on").groupBy("_span", PID)) \
+        .applyInPandas(_going_on, f"_span int, {PID} int, n long, exit long, on boolean, ask long").checkpoint()
+    node = lambda end: F.struct("_span", F.col(end).alias("end"))
+    begins = named.groupBy("_span").agg(F.min("_p").alias(PID))
+    roots = firsts.join(F.broadcast(begins), ["_span", PID]).groupBy("_span").agg(F.min_by(F.struct("n", "exit", "on"), "_t").alias("_f")).select("_span", "_f.*").checkpoint()
+    pointers = edges.select(node("ask").alias("_r"), F.when(F.col("on"), node("exit")).alias("_to"))
+    reached = reachable(roots.where("on").select(node("exit").alias("_r")), pointers)
+    entered = edges.withColumn("_r", node("ask")).join(reached, "_r", "left_semi").select("_span", PID, "ask", "n").collect()  # at most one row per piece
 
-def _pointers(halves: DataFrame, ttl_us: int, dedupe_us: int, num_partitions: int | None) -> DataFrame:
-    """Each half with its partner (``_pt``, ``_pr``) if it starts an epoch, the
-    epoch's end ``_end`` and the rank ``_to`` of the half that starts the next."""
-    turned = halves.select("*", (-F.col("_r")).alias("_nr"), _next(RAW).alias("_raw"), _next(PREDICTION).alias("_pred"))
-    ahead = running_totals(turned, ["_nr"], max_cols=["_raw", "_pred"], num_partitions=num_partitions, keys=["id"])
-    other = F.when(F.col("side") == RAW, F.col("pre__pred")).otherwise(F.col("pre__raw"))
-    met = F.col("_o").isNotNull() & (-F.col("_o.t") - F.col("_t") < F.lit(ttl_us))
-    ahead = ahead.withColumn("_o", other).select(
-        "id", "side", "_t", "_r", F.when(met, -F.col("_o.t")).alias("_pt"), F.when(met, -F.col("_o.r")).alias("_pr"))
-    ahead = ahead.withColumn("_end", F.when(F.col("_pt").isNotNull(), F.col("_pt") + F.lit(dedupe_us)).otherwise(F.col("_t") + F.lit(ttl_us)))
-    row = F.struct("side", "_t", "_r", "_pt", "_pr", "_end")
-    probe = ahead.select("id", (-F.col("_end")).alias("_at"), F.lit(1).alias("_k"), (-F.col("_r")).alias("_nr"), F.lit(None).cast("long").alias("_first"), row.alias("_row"))
-    data = ahead.select("id", (-F.col("_t")).alias("_at"), F.lit(0).alias("_k"), (-F.col("_r")).alias("_nr"), (-F.col("_r")).alias("_first"),
-                        F.lit(None).cast(probe.schema["_row"].dataType).alias("_row"))
-    # From the last to the first, halves before probes of the same time: the greatest -rank so far is the next half.
-    found = running_totals(data.unionByName(probe), ["_at", "_k", "_nr"], max_cols=["_first"], num_partitions=num_partitions, keys=["id"])
-    return found.where("_k = 1").select("id", "_row.*", (-F.col("pre__first")).alias("_to"))
+    counted, ends = {r["_span"]: r["n"] for r in roots.select("_span", "n").collect()}, {(r[PID], r["_span"]): r for r in entered}
+    into = {}
+    for p, span, goes_on, _ in listed:
+        if goes_on:
+            r = ends.get((p, span))
+            into[p] = (r and r["ask"], counted[span])
+            counted[span] += r["n"] if r else 0
+    # Of two pieces in a partition the later span is the one that goes on from it.
+    return into, {p: ahead[p, span] for p, span, _, _ in listed}
 
 
 def reachable(roots: DataFrame, pointers: DataFrame) -> DataFrame:
@@ -81,16 +254,16 @@ def join_chains(halves: DataFrame, ttl_seconds: float, dedupe_seconds: float, or
     ttl_us, dedupe_us = (int(round(s * 1_000_000)) for s in (ttl_seconds, dedupe_seconds))
     ties = [c for c in order_cols if c != "offset"]
     seen = halves.select("id", "side", epoch_micros("at").alias("_t"), "offset", *ties).where(F.col("_t").isNotNull())
-    ranked = global_rank(seen, ["id", "_t", *order_cols, "side"], "_r", num_partitions).select("id", "side", "_t", "_r", "offset").checkpoint()
-    pointers = _pointers(ranked.drop("offset"), ttl_us, dedupe_us, num_partitions).checkpoint()
-    firsts = ranked.groupBy("id").agg(F.min("_r").alias("_r"))
-    starts = pointers.join(reachable(firsts, pointers), "_r", "left_semi")
-    starts = running_totals(starts.withColumn("_one", F.lit(1).cast("long")), ["_r"], ["_one"], num_partitions=num_partitions, keys=["id"])
-    place = ranked.select("_r", "offset")
-    rows = starts.join(place, "_r").join(place.select(F.col("_r").alias("_pr"), F.col("offset").alias("_po")), "_pr", "left")
-    joined, is_raw = F.col("_pr").isNotNull(), F.col("side") == RAW
+    tasks = num_partitions or max(default_partitions(seen), -(-seen.count() // HALVES))
+    ranged = range_partitioned(seen, ["id", "_t", *order_cols, "side"], tasks, sort=True, keep=["id", "side", "_t", "offset"])
+    into, ahead = _entries(ranged, _pieces(ranged), ttl_us, dedupe_us)
+    kinds = {f.name: f.dataType for f in ranged.schema}
+    shape = T.StructType([T.StructField(n, k) for n, k in (("id", kinds["id"]), ("epoch", T.LongType()), ("side", kinds["side"]), ("_t", T.LongType()), ("_pt", T.LongType()),
+                                                           ("_end", T.LongType()), ("offset", kinds["offset"]), ("_po", kinds["offset"]))])
+    rows = ranged.mapInArrow(_walk(into, ahead, ttl_us, dedupe_us), shape)
+    joined, is_raw = F.col("_pt").isNotNull(), F.col("side") == RAW
     return rows.select(
-        "id", F.col("pre__one").alias("epoch"), "side", from_micros("_t").alias("started_at"),
+        "id", "epoch", "side", from_micros("_t").alias("started_at"),
         F.when(joined, "joined").otherwise("expired").alias("outcome"), from_micros(F.coalesce("_pt", "_end")).alias("ended_at"),
         F.when(is_raw, F.col("offset")).otherwise(F.col("_po")).alias("raw_offset"),
         F.when(is_raw, F.col("_po")).otherwise(F.col("offset")).alias("prediction_offset"))

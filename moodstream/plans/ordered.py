@@ -35,9 +35,10 @@ PID = "_pid"
 
 
 def range_partitioned(df: DataFrame, order_cols: Sequence[str], num_partitions: int | None = None,
-                      sort: bool = False) -> DataFrame:
+                      sort: bool = False, keep: Sequence[str] = ("*",)) -> DataFrame:
     """``df`` range-partitioned on ``order_cols`` with a ``_pid`` column,
-    materialised by a reliable checkpoint (see module docstring)."""
+    materialised by a reliable checkpoint (see module docstring). Only the
+    columns ``keep`` are written."""
     from moodstream.session import checkpoint_dir
 
     checkpoint_dir(df.sparkSession)
@@ -45,7 +46,7 @@ def range_partitioned(df: DataFrame, order_cols: Sequence[str], num_partitions:
     ranged = df.repartitionByRange(p, *[F.col(c).asc() for c in order_cols])
     if sort:
         ranged = ranged.sortWithinPartitions(*[F.col(c).asc() for c in order_cols])
-    return ranged.withColumn(PID, F.spark_partition_id()).checkpoint(eager=True)
+    return ranged.select(*keep, F.spark_partition_id().alias(PID)).checkpoint(eager=True)
 
 
 def default_partitions(df: DataFrame) -> int:

@@ -5,6 +5,7 @@ import random
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from moodstream.operators import join_chains
 from moodstream.streaming.join_timers import TtlJoin
@@ -76,6 +77,38 @@ def test_epochs_are_those_of_the_stream(spark, seed):
     assert counts == {"joined": sum(w[1] == "joined" for w in want), "expired": sum(w[1] == "expired" for w in want), "duplicates": sum(w[1] == "duplicate" for w in want)}
 
 
+@pytest.mark.parametrize("tasks", [1, 3, 16, 90])
+def test_ids_cut_into_pieces_are_walked_as_one(spark, tasks):
+    rows = halves_of(3, 700) + [("wide", ["raw", "prediction"][k % 7 == 0], k // 3, 2000 + k) for k in range(500)]
+    df = spark.createDataFrame([(None if i == "i7" else i, s if o % 50 else None, T0 + dt.timedelta(seconds=t), o if o % 11 else None) for i, s, t, o in rows], SCHEMA)
+    cols = ["id", "epoch", "side", "started_at", "outcome", "ended_at", "raw_offset", "prediction_offset"]
+    got, want = join_chains.join_chains(df, TTL, DEDUPE, num_partitions=tasks).select(*cols).collect(), []
+    order = lambda r: (r[2], r[3] is not None, r[3] or 0, r[1] is not None, r[1] or "")
+    plain = [(None if i == "i7" else i, s if o % 50 else None, t, o if o % 11 else None) for i, s, t, o in rows]
+    for name in {r[0] for r in plain}:
+        mine, i, epoch = sorted((r for r in plain if r[0] == name), key=order), 0, 0
+        while i is not None:
+            _, side, t, offset = mine[i]
+            epoch += 1
+            met = next((r for r in mine[i + 1:] if r[1] == ("prediction" if side == "raw" else "raw")), None)
+            met = met if met and met[2] - t < TTL else None
+            end = met[2] + DEDUPE if met else t + TTL
+            pair = (offset, met and met[3]) if side == "raw" else (met and met[3], offset)
+            at = lambda s: T0 + dt.timedelta(seconds=s)
+            want.append((name, epoch, side, at(t), "joined" if met else "expired", at(met[2] if met else end), *pair))
+            i = next((k for k in range(i + 1, len(mine)) if mine[k][2] >= end), None)
+    assert sorted((tuple(r) for r in got), key=str) == sorted(want, key=str)
+
+
+def test_tasks_grow_with_the_halves(spark, monkeypatch):
+    monkeypatch.setattr(join_chains, "HALVES", 20)
+    df = spark.createDataFrame([("hot", "raw", T0 + dt.timedelta(seconds=k), k) for k in range(400)], SCHEMA)
+    epochs = join_chains.join_chains(df, TTL, DEDUPE)
+    assert epochs.rdd.getNumPartitions() == 20
+    assert [r["epoch"] for r in epochs.orderBy("started_at").collect()] == list(range(1, 59))
+    assert max(r["count"] for r in epochs.groupBy(F.spark_partition_id()).count().collect()) < 10
+
+
 def test_no_halves(spark):
     assert join_chains.join_chains(spark.createDataFrame([], SCHEMA), TTL, DEDUPE).count() == 0
 
