@@ -201,14 +201,21 @@ def train_binary(train: DataFrame, label_col: str = "label", text_col: str = "te
                  reg_param: float = 0.01, clean_mode: str = "tweet", num_features: int = 1 << 16, max_iter: int = 30) -> PipelineModel:
     """A two-class model (labels 0 and 1): clean → tokenize → hashing TF →
     IDF → logistic regression, one sigmoid output. ``class_weights``: weight
-    of each class, 1 where not given."""
+    of each class, 1 where not given. Texts are cleaned, tokenized and hashed
+    once: the IDF fit and the passes of the regression read the held term
+    frequencies."""
     weight = F.lit(1.0)
     for k, w in (class_weights or {}).items():
         weight = F.when(F.col(label_col) == k, F.lit(float(w))).otherwise(weight)
     rows = train.select(text_col, F.col(label_col).cast("double").alias("label_id"), weight.alias("weight"))
     lr = LogisticRegression(featuresCol="_features", labelCol="label_id", weightCol="weight", regParam=reg_param,
                             maxIter=max_iter, family="binomial")
-    model = Pipeline(stages=[*feature_pipeline(num_features, text_col, clean_mode).getStages(), lr]).fit(rows)
+    stages = feature_pipeline(num_features, text_col, clean_mode).getStages()
+    pre = Pipeline(stages=stages[:3]).fit(rows)               # stateless transformers
+    tf = pre.transform(rows).select("_tf", "label_id", "weight").cache()
+    idf = stages[3].fit(tf)
+    model = PipelineModel(stages=[*pre.stages, idf, lr.fit(idf.transform(tf))])
+    tf.unpersist()
     # A two-class model's training summary holds the session, which does not serialise once the
     # session has observed metrics; scoring has no use for it.
     model.stages[-1]._java_obj.setSummary(rows.sparkSession.sparkContext._jvm.scala.Option.empty())
