@@ -1052,6 +1052,8 @@ SELECT id, make_timestamp(epoch_us(TIMESTAMP '{REPLAY_START}') + CAST(round(i *
 # Weights of a model are not reproducible in SQL. score_documents and score_binary return
 # what must hold for any trained model, row by row; train_eval and binary_held_out hold
 # the model against answers by chance, whose figures the SQL works out.
+from uuid import uuid4  # noqa: E402
+
 from pyspark.sql import Window  # noqa: E402
 
 from moodstream.operators import training  # noqa: E402
@@ -1063,11 +1065,18 @@ FIT = {"reg_params": (0.01, 0.1), "clean_mode": "tweet", "num_features": 1 << 14
 
 
 def _trained(spark, sf):
-    # train, val and test all read one materialised split (reliable
-    # checkpoint in the shared folder), not three recomputations
-    checkpoint_dir(spark)
-    split = datasets.stratified_split(dataset(spark, sf), seed=SPLIT_SEED).checkpoint(eager=True)
-    part = lambda name: split.where(F.col("split") == name).select("id", "text", "label")
+    # Texts are mapped once and written to the shared folder; ids and splits are
+    # decided on narrow rows (a text's hash names it) and join the texts once.
+    # train, val and test all read what that wrote.
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/split-{uuid4().hex}"
+    mapped = datasets.map_labels(source_dataset(spark, sf))
+    mapped.withColumn("_h", F.unhex(F.sha2("text", 256))).write.parquet(f"{folder}/texts")
+    texts = spark.read.parquet(f"{folder}/texts")
+    narrow = texts.select("_h", "_row", "label").checkpoint()
+    split = datasets.stratified_split(datasets.with_ids(narrow, "_row"), seed=SPLIT_SEED).select("_h", "id", "label", "split")
+    texts.select("_h", "text").join(split, "_h").drop("_h").write.parquet(f"{folder}/parts")
+    parts = spark.read.parquet(f"{folder}/parts")
+    part = lambda name: parts.where(F.col("split") == name).select("id", "text", "label")
     return training.train_classifier(part("train"), part("val"), **FIT), part("test")
 
 
