@@ -21,7 +21,7 @@ from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol, Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodstream.functions.numeric import label_scores
@@ -83,15 +83,20 @@ def with_weights(df: DataFrame, label_col: str = "label", weighted: bool = True)
         .withColumn("label_id", label_index(label_col))
 
 
+def once(value) -> Column:
+    """``value`` as the only row of a generator: whatever reads it, and filters on
+    what is made of it, does not work it out again from the text."""
+    return F.explode(F.array(value))
+
+
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Adds ``label, confidence, scores`` (argmax of the probability vector;
     ties go to the first label in the fixed order)."""
     scored = model.transform(df.drop("label") if "label" in df.columns else df)
-    probs = vector_to_array("probability")
-    s = label_scores(probs, LABELS)
     drop = [c for c in scored.columns if c.startswith("_") or c in ("rawPrediction", "probability", "prediction")]
-    return scored.withColumn("_s", s).select(
-        *[c for c in scored.columns if c not in drop and c != "_s"],
+    kept = [c for c in scored.columns if c not in drop]
+    return scored.select(*kept, once(vector_to_array("probability")).alias("_p")).withColumn("_s", label_scores(F.col("_p"), LABELS)).select(
+        *kept,
         F.col("_s.label").alias("label"), F.col("_s.confidence").alias("confidence"),
         F.col("_s.scores").alias("scores"))
 
@@ -227,5 +232,5 @@ def predict_binary(model: PipelineModel, df: DataFrame, threshold: float = 0.5)
     threshold)."""
     rows = df.drop("label") if "label" in df.columns else df
     prob = F.get(vector_to_array("probability"), F.lit(1))
-    scored = model.transform(rows).select(*rows.columns, prob.alias("prob"))
+    scored = model.transform(rows).select(*rows.columns, once(prob).alias("prob"))
     return scored.withColumn("label", (F.col("prob") >= threshold).cast("int"))

@@ -2,7 +2,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from moodstream.operators import datasets
+from moodstream import catalog
+from moodstream.operators import datasets, training
 
 
 def source(spark, rows):
@@ -83,3 +84,46 @@ def test_splits_disjoint(spark):
     assert parts["train"].intersect(parts["test"]).count() == 0
     assert parts["val"].intersect(parts["test"]).count() == 0
     assert sum(p.count() for p in parts.values()) == 90
+
+
+def counted(spark):
+    """(a function that passes texts on, the number of texts it has seen)."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def passed(text):
+        seen.add(1)
+        return text
+
+    return passed.asNondeterministic(), seen
+
+
+def test_binary_training_reads_its_texts_once(spark):
+    passed, seen = counted(spark)
+    rows = spark.createDataFrame([(f"word{k % 7} text{k}", k % 2) for k in range(60)], "text string, label int")
+    model = training.train_binary(rows.select(passed("text").alias("text"), "label"), num_features=64, max_iter=5)
+    assert seen.value == 60
+    assert training.predict_binary(model, rows).where("prob BETWEEN 0 AND 1").count() == 60
+
+
+def test_split_maps_its_texts_once(spark, monkeypatch):
+    passed, seen = counted(spark)
+    rows = [(f"word{k % 80 % 3} text{k % 80} ", [0, 2, 3][k % 80 % 3], k) for k in range(90)]  # ten texts come twice
+    source = spark.createDataFrame(rows, "tweet string, label int, _row long").select(passed("tweet").alias("tweet"), "label", "_row")
+    monkeypatch.setattr(catalog, "source_dataset", lambda *_: source)
+    res, test = catalog._trained(spark, "")
+    assert seen.value == 90
+    plain = spark.createDataFrame(rows, source.schema)
+    want = datasets.stratified_split(datasets.with_ids(datasets.map_labels(plain), "_row"), seed=catalog.SPLIT_SEED)
+    in_test = want.where("split = 'test'").select("id", "text", "label").collect()
+    assert sorted(test.collect()) == sorted(in_test) and len(in_test) == len({r["text"] for r in in_test}) == 16
+    assert res.train_size == want.where("split = 'train'").count() == 56
+
+
+def test_scoring_works_each_text_out_once(spark):
+    rows = spark.createDataFrame([(f"word{k % 3} text{k}", ["negative", "neutral", "positive"][k % 3]) for k in range(60)], "text string, gold_label string")
+    model = training.train_classifier(rows.withColumnRenamed("gold_label", "label"), rows.withColumnRenamed("gold_label", "label"), [0.1], num_features=64, max_iter=5).model
+    scored = training.predict(model, rows).where("label <> 'other' AND confidence > 0 AND scores['neutral'] < 2").groupBy("gold_label", "label").count()
+    assert sum(r["count"] for r in scored.collect()) == 60
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(text#") == 1
