@@ -15,8 +15,11 @@ from the halves after it, and the next epoch starts at the first half at or afte
 the end.
 
 1. Halves are ranged by (id, time, order) and sorted, in as many partitions as
-   keep one near ``HALVES``. An id that lies in one partition is walked there.
-2. An id that goes over several is a *span* of pieces, one a partition. What the
+   keep one near ``HALVES``. An id that lies inside a partition is walked there, in
+   the same pass. Of a partition's first and last id, which may go on in others, that
+   pass holds back the halves that can count: at one time the first of each side. If
+   all that is held back is no more than ``HALVES``, one task walks it.
+2. Otherwise an id that goes over several is a *span* of pieces, one a partition. What the
    later pieces hold first of each side comes from a table with one row per piece.
    Each piece tells, for each time at which one of its halves may start an epoch,
    the end with which the chain from there leaves the piece.
@@ -24,16 +27,15 @@ the end.
    lies, gives the end with which the chain leaves that piece. Pointer doubling
    from a span's first half finds the ends that are reached (after k rounds all that
    are less than 2^k pieces away), at most one for each piece.
-4. Every partition walks its halves once, a piece from the end that reaches it.
+4. The halves held back are walked, a piece from the end that reaches it.
 
-No step groups the halves of an id in one task. The sorted halves, the pieces'
-ends and each round are written to the shared checkpoint folder; the driver holds a
-few numbers per partition.
+No task gets more than about ``HALVES`` of an id's halves. The epochs and the halves held
+back, the pieces' ends and each round are written to the shared checkpoint folder; the
+driver holds a few numbers per partition.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -47,10 +49,13 @@ from pyspark.sql import types as T
 
 from moodstream.functions.time import epoch_micros, from_micros
 from moodstream.operators.joining import PREDICTION, RAW
-from moodstream.plans.ordered import PID, default_partitions, range_partitioned
+from moodstream.plans.ordered import PID, default_partitions
+from moodstream.session import checkpoint_dir
 
 # Halves that one task sorts and walks, about.
-HALVES = 1_000_000
+HALVES = 250_000
+# Chains that are fewer are followed one by one, not in step.
+FEW = 16
 
 
 def _whole(batches: Iterator[pa.RecordBatch]) -> pa.Table | None:
@@ -126,49 +131,123 @@ def _going_on(asks: pd.DataFrame, starts: pd.DataFrame) -> pd.DataFrame:
     return found[["_span", PID, "n", "exit", "on"]].assign(ask=asks["ask"].to_numpy())
 
 
+def _bounds(ids: pa.Array) -> np.ndarray:
+    """Where each id begins, and the number of rows."""
+    n = len(ids)
+    return np.r_[0, np.flatnonzero(~_same(ids.slice(1), ids.slice(0, n - 1))) + 1, n]
+
+
+def _chained(t: np.ndarray, end: np.ndarray, bounds: np.ndarray, reached: int | None, begun: int) -> np.ndarray:
+    """The number of the epoch that each half starts, 0 if it starts none. The
+    first id has ``begun`` epochs before and goes on from ``reached`` (begun 0: from its
+    first half; None: not at all), the others from their first halves."""
+    n, lengths = len(t), np.diff(bounds)
+    times, rank = np.unique(t, return_inverse=True)
+    key, stop = np.repeat(np.arange(len(lengths)) * (len(times) + 1), lengths), np.repeat(bounds[1:], lengths)
+    to = np.maximum(np.searchsorted(key + rank, key + np.searchsorted(times, end)), np.arange(1, n + 1))
+    number, now, epoch = np.zeros(n, np.int64), bounds[:-1], 0
+    if begun:
+        place, now = bounds[1] if reached is None else np.searchsorted(t[:bounds[1]], reached), now[1:]
+        while place < bounds[1]:
+            begun += 1
+            number[place], place = begun, to[place]
+    while len(now) > FEW:
+        epoch += 1
+        number[now] = epoch
+        now = now[to[now] < stop[now]]
+        now = to[now]
+    for place in now:
+        last, k = stop[place], epoch
+        while place < last:
+            k += 1
+            number[place], place = k, to[place]
+    return number
+
+
+def _told(rows: pa.Table, bounds: np.ndarray, nearest: tuple, entry: tuple, ttl_us: int, dedupe_us: int) -> pa.RecordBatch:
+    """The epochs of sorted halves. ``nearest``: the first raw and the first prediction in
+    later pieces of the last id; ``entry``: ``reached`` and ``begun`` of the first id."""
+    partner, end, when = _epochs_from(rows, np.repeat(bounds[1:], np.diff(bounds)), nearest, ttl_us, dedupe_us)
+    number = _chained(rows["_t"].to_numpy(), end, bounds, *entry)
+    starts = np.flatnonzero(number)
+    offset = rows["offset"].combine_chunks()
+    offset = pa.concat_arrays([offset, pa.array([half[1] if half else None for half in nearest], offset.type)])
+    at, met = pa.array(starts, pa.int64()), partner[starts]
+    other, column = pa.array(met, mask=met < 0), lambda name: rows[name].combine_chunks().take(at)
+    return pa.RecordBatch.from_pydict({
+        PID: column(PID), "id": column("id"), "epoch": pa.array(number[starts]), "side": column("side"), "_t": column("_t"),
+        "_pt": pa.array(when).take(other), "_end": pa.array(end[starts]), "offset": offset.take(at), "_po": offset.take(other)})
+
+
+def _counting(rows: pa.Table) -> pa.Table:
+    """Of one id's sorted halves at one time the first of each side: the first of all
+    is the one that may start an epoch, the first of its side the one that may join."""
+    t, raw, pred = rows["_t"].to_numpy(), _flags(rows["side"], RAW), _flags(rows["side"], PREDICTION)
+    first = np.zeros(len(t), bool)
+    for side in (raw, pred, ~(raw | pred)):
+        at = np.flatnonzero(side)
+        first[at[np.r_[True, t[at[1:]] != t[at[:-1]]][:len(at)]]] = True
+    return rows.filter(pa.array(first))
+
+
+def _inside(ttl_us: int, dedupe_us: int):
+    """The epochs of the ids inside a partition, and (``epoch`` null) the halves of its
+    first and its last id."""
+
+    def run(batches):
+        rows = _whole(batches)
+        if rows is None:
+            return
+        bounds, n = _bounds(rows["id"].combine_chunks()), rows.num_rows
+        inner = bounds[1:-1] if len(bounds) > 3 else bounds[:0]
+        outer = [rows.slice(lo, hi - lo) for lo, hi in zip(bounds[:-1], bounds[1:], strict=True)] if not len(inner) else [rows.slice(0, inner[0]), rows.slice(inner[-1])]
+        # Where an epoch may end as it starts, the next one can start at the same time with any half.
+        held = pa.concat_tables([_counting(x) if ttl_us > 0 and dedupe_us > 0 else x for x in outer])
+        none = lambda kind: pa.nulls(held.num_rows, kind)
+        yield pa.Table.from_pydict({
+            PID: held[PID], "id": held["id"], "epoch": none(pa.int64()), "side": held["side"], "_t": held["_t"],
+            "_pt": none(pa.int64()), "_end": none(pa.int64()), "offset": held["offset"], "_po": none(held["offset"].type)}).combine_chunks().to_batches()[0]
+        if len(inner):
+            yield _told(rows.slice(inner[0], inner[-1] - inner[0]), inner - inner[0], (None, None), (None, 0), ttl_us, dedupe_us)
+
+    return run
+
+
 def _walk(into: dict, ahead: dict, ttl_us: int, dedupe_us: int):
-    """The epochs of the halves of a partition. ``into``: (end that reaches it or
+    """The epochs of the halves held back in a partition. ``into``: (end that reaches it or
     none, epochs before) of a piece whose id began in an earlier partition."""
 
     def run(batches):
         rows = _whole(batches)
         if rows is None:
             return
-        pid, ids, n = rows[PID][0].as_py(), rows["id"].combine_chunks(), rows.num_rows
-        bounds = np.r_[0, np.flatnonzero(~_same(ids.slice(1), ids.slice(0, n - 1))) + 1, n]
-        nearest = ahead.get(pid, (None, None))
-        partner, end, when = _epochs_from(rows, np.repeat(bounds[1:], np.diff(bounds)), nearest, ttl_us, dedupe_us)
-        times, ends, starts, epochs = rows["_t"].to_numpy().tolist(), end.tolist(), [], []
-        for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-            i, epoch = lo, 0
-            if lo == 0 and pid in into:
-                reached, epoch = into[pid]
-                i = hi if reached is None else bisect_left(times, reached, lo, hi)
-            while i < hi:
-                epoch += 1
-                starts.append(i)
-                epochs.append(epoch)
-                i = bisect_left(times, ends[i], i + 1, hi)
-        offset = rows["offset"].combine_chunks()
-        offset = pa.concat_arrays([offset, pa.array([half[1] if half else None for half in nearest], offset.type)])
-        at, met = pa.array(starts, pa.int64()), partner[starts]
-        other = pa.array(met, mask=met < 0)
-        yield pa.RecordBatch.from_pydict({
-            "id": ids.take(at), "epoch": pa.array(epochs, pa.int64()), "side": rows["side"].combine_chunks().take(at), "_t": rows["_t"].combine_chunks().take(at),
-            "_pt": pa.array(when).take(other), "_end": pa.array(end[starts]), "offset": offset.take(at), "_po": offset.take(other)})
+        pid = rows[PID][0].as_py()
+        yield _told(rows, _bounds(rows["id"].combine_chunks()), ahead.get(pid, (None, None)), into.get(pid, (None, 0)), ttl_us, dedupe_us)
+
+    return run
+
+
+def _together(ttl_us: int, dedupe_us: int):
+    """The epochs of all halves held back, in one task."""
+
+    def run(batches):
+        rows = _whole(batches)
+        if rows is None:
+            return
+        rows = rows.take(pa.array(np.argsort(rows[PID].to_numpy(), kind="stable")))
+        yield _told(rows, _bounds(rows["id"].combine_chunks()), (None, None), (None, 0), ttl_us, dedupe_us)
 
     return run
 
 
 def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first and the last id of a partition (one row if they are the same): what
-    it holds first of each side, and its last time."""
+    """The first and the last id of a partition (one row if they are the same), from the
+    halves held back: what it holds first of each side, and its last time."""
     rows = _whole(batches)
     if rows is None:
         return
-    ids, n = rows["id"].combine_chunks(), rows.num_rows
-    apart = np.flatnonzero(~_same(ids.slice(1), ids.slice(0, n - 1))) + 1
-    for lo, hi in [(0, n)] if not len(apart) else [(0, int(apart[0])), (int(apart[-1]), n)]:
+    bounds = _bounds(rows["id"].combine_chunks()).tolist()
+    for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
         out = {PID: rows[PID].slice(lo, 1), "id": rows["id"].slice(lo, 1), "last": rows["_t"].slice(hi - 1, 1)}
         for name, side in (("raw", RAW), ("pred", PREDICTION)):
             at = np.flatnonzero(_flags(rows["side"].slice(lo, hi - lo), side))[:1] + lo
@@ -177,14 +256,14 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.Table.from_pydict(out).combine_chunks().to_batches()[0]
 
 
-def _pieces(ranged: DataFrame) -> list[tuple[int, int, bool, Row]]:
+def _pieces(held: DataFrame) -> list[tuple[int, int, bool, Row]]:
     """(partition, number of the span, whether its id began in an earlier partition, row
     of ``_edges``) of each piece of an id that lies in several partitions."""
-    kinds = {f.name: f.dataType for f in ranged.schema}
+    kinds = {f.name: f.dataType for f in held.schema}
     shape = T.StructType([T.StructField(PID, T.IntegerType()), T.StructField("id", kinds["id"]), T.StructField("last", T.LongType()),
                           *[f for name in ("raw", "pred") for f in (T.StructField(f"{name}_t", T.LongType()), T.StructField(f"{name}_offset", kinds["offset"]))]])
     pieces, before, span = [], None, -1
-    for r in ranged.mapInArrow(_edges, shape).collect():  # two rows per partition at most, in order
+    for r in held.mapInArrow(_edges, shape).collect():  # two rows per partition at most, in order
         if before is not None and before["id"] == r["id"]:
             if not (pieces and pieces[-1][3] is before):
                 span += 1
@@ -194,14 +273,14 @@ def _pieces(ranged: DataFrame) -> list[tuple[int, int, bool, Row]]:
     return pieces
 
 
-def _entries(ranged: DataFrame, listed: list, ttl_us: int, dedupe_us: int) -> tuple[dict, dict]:
+def _entries(held: DataFrame, listed: list, ttl_us: int, dedupe_us: int) -> tuple[dict, dict]:
     """``into`` and ``ahead`` of ``_walk``: by partition, what reaches the piece that it
     begins with, and what comes after the piece that it ends with."""
     if not listed:
         return {}, {}
-    shape = T.StructType([T.StructField("_p", T.IntegerType()), T.StructField("_span", T.IntegerType()), T.StructField("_i", ranged.schema["id"].dataType)])
-    named = F.broadcast(ranged.sparkSession.createDataFrame([(p, s, r["id"]) for p, s, _, r in listed], shape))
-    pieces = ranged.join(named, (F.col(PID) == F.col("_p")) & F.col("id").eqNullSafe(F.col("_i"))).select(PID, "_span", "side", "_t", "offset")
+    shape = T.StructType([T.StructField("_p", T.IntegerType()), T.StructField("_span", T.IntegerType()), T.StructField("_i", held.schema["id"].dataType)])
+    named = F.broadcast(held.sparkSession.createDataFrame([(p, s, r["id"]) for p, s, _, r in listed], shape))
+    pieces = held.join(named, (F.col(PID) == F.col("_p")) & F.col("id").eqNullSafe(F.col("_i"))).select(PID, "_span", "side", "_t", "offset")
 
     ahead, lasts, near = {}, defaultdict(list), {}
     for p, span, _, r in reversed(listed):
@@ -255,12 +334,19 @@ def join_chains(halves: DataFrame, ttl_seconds: float, dedupe_seconds: float, or
     ties = [c for c in order_cols if c != "offset"]
     seen = halves.select("id", "side", epoch_micros("at").alias("_t"), "offset", *ties).where(F.col("_t").isNotNull())
     tasks = num_partitions or max(default_partitions(seen), -(-seen.count() // HALVES))
-    ranged = range_partitioned(seen, ["id", "_t", *order_cols, "side"], tasks, sort=True, keep=["id", "side", "_t", "offset"])
-    into, ahead = _entries(ranged, _pieces(ranged), ttl_us, dedupe_us)
+    checkpoint_dir(halves.sparkSession)
+    order = ["id", "_t", *order_cols, "side"]
+    ranged = seen.repartitionByRange(tasks, *order).sortWithinPartitions(*order).select("id", "side", "_t", "offset", F.spark_partition_id().alias(PID))
     kinds = {f.name: f.dataType for f in ranged.schema}
-    shape = T.StructType([T.StructField(n, k) for n, k in (("id", kinds["id"]), ("epoch", T.LongType()), ("side", kinds["side"]), ("_t", T.LongType()), ("_pt", T.LongType()),
-                                                           ("_end", T.LongType()), ("offset", kinds["offset"]), ("_po", kinds["offset"]))])
-    rows = ranged.mapInArrow(_walk(into, ahead, ttl_us, dedupe_us), shape)
+    shape = T.StructType([T.StructField(n, k) for n, k in ((PID, T.IntegerType()), ("id", kinds["id"]), ("epoch", T.LongType()), ("side", kinds["side"]), ("_t", T.LongType()),
+                                                           ("_pt", T.LongType()), ("_end", T.LongType()), ("offset", kinds["offset"]), ("_po", kinds["offset"]))])
+    walked = ranged.mapInArrow(_inside(ttl_us, dedupe_us), shape).checkpoint()
+    held = walked.where("epoch IS NULL").select("id", "side", "_t", "offset", PID).checkpoint()
+    if held.count() <= HALVES:
+        outer = held.coalesce(1).mapInArrow(_together(ttl_us, dedupe_us), shape)
+    else:
+        outer = held.mapInArrow(_walk(*_entries(held, _pieces(held), ttl_us, dedupe_us), ttl_us, dedupe_us), shape)
+    rows = walked.where("epoch IS NOT NULL").unionByName(outer).coalesce(tasks)
     joined, is_raw = F.col("_pt").isNotNull(), F.col("side") == RAW
     return rows.select(
         "id", "epoch", "side", from_micros("_t").alias("started_at"),

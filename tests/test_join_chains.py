@@ -113,6 +113,55 @@ def test_no_halves(spark):
     assert join_chains.join_chains(spark.createDataFrame([], SCHEMA), TTL, DEDUPE).count() == 0
 
 
+def walked_plainly(rows, ttl, dedupe):
+    out = []
+    for name in {r[0] for r in rows}:
+        mine, i, epoch = sorted((r for r in rows if r[0] == name), key=lambda r: (r[2], r[3], r[1])), 0, 0
+        while i is not None:
+            _, side, t, offset = mine[i]
+            epoch += 1
+            met = next((r for r in mine[i + 1:] if r[1] != side), None)
+            met = met if met and met[2] - t < ttl else None
+            end = met[2] + dedupe if met else t + ttl
+            out.append((name, epoch, side, T0 + dt.timedelta(seconds=t), *((offset, met and met[3]) if side == "raw" else (met and met[3], offset))))
+            i = next((k for k in range(i + 1, len(mine)) if mine[k][2] >= end), None)
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("ttl, dedupe, tasks", [(TTL, DEDUPE, 8), (TTL, 0, 1), (0, DEDUPE, 1)])
+def test_only_halves_that_can_count_are_held_back(spark, monkeypatch, ttl, dedupe, tasks):
+    """Of an id that goes over several partitions, at one time the first half of each side;
+    every half if an epoch may end as it starts."""
+    held, entries = [], join_chains._entries
+    monkeypatch.setattr(join_chains, "HALVES", 20)
+    monkeypatch.setattr(join_chains, "_entries", lambda halves, *rest: held.append(halves) or entries(halves, *rest))
+    rnd = random.Random(7)
+    rows = [("hot", rnd.choice(["raw", "prediction"]), rnd.randrange(12) * 5, k) for k in range(900)] + [(f"i{k % 60}", ["raw", "prediction"][k // 60 % 2], k, k) for k in range(600)]
+    df = spark.createDataFrame([(i, s, T0 + dt.timedelta(seconds=t), o) for i, s, t, o in rows], SCHEMA).repartition(3)
+    got = join_chains.join_chains(df, ttl, dedupe, num_partitions=tasks).select("id", "epoch", "side", "started_at", "raw_offset", "prediction_offset").collect()
+    assert sorted((tuple(r) for r in got), key=str) == walked_plainly(rows, ttl, dedupe)
+    n = held[0].count()
+    assert n < 300 if ttl and dedupe else n >= 900
+
+
+@pytest.mark.parametrize("tasks", [3, 16, 90])
+def test_pieces_are_walked_where_more_is_held_back(spark, monkeypatch, tasks):
+    monkeypatch.setattr(join_chains, "HALVES", 20)
+    test_ids_cut_into_pieces_are_walked_as_one(spark, tasks)
+
+
+@pytest.mark.parametrize("most, calls", [(20, 1), (10**6, 0)])
+def test_pieces_are_only_followed_where_one_task_is_not_enough(spark, monkeypatch, most, calls):
+    made, pieces = [], join_chains._pieces
+    monkeypatch.setattr(join_chains, "HALVES", most)
+    monkeypatch.setattr(join_chains, "_pieces", lambda held: made.append(held) or pieces(held))
+    rows = [("hot", ["raw", "prediction"][k % 3 == 0], k // 30, k) for k in range(900)]
+    df = spark.createDataFrame([(i, s, T0 + dt.timedelta(seconds=t), o) for i, s, t, o in rows], SCHEMA)
+    got = join_chains.join_chains(df, TTL, DEDUPE, num_partitions=8).select("id", "epoch", "side", "started_at", "raw_offset", "prediction_offset").collect()
+    assert sorted((tuple(r) for r in got), key=str) == walked_plainly(rows, TTL, DEDUPE)
+    assert len(made) == calls
+
+
 def test_pointer_doubling_reaches_what_a_walk_reaches(spark):
     rnd = random.Random(5)
     to = {i: rnd.randrange(i + 1, min(i + 4, 301)) for i in range(300)}
